@@ -17,7 +17,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import ratio
 from ..session import broadcast_within
+from .aggregate import exact_sum
+from .reshape import wide_to_long
 
 ROWS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 4_000
@@ -147,50 +150,42 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
     def rank(p: float) -> Column:
         return (F.col("n") - 1) * F.lit(float(p))
 
-    def holds(r: Column, first: Column, count: Column) -> Column:
-        return (r >= first) & (r < first + count)
-
-    wanted = None
-    for p in probs.values():
-        for r in (F.floor(rank(p)), F.ceil(rank(p))):
-            here = holds(r, F.col("_before"), F.col("_m"))
-            wanted = here if wanted is None else wanted | here
-    chosen = counts.where(wanted).drop("_m")
+    ranks = [f(rank(p)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)]
+    ranks = F.array_distinct(F.array(*ranks))
+    here = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m")))
+    chosen = counts.withColumn("_ranks", here).where(F.size("_ranks") > 0).drop("_m")
     if groups:
         chosen = chosen.withColumnsRenamed({c: f"_at_{c}" for c in [*groups, "_b"]})
         rows = freq.join(chosen, [freq[c].eqNullSafe(chosen[f"_at_{c}"]) for c in [*groups, "_b"]])
     else:
         rows = freq.join(broadcast_within(chosen, cuts.most_buckets()), "_b")
     inside = Window.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_first", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
-    rows = rows.groupBy(*groups).agg(
-        F.max("n").alias("n"),
-        *[F.max(F.when(holds(f(rank(p)), F.col("_first"), F.col("_n")), F.col("_v"))).alias(f"_{side}_{q}")
-          for q, p in probs.items() for side, f in (("lo", F.floor), ("hi", F.ceil))],
-    )
-    lo, hi = (lambda q: F.col(f"_lo_{q}")), (lambda q: F.col(f"_hi_{q}"))
-    return rows.select(
-        *groups, "n",
-        *[(lo(q) + (hi(q) - lo(q)) * (rank(p) - F.floor(rank(p)))).alias(q) for q, p in probs.items()],
-    )
+    last = F.col("_before") + F.sum("_n").over(inside)
+    rows = rows.withColumn("_last", last).withColumn(
+        "_r", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_last") - F.col("_n")) & (r < F.col("_last")))))
+    # At most two order statistics per probability and group.
+    found = rows.groupBy(*groups).agg(
+        F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_at"))
+
+    def between(p: float) -> Column:
+        lo, hi = (F.element_at("_at", f(rank(p)).cast("long")) for f in (F.floor, F.ceil))
+        return lo + (hi - lo) * (rank(p) - F.floor(rank(p)))
+
+    return found.select(*groups, "n", *[between(p).alias(q) for q, p in probs.items()])
 
 
 def quantile_profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float],
                      rows_per_bucket: int | None = None) -> DataFrame:
     """Quantiles of several columns by (variable, keys), from one unpivoted pass."""
-    from .reshape import wide_to_long
-
     long = wide_to_long(df, list(keys), columns)
     return quantiles(long, "value", probs, ["variable", *keys], rows_per_bucket)
 
 
 def column_summary(df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
     """Minimum, quartiles, mean, maximum and null count of each column."""
-    from .reshape import wide_to_long
-
     long = wide_to_long(df, [], columns)
     basic = long.groupBy("variable").agg(
-        F.min("value").alias("min"), F.avg(F.col("value").cast("decimal(18,2)")).cast("double").alias("mean"),
+        F.min("value").alias("min"), ratio(exact_sum(F.col("value")), F.count("value").cast("double")).alias("mean"),
         F.max("value").alias("max"), F.count_if(F.col("value").isNull()).alias("nulls"),
     )
     parts = quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["variable"], rows_per_bucket)

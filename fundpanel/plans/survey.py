@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import drop_chars, label, part, to_number
+from ..functions import label, part, to_number
 from ..operators.grid import expand_grouped_header, header_at, named_cell, promote_header, zero_as_missing
 from ..operators.lookup import lookup
 from ..operators.reshape import wide_to_long
@@ -92,20 +92,3 @@ def aff_panel(grid: DataFrame, states: DataFrame, files: int | None = None) -> D
         "admin", label(F.substring("lvl", 4, 1), AFF_LEVELS, AFF_LABELS))
     rows = lookup(rows, states, {"stname": "stname"}, {"stabbr": "stabbr"}).where(F.col("stabbr").isNotNull())
     return rows.select("stabbr", "admin", "col", "description", "year", "value")
-
-
-def item_codes(sheet: DataFrame, supplement: DataFrame) -> DataFrame:
-    """Item codes with their description: marks and blanks removed, header and empty
-    rows dropped, and the codes the sheet lacks added."""
-    own = sheet.where(F.col("ic").isNotNull() & F.col("icdesc").isNotNull() & (F.col("ic") != "Item code"))
-    own = own.select(F.trim("ic").alias("ic"), F.trim(drop_chars(F.col("icdesc"), "*'")).alias("icdesc"))
-    return own.unionByName(supplement.select("ic", "icdesc"))
-
-
-# Item codes that occur in the unit files but not in the code sheet.
-SUPPLEMENT = """
-Z13, Retirement Benefits
-Z14, Disability Benefits
-Z15, Survivor Benefits
-Z16, Other Benefits
-"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import display_name, label, rescale
+from ..functions import display_name, drop_chars, label, rescale
 from ..operators.combine import replicate, stack
 from ..operators.grid import trim_all
 from ..operators.lookup import lookup
@@ -82,3 +82,20 @@ def plans_with_members(units: DataFrame, ids: DataFrame, states: DataFrame, leas
     plans = lookup(plan_assets(units, ids, states), member_counts(units), {"pid": "pid"},
                    ["members", "beneficiaries", "participants"])
     return plans.where(F.col("participants") >= least)
+
+
+def item_codes(sheet: DataFrame, supplement: DataFrame) -> DataFrame:
+    """Item codes with their description: marks and blanks removed, header and empty
+    rows dropped, and the codes the sheet lacks added."""
+    own = sheet.where(F.col("ic").isNotNull() & F.col("icdesc").isNotNull() & (F.col("ic") != "Item code"))
+    own = own.select(F.trim("ic").alias("ic"), F.trim(drop_chars(F.col("icdesc"), "*'")).alias("icdesc"))
+    return own.unionByName(supplement.select("ic", "icdesc"))
+
+
+# Item codes that occur in the unit files but not in the code sheet.
+SUPPLEMENT = """
+Z13, Retirement Benefits
+Z14, Disability Benefits
+Z15, Survivor Benefits
+Z16, Other Benefits
+"""
