@@ -163,7 +163,7 @@ def binned_size(spark, sf):
 
 
 @query("""
-SELECT CAST(ceil(CAST(p_retailprice AS DOUBLE) / 10 - 0.5) * 10 AS DOUBLE) AS centre, count(*) AS n FROM part GROUP BY 1
+SELECT CAST(ceil(CAST(p_retailprice AS DOUBLE) / 10 - 0.5) * 10 + 0.0 AS DOUBLE) AS centre, count(*) AS n FROM part GROUP BY 1
 """)
 def histogram_counts(spark, sf):
     return histogram(table(spark, sf, "part"), "p_retailprice", 10.0)

@@ -147,11 +147,16 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
         F.sum("_m").over(whole).alias("n"),
     )
 
-    def rank(p: float) -> Column:
-        return (F.col("n") - 1) * F.lit(float(p))
+    wanted = F.lit([float(p) for p in probs.values()])
 
-    ranks = [f(rank(p)).cast("long") for p in probs.values() for f in (F.floor, F.ceil)]
-    ranks = F.array_distinct(F.array(*ranks))
+    def rank(p: Column) -> Column:
+        return (F.col("n") - 1) * p
+
+    def whole_rank(f, p: Column) -> Column:
+        return f(rank(p)).cast("long")
+
+    ranks = F.array_distinct(F.flatten(
+        F.transform(wanted, lambda p: F.array(whole_rank(F.floor, p), whole_rank(F.ceil, p)))))
     here = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m")))
     chosen = counts.withColumn("_ranks", here).where(F.size("_ranks") > 0).drop("_m")
     if groups:
@@ -167,11 +172,12 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
     found = rows.groupBy(*groups).agg(
         F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_at"))
 
-    def between(p: float) -> Column:
-        lo, hi = (F.element_at("_at", f(rank(p)).cast("long")) for f in (F.floor, F.ceil))
+    def between(p: Column) -> Column:
+        lo, hi = (F.element_at("_at", whole_rank(f, p)) for f in (F.floor, F.ceil))
         return lo + (hi - lo) * (rank(p) - F.floor(rank(p)))
 
-    return found.select(*groups, "n", *[between(p).alias(q) for q, p in probs.items()])
+    found = found.withColumn("_q", F.transform(wanted, between))
+    return found.select(*groups, "n", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(probs)])
 
 
 def quantile_profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float],
