@@ -38,21 +38,27 @@ def money(name: str) -> F.Column:
     return F.col(name).cast(MONEY)
 
 
-def orders_by_nation(spark: SparkSession, sf: str) -> DataFrame:
-    """(year, nationkey, status, price, n). Orders are summed per customer before
+def customer_orders(spark: SparkSession, sf: str, statuses: tuple[str, ...] = ("F", "O", "P")) -> DataFrame:
+    """(year, nationkey, status, price, n) per customer. Orders are summed before
     they meet the customers, so a customer with very many orders is a few rows."""
-    per_customer = table(spark, sf, "orders").groupBy("o_custkey", order_year(), F.col("o_orderstatus").alias("status")).agg(
+    status = F.col("o_orderstatus").alias("status")
+    per_customer = table(spark, sf, "orders").where(status.isin(*statuses)).groupBy("o_custkey", order_year(), status).agg(
         F.sum(money("o_totalprice")).alias("price"), F.count(F.lit(1)).alias("n"))
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nationkey"))
-    return per_customer.join(customers, "o_custkey").groupBy("year", "nationkey", "status").agg(
+    return per_customer.join(customers, "o_custkey").drop("o_custkey")
+
+
+def orders_by_nation(spark: SparkSession, sf: str, statuses: tuple[str, ...] = ("F", "O", "P")) -> DataFrame:
+    """(year, nationkey, status, price, n)."""
+    return customer_orders(spark, sf, statuses).groupBy("year", "nationkey", "status").agg(
         F.sum("price").alias("price"), F.sum("n").alias("n"))
 
 
 def nation_levels(spark: SparkSession, sf: str) -> DataFrame:
     """(year, nationkey, nation, admin, price, n): level 2 and 3 from the order
     status, level 1 their sum."""
-    admin = F.when(F.col("status") == "F", 2).when(F.col("status") == "O", 3)
-    rows = orders_by_nation(spark, sf).withColumn("admin", admin).where(F.col("admin").isNotNull())
+    rows = customer_orders(spark, sf, ("F", "O"))
+    rows = rows.withColumn("admin", F.when(F.col("status") == "F", 2).otherwise(3))
     rows = add_totals(rows, ["year", "nationkey", "admin"], {"admin": 1}, ["price", "n"])
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("nation"))
     return rows.join(nations, "nationkey")

@@ -7,7 +7,7 @@ from ..operators.running import quantiles
 from ..plans.historical import historical_panel as historical, historical_wide as wide_history
 from ..plans.items import items_panel as items
 from ..plans.panels import (
-    Source, balance_panel as balances, census_panel as census, crosswalk, unified_panel as unify,
+    Source, balance_panel as balances, census_panel as census, crosswalk, unified_from_tagged, unified_panel as unify,
     yearly_sheets_panel as yearly_sheets,
 )
 from ..plans.plan_table import plans_labelled, plans_raw
@@ -42,6 +42,23 @@ FROM era JOIN walk ON walk.file = era.file AND fvalue = variable
 """)
 def unified_panel(spark, sf):
     """Two eras with their own variable names, in one vocabulary."""
+    names = {"A": ("totprice", "norders"), "B": ("B01", "B02")}
+    facts = F.array(*[
+        F.struct(F.lit(file).alias("file"), F.lit(name).alias("variable"), F.col(c).cast("double").alias("value"))
+        for file, pair in names.items() for name, c in zip(pair, ("price", "n"), strict=True)])
+    rows = nation_levels(spark, sf).select("year", "nation", "admin", F.inline(facts))
+    walk = code_table(spark, F0_CROSSWALK, ["uvname", "file", "fvalue"])
+    return unified_from_tagged(rows, walk, [("A", None, 1997), ("B", 1998, None)], "nation")
+
+
+@query(f"""
+WITH {LEVELS_SQL}
+SELECT CAST(year AS INTEGER) AS year, nation, CAST(admin AS INTEGER) AS admin, CASE admin WHEN 1 THEN 'State-local' WHEN 2 THEN 'State' ELSE 'Local' END AS adminf,
+  v.variable, CAST(CASE v.variable WHEN 'price' THEN price ELSE n END AS DOUBLE) AS value
+FROM levels, (VALUES ('price'), ('orders')) AS v(variable)
+""")
+def separate_sources_panel(spark, sf):
+    """The same panel from two sources that are tables of their own."""
     levels = nation_levels(spark, sf)
 
     def era(price, orders):

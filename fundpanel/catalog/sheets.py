@@ -28,7 +28,7 @@ def literal_row(spark: SparkSession, file: str, row_no: int, cells: list, **extr
 def historical_sheets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Finance and membership sheets: names in row 12, levels 1 to 3 and other types."""
     levels = nation_levels(spark, sf).select("year", "nationkey", F.col("admin").cast("string").alias("type"), "price", "n")
-    other = orders_by_nation(spark, sf).where(F.col("status") == "P").select("year", "nationkey", F.lit("x").alias("type"), "price", "n")
+    other = orders_by_nation(spark, sf, ("P",)).select("year", "nationkey", F.lit("x").alias("type"), "price", "n")
     whole = levels.groupBy("year", "type").agg(F.sum("price").alias("price"), F.sum("n").alias("n"))
     rows = levels.unionByName(other).withColumn("id", F.concat(F.lpad((F.col("nationkey") + 1).cast("string"), 2, "0"), F.lit("0000")))
     rows = rows.drop("nationkey").unionByName(whole.withColumn("id", F.lit("520000")))

@@ -29,7 +29,7 @@ def _curve(spark, sf, directions):
     plans = customer_sizes(spark, sf).where((F.col("assets") > 0) & (F.col("members") > 0)).select("plan", "assets", "members")
     curve = concentration(plans.withColumn("a", F.col("assets")).withColumn("m", F.col("members")), "assets", "plan",
                           {"assets": "a", "members": "m"}, directions)
-    return curve.drop("a", "m").withColumns({f"n_{d}": F.col(f"n_{d}").cast("long") for d in directions})
+    return curve.drop("a", "m", "n_sum", "assets_sum", "members_sum").withColumns({f"n_{d}": F.col(f"n_{d}").cast("long") for d in directions})
 
 
 @query(_curve_sql("up"))

@@ -56,17 +56,17 @@ def totals(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> D
 
 def add_totals(df: DataFrame, keys: Sequence[str], over: Mapping[str, object], measures: Sequence[str],
                null_total: bool = False) -> DataFrame:
-    """Add rows in which the ``over`` columns hold fixed labels and measures are summed.
-
-    The detail is summed to its own grain first, so that the total adds up groups
-    and not rows; both branches share that one shuffle."""
-    add = (lambda m: F.sum(m)) if null_total else (lambda m: F.coalesce(F.sum(m), F.lit(0)))
-    fine = df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    """Measures summed by the keys, plus rows over all ``over`` columns, which hold
+    fixed labels there. Grouping sets: one read and one shuffle of partial sums."""
+    add = F.sum if null_total else (lambda m: F.coalesce(F.sum(m), F.lit(0)))
     rest = [k for k in keys if k not in over]
-    top = fine.groupBy(*rest).agg(*[add(m).alias(m) for m in measures])
-    top = top.withColumns({k: F.lit(v) for k, v in over.items()})
-    detail = fine if null_total else fine.withColumns({m: F.coalesce(m, F.lit(0)) for m in measures})
-    return detail.select(*keys, *measures).unionByName(top.select(*keys, *measures))
+    sums = df.groupingSets([[F.col(k) for k in keys], [F.col(k) for k in rest]], *keys).agg(
+        *[add(m).alias(f"_s_{m}") for m in measures], F.grouping(next(iter(over))).alias("_top"))
+    top = F.col("_top") == 1
+    return sums.select(
+        *[F.when(top, F.lit(over[k])).otherwise(F.col(k)).alias(k) if k in over else F.col(k) for k in keys],
+        *[F.col(f"_s_{m}").alias(m) for m in measures],
+    )
 
 
 def size_bin(c: Column, edges: Sequence[float] = SIZE_EDGES) -> Column:

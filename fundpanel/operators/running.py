@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
-from ..session import broadcast_within
+from ..session import broadcast_within, settled
 from .aggregate import exact_sum
 from .reshape import wide_to_long
 
@@ -92,9 +92,11 @@ def in_buckets(df: DataFrame, key: str, tie: str | None, cuts: Cuts) -> DataFram
 def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str], groups: Sequence[str] = (),
                    directions: Sequence[str] = ("up",), rows_per_bucket: int | None = None) -> DataFrame:
     """Row number ``n_<direction>`` and running sum ``<name>_<direction>`` of each
-    measure, in ascending (up) or descending (down) order of the key.
+    measure, in ascending (up) or descending (down) order of the key, beside the
+    total (``n_sum``, ``<name>_sum``).
 
     Ties go by ascending tie-break key both ways. Rows shuffle once, by bucket."""
+    df = settled(df)
     cuts = find_cuts(df, key, tie, rows_per_bucket)
     rows = in_buckets(df, key, tie, cuts)
     at = [*groups, "_b", "_t"]
@@ -109,6 +111,7 @@ def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str
             F.sum(p).over(Window.partitionBy(*groups).orderBy(*orders[d])
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_{o}_{d}")
           for d in directions for o, p in parts.items()],
+        *[F.sum(p).over(Window.partitionBy(*groups)).alias(f"{o}_sum") for o, p in parts.items()],
     )
     inside = {"up": [F.asc(key), F.asc(tie)], "down": [F.desc(key), F.asc(tie)]}
     local = {}
@@ -135,7 +138,7 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
 
     Equal values are counted first, so a frequent one is a single row. Bucket
     counts then show which buckets hold the wanted ranks; only those are ordered."""
-    known = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
+    known = settled(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v")))
     cuts = find_cuts(known, "_v", None, rows_per_bucket)
     freq = known.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     freq = in_buckets(freq, "_v", None, cuts).drop("_k", "_t")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import label, ordinal, rescale, to_number
-from ..operators.combine import stack
+from ..operators.combine import served_by, stack
 from ..operators.lookup import lookup, map_variables
 from ..operators.reshape import wide_to_long
 from ..sources.code_tables import code_table
@@ -112,6 +112,16 @@ def unified_panel(sources: Sequence[Source], walk: DataFrame, entity: str = "sta
     return panel.select("year", entity, "admin", "adminf", "variable", "value")
 
 
+def unified_from_tagged(df: DataFrame, walk: DataFrame, precedence, entity: str = "stabbr") -> DataFrame:
+    """The same from one table whose ``file`` column names the source of each row:
+    years by precedence, then one join with the whole crosswalk."""
+    rows = df.where(F.col("admin").isin(LEVELS) & served_by(precedence, "file"))
+    names = walk.select("file", F.col("fvalue").alias("variable"), "uvname")
+    rows = rows.join(names, ["file", "variable"]).withColumn("adminf", label(F.col("admin"), LEVELS, LEVEL_LABELS))
+    return rows.select(F.col("year").cast("int").alias("year"), entity, F.col("admin").cast("int").alias("admin"), "adminf",
+                       F.col("uvname").alias("variable"), "value")
+
+
 def census_panel(historical: DataFrame, tables: DataFrame, items: DataFrame, survey: DataFrame,
                  walk: DataFrame) -> DataFrame:
     """The unified panel of the four eras; the historical source ends before 1993."""

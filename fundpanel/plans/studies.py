@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
 from ..operators.aggregate import MONEY, size_distribution
-from ..operators.lookup import scalar
 from ..operators.metrics import small_and_big
 from ..operators.running import quantiles, running_totals
 
@@ -38,19 +37,16 @@ def groups_and_median(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def concentration(plans: DataFrame, value: str, tie: str, measures: Mapping[str, str],
                   directions: Sequence[str] = ("up", "down"), rows_per_bucket: int | None = None) -> DataFrame:
-    """Rank, running sum and running percent of each measure, from the smallest
-    plan up and from the largest down. The totals are one row, read as a subquery."""
-    out = {"n": None, **measures}
-    sums = plans.agg(
-        F.struct(F.count(F.lit(1)).cast("double").alias("n"),
-                 *[F.sum(F.col(c).cast(MONEY)).cast("double").alias(o) for o, c in measures.items()]).alias("t"))
+    """Rank, running sum, total and running percent of each measure, from the
+    smallest plan up and from the largest down."""
     exact = plans.withColumns({f"_m_{o}": F.col(c).cast(MONEY) for o, c in measures.items()})
     curve = running_totals(exact, value, tie, {o: f"_m_{o}" for o in measures}, directions=directions,
                            rows_per_bucket=rows_per_bucket)
-    total = scalar(sums, F.col("t"))
-    curve = curve.withColumns({f"{o}_{d}": F.col(f"{o}_{d}").cast("double") for d in directions for o in measures})
+    sides = [*directions, "sum"]
+    curve = curve.withColumns({f"{o}_{d}": F.col(f"{o}_{d}").cast("double") for d in sides for o in measures})
     curve = curve.withColumns({
-        f"{o}_{d}pct": pct(F.col(f"{o}_{d}").cast("double"), total.getField(o)) for d in directions for o in out})
+        f"{o}_{d}pct": pct(F.col(f"{o}_{d}").cast("double"), F.col(f"{o}_sum").cast("double"))
+        for d in directions for o in ["n", *measures]})
     return curve.drop(*[f"_m_{o}" for o in measures])
 
 

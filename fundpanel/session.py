@@ -37,3 +37,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Input that several jobs read: where it needs a shuffle and the session names
+    a checkpoint folder, compute it once and read it from there; else as it is."""
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return df.checkpoint() if any(s in plan for s in ("Join", "Aggregate", "Window")) else df
