@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,25 +82,22 @@ def cells_to_long(rows: DataFrame, ids: Sequence[str], not_measures: Sequence[st
 
 def context_fill(df: DataFrame, label: str, back: Mapping[str, int], entity: str = "entity",
                  level: str = "level", default: str = "Total", file: str = "file",
-                 row_no: str = "row_no") -> DataFrame:
+                 row_no: str = "row_no", block: int = 100_000) -> DataFrame:
     """Give indented rows the entity named ``back[label]`` rows above them.
 
-    The row above is found by an equi-join on (file, row number), which spreads
-    one long file over all tasks where a lag window would hold it in one."""
-    text = F.col(label)
-    steps = F.lit(0)
+    A file is cut into blocks of row numbers, so that a long one is many tasks; the
+    last rows of a block are also put at the head of the next, which looks up to them."""
+    reach = max(back.values())
+    own = F.floor(F.col(row_no) / block)
+    edge = F.pmod(F.col(row_no), F.lit(block)) >= block - reach
+    rows = df.withColumn("_own", own).withColumn(
+        "_block", F.explode(F.when(edge, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    text, filled, order = F.col(label), F.col(label), Window.partitionBy(file, "_block").orderBy(row_no)
     for name, n in back.items():
-        steps = F.when(text == name, n).otherwise(steps)
-    rows = df.withColumn(level, F.when(text.isin(list(back)), text).otherwise(default))
-    rows = rows.withColumn("_back", steps)
-    own = rows.where(F.col("_back") == 0).withColumn(entity, text).drop("_back")
-    above = df.select(F.col(file).alias("_f"), F.col(row_no).alias("_r"), text.alias(entity))
-    below = (
-        rows.where(F.col("_back") > 0)
-        .join(above, (F.col(file) == F.col("_f")) & (F.col(row_no) - F.col("_back") == F.col("_r")), "left")
-        .drop("_f", "_r", "_back")
-    )
-    return own.unionByName(below)
+        above = F.first(label).over(order.rangeBetween(-n, -n))
+        filled = F.when(text == name, above).otherwise(filled)
+    rows = rows.withColumn(level, F.when(text.isin(list(back)), text).otherwise(default)).withColumn(entity, filled)
+    return rows.where(F.col("_own") == F.col("_block")).drop("_own", "_block")
 
 
 def slice_from_marker(df: DataFrame, label: str, marker: str, file: str = "file",

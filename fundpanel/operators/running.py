@@ -11,6 +11,7 @@ the tie-break key."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -30,10 +31,14 @@ SAMPLE_PER_BUCKET = 40
 class Cuts(NamedTuple):
     values: list[float]
     hot: list[float]
+    hot_null: bool
     ties: list
 
+    def null_bucket(self) -> int:
+        return 2 * len(self.values) + 1
+
     def most_buckets(self) -> int:
-        return (2 * len(self.values) + 1) * (1 if not self.hot else len(self.ties) + 1)
+        return self.null_bucket() + 1 + (len(self.hot) + 1) * (len(self.ties) + 1)
 
 
 def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket: int | None = None) -> Cuts:
@@ -44,18 +49,20 @@ def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket:
         rows_per_bucket = min(ROWS_PER_BUCKET, max(100, rows // spark.sparkContext.defaultParallelism))
     buckets = min(MOST_BUCKETS, rows // rows_per_bucket + 1)
     if buckets <= 1:
-        return Cuts([], [], [])
+        return Cuts([], [], False, [])
     fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
-    picked = df.select(F.col(key).cast("double"), *([tie] if tie else [])).where(F.col(key).isNotNull())
-    sample = sorted(tuple(r) for r in picked.sample(fraction=fraction, seed=11).collect())
-    if not sample:
-        return Cuts([], [], [])
+    columns = [F.col(key).cast("double").alias("k"), (F.col(tie) if tie else F.lit(0)).alias("t")]
+    sample = [tuple(r) for r in df.select(*columns).sample(fraction=fraction, seed=11).collect()]
+    known = sorted(r for r in sample if r[0] is not None)
     step = max(1, len(sample) // buckets)
-    at = [r[0] for r in sample[step::step]]
+    at = [r[0] for r in known[step::step]]
     values = sorted(set(at))
-    hot = [v for v in values if at.count(v) > 1] if tie and len(values) < len(at) else []
-    among = sorted(r[1] for r in sample if r[0] in set(hot)) if hot else []
-    return Cuts(values, hot, sorted(set(among[step::step])))
+    if not tie:
+        return Cuts(values, [], False, [])
+    hot = {v for v, n in Counter(at).items() if n > 1}
+    hot_null = len(sample) - len(known) > step
+    among = sorted(t for k, t in sample if k in hot or (k is None and hot_null))
+    return Cuts(values, sorted(hot), hot_null, sorted(set(among[step::step])))
 
 
 def _cuts_upto(df: DataFrame, out: str, key: Column, cuts: Sequence) -> DataFrame:
@@ -75,18 +82,19 @@ def _cuts_upto(df: DataFrame, out: str, key: Column, cuts: Sequence) -> DataFram
 def in_buckets(df: DataFrame, key: str, tie: str | None, cuts: Cuts) -> DataFrame:
     """Add the bucket (``_b``, ``_t``) of each row.
 
-    ``_b`` is odd for rows equal to a cut, so such a bucket holds a single value,
-    and only there may ``_t`` split rows by the tie-break key."""
-    k = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null in the order key {key}"))).otherwise(
-        F.col(key).cast("double"))
-    df = _cuts_upto(df.withColumn("_k", k), "_b", F.col("_k"), cuts.values)
+    ``_b`` is odd for rows equal to a cut or null, so such a bucket holds a single
+    value, and only there may ``_t`` split rows by the tie-break key."""
+    df = _cuts_upto(df.withColumn("_k", F.col(key).cast("double")), "_b", F.col("_k"), cuts.values)
     if cuts.values:
         equal = F.get(F.lit(cuts.values), F.col("_b") - 1) == F.col("_k")
         df = df.withColumn("_b", F.col("_b") * 2 - F.when(equal, 1).otherwise(0))
-    if not cuts.hot or not cuts.ties:
+    df = df.withColumn("_b", F.when(F.col("_k").isNull(), cuts.null_bucket()).otherwise(F.col("_b")))
+    if not cuts.ties:
         return df.withColumn("_t", F.lit(0))
-    df = _cuts_upto(df, "_t", F.col(tie), cuts.ties)
-    return df.withColumn("_t", F.when(F.col("_k").isin(cuts.hot), F.col("_t")).otherwise(0))
+    split = F.col("_k").isin(cuts.hot) if cuts.hot else F.lit(False)
+    split = F.coalesce(split, F.lit(cuts.hot_null))
+    df = _cuts_upto(df, "_t", F.when(split, F.col(tie)), cuts.ties)
+    return df
 
 
 def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str], groups: Sequence[str] = (),
@@ -95,7 +103,8 @@ def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str
     measure, in ascending (up) or descending (down) order of the key, beside the
     total (``n_sum``, ``<name>_sum``).
 
-    Ties go by ascending tie-break key both ways. Rows shuffle once, by bucket."""
+    Ties go by ascending tie-break key and null keys come last, both ways. Rows
+    shuffle once, by bucket."""
     df = settled(df)
     cuts = find_cuts(df, key, tie, rows_per_bucket)
     rows = in_buckets(df, key, tie, cuts)
@@ -104,7 +113,8 @@ def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{o}") for o, c in measures.items()]
     )
     parts = {"n": "_n", **{o: f"_s_{o}" for o in measures}}
-    orders = {"up": [F.asc("_b"), F.asc("_t")], "down": [F.desc("_b"), F.asc("_t")]}
+    nulls_last = F.col("_b") == cuts.null_bucket()
+    orders = {"up": [F.asc("_b"), F.asc("_t")], "down": [nulls_last, F.desc("_b"), F.asc("_t")]}
     starts = sums.select(
         *at,
         *[F.coalesce(
@@ -113,7 +123,7 @@ def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str
           for d in directions for o, p in parts.items()],
         *[F.sum(p).over(Window.partitionBy(*groups)).alias(f"{o}_sum") for o, p in parts.items()],
     )
-    inside = {"up": [F.asc(key), F.asc(tie)], "down": [F.desc(key), F.asc(tie)]}
+    inside = {"up": [F.asc_nulls_last(key), F.asc(tie)], "down": [F.desc_nulls_last(key), F.asc(tie)]}
     local = {}
     for d in directions:
         w = Window.partitionBy(*at).orderBy(*inside[d])
