@@ -107,9 +107,11 @@ def survey_panel(spark, sf):
 
 @query(f"""
 WITH {LEVELS_SQL}
-SELECT 'N' || lpad(CAST(nationkey AS VARCHAR), 2, '0') AS stabbr, CASE admin WHEN 1 THEN 'Total' WHEN 2 THEN 'State' ELSE 'Local' END AS admin,
-  c.col, c.description, year + {sheets.SURVEY_SHIFT} AS year, CAST(CASE c.col WHEN 'C015' THEN price ELSE n END AS DOUBLE) AS value
-FROM levels, (VALUES ('C015', 'Total assets'), ('C036', 'Number of systems')) AS c(col, description)
+SELECT 'N' || lpad(CAST(k.nationkey AS VARCHAR), 2, '0') AS stabbr, CASE a.admin WHEN 1 THEN 'Total' WHEN 2 THEN 'State' ELSE 'Local' END AS admin,
+  c.col, c.description, k.year + {sheets.SURVEY_SHIFT} AS year, CAST(CASE c.col WHEN 'C015' THEN l.price ELSE l.n END AS DOUBLE) AS value
+FROM (SELECT DISTINCT year, nationkey FROM levels) AS k CROSS JOIN (VALUES (1), (2), (3)) AS a(admin)
+CROSS JOIN (VALUES ('C015', 'Total assets'), ('C036', 'Number of systems')) AS c(col, description)
+LEFT JOIN levels AS l ON l.year = k.year AND l.nationkey = k.nationkey AND l.admin = a.admin
 """)
 def older_download_panel(spark, sf):
     return older_download(sheets.aff_sheets(spark, sf), nation_states(spark, sf))

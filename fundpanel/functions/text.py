@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The missing-value token of the historical files, plain numbers,
-# plain dates, and the file-name patterns that carry a year.
+# The missing-value token of the historical files, what may stand in
+# and around a number, plain dates, and the file-name patterns that carry a year.
 MISSING_TOKEN = "-11111"
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+AROUND_NUMBERS = "$,% \t\r\n"
+IN_NUMBERS = "0123456789.+-eE"
 DATE = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}$"
 YEAR4_PREFIX = r"^([0-9]{4})[^0-9]"
 YEAR4_SECOND_ITEM = r"^[^_]*_([0-9]{4})_"
@@ -17,9 +18,10 @@ YEAR2_AFTER_RET = r"^ret([0-9]{2})t"
 
 
 def to_number(c: Column) -> Column:
-    """Text to double: ``$``, ``,``, ``%`` and blanks go; what is no plain number is null."""
-    bare = F.regexp_replace(c, r"[$,%\s]", "")
-    return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
+    """Text to double: ``$``, ``,``, ``%`` and blanks go; what is no plain number is
+    null, also words and suffixed numbers that a cast would take."""
+    bare = F.translate(c, AROUND_NUMBERS, "")
+    return F.when(F.translate(bare, IN_NUMBERS, "") == "", bare.try_cast("double"))
 
 
 def to_date(c: Column) -> Column:

@@ -26,6 +26,8 @@ from .reshape import wide_to_long
 ROWS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 4_000
 SAMPLE_PER_BUCKET = 40
+SKETCH_SIZE = 4_000
+MERGE_WAYS = 256
 
 
 class Cuts(NamedTuple):
@@ -42,27 +44,51 @@ class Cuts(NamedTuple):
 
 
 def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket: int | None = None) -> Cuts:
-    """Cut points from a sample of a size set by the number of buckets alone."""
+    """Cut points from one pass that keeps a mergeable quantile sketch of the key.
+
+    Sketches merge in two steps, so that no task reads those of all others. The
+    driver gets one row of at most MOST_BUCKETS numbers."""
     spark = df.sparkSession
-    rows = df.select(key).count()
+    k = F.col(key).cast("double")
+    partial = df.select(k.alias("k"), F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way")).groupBy("way").agg(
+        F.kll_sketch_agg_double("k", F.lit(SKETCH_SIZE)).alias("sketch"), F.count(F.lit(1)).alias("rows"),
+        F.count("k").alias("known"))
+    merged = partial.agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"), F.sum("rows").alias("rows"),
+                         F.sum("known").alias("known"))
+    ranks = _numbers([i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)])
+    found = merged.select("rows", "known", F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("at")).first()
+    rows, known = found["rows"] or 0, found["known"] or 0
     if rows_per_bucket is None:
         rows_per_bucket = min(ROWS_PER_BUCKET, max(100, rows // spark.sparkContext.defaultParallelism))
     buckets = min(MOST_BUCKETS, rows // rows_per_bucket + 1)
     if buckets <= 1:
         return Cuts([], [], False, [])
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
-    columns = [F.col(key).cast("double").alias("k"), (F.col(tie) if tie else F.lit(0)).alias("t")]
-    sample = [tuple(r) for r in df.select(*columns).sample(fraction=fraction, seed=11).collect()]
-    known = sorted(r for r in sample if r[0] is not None)
-    step = max(1, len(sample) // buckets)
-    at = [r[0] for r in known[step::step]]
+    at = found["at"][MOST_BUCKETS // buckets - 1::MOST_BUCKETS // buckets] if known else []
     values = sorted(set(at))
     if not tie:
         return Cuts(values, [], False, [])
-    hot = {v for v, n in Counter(at).items() if n > 1}
-    hot_null = len(sample) - len(known) > step
-    among = sorted(t for k, t in sample if k in hot or (k is None and hot_null))
-    return Cuts(values, sorted(hot), hot_null, sorted(set(among[step::step])))
+    hot = {v: n for v, n in Counter(at).items() if n > 1}
+    hot_null = rows - known > rows // buckets
+    if not hot and not hot_null:
+        return Cuts(values, [], False, [])
+    crowd = (known // buckets) * sum(hot.values()) + (rows - known if hot_null else 0)
+    return Cuts(values, sorted(hot), hot_null, _tie_cuts(df, k, tie, sorted(hot), hot_null, crowd, rows // buckets))
+
+
+def _numbers(values: Sequence[float]) -> Column:
+    """Literal array of doubles, as one literal however long."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def _tie_cuts(df: DataFrame, k: Column, tie: str, hot: list[float], hot_null: bool, crowd: int, size: int) -> list:
+    """Cuts of the tie-break key among the rows of frequent values, from a sample of
+    so many rows per bucket."""
+    among = k.isin(hot) if hot else F.lit(False)
+    among = F.coalesce(among, F.lit(False)) | (k.isNull() & F.lit(hot_null))
+    fraction = min(1.0, SAMPLE_PER_BUCKET / max(1, size))
+    sample = sorted(r[0] for r in df.where(among).select(tie).sample(fraction=fraction, seed=11).collect())
+    step = max(1, len(sample) * size // max(1, crowd))
+    return sorted(set(sample[step::step]))
 
 
 def _cuts_upto(df: DataFrame, out: str, key: Column, cuts: Sequence) -> DataFrame:
@@ -70,7 +96,7 @@ def _cuts_upto(df: DataFrame, out: str, key: Column, cuts: Sequence) -> DataFram
     df = df.withColumn(out, F.lit(0))
     if not cuts:
         return df
-    table = F.lit(list(cuts))
+    table = _numbers(cuts) if isinstance(cuts[0], float) else F.lit(list(cuts))
     step = 1 << (len(cuts).bit_length() - 1)
     while step:
         more = F.get(table, F.col(out) + (step - 1)) <= key
@@ -86,7 +112,7 @@ def in_buckets(df: DataFrame, key: str, tie: str | None, cuts: Cuts) -> DataFram
     value, and only there may ``_t`` split rows by the tie-break key."""
     df = _cuts_upto(df.withColumn("_k", F.col(key).cast("double")), "_b", F.col("_k"), cuts.values)
     if cuts.values:
-        equal = F.get(F.lit(cuts.values), F.col("_b") - 1) == F.col("_k")
+        equal = F.get(_numbers(cuts.values), F.col("_b") - 1) == F.col("_k")
         df = df.withColumn("_b", F.col("_b") * 2 - F.when(equal, 1).otherwise(0))
     df = df.withColumn("_b", F.when(F.col("_k").isNull(), cuts.null_bucket()).otherwise(F.col("_b")))
     if not cuts.ties:
