@@ -151,11 +151,11 @@ def scalar_tools(spark, sf):
 def _unit_lines(spark, sf):
     """Lines as 35-character unit records."""
     key = F.lpad(F.col("l_suppkey").cast("string"), 3, "0")
+    two = F.substring(F.year("l_shipdate").cast("string"), 3, 2)
     record = F.concat(
         F.lpad((F.col("l_linenumber") * 7).cast("string"), 2, "0"), F.col("l_linenumber").cast("string"),
         F.lit("001"), F.substring(key, -3, 3), F.lit("000"), F.lit("01"), F.concat(F.lit("Z0"), F.col("l_linenumber").cast("string")),
-        F.lpad(F.col("l_quantity").cast("int").cast("string"), 12, " "), F.date_format("l_shipdate", "yy"),
-        F.date_format("l_shipdate", "yy"), F.lit("11"))
+        F.lpad(F.col("l_quantity").cast("int").cast("string"), 12, " "), two, two, F.lit("11"))
     return table(spark, sf, "lineitem").select(record.alias("value"))
 
 

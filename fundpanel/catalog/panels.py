@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import histogram, sum_strict
+from ..operators.aggregate import histogram, size_distribution, sum_strict
+from ..operators.metrics import small_and_big
 from ..operators.running import quantiles
 from ..plans.historical import historical_panel as historical, historical_wide as wide_history
 from ..plans.items import items_panel as items
@@ -75,7 +76,7 @@ ADMINF = "CASE admin WHEN 1 THEN 'State-local total' WHEN 2 THEN 'State' ELSE 'L
 
 @query(f"WITH {LEVELS_SQL}, {sheets.HIST_SQL} SELECT year, stabbr, admin, {ADMINF}, variable, value, source FROM hist")
 def historical_panel(spark, sf):
-    return historical(*sheets.historical_sheets(spark, sf), nation_states(spark, sf))
+    return historical(*sheets.historical_sheets(spark, sf, sheets.levels_of(spark, sf)), nation_states(spark, sf))
 
 
 @query(f"""
@@ -86,23 +87,23 @@ SELECT stabbr, year, CASE admin WHEN 1 THEN 'Total' WHEN 2 THEN 'State' ELSE 'Lo
 FROM hist GROUP BY 1, 2, 3
 """)
 def historical_wide(spark, sf):
-    return wide_history(*sheets.historical_sheets(spark, sf), nation_states(spark, sf), ["totercashsec", "totempcontrb"], ["systems", "totmemb"])
+    return wide_history(*sheets.historical_sheets(spark, sf, sheets.levels_of(spark, sf)), nation_states(spark, sf), ["totercashsec", "totempcontrb"], ["systems", "totmemb"])
 
 
 @query(f"WITH {LEVELS_SQL}, {sheets.TABLES_SQL} SELECT stabbr, admin, year, variable, CAST(value AS DOUBLE) AS value FROM tables")
 def tables_panel(spark, sf):
-    return tables(sheets.table_sheets(spark, sf), nation_states(spark, sf))
+    return tables(sheets.table_sheets(sheets.levels_of(spark, sf)), nation_states(spark, sf))
 
 
 @query(f"WITH {LEVELS_SQL}, {sheets.ITEMS_SQL} SELECT * FROM items")
 def items_panel(spark, sf):
-    return items(sheets.item_sheets(spark, sf), nation_states(spark, sf))
+    return items(sheets.item_sheets(sheets.levels_of(spark, sf)), nation_states(spark, sf))
 
 
 @query(f"WITH {LEVELS_SQL}, {sheets.SURVEY_SQL} SELECT * FROM survey")
 def survey_panel(spark, sf):
     walk = variable_crosswalk(sheets.survey_crosswalk(spark))
-    return survey(sheets.survey_sheets(spark, sf), walk, sheets.survey_layouts(spark), nation_states(spark, sf))
+    return survey(sheets.survey_sheets(spark, sf, nation_levels(spark, sf)), walk, sheets.survey_layouts(spark), nation_states(spark, sf))
 
 
 @query(f"""
@@ -114,7 +115,7 @@ CROSS JOIN (VALUES ('C015', 'Total assets'), ('C036', 'Number of systems')) AS c
 LEFT JOIN levels AS l ON l.year = k.year AND l.nationkey = k.nationkey AND l.admin = a.admin
 """)
 def older_download_panel(spark, sf):
-    return older_download(sheets.aff_sheets(spark, sf), nation_states(spark, sf))
+    return older_download(sheets.aff_sheets(sheets.levels_of(spark, sf)), nation_states(spark, sf))
 
 
 @query(f"""
@@ -131,11 +132,11 @@ FROM panel ORDER BY stabbr, admin, adminf, variable, year
 """)
 def four_era_panel(spark, sf):
     """All four eras, from their sheets to one sorted panel."""
-    places = nation_states(spark, sf)
+    places, levels = nation_states(spark, sf), sheets.levels_of(spark, sf)
     return census(
-        historical(*sheets.historical_sheets(spark, sf), places), tables(sheets.table_sheets(spark, sf), places),
-        items(sheets.item_sheets(spark, sf), places),
-        survey(sheets.survey_sheets(spark, sf), variable_crosswalk(sheets.survey_crosswalk(spark)), sheets.survey_layouts(spark), places),
+        historical(*sheets.historical_sheets(spark, sf, levels), places), tables(sheets.table_sheets(levels), places),
+        items(sheets.item_sheets(levels), places),
+        survey(sheets.survey_sheets(spark, sf, levels), variable_crosswalk(sheets.survey_crosswalk(spark)), sheets.survey_layouts(spark), places),
         crosswalk(spark))
 
 
@@ -244,7 +245,7 @@ b AS (SELECT CASE WHEN participants <= 100 THEN '(50,100]' ELSE '(100,1e+03]' EN
 SELECT size, count(*) AS n, CAST(sum(participants) AS DOUBLE) AS parts FROM b GROUP BY 1
 """)
 def size_bins_of_plans(spark, sf):
-    sizes = size_study(_plans(spark, sf))["sizes"]
+    sizes = size_distribution(_plans(spark, sf), "participants", {"parts": "participants", "assets": "assets"})
     return sizes.where(F.col("size").isin("(50,100]", "(100,1e+03]")).select("size", "n", F.col("parts").cast("double").alias("parts"))
 
 
@@ -255,7 +256,7 @@ g AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which,
 SELECT which, CAST(n AS DOUBLE) AS n, CAST(p AS DOUBLE) AS parts, CAST(n AS DOUBLE) / (SELECT max(n) FROM g) AS n_share, CAST(p AS DOUBLE) / (SELECT max(p) FROM g) AS parts_share FROM g
 """)
 def small_plan_shares(spark, sf):
-    return size_study(_plans(spark, sf), limit=120)["shares"].drop("assets", "assets_share")
+    return small_and_big(_plans(spark, sf), "pid", "participants", 120).drop("assets", "assets_share")
 
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT count(*) AS n_sum, median(c) AS n_mdn FROM (SELECT stabbr, stname, count(*) AS c FROM sized GROUP BY 1, 2)")

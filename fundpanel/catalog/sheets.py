@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import exact_sum
 from ..plans.survey import LAYOUTS, PLAIN, layout_table
+from ..session import settled
 from .base import nation_levels, orders_by_nation, table
 
 HIST_SHIFT, ITEM_SHIFT, SURVEY_SHIFT = -10, 9, 17
@@ -25,9 +26,14 @@ def literal_row(spark: SparkSession, file: str, row_no: int, cells: list, **extr
     return spark.sql(f"SELECT {file} AS file, CAST({row_no} AS BIGINT) AS row_no, array({inside}) AS cells{more}")
 
 
-def historical_sheets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def levels_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums by year, nation and level, kept once: a sheet reads them several times."""
+    return settled(nation_levels(spark, sf))
+
+
+def historical_sheets(spark: SparkSession, sf: str, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Finance and membership sheets: names in row 12, levels 1 to 3 and other types."""
-    levels = nation_levels(spark, sf).select("year", "nationkey", F.col("admin").cast("string").alias("type"), "price", "n")
+    levels = facts.select("year", "nationkey", F.col("admin").cast("string").alias("type"), "price", "n")
     other = orders_by_nation(spark, sf, ("P",)).select("year", "nationkey", F.lit("x").alias("type"), "price", "n")
     whole = levels.groupBy("year", "type").agg(F.sum("price").alias("price"), F.sum("n").alias("n"))
     rows = levels.unionByName(other).withColumn("id", F.concat(F.lpad((F.col("nationkey") + 1).cast("string"), 2, "0"), F.lit("0000")))
@@ -67,9 +73,8 @@ hist AS (
 """
 
 
-def table_sheets(spark: SparkSession, sf: str) -> dict[int, DataFrame]:
+def table_sheets(levels: DataFrame) -> dict[int, DataFrame]:
     """Tables 3, 4 and 5, one file per year and table, levels as indented rows."""
-    levels = nation_levels(spark, sf)
     admin, n = F.col("admin"), F.col("n")
     label = F.when(admin == 1, F.col("nation")).when(admin == 2, "   State").otherwise("   Local")
     place = (100 + F.col("nationkey") * 3 + admin).cast("long")
@@ -108,12 +113,12 @@ tables AS (
 """
 
 
-def item_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def item_sheets(levels: DataFrame) -> DataFrame:
     """Item files of two layouts: the header's row and spelling and an extra column differ."""
     year = (F.col("year") + ITEM_SHIFT).alias("year")
     code = F.concat((F.col("nationkey") + 1).cast("string"), F.lit(".0"))
     level = F.col("admin").cast("string")
-    body = nation_levels(spark, sf).select(
+    body = levels.select(
         "year", F.explode(F.array(
             F.struct(code.alias("s"), F.lit("11").alias("i"), level.alias("l"), F.lit("TOTAL CASH AND DEPOSITS").alias("t"), text(F.col("price")).alias("v")),
             F.struct(code.alias("s"), F.lit("32").alias("i"), level.alias("l"), F.lit("Number of systems").alias("t"), F.format_number("n", 0).alias("v")),
@@ -124,7 +129,7 @@ def item_sheets(spark: SparkSession, sf: str) -> DataFrame:
     rows = body.select("year", F.lit(50).cast("long").alias("row_no"), cells.alias("cells"))
     names = F.when(late, F.array(*map(F.lit, ["State ID", "Item ID", "Level", "Item Name", "CV", "Amount"]))).otherwise(
         F.array(*map(F.lit, ["State_ID", "Item_ID", "Level", "Item_Name", "Amount"])))
-    headers = nation_levels(spark, sf).select("year").distinct().select(
+    headers = levels.select("year").distinct().select(
         "year", F.when(late, 5).otherwise(3).cast("long").alias("row_no"), names.alias("cells"))
     out = headers.unionByName(rows)
     return out.select(F.concat(year.cast("string"), F.lit("retest_data")).alias("file"), "row_no", "cells", year)
@@ -149,7 +154,7 @@ def survey_crosswalk(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(vname, {', '.join(f'year{y}' for y in years)})")
 
 
-def survey_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def survey_sheets(spark: SparkSession, sf: str, levels: DataFrame) -> DataFrame:
     """Summary sheets: one group of columns per nation, which only its first names.
 
     A sheet has as many columns as nations and levels; the facts are already summed
@@ -159,7 +164,7 @@ def survey_sheets(spark: SparkSession, sf: str) -> DataFrame:
     years = F.explode(F.lit([y for y, *_ in SURVEY_LAYOUTS])).alias("year")
     slots = nations.select("*", years).join(layouts, "year").select("*", F.posexplode("levels").alias("j", "code"))
     slots = slots.withColumn("at", F.col("nationkey") * F.size("levels") + F.col("j"))
-    facts = nation_levels(spark, sf).select((F.col("year") + SURVEY_SHIFT).alias("year"), "nationkey", F.col("admin").alias("code"), "price", "n")
+    facts = levels.select((F.col("year") + SURVEY_SHIFT).alias("year"), "nationkey", F.col("admin").alias("code"), "price", "n")
     full = slots.join(facts, ["year", "nationkey", "code"], "left")
     cv = F.col("code") > 3
     payroll = F.when(F.col("code") == 3, "0").otherwise(text(F.col("price")))
@@ -199,9 +204,9 @@ survey AS (
 """
 
 
-def aff_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def aff_sheets(levels: DataFrame) -> DataFrame:
     """Older download: a column per level and measure, plus sampling errors from 2013."""
-    wide = nation_levels(spark, sf).groupBy((F.col("year") + SURVEY_SHIFT).alias("year"), "nation").agg(
+    wide = levels.groupBy((F.col("year") + SURVEY_SHIFT).alias("year"), "nation").agg(
         *[F.max(F.when(F.col("admin") == a, F.col(m))).cast("string").alias(f"{m}{a}") for a in (1, 2, 3) for m in ("price", "n")])
     plain, with_cv = ["lvl0", "lvl1", "lvl2"], ["lvl0a", "lvl0b", "lvl1", "lvl2b", "lvl2a"]
     texts = {"C015": "Total assets", "C036": "Number of systems"}

@@ -43,11 +43,11 @@ def historical_long(grid: DataFrame, states: DataFrame, header_row: int = HEADER
 
 
 def historical_panel(finance: DataFrame, membership: DataFrame, states: DataFrame,
-                     header_row: int = HEADER_ROW) -> DataFrame:
-    """Both sheets, tagged by source."""
+                     header_row: int = HEADER_ROW, files: int | None = 1) -> DataFrame:
+    """Both sheets, tagged by source; each is ``files`` files at most."""
     return stack_tagged({
-        "finance": historical_long(finance, states, header_row).drop("stadmin"),
-        "membership": historical_long(membership, states, header_row).drop("stadmin"),
+        "finance": historical_long(finance, states, header_row, files).drop("stadmin"),
+        "membership": historical_long(membership, states, header_row, files).drop("stadmin"),
     })
 
 
@@ -56,13 +56,13 @@ STADMIN_RULES = [("Total", "Total"), ("State-Admin", "State"), ("Local-Admin", "
 
 
 def historical_wide(finance: DataFrame, membership: DataFrame, states: DataFrame, finance_vars: Sequence[str],
-                    membership_vars: Sequence[str], header_row: int = HEADER_ROW) -> DataFrame:
+                    membership_vars: Sequence[str], header_row: int = HEADER_ROW, files: int | None = 1) -> DataFrame:
     """Measures of both sheets across, for state, year and level met in both; zeros
     count as missing and missing cells become zero."""
     keys = ["stabbr", "year", "admin"]
 
     def wide(grid: DataFrame, variables: Sequence[str]) -> DataFrame:
-        long = drop_empty(historical_long(grid, states, header_row), zero=True, sentinel=-11111.0)
+        long = drop_empty(historical_long(grid, states, header_row, files), zero=True, sentinel=-11111.0)
         long = long.withColumn("admin", relabel_regex(F.col("stadmin"), STADMIN_RULES))
         return long_to_wide_sum(long, keys, "variable", variables)
 

@@ -11,6 +11,7 @@ from ..functions.numeric import pct
 from ..operators.aggregate import MONEY, size_distribution
 from ..operators.metrics import small_and_big
 from ..operators.running import quantiles, running_totals
+from ..session import settled
 
 # Probabilities of the size study, the ranks shown, and the size up
 # to which a plan is small.
@@ -22,6 +23,7 @@ SMALL_UP_TO = 1e4
 
 def size_study(plans: DataFrame, plan: str = "pid", size: str = "participants", limit: float = SMALL_UP_TO):
     """Quantiles, size distribution and small-and-big shares of one set of plans."""
+    plans = settled(plans)
     return {
         "quantiles": quantiles(plans, size, PROBS),
         "sizes": size_distribution(plans, size, {"parts": size, "assets": "assets"}),

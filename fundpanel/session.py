@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Input that several jobs read: where it needs a shuffle and the session names
-    a checkpoint folder, compute it once and read it from there; else as it is."""
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+    """Input that several jobs or branches read: where it needs a shuffle and the
+    session names a checkpoint folder, write it there once and read that; else as it
+    is. The copy outlives an executor, and readers prune its columns."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
         return df
     plan = df._jdf.queryExecution().sparkPlan().toString()
-    return df.checkpoint() if any(s in plan for s in ("Join", "Aggregate", "Window")) else df
+    if not any(s in plan for s in ("Join", "Aggregate", "Window")):
+        return df
+    path = shared_dir(spark, f"settled-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
