@@ -16,7 +16,7 @@ from ..plans.state_panel import (
     cash_flow_panel as cash_flows, levels_from_systems, real_per_capita as real_values, recipe_rollup as roll_up,
     state_panel as states_over_time, state_per_capita as per_head,
 )
-from ..plans.studies import PROBS, at_ranks, concentration, groups_and_median, size_study
+from ..plans.studies import PROBS, at_ranks, concentration, groups_and_median
 from ..plans.survey import aff_panel as older_download, survey_panel as survey, variable_crosswalk
 from ..plans.tables import tables_panel as tables
 from ..plans.units import (
@@ -178,7 +178,7 @@ def yearly_sheets_panel(spark, sf):
 
 
 @query("""
-SELECT CAST(p_partkey AS DOUBLE) AS ppd_id, p_name AS PlanName, CAST(1995 + p_size AS DOUBLE) AS fy, CAST(CASE p_type WHEN 'SMALL' THEN 1 WHEN 'PROMO' THEN 2 WHEN 'LARGE' THEN 3 WHEN 'MEDIUM' THEN 4 WHEN 'ECONOMY' THEN 5 ELSE 9 END AS DOUBLE) AS PlanType,
+SELECT CAST(p_partkey AS DOUBLE) AS plan_id, p_name AS PlanName, CAST(1995 + p_size AS DOUBLE) AS fy, CAST(CASE p_type WHEN 'SMALL' THEN 1 WHEN 'PROMO' THEN 2 WHEN 'LARGE' THEN 3 WHEN 'MEDIUM' THEN 4 WHEN 'ECONOMY' THEN 5 ELSE 9 END AS DOUBLE) AS PlanType,
   CAST(p_size AS DOUBLE) AS AdministeringGovt, CASE WHEN p_size > 10 THEN 1.0 ELSE 0.0 END::DOUBLE AS FundingMethCode1_GASB,
   CAST(CASE WHEN p_size < 30 THEN 2 WHEN p_size < 40 THEN 3 END AS DOUBLE) AS FundingMethCode2_GASB, CAST(0 AS DOUBLE) AS AssetValMethCode_GASB,
   CASE WHEN p_type = 'PROMO' THEN 'TRUE' WHEN p_type = 'SMALL' THEN 'FALSE' END AS promo, CAST(DATE '2001-06-30' AS DATE) AS fye, CAST(NULL AS VARCHAR) AS empty,
@@ -193,7 +193,7 @@ def plan_table(spark, sf):
     codes = {"SMALL": "1", "PROMO": "2", "LARGE": "3", "MEDIUM": "4", "ECONOMY": "5"}
     plan_type = F.coalesce(*[F.when(kind == k, v) for k, v in codes.items()], F.lit("9"))
     text = table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("ppd_id"), F.col("p_name").alias("PlanName"), (size + 1995).cast("string").alias("fy"),
+        F.col("p_partkey").cast("string").alias("plan_id"), F.col("p_name").alias("PlanName"), (size + 1995).cast("string").alias("fy"),
         plan_type.alias("PlanType"), size.cast("string").alias("AdministeringGovt"), F.when(size > 10, "1").otherwise("0").alias("FundingMethCode1_GASB"),
         F.when(size < 30, "2").when(size < 40, "3").alias("FundingMethCode2_GASB"), F.lit("0").alias("AssetValMethCode_GASB"),
         F.when(kind == "PROMO", "TRUE").when(kind == "SMALL", "F").alias("promo"), F.lit("2001-06-30").alias("fye"), F.lit("").alias("empty"))
@@ -235,7 +235,7 @@ QUANTILES = ", ".join(f"round(quantile_cont(participants, {p}), 4) AS {n}" for n
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT count(*) AS n, {QUANTILES} FROM sized")
 def size_quantiles(spark, sf):
-    out = size_study(_plans(spark, sf))["quantiles"]
+    out = quantiles(_plans(spark, sf), "participants", PROBS)
     return out.withColumns({n: F.round(n, 4) for n in PROBS})
 
 

@@ -124,14 +124,14 @@ def big_plans(spark, sf):
 
 
 @query("""
-SELECT year, frb, bea, frb / nullif(bea, 0) * 100 AS pct FROM
- (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS frb FROM orders GROUP BY 1) AS a
- FULL JOIN (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS bea FROM lineitem GROUP BY 1) AS b USING (year)
+SELECT year, first, second, first / nullif(second, 0) * 100 AS pct FROM
+ (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS first FROM orders GROUP BY 1) AS a
+ FULL JOIN (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS second FROM lineitem GROUP BY 1) AS b USING (year)
 """)
 def source_compare(spark, sf):
     a = table(spark, sf, "orders").select(order_year(), F.col("o_totalprice").alias("value"))
     b = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year"), F.col("l_extendedprice").alias("value"))
-    return compare_sources(a, b, ["year"], {"a": "frb", "b": "bea"}, "value")
+    return compare_sources(a, b, ["year"], {"a": "first", "b": "second"}, "value")
 
 
 @query("""

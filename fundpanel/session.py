@@ -40,15 +40,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Input that several jobs or branches read: where it needs a shuffle and the
-    session names a checkpoint folder, write it there once and read that; else as it
-    is. The copy outlives an executor, and readers prune its columns."""
+def settled(df: DataFrame, always: bool = False) -> DataFrame:
+    """Input that several jobs or branches read: where it needs a shuffle (or always)
+    and the session names a checkpoint folder, write it there once and read that;
+    else as it is. The copy outlives an executor, and readers prune its columns."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):
         return df
     plan = df._jdf.queryExecution().sparkPlan().toString()
-    if not any(s in plan for s in ("Join", "Aggregate", "Window")):
+    if not always and not any(s in plan for s in ("Join", "Aggregate", "Window")):
         return df
     path = shared_dir(spark, f"settled-{uuid.uuid4().hex}")
     df.write.parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_within
+from ..session import broadcast_within, settled
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -15,14 +15,16 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
     A large file is read as many blocks. Lines of a block share a task and their
     ids ascend there, so the number is the lines in earlier blocks plus the place
-    in the block. Only one row per block is summed in order."""
+    in the block. Only one row per block is summed in order. Blocks and lines must
+    come from one and the same split of the files, which may change with the number
+    of executors, so the lines are kept in the shared folder first."""
     source = spark.read.text(paths)
-    raw = source.select(
+    raw = settled(source.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
-    )
+    ), always=True)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         raw.groupBy("file", "block")

@@ -171,6 +171,6 @@ def test_reconcile_verdicts(spark):
 
 
 def test_findings_one_scan(spark):
-    df = spark.createDataFrame([(157, None, 1924.0), (1, 2001, 80.0)], "ppd_id int, fy int, fr double")
-    got = quality.findings(df, {"no year": F.col("fy").isNull(), "ratio": F.col("fr") > 300}, ["ppd_id"])
+    df = spark.createDataFrame([(157, None, 1924.0), (1, 2001, 80.0)], "plan_id int, fy int, fr double")
+    got = quality.findings(df, {"no year": F.col("fy").isNull(), "ratio": F.col("fr") > 300}, ["plan_id"])
     assert rows_of(got) == [(157, "no year"), (157, "ratio")]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundpanel.operators.quality import duplicate_keys
-from fundpanel.plans import historical, items, panels, plan_table, state_panel, survey, tables, units
+from fundpanel.plans import historical, items, panels, plan_table, state_panel, studies, survey, tables, units
 from fundpanel.sources import code_table, read_grid, tag_vintage
 from fundpanel.sources.sinks import note_of
 
@@ -146,7 +146,7 @@ def test_balance_and_yearly_panels(spark, states):
 
 def test_plan_table(spark):
     text = spark.createDataFrame([("1", "2001", "1", "0", "1", "3", "0", None), ("2", None, "9", "5", None, "2", "1", None)],
-                                 "ppd_id string, fy string, PlanType string, AdministeringGovt string, FundingMethCode1_GASB string, "
+                                 "plan_id string, fy string, PlanType string, AdministeringGovt string, FundingMethCode1_GASB string, "
                                  "FundingMethCode2_GASB string, AssetValMethCode_GASB string, empty string")
     raw = plan_table.plans_raw(text, note="2021-10-18")
     assert dict(raw.dtypes)["empty"] == "string" and dict(raw.dtypes)["fy"] == "double"
@@ -209,3 +209,13 @@ def test_real_values(spark):
     out = state_panel.real_per_capita(panel, pop, gdp)
     assert rows_of(out, "stabbr", "valpc", "rvalue", "rvalpc") == [("NJ", 2.0, 20.0, 4.0), ("NY", 6.0, 60.0, 12.0), ("XX", None, 2.0, None)]
     assert [r["stabbr"] for r in state_panel.rank_by_real(out, 2013, ["xcf"], "xcf").collect()] == ["NY", "NJ", "XX"]
+
+
+def test_size_study(spark):
+    plans = spark.createDataFrame([(i, float(i), i / 10) for i in range(1, 201)], "pid int, participants double, assets double")
+    got = studies.size_study(plans, limit=100)
+    first = got["quantiles"].first()
+    assert (first["n"], first["p0"], first["p50"], first["p100"]) == (200, 1.0, 100.5, 200.0)
+    assert {r["size"]: r["n"] for r in got["sizes"].collect()}["(100,1e+03]"] == 100
+    assert {r["which"]: r["n"] for r in got["shares"].collect()} == {"small": 100, "big": 100, "all": 200}
+    assert studies.groups_and_median(plans.withColumn("g", F.col("pid") % 3), ["g"]).first()[:] == (3, 67.0)
