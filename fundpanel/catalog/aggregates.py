@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from .base import PLANS_SQL, customer_sizes, money, order_year, orders_by_nation, query, table
 
+BUCKET = 250  # small, so that few rows take the way of many; the number of buckets has its own limit
+
 
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, nullif(o_orderstatus, 'P') AS status, count(*) AS n
@@ -80,12 +82,12 @@ def _rounded(df, names):
 
 @query(f"SELECT count(*) AS n, {_quantile_sql('o_totalprice', PROBS)} FROM orders")
 def quantile_vector(spark, sf):
-    return _rounded(quantiles(table(spark, sf, "orders"), "o_totalprice", PROBS), PROBS)
+    return _rounded(quantiles(table(spark, sf, "orders"), "o_totalprice", PROBS, rows_per_bucket=BUCKET), PROBS)
 
 
 @query(f"SELECT c_mktsegment, count(*) AS n, {_quantile_sql('c_acctbal', DECILES)} FROM customer GROUP BY 1")
 def grouped_deciles(spark, sf):
-    return _rounded(quantiles(table(spark, sf, "customer"), "c_acctbal", DECILES, ["c_mktsegment"]), DECILES)
+    return _rounded(quantiles(table(spark, sf, "customer"), "c_acctbal", DECILES, ["c_mktsegment"], BUCKET), DECILES)
 
 
 PROFILE = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}

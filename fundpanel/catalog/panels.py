@@ -438,5 +438,5 @@ DECILE_SQL = ", ".join(f"round(quantile_cont(assets, {i / 10}), 4) AS d{i}" for
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT ptype, count(*) AS n, {DECILE_SQL} FROM sized GROUP BY 1")
 def asset_deciles(spark, sf):
-    out = quantiles(_plans(spark, sf), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"])
+    out = quantiles(_plans(spark, sf), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"], rows_per_bucket=50)
     return out.withColumns({f"d{i}": F.round(f"d{i}", 4) for i in range(11)})

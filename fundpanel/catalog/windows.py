@@ -8,6 +8,9 @@ from ..plans.studies import at_ranks, beside_totals, concentration
 from .base import LEVELS_SQL, PLANS_SQL, customer_sizes, nation_levels, query, table
 
 
+BUCKET = 250  # small, so that few rows take the way of many; the number of buckets has its own limit
+
+
 def _curve_sql(direction: str) -> str:
     order = "assets ASC, plan ASC" if direction == "up" else "assets DESC, plan ASC"
     pct = f"CAST({{}}_{direction} AS DOUBLE) / CAST({{}} AS DOUBLE) * 100 AS {{}}_{direction}pct"
@@ -28,7 +31,7 @@ FROM run
 def _curve(spark, sf, directions):
     plans = customer_sizes(spark, sf).where((F.col("assets") > 0) & (F.col("members") > 0)).select("plan", "assets", "members")
     curve = concentration(plans.withColumn("a", F.col("assets")).withColumn("m", F.col("members")), "assets", "plan",
-                          {"assets": "a", "members": "m"}, directions)
+                          {"assets": "a", "members": "m"}, directions, rows_per_bucket=BUCKET)
     return curve.drop("a", "m", "n_sum", "assets_sum", "members_sum").withColumns({f"n_{d}": F.col(f"n_{d}").cast("long") for d in directions})
 
 

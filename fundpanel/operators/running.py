@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
-from ..session import broadcast_within, settled
+from ..session import broadcast_within, fits, settled
 from .aggregate import exact_sum
 from .reshape import wide_to_long
 
@@ -47,8 +47,11 @@ def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket:
     """Cut points from one pass that keeps a mergeable quantile sketch of the key.
 
     Sketches merge in two steps, so that no task reads those of all others. The
-    driver gets one row of at most MOST_BUCKETS numbers."""
-    spark = df.sparkSession
+    driver gets one row of at most MOST_BUCKETS numbers. Rows that fit one bucket
+    need no cuts and no such pass."""
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    if fits(df, rows_per_bucket):
+        return Cuts([], [], False, [])
     k = F.col(key).cast("double")
     partial = df.select(k.alias("k"), F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way")).groupBy("way").agg(
         F.kll_sketch_agg_double("k", F.lit(SKETCH_SIZE)).alias("sketch"), F.count(F.lit(1)).alias("rows"),
@@ -58,8 +61,6 @@ def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket:
     ranks = _numbers([i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)])
     found = merged.select("rows", "known", F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("at")).first()
     rows, known = found["rows"] or 0, found["known"] or 0
-    if rows_per_bucket is None:
-        rows_per_bucket = min(ROWS_PER_BUCKET, max(100, rows // spark.sparkContext.defaultParallelism))
     buckets = min(MOST_BUCKETS, rows // rows_per_bucket + 1)
     if buckets <= 1:
         return Cuts([], [], False, [])
@@ -173,8 +174,15 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
     column per named probability, and the count ``n``; nulls are left out.
 
     Equal values are counted first, so a frequent one is a single row. Bucket
-    counts then show which buckets hold the wanted ranks; only those are ordered."""
-    known = settled(df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v")))
+    counts then show which buckets hold the wanted ranks; only those are ordered.
+    Rows that fit one bucket go to Spark's own exact percentile, which keeps the
+    distinct values of a group in memory."""
+    df = settled(df.select(*groups, F.col(value).cast("double").alias("_v")))
+    known = df.where(F.col("_v").isNotNull())
+    if fits(df, rows_per_bucket or ROWS_PER_BUCKET):
+        found = known.groupBy(*groups).agg(
+            F.count("_v").alias("n"), F.percentile("_v", [float(p) for p in probs.values()]).alias("_q"))
+        return found.select(*groups, "n", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(probs)])
     cuts = find_cuts(known, "_v", None, rows_per_bucket)
     freq = known.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     freq = in_buckets(freq, "_v", None, cuts).drop("_k", "_t")

@@ -32,6 +32,17 @@ def broadcast_within(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_LI
     return F.broadcast(df) if max_rows <= limit else df
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size of the result as Catalyst estimates it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits(df: DataFrame, rows: int, row_bytes: int = 10_000) -> bool:
+    """Whether there are at most so many rows. They are counted, but only where the
+    estimated size makes that likely: large inputs are not read for it."""
+    return plan_bytes(df) <= rows * row_bytes and df.count() <= rows
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """Folder below the checkpoint folder the cluster names in its settings."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_within, settled
+from ..session import broadcast_within, plan_bytes, settled
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -40,10 +40,9 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 def _block_bound(spark: SparkSession, source: DataFrame) -> int:
     """Upper bound on the blocks: a split may be as small as the open cost."""
-    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     smallest = min(_bytes(spark, "spark.sql.files.openCostInBytes"),
                    _bytes(spark, "spark.sql.files.maxPartitionBytes"))
-    return size // max(smallest, 1) + len(source.inputFiles())
+    return plan_bytes(source) // max(smallest, 1) + len(source.inputFiles())
 
 
 def _bytes(spark: SparkSession, key: str) -> int:
