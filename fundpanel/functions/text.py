@@ -6,15 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The missing-value token of the historical files, what may stand in
-# and around a number, plain dates, and the file-name patterns that carry a year.
+# and around a number, and plain dates.
 MISSING_TOKEN = "-11111"
 AROUND_NUMBERS = "$,% \t\r\n"
 IN_NUMBERS = "0123456789.+-eE"
 DATE = r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}$"
-YEAR4_PREFIX = r"^([0-9]{4})[^0-9]"
-YEAR4_SECOND_ITEM = r"^[^_]*_([0-9]{4})_"
-YEAR2_PREFIX = r"^([0-9]{2})[^0-9]"
-YEAR2_AFTER_RET = r"^ret([0-9]{2})t"
+DIGITS = "0123456789"
 
 
 def to_number(c: Column) -> Column:
@@ -86,8 +83,17 @@ def fold_key(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
+def _digits(c: Column, n: int) -> Column:
+    """The number in a text of exactly n digits, else null."""
+    return F.when((F.length(c) == n) & (F.translate(c, DIGITS, "") == ""), c.cast("int"))
+
+
 def year_from_name(file_name: Column) -> Column:
-    """Data year of a yearly file, from its name."""
-    four = [F.regexp_extract(file_name, p, 1).try_cast("int") for p in (YEAR4_SECOND_ITEM, YEAR4_PREFIX)]
-    two = [expand_year2(F.regexp_extract(file_name, p, 1)) for p in (YEAR2_AFTER_RET, YEAR2_PREFIX)]
-    return F.coalesce(*four, *two)
+    """Data year of a yearly file, from its name: the second item between ``_``, four
+    leading digits, or two digits after ``ret`` or in front. Plain string functions,
+    as this runs for every row read."""
+    lone = F.translate(F.substring(file_name, 3, 1), DIGITS, "") != ""
+    four = [_digits(F.split_part(file_name, F.lit("_"), F.lit(2)), 4), _digits(F.substring(file_name, 1, 4), 4)]
+    two = [F.when(file_name.startswith("ret"), _digits(F.substring(file_name, 4, 2), 2)),
+           F.when(lone, _digits(F.substring(file_name, 1, 2), 2))]
+    return F.coalesce(*four, *[expand_year2(c) for c in two])
