@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_within
+from ..session import broadcast_within, settled
 
 
 def trim_all(df: DataFrame) -> DataFrame:
@@ -59,8 +59,9 @@ def tidy_names(header: DataFrame, rename: Mapping[str, str] | None = None, lower
 
 def promote_header(grid: DataFrame, header: DataFrame, files: int | None = None) -> DataFrame:
     """Rows below the header, each with the names of its file. The join is on the
-    file, one header row each; with a known small file count it is a broadcast."""
-    header = header if files is None else broadcast_within(header, files)
+    file, one header row each: with a known small file count a broadcast, else the
+    headers are kept first, so that Catalyst knows their size."""
+    header = settled(header) if files is None else broadcast_within(header, files)
     return grid.join(header, "file").where(F.col("row_no") > F.col("header_row")).drop("header_row")
 
 
@@ -104,7 +105,7 @@ def slice_from_marker(df: DataFrame, label: str, marker: str, file: str = "file"
                       row_no: str = "row_no", files: int | None = None) -> DataFrame:
     """Rows of each file from its first marker row on."""
     start = df.where(F.col(label) == marker).groupBy(file).agg(F.min(row_no).alias("_from"))
-    start = start if files is None else broadcast_within(start, files)
+    start = settled(start) if files is None else broadcast_within(start, files)
     return df.join(start, file).where(F.col(row_no) >= F.col("_from")).drop("_from")
 
 

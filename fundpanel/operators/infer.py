@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -66,6 +67,11 @@ def type_census(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
+def types_counted(df: DataFrame) -> dict[str, int]:
+    """Number of columns of each type."""
+    return dict(Counter(type_census(df).values()))
+
+
 def select_type(df: DataFrame, *kinds: type[T.DataType], invert: bool = False) -> DataFrame:
     """Columns of (or not of) the given types."""
     return df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, kinds) != invert])

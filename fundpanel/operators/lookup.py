@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
+
 
 def first_per_key(table: DataFrame, keys: Sequence[str], take: Sequence[str], position: str) -> DataFrame:
     """One row per key, that of the lowest position, by a partial aggregation."""
@@ -23,12 +25,13 @@ def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str], take: Mapping
     """Left lookup that never adds rows; a miss gives null.
 
     ``on`` maps fact columns to table columns and ``take`` table columns to output
-    names. With ``position`` repeated keys count once, by the first row; without,
-    the table's keys must be unique."""
+    names. With ``position`` repeated keys count once, by the first row, and the
+    reduced table is kept first, so that Catalyst knows its size; without, the
+    table's keys must be unique."""
     take = dict(take) if isinstance(take, Mapping) else {t: t for t in take}
     keys = list(dict.fromkeys(on.values()))
     if position is not None:
-        table = first_per_key(table, keys, [t for t in take if t not in keys], position)
+        table = settled(first_per_key(table, keys, [t for t in take if t not in keys], position))
     right = table.select(
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(on.values())],
         *[F.col(t).alias(f"_take_{o}") for t, o in take.items()],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fold_key, label
 from ..operators.aggregate import MONEY, add_totals, sum_known
 from ..operators.combine import served_by, stack
-from ..operators.lookup import lookup, natural, recipe_rows
+from ..operators.lookup import lookup, recipe_rows
 from ..operators.metrics import cash_flow, per_capita, real_value, share_of
 from ..operators.reshape import long_to_wide, long_to_wide_sum, wide_to_long
 
@@ -100,7 +100,3 @@ def reported_share(a: DataFrame, b: DataFrame, code: str = "ic") -> DataFrame:
     wide = long_to_wide_sum(both.withColumn("value", F.col("value").cast(MONEY)), [code], "src", ["noimp", "imp"])
     wide = wide.select(code, F.col("noimp").cast("double").alias("noimp"), F.col("imp").cast("double").alias("imp"))
     return wide.withColumn("pct", F.try_divide("noimp", "imp") * 100)
-
-
-def merge_names(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return natural(df, other, "left", keys)

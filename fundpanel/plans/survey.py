@@ -10,6 +10,7 @@ from ..functions import label, part, to_number
 from ..operators.grid import expand_grouped_header, header_at, named_cell, promote_header, zero_as_missing
 from ..operators.lookup import lookup
 from ..operators.reshape import wide_to_long
+from ..session import settled
 
 # Columns per state and what they hold, by vintage (19, 29 and 39
 # are the sampling errors of levels 1 to 3), the two header repairs (counted
@@ -81,7 +82,7 @@ AFF_IDS = ["GEO.id", "GEO.id2", "GEO.display-label"]
 def aff_panel(grid: DataFrame, states: DataFrame, files: int | None = None) -> DataFrame:
     """(stabbr, admin, col, description, year, value); row 1 names level and
     measure, row 2 describes them."""
-    texts = header_at(grid, 2).select("file", F.col("names").alias("texts"))
+    texts = settled(header_at(grid, 2).select("file", F.col("names").alias("texts")))
     rows = promote_header(grid, header_at(grid, 1), files).where(F.col("row_no") > 2).join(texts, "file")
     rows = rows.withColumn("stname", named_cell(AFF_IDS[2])).select(
         "year", "stname", F.explode(F.arrays_zip("names", "texts", "cells")).alias("v"))

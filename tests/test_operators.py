@@ -129,6 +129,7 @@ def test_type_inference(spark):
     out = infer.convert(df, types)
     assert [str(v) for v in out.collect()[1]] == ["5.0", "False", "2002-02-03", "2", "None", "x"]
     assert dict(infer.logical_to_text(out).dtypes)["flag"] == "string"
+    assert infer.types_counted(out) == {"double": 1, "boolean": 2, "date": 1, "string": 2}
     assert infer.columns_like(df, "TEX") == ["text"]
 
 
