@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import MONEY, add_totals
+from ..operators.aggregate import add_totals
 from ..operators.lookup import lookup
 
+MONEY = "decimal(18,2)"  # the given tables hold cents
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import pct, ratio
-from ..operators.aggregate import MONEY, exact_sum, sum_known, sum_strict
+from ..operators.aggregate import exact_sum, sum_known, sum_strict
 from ..operators.combine import local_only, replicate, series, served_by, stack, stack_tagged
 from ..operators.lookup import (
     drop_known, keep_known, lookup, natural, recipe_rows, unmatched_codes,
@@ -12,7 +12,7 @@ from ..operators.metrics import per_capita, real_value
 from ..operators.quality import coverage
 from ..operators.reshape import wide_to_long
 from ..sources.code_tables import code_table
-from .base import LEVELS_SQL, money, nation_levels, order_year, query, table
+from .base import LEVELS_SQL, MONEY, money, nation_levels, order_year, query, table
 
 
 @query("""

@@ -242,21 +242,23 @@ def size_quantiles(spark, sf):
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL},
 b AS (SELECT CASE WHEN participants <= 100 THEN '(50,100]' ELSE '(100,1e+03]' END AS size, * FROM sized WHERE participants > 50 AND participants <= 1000)
-SELECT size, count(*) AS n, CAST(sum(participants) AS DOUBLE) AS parts FROM b GROUP BY 1
+SELECT size, count(*) AS n, CAST(sum(participants) AS DOUBLE) AS parts, CAST(sum(CAST(assets AS DECIMAL(24,6))) AS DOUBLE) AS assets FROM b GROUP BY 1
 """)
 def size_bins_of_plans(spark, sf):
     sizes = size_distribution(_plans(spark, sf), "participants", {"parts": "participants", "assets": "assets"})
-    return sizes.where(F.col("size").isin("(50,100]", "(100,1e+03]")).select("size", "n", F.col("parts").cast("double").alias("parts"))
+    return sizes.where(F.col("size").isin("(50,100]", "(100,1e+03]")).select(
+        "size", "n", *[F.col(c).cast("double").alias(c) for c in ("parts", "assets")])
 
 
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL},
-g AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS p FROM sized GROUP BY 1
-      UNION ALL SELECT 'all', count(*), sum(participants) FROM sized)
-SELECT which, CAST(n AS DOUBLE) AS n, CAST(p AS DOUBLE) AS parts, CAST(n AS DOUBLE) / (SELECT max(n) FROM g) AS n_share, CAST(p AS DOUBLE) / (SELECT max(p) FROM g) AS parts_share FROM g
+g AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS p, sum(CAST(assets AS DECIMAL(24,6))) AS a FROM sized GROUP BY 1
+      UNION ALL SELECT 'all', count(*), sum(participants), sum(CAST(assets AS DECIMAL(24,6))) FROM sized)
+SELECT which, CAST(n AS DOUBLE) AS n, CAST(p AS DOUBLE) AS parts, CAST(n AS DOUBLE) / (SELECT max(n) FROM g) AS n_share, CAST(p AS DOUBLE) / (SELECT max(p) FROM g) AS parts_share,
+  CAST(a AS DOUBLE) AS assets, CAST(a AS DOUBLE) / (SELECT CAST(max(a) AS DOUBLE) FROM g) AS assets_share FROM g
 """)
 def small_plan_shares(spark, sf):
-    return small_and_big(_plans(spark, sf), "pid", "participants", 120).drop("assets", "assets_share")
+    return small_and_big(_plans(spark, sf), "pid", "participants", 120)
 
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT count(*) AS n_sum, median(c) AS n_mdn FROM (SELECT stabbr, stname, count(*) AS c FROM sized GROUP BY 1, 2)")

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import MONEY, exact_sum
+from ..operators.aggregate import exact_sum
 from ..operators.reshape import (
     count_matrix, long_to_wide, long_to_wide_sum, split_column, transpose_rows, wide_to_long as to_long,
 )
-from .base import money, order_year, query, table
+from .base import MONEY, money, order_year, query, table
 
 
 @query("""

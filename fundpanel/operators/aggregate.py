@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import pct
 from .reshape import long_to_wide_sum, wide_to_long
 
-MONEY = "decimal(18,2)"
+EXACT = "decimal(24,6)"  # six decimals: amounts in billions still show thousands
 
 # Edges and labels of the plan-size bins, closed on the right.
 SIZE_EDGES = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100, 1_000, 10_000, 100_000]
@@ -19,7 +19,7 @@ SIZE_LABELS = ["(0,1]", "(1,2]", "(2,3]", "(3,4]", "(4,5]", "(5,10]", "(10,20]",
                "(100,1e+03]", "(1e+03,1e+04]", "(1e+04,1e+05]", "(1e+05,Inf]"]
 
 
-def exact_sum(c: Column, type: str = MONEY) -> Column:
+def exact_sum(c: Column, type: str = EXACT) -> Column:
     """Sum that does not depend on row order: as decimal inside, double outside."""
     return F.sum(c.cast(type)).cast("double")
 
@@ -87,7 +87,7 @@ def size_distribution(df: DataFrame, size: str, measures: Mapping[str, str]) ->
     The windows see one row per bin, at most one more than the edges."""
     bins = df.groupBy(size_bin(F.col(size)).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(c).cast(MONEY)).alias(o) for o, c in measures.items()],
+        *[F.sum(F.col(c).cast(EXACT)).alias(o) for o, c in measures.items()],
     )
     upto = Window.orderBy(F.asc_nulls_last("bin")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()
@@ -107,7 +107,7 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
 
 def shares(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str) -> DataFrame:
     """Sums across the values of one column, each with its percentage of the row."""
-    wide = long_to_wide_sum(df.withColumn(value, F.col(value).cast(MONEY)), keys, name, values, value)
+    wide = long_to_wide_sum(df.withColumn(value, F.col(value).cast(EXACT)), keys, name, values, value)
     wide = wide.select(*keys, *[F.col(f"`{v}`").cast("double").alias(str(v)) for v in values])
     total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`"))
     return wide.withColumns({f"{v}_pct": pct(F.col(f"`{v}`"), total) for v in values})

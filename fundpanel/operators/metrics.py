@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct, ratio
-from .aggregate import add_totals, sum_known, sum_strict
+from .aggregate import EXACT, add_totals, sum_known, sum_strict
 from .lookup import drop_known, lookup, scalar
 from .reshape import long_to_wide
 
@@ -72,7 +72,7 @@ def small_and_big(plans: DataFrame, plan: str, size: str, limit: float) -> DataF
     small = F.coalesce(F.col(size) <= limit, F.lit(False))
     by = plans.groupBy(F.when(small, "small").otherwise("big").alias("which")).agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        *[F.sum(F.col(c).cast("decimal(18,2)")).alias(o) for c, o in (("assets", "assets"), (size, "parts"))],
+        *[F.sum(F.col(c).cast(EXACT)).alias(o) for c, o in (("assets", "assets"), (size, "parts"))],
     )
     out = add_totals(by, ["which"], {"which": "all"}, ["n", "assets", "parts"])
     out = out.select("which", *[F.col(m).cast("double").alias(m) for m in ("n", "assets", "parts")])

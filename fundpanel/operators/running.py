@@ -49,8 +49,7 @@ def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket:
     Sketches merge in two steps, so that no task reads those of all others. The
     driver gets one row of at most MOST_BUCKETS numbers. Rows that fit one bucket
     need no cuts and no such pass."""
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    if fits(df, rows_per_bucket):
+    if fits(df, rows_per_bucket or ROWS_PER_BUCKET):
         return Cuts([], [], False, [])
     k = F.col(key).cast("double")
     partial = df.select(k.alias("k"), F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way")).groupBy("way").agg(
@@ -61,6 +60,8 @@ def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket:
     ranks = _numbers([i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)])
     found = merged.select("rows", "known", F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("at")).first()
     rows, known = found["rows"] or 0, found["known"] or 0
+    if rows_per_bucket is None:
+        rows_per_bucket = min(ROWS_PER_BUCKET, rows // df.sparkSession.sparkContext.defaultParallelism + 1)
     buckets = min(MOST_BUCKETS, rows // rows_per_bucket + 1)
     if buckets <= 1:
         return Cuts([], [], False, [])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
-from ..operators.aggregate import MONEY, size_distribution
+from ..operators.aggregate import EXACT, size_distribution
 from ..operators.metrics import small_and_big
 from ..operators.running import quantiles, running_totals
 from ..session import settled
@@ -41,7 +41,7 @@ def concentration(plans: DataFrame, value: str, tie: str, measures: Mapping[str,
                   directions: Sequence[str] = ("up", "down"), rows_per_bucket: int | None = None) -> DataFrame:
     """Rank, running sum, total and running percent of each measure, from the
     smallest plan up and from the largest down."""
-    exact = plans.withColumns({f"_m_{o}": F.col(c).cast(MONEY) for o, c in measures.items()})
+    exact = plans.withColumns({f"_m_{o}": F.col(c).cast(EXACT) for o, c in measures.items()})
     curve = running_totals(exact, value, tie, {o: f"_m_{o}" for o in measures}, directions=directions,
                            rows_per_bucket=rows_per_bucket)
     sides = [*directions, "sum"]
@@ -57,8 +57,8 @@ def beside_totals(plans: DataFrame, keep, measures: Mapping[str, str]) -> DataFr
     pass and one row."""
     aggs = {"n_all": F.count(F.lit(1)), "n_sum": F.count_if(keep)}
     for o, c in measures.items():
-        aggs[f"{o}_all"] = F.sum(F.col(c).cast(MONEY)).cast("double")
-        aggs[f"{o}_sum"] = F.sum(F.when(keep, F.col(c).cast(MONEY))).cast("double")
+        aggs[f"{o}_all"] = F.sum(F.col(c).cast(EXACT)).cast("double")
+        aggs[f"{o}_sum"] = F.sum(F.when(keep, F.col(c).cast(EXACT))).cast("double")
     return plans.agg(*[v.alias(k) for k, v in aggs.items()])
 
 

@@ -82,6 +82,13 @@ def test_size_distribution_sums_to_all(spark):
     assert abs(sum(r["n_pct"] for r in rows) - 100) < 1e-9 and rows[-1]["n_cumpct"] == 100
 
 
+def test_sums_keep_small_amounts(spark):
+    plans = spark.createDataFrame([(i, 5.0, 0.000001) for i in range(1000)], "pid int, participants double, assets double")
+    assert float(aggregate.size_distribution(plans, "participants", {"assets": "assets"}).first()["assets"]) == 0.001
+    assert metrics.small_and_big(plans, "pid", "participants", 10).where("which = 'all'").first()["assets"] == 0.001
+    assert plans.agg(aggregate.sum_strict(F.col("assets"))).first()[0] == 0.001
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (5.0, 5.1, 15.0, 15.1, -5.0, None)], "v double")
     assert rows_of(aggregate.histogram(df, "v", 10)) == [(-10.0, 1), (0.0, 1), (10.0, 2), (20.0, 1)]
