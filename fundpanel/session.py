@@ -43,9 +43,15 @@ def fits(df: DataFrame, rows: int, row_bytes: int = 10_000) -> bool:
     return plan_bytes(df) <= rows * row_bytes and df.count() <= rows
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """The checkpoint folder the cluster names in its settings, or the one set on the
+    context where it names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """Folder below the checkpoint folder the cluster names in its settings."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder below the shared checkpoint folder."""
+    root = shared_root(spark)
     if not root:
         raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
@@ -56,7 +62,7 @@ def settled(df: DataFrame, always: bool = False) -> DataFrame:
     and the session names a checkpoint folder, write it there once and read that;
     else as it is. The copy outlives an executor, and readers prune its columns."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if not shared_root(spark):
         return df
     plan = df._jdf.queryExecution().sparkPlan().toString()
     if not always and not any(s in plan for s in ("Join", "Aggregate", "Window")):

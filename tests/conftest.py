@@ -14,9 +14,7 @@ def spark(tmp_path_factory):
     session = local_session(4)
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
-        folder = str(tmp_path_factory.mktemp("checkpoint"))
-        session.conf.set("spark.checkpoint.dir", folder)
-        session.sparkContext.setCheckpointDir(folder)
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fundpanel.session import shared_root
 from fundpanel.plans.units import UNIT35, UNIT35_NO_SURVEY_YEAR
 from fundpanel.sources import (
     by_positions, by_widths, code_table, infer_then_convert, layout_for, numbered_lines, read_csv, read_fixed,
@@ -114,5 +115,18 @@ def test_publish_and_vintage_overwrite(spark, tmp_path):
 def test_stage_uses_the_shared_folder(spark):
     df = spark.range(5)
     out = stage(df, "five")
-    assert out.count() == 5 and spark.conf.get("spark.checkpoint.dir") in out.inputFiles()[0]
+    assert out.count() == 5 and shared_root(spark).removeprefix("file:") in out.inputFiles()[0]
     assert note_of(with_note(df, "n")) == "n"
+
+
+def test_numbers_and_settling_without_a_shared_folder(spark, tmp_path, monkeypatch):
+    import fundpanel.session as session
+
+    monkeypatch.setattr(session, "shared_root", lambda _: None)
+    f = tmp_path / "a.txt"
+    f.write_text("one\ntwo\n")
+    assert rows_of(numbered_lines(spark, str(f)), "row_no", "line") == [(1, "one"), (2, "two")]
+    df = spark.range(3).groupBy("id").count()
+    assert session.settled(df) is df
+    with pytest.raises(ValueError):
+        stage(df, "x")
