@@ -4,13 +4,15 @@ sketches, cached encoding, distributed components and running numbers."""
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundpanel.session import shared_root
@@ -26,6 +28,9 @@ _folders: dict[str, SparkSession] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # workers on this machine find the package wherever the driver was started; a cluster
+    # has it installed or shipped by --py-files
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -89,18 +94,21 @@ def in_sketch(sketch: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 class UnitEncoder:
     """tokenizers' encoding of whole texts, as the encodings of their units in a row.
-    Each unit is encoded once while it stays in a cache of bounded size."""
+    Each unit is encoded once while it stays in a cache of bounded size. Where the file is
+    a plain byte-level BPE whose ids follow its merges, new units go through tiktoken with
+    the ranks that the file states, which gives the same ids; units that may hold a special
+    token, and all other kinds of files, go through tokenizers."""
 
     loaded: dict[str, UnitEncoder] = {}
 
-    def __init__(self, path: str, keep: int = 300_000) -> None:
+    def __init__(self, path: str, keep: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.keep, self.cache = keep, {}
+        self.keep, self.cache, self.ranked = keep, {}, ranked_encoding(path)
 
     @classmethod
     def of(cls, path: str) -> UnitEncoder:
@@ -109,21 +117,52 @@ class UnitEncoder:
             cls.loaded[path] = cls(path)
         return cls.loaded[path]
 
+    def _learn(self, new: list[str]) -> None:
+        if len(self.cache) > self.keep:
+            self.cache.clear()
+        plain = [u for u in new if "<" not in u] if self.ranked else []
+        for u in plain:
+            self.cache[u] = np.array(self.ranked.encode_ordinary(u), "<u4").tobytes()
+        rest = [u for u in new if "<" in u] if self.ranked else new
+        for at in range(0, len(rest), 2000):
+            part = rest[at:at + 2000]
+            for u, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                self.cache[u] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        units, cache = UNIT.findall(text), self.cache
+        units = UNIT.findall(text)
+        found = list(map(self.cache.get, units))
         try:
-            return b"".join([cache[u] for u in units])
-        except KeyError:
-            pass
-        if len(cache) > self.keep:
-            cache.clear()
-        new = [u for u in set(units) if u not in cache]
-        for at in range(0, len(new), 2000):
-            part = new[at:at + 2000]
-            for u, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                cache[u] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([cache[u] for u in units])
+            return b"".join(found)
+        except TypeError:  # some are None
+            self._learn(list({u for u, f in zip(units, found, strict=True) if f is None}))
+            return b"".join([self.cache[u] if f is None else f for u, f in zip(units, found, strict=True)])
+
+
+def ranked_encoding(path: str):
+    """tiktoken's encoding with a file's vocabulary, or None where the file is anything
+    but byte-level BPE with its usual pattern, no normalizer and ids in merge order."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    odd = any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if model["type"] != "BPE" or odd or spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
+        return None
+    if any("<" not in t["content"] for t in spec["added_tokens"]):
+        return None
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that are written as themselves
+    others = [b for b in range(256) if b not in own]
+    byte_of = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
+    added = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if [model["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+        return None
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -144,16 +183,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", "component")
 
 
-def numbered(df: DataFrame, group: str, order: Column, out: str, buckets: int = 256) -> DataFrame:
-    """Gapless numbers from 0 within each group, by hash bucket of `order` and then by
-    `order`: each (group, bucket) is one window, started at the sum of the earlier ones,
-    so that no group is ordered in one task. Rows equal in `order` get any order."""
+def numbered(df: DataFrame, group: str, order: Column, out: str, buckets: int = 256,
+             first: Column | None = None, spread: Column | None = None) -> DataFrame:
+    """Gapless numbers from 0 within each group, by buckets and then by `order` in each:
+    a (group, bucket) is one window, started at the sum of the earlier ones, so that no
+    group is ordered in one task. Buckets are a hash of the row's order, so `order` should
+    tell rows apart. first: rows for which it is true come in later buckets than all
+    others. spread is for an order by (hub, row): hubs then stay together, one bucket or,
+    where spread is true, some buckets in a row for a hub."""
     b, r, o = f"{out}_bucket", f"{out}_row", f"{out}_order"
-    rows = df.withColumn(o, order).withColumn(b, F.pmod(F.xxhash64(o), F.lit(buckets)).cast("int"))
-    from pyspark.sql import Window
-
-    sums = rows.groupBy(group, b).count()
+    at = F.pmod(F.xxhash64(o), F.lit(buckets))
+    if spread is not None:
+        salt = F.when(spread, at).otherwise(F.lit(0))
+        at = F.pmod(F.xxhash64("hub"), F.lit(buckets)) * buckets + salt
+    if first is not None:
+        at = at + F.when(first, F.lit(buckets * buckets)).otherwise(F.lit(0))
+    rows = df.withColumn(o, order).withColumn(b, at)
     before = Window.partitionBy(group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(group, b, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(out))
+    starts = rows.groupBy(group, b).count().select(group, b, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(out))
     within = rows.withColumn(r, F.row_number().over(Window.partitionBy(group, b).orderBy(o)) - 1)
     return within.join(starts, [group, b]).withColumn(out, (F.col(out) + F.col(r)).cast("long")).drop(b, r, o)
