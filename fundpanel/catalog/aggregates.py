@@ -17,9 +17,6 @@ from pyspark.sql import types as T
 
 from .base import PLANS_SQL, customer_sizes, money, order_year, orders_by_nation, query, table
 
-BUCKET = 250  # small, so that few rows take the way of many; the number of buckets has its own limit
-
-
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, nullif(o_orderstatus, 'P') AS status, count(*) AS n
 FROM orders GROUP BY 1, 2
@@ -82,12 +79,12 @@ def _rounded(df, names):
 
 @query(f"SELECT count(*) AS n, {_quantile_sql('o_totalprice', PROBS)} FROM orders")
 def quantile_vector(spark, sf):
-    return _rounded(quantiles(table(spark, sf, "orders"), "o_totalprice", PROBS, rows_per_bucket=BUCKET), PROBS)
+    return _rounded(quantiles(table(spark, sf, "orders"), "o_totalprice", PROBS), PROBS)
 
 
 @query(f"SELECT c_mktsegment, count(*) AS n, {_quantile_sql('c_acctbal', DECILES)} FROM customer GROUP BY 1")
 def grouped_deciles(spark, sf):
-    return _rounded(quantiles(table(spark, sf, "customer"), "c_acctbal", DECILES, ["c_mktsegment"], BUCKET), DECILES)
+    return _rounded(quantiles(table(spark, sf, "customer"), "c_acctbal", DECILES, ["c_mktsegment"]), DECILES)
 
 
 PROFILE = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}
@@ -147,16 +144,18 @@ EDGES = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100, 1000, 10000, 100000]
 WITH {PLANS_SQL},
 binned AS (SELECT CASE WHEN assets <= 0 THEN NULL {' '.join(f'WHEN assets <= {e} THEN {i}' for i, e in enumerate(EDGES) if i)} WHEN assets > 100000 THEN 13 END AS bin,
            CAST(members AS DECIMAL(18,2)) AS members, CAST(assets AS DECIMAL(18,2)) AS assets FROM plans),
-g AS (SELECT bin, count(*) AS n, sum(members) AS members, sum(assets) AS assets FROM binned GROUP BY 1),
-c AS (SELECT *, sum(n) OVER w AS n_cum, sum(members) OVER w AS members_cum, sum(assets) OVER w AS assets_cum FROM g
+g AS (SELECT bin, count(*) AS n, CASE WHEN count(*) = count(members) THEN sum(members) END AS members, CASE WHEN count(*) = count(assets) THEN sum(assets) END AS assets FROM binned GROUP BY 1),
+t AS (SELECT sum(n) AS n, CASE WHEN count(*) = count(members) THEN sum(members) END AS members, CASE WHEN count(*) = count(assets) THEN sum(assets) END AS assets FROM g),
+c AS (SELECT *, sum(n) OVER w AS n_cum, CASE WHEN count(*) OVER w = count(members) OVER w THEN sum(members) OVER w END AS members_cum,
+        CASE WHEN count(*) OVER w = count(assets) OVER w THEN sum(assets) OVER w END AS assets_cum FROM g
       WINDOW w AS (ORDER BY bin ASC NULLS LAST ROWS UNBOUNDED PRECEDING))
 SELECT CAST(bin AS INTEGER) AS bin,
   (['(0,1]','(1,2]','(2,3]','(3,4]','(4,5]','(5,10]','(10,20]','(20,50]','(50,100]','(100,1e+03]','(1e+03,1e+04]','(1e+04,1e+05]','(1e+05,Inf]'])[bin] AS size,
-  n, CAST(n_cum AS BIGINT) AS n_cum, CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) * 100 AS n_pct, CAST(n_cum AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) * 100 AS n_cumpct,
+  n, CAST(n_cum AS BIGINT) AS n_cum, CAST(n AS DOUBLE) / CAST((SELECT n FROM t) AS DOUBLE) * 100 AS n_pct, CAST(n_cum AS DOUBLE) / CAST((SELECT n FROM t) AS DOUBLE) * 100 AS n_cumpct,
   CAST(members AS DOUBLE) AS members, CAST(members_cum AS DOUBLE) AS members_cum,
-  CAST(members AS DOUBLE) / CAST(sum(members) OVER () AS DOUBLE) * 100 AS members_pct, CAST(members_cum AS DOUBLE) / CAST(sum(members) OVER () AS DOUBLE) * 100 AS members_cumpct,
+  CAST(members AS DOUBLE) / CAST((SELECT members FROM t) AS DOUBLE) * 100 AS members_pct, CAST(members_cum AS DOUBLE) / CAST((SELECT members FROM t) AS DOUBLE) * 100 AS members_cumpct,
   CAST(assets AS DOUBLE) AS assets, CAST(assets_cum AS DOUBLE) AS assets_cum,
-  CAST(assets AS DOUBLE) / CAST(sum(assets) OVER () AS DOUBLE) * 100 AS assets_pct, CAST(assets_cum AS DOUBLE) / CAST(sum(assets) OVER () AS DOUBLE) * 100 AS assets_cumpct
+  CAST(assets AS DOUBLE) / CAST((SELECT assets FROM t) AS DOUBLE) * 100 AS assets_pct, CAST(assets_cum AS DOUBLE) / CAST((SELECT assets FROM t) AS DOUBLE) * 100 AS assets_cumpct
 FROM c
 """)
 def binned_size(spark, sf):
@@ -171,6 +170,16 @@ def histogram_counts(spark, sf):
     return histogram(table(spark, sf, "part"), "p_retailprice", 10.0)
 
 
+@query("""
+SELECT l_orderkey, CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS DOUBLE) / 1e8 AS tiny, CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) * 1e18 AS large
+FROM lineitem GROUP BY 1
+""")
+def sums_of_any_size(spark, sf):
+    """Amounts of some 1e-8 and from 1e18 to beyond 1e20."""
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey")
+    return lines.agg(sum_known(F.round(F.col("l_discount") / 1e6, 8)).alias("tiny"), sum_known(F.col("l_quantity") * 1e18).alias("large"))
+
+
 @query("""
 SELECT l_returnflag, F, O, F / nullif(F + O, 0) * 100 AS F_pct, O / nullif(F + O, 0) * 100 AS O_pct FROM (
   SELECT l_returnflag, CAST(coalesce(sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS F,

@@ -11,7 +11,7 @@ from ..operators.aggregate import exact_sum
 from ..operators.grid import drop_empty, trim_all, zero_as_missing as zero_null
 from ..operators.infer import columns_like, distinct_values, type_counts
 from ..operators.reshape import wide_to_long
-from ..sources.fixed_width import parse_fixed, parse_ragged
+from ..sources.fixed_width import by_widths, parse_fixed, parse_ragged
 from ..plans.units import UNIT35_NO_SURVEY_YEAR, UNIT35_SPLIT
 from .base import MONEY, query, table
 
@@ -69,6 +69,29 @@ def relabel_rules(spark, sf):
         relabel(F.col("o_orderstatus"), {"F": "Finished", "O": "Open"}).alias("status"))
 
 
+@query("""
+SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Teacher''s Fund-Año' WHEN 1 THEN 'Peña Ñandú' ELSE 'Élan D''état' END AS title FROM supplier
+""")
+def title_case_any_letters(spark, sf):
+    """Letters beyond ASCII and apostrophes inside words."""
+    k = F.col("s_suppkey") % 3
+    name = F.when(k == 0, "TEACHER'S FUND-AÑO").when(k == 1, "PEÑA ÑANDÚ").otherwise("ÉLAN D'ÉTAT")
+    return table(spark, sf, "supplier").select("s_suppkey", to_title(name).alias("title"))
+
+
+@query("""
+SELECT s_suppkey, CAST(CASE s_suppkey % 4 WHEN 0 THEN s_suppkey END AS INTEGER) AS code, CAST(CASE WHEN s_suppkey % 4 < 2 THEN s_suppkey END AS INTEGER) AS cell FROM supplier
+""")
+def bad_codes(spark, sf):
+    """Codes beyond an int and text are null, and fractions in whole-number cells."""
+    k, key = F.col("s_suppkey") % 4, F.col("s_suppkey").cast("string")
+    written = F.when(k == 0, key).when(k == 1, "9999999999").when(k == 2, "x").otherwise(F.lit("1e30"))
+    cell = F.when(k < 2, F.concat(key, F.lit(".0"))).when(k == 2, F.concat(key, F.lit(".9"))).otherwise(F.lit("99999999999"))
+    line = F.concat(F.rpad(key, 12, " "), F.lpad(cell, 14, " ")).alias("value")
+    rows = parse_fixed(table(spark, sf, "supplier").select(line, norm_code(written).alias("code")), by_widths([12, 14], ["id", "cell"], ["string", "int"]))
+    return rows.select(F.col("id").cast("long").alias("s_suppkey"), "code", "cell")
+
+
 @query("""
 SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ')
   || ', Short-' || upper(p_type[1]) || lower(p_type[2:]) AS title FROM part
@@ -150,11 +173,11 @@ def scalar_tools(spark, sf):
 
 def _unit_lines(spark, sf):
     """Lines as 35-character unit records."""
-    key = F.lpad(F.col("l_suppkey").cast("string"), 3, "0")
+    key = F.lpad((F.col("l_suppkey") % 1000).cast("string"), 3, "0")  # a county code has three places
     two = F.substring(F.year("l_shipdate").cast("string"), 3, 2)
     record = F.concat(
         F.lpad((F.col("l_linenumber") * 7).cast("string"), 2, "0"), F.col("l_linenumber").cast("string"),
-        F.lit("001"), F.substring(key, -3, 3), F.lit("000"), F.lit("01"), F.concat(F.lit("Z0"), F.col("l_linenumber").cast("string")),
+        F.lit("001"), key, F.lit("000"), F.lit("01"), F.concat(F.lit("Z0"), F.col("l_linenumber").cast("string")),
         F.lpad(F.col("l_quantity").cast("int").cast("string"), 12, " "), two, two, F.lit("11"))
     return table(spark, sf, "lineitem").select(record.alias("value"))
 

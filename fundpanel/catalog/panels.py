@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import pad_code
 from ..operators.aggregate import histogram, size_distribution, sum_strict
 from ..operators.metrics import small_and_big
+from ..operators.reshape import values_of
 from ..operators.running import quantiles
 from ..plans.historical import historical_panel as historical, historical_wide as wide_history
 from ..plans.items import items_panel as items
@@ -16,7 +18,7 @@ from ..plans.state_panel import (
     cash_flow_panel as cash_flows, levels_from_systems, real_per_capita as real_values, recipe_rollup as roll_up,
     state_panel as states_over_time, state_per_capita as per_head,
 )
-from ..plans.studies import PROBS, at_ranks, concentration, groups_and_median
+from ..plans.studies import PROBS, at_ranks, groups_and_median, size_study_table
 from ..plans.survey import aff_panel as older_download, survey_panel as survey, variable_crosswalk
 from ..plans.tables import tables_panel as tables
 from ..plans.units import (
@@ -60,7 +62,7 @@ FROM levels, (VALUES ('price'), ('orders')) AS v(variable)
 """)
 def separate_sources_panel(spark, sf):
     """The same panel from two sources that are tables of their own."""
-    levels = nation_levels(spark, sf)
+    levels = sheets.levels_of(spark, sf)
 
     def era(price, orders):
         return levels.select(
@@ -165,13 +167,14 @@ def balance_panel(spark, sf):
 @query(f"""
 WITH {LEVELS_SQL}
 SELECT 'N' || lpad(CAST(nationkey AS VARCHAR), 2, '0') AS stabbr, v.vname, year, CAST(CASE v.vname WHEN 'liabilities' THEN price ELSE n END AS DOUBLE) / 1000 AS value
-FROM levels, (VALUES ('liabilities'), ('nc.er')) AS v(vname) WHERE admin = 1 AND year <= 2000
+FROM levels, (VALUES ('liabilities'), ('nc.er')) AS v(vname) WHERE admin = 1
 """)
 def yearly_sheets_panel(spark, sf):
-    rows = nation_levels(spark, sf).where(F.col("admin") == 1)
+    rows = sheets.levels_of(spark, sf).where(F.col("admin") == 1)
+    found = values_of(rows, "year")
 
     def sheet(c):
-        years = [F.max(F.when(F.col("year") == y, F.col(c))).cast("double").alias(str(y)) for y in range(1995, 2001)]
+        years = [F.max(F.when(F.col("year") == y, F.col(c))).cast("double").alias(str(y)) for y in found]
         return rows.groupBy(F.col("nationkey").alias("fips"), F.col("nation").alias("stname")).agg(*years)
 
     return yearly_sheets({"liabilities": sheet("price"), "nc.er": sheet("n")}, nation_states(spark, sf))
@@ -213,7 +216,7 @@ JOIN supplier ON s_suppkey = x.k JOIN nation ON n_nationkey = s_nationkey
 """)
 def unit_files(spark, sf):
     """35-character unit records with state, item and system names."""
-    names = system_names(*sheets.name_lines(spark, sf), later_years=(1999, 2000, 2001))
+    names = system_names(*sheets.name_lines(spark, sf), later_years=sheets.later_years(spark, sf))
     own = code_table(spark, [("Item code", "Description"), ("Z01", "*Number of Active Members"), ("Z02", "Number of 'Inactive Members ")], ["ic", "icdesc"])
     codes = item_codes(own, code_table(spark, SUPPLEMENT, ["ic", "icdesc"]))
     return unit_rows(sheets.unit_lines(spark, sf), names, codes, nation_states(spark, sf))
@@ -230,6 +233,8 @@ def plans_2017(spark, sf):
     return _plans(spark, sf)
 
 
+EDGES = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100, 1000, 10000, 100000]
+LABELS = "['(0,1]','(1,2]','(2,3]','(3,4]','(4,5]','(5,10]','(10,20]','(20,50]','(50,100]','(100,1e+03]','(1e+03,1e+04]','(1e+04,1e+05]','(1e+05,Inf]']"
 QUANTILES = ", ".join(f"round(quantile_cont(participants, {p}), 4) AS {n}" for n, p in PROBS.items())
 
 
@@ -241,19 +246,40 @@ def size_quantiles(spark, sf):
 
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL},
-b AS (SELECT CASE WHEN participants <= 100 THEN '(50,100]' ELSE '(100,1e+03]' END AS size, * FROM sized WHERE participants > 50 AND participants <= 1000)
-SELECT size, count(*) AS n, CAST(sum(participants) AS DOUBLE) AS parts, CAST(sum(CAST(assets AS DECIMAL(24,6))) AS DOUBLE) AS assets FROM b GROUP BY 1
+b AS (SELECT CAST(CASE {' '.join(f'WHEN participants <= {e} THEN {i}' for i, e in enumerate(EDGES) if i)} ELSE 13 END AS INTEGER) AS bin, participants AS p, CAST(assets AS DECIMAL(24,6)) AS a FROM sized),
+g AS (SELECT bin, count(*) AS n, sum(p) AS parts, CASE WHEN count(*) = count(a) THEN sum(a) END AS assets FROM b GROUP BY 1),
+t AS (SELECT sum(n) AS n, sum(parts) AS parts, CASE WHEN count(*) = count(assets) THEN sum(assets) END AS assets FROM g),
+c AS (SELECT *, sum(n) OVER w AS n_cum, sum(parts) OVER w AS parts_cum, CASE WHEN count(*) OVER w = count(assets) OVER w THEN sum(assets) OVER w END AS assets_cum FROM g
+      WINDOW w AS (ORDER BY bin ROWS UNBOUNDED PRECEDING))
+SELECT bin, ({LABELS})[bin] AS size, n, CAST(n_cum AS BIGINT) AS n_cum, CAST(parts AS DOUBLE) AS parts, CAST(parts_cum AS DOUBLE) AS parts_cum, CAST(assets AS DOUBLE) AS assets, CAST(assets_cum AS DOUBLE) AS assets_cum,
+  {', '.join(f"CAST({m}{s} AS DOUBLE) / CAST((SELECT {m} FROM t) AS DOUBLE) * 100 AS {m}{s}pct" if s else f"CAST({m} AS DOUBLE) / CAST((SELECT {m} FROM t) AS DOUBLE) * 100 AS {m}_pct" for m in ('n', 'parts', 'assets') for s in ('', '_cum'))}
+FROM c
 """)
 def size_bins_of_plans(spark, sf):
     sizes = size_distribution(_plans(spark, sf), "participants", {"parts": "participants", "assets": "assets"})
-    return sizes.where(F.col("size").isin("(50,100]", "(100,1e+03]")).select(
-        "size", "n", *[F.col(c).cast("double").alias(c) for c in ("parts", "assets")])
+    return sizes.withColumns({c: F.col(c).cast("double") for c in ("parts", "parts_cum", "assets", "assets_cum")})
+
+
+@query(f"""
+WITH {sheets.PLAN_UNITS_SQL}, q AS (SELECT count(*) AS n, {QUANTILES} FROM sized),
+h AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS parts FROM sized GROUP BY 1 UNION ALL SELECT 'all', count(*), sum(participants) FROM sized),
+b AS (SELECT CAST(CASE {' '.join(f'WHEN participants <= {e} THEN {i}' for i, e in enumerate(EDGES) if i)} ELSE 13 END AS INTEGER) AS bin, count(*) AS n, sum(participants) AS parts FROM sized GROUP BY 1)
+SELECT 'quantiles' AS part, 'all' AS item, measure, value FROM (SELECT CAST(n AS DOUBLE) AS n, {', '.join(PROBS)} FROM q) UNPIVOT (value FOR measure IN (n, {', '.join(PROBS)}))
+UNION ALL SELECT 'shares', which, 'n', CAST(n AS DOUBLE) FROM h UNION ALL SELECT 'shares', which, 'parts', CAST(parts AS DOUBLE) FROM h
+UNION ALL SELECT 'sizes', ({LABELS})[bin], 'n', CAST(n AS DOUBLE) FROM b UNION ALL SELECT 'sizes', ({LABELS})[bin], 'parts', CAST(parts AS DOUBLE) FROM b
+UNION ALL SELECT 'sizes', ({LABELS})[bin], 'parts_cum', CAST(sum(parts) OVER (ORDER BY bin) AS DOUBLE) FROM b
+""")
+def size_study(spark, sf):
+    """Quantiles, bins and shares of plans as one table."""
+    study = size_study_table(_plans(spark, sf), limit=120)
+    kept = (F.col("part") == "quantiles") | F.col("measure").isin("n", "parts") | (F.col("measure") == "parts_cum")
+    return study.where(kept).withColumn("value", F.when(F.col("part") == "quantiles", F.round("value", 4)).otherwise(F.col("value")))
 
 
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL},
-g AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS p, sum(CAST(assets AS DECIMAL(24,6))) AS a FROM sized GROUP BY 1
-      UNION ALL SELECT 'all', count(*), sum(participants), sum(CAST(assets AS DECIMAL(24,6))) FROM sized)
+g AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS p, CASE WHEN count(*) = count(assets) THEN sum(CAST(assets AS DECIMAL(24,6))) END AS a FROM sized GROUP BY 1
+      UNION ALL SELECT 'all', count(*), sum(participants), CASE WHEN count(*) = count(assets) THEN sum(CAST(assets AS DECIMAL(24,6))) END FROM sized)
 SELECT which, CAST(n AS DOUBLE) AS n, CAST(p AS DOUBLE) AS parts, CAST(n AS DOUBLE) / (SELECT max(n) FROM g) AS n_share, CAST(p AS DOUBLE) / (SELECT max(p) FROM g) AS parts_share,
   CAST(a AS DOUBLE) AS assets, CAST(a AS DOUBLE) / (SELECT CAST(max(a) AS DOUBLE) FROM g) AS assets_share FROM g
 """)
@@ -278,9 +304,9 @@ FROM r WHERE n_down IN (10, 20, 25, 100, 200, 250, 300)
 def concentration_at_ranks(spark, sf):
     """Shares held by the largest plans, at some ranks."""
     plans = _plans(spark, sf).where(F.col("assets") >= 0.1)
-    curve = concentration(plans.withColumn("m", F.col("members")).withColumn("b", F.col("beneficiaries")), "assets", "pid",
-                          {"members": "m", "ben": "b"}, ["down"])
-    return at_ranks(curve, [10, 20, 25, 100, 200, 250, 300]).select(
+    few = at_ranks(plans.withColumn("m", F.col("members")).withColumn("b", F.col("beneficiaries")), "assets", "pid",
+                   {"members": "m", "ben": "b"}, [10, 20, 25, 100, 200, 250, 300])
+    return few.select(
         "pid", "ptype", "uname", "assets", F.col("n_down").cast("long").alias("n_down"), "n_downpct", "members_down", "members_downpct", "ben_down", "ben_downpct")
 
 
@@ -309,7 +335,7 @@ def asset_histogram(spark, sf):
 
 RECIPE = "eec, Z01\nerc, Z02\nerc, Z03\nexpend, Z04\nassets, Z05\nassets, Z13\ncontrib, Z99"
 RECIPE_SQL = """
-facts AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS id, n_name AS stabbr, n_regionkey AS type, s_name AS pubname,
+facts AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CASE WHEN s_suppkey < 100 THEN lpad(CAST(s_suppkey AS VARCHAR), 3, '0') ELSE CAST(s_suppkey AS VARCHAR) END AS id, n_name AS stabbr, n_regionkey AS type, s_name AS pubname,
     CASE l_linenumber WHEN 6 THEN 'Z13' WHEN 7 THEN 'Q07' ELSE 'Z0' || l_linenumber END AS ic, CAST(l_extendedprice AS DECIMAL(18,2)) AS value
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey),
 recipe(variable, ic) AS (VALUES ('eec','Z01'), ('erc','Z02'), ('erc','Z03'), ('expend','Z04'), ('assets','Z05'), ('assets','Z13'), ('contrib','Z99')),
@@ -326,7 +352,7 @@ def _system_facts(spark, sf):
     sums = table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year"), item.alias("ic")).agg(
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("value"))
     homes = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("l_suppkey"), F.lpad(F.col("s_suppkey").cast("string"), 3, "0").alias("id"),
+        F.col("s_suppkey").alias("l_suppkey"), pad_code(F.col("s_suppkey").cast("string"), 3).alias("id"),
         F.col("n_name").alias("stabbr"), F.col("n_regionkey").alias("type"), F.col("s_name").alias("pubname"))
     return sums.join(homes, "l_suppkey").drop("l_suppkey")
 
@@ -370,7 +396,7 @@ panel AS (SELECT year, stabbr, CAST(type AS INTEGER) AS type, CASE type WHEN 1 T
 
 
 def _state_panel(spark, sf):
-    levels = nation_levels(spark, sf).select("year", F.col("nation").alias("stabbr"), F.col("admin").alias("type"),
+    levels = sheets.levels_of(spark, sf).select("year", F.col("nation").alias("stabbr"), F.col("admin").alias("type"),
                                              F.col("price").cast("double").alias("p"), F.col("n").cast("double").alias("n"))
     def long(pairs, name):
         cells = F.explode(F.array(*[F.struct(F.lit(k).alias(name), v.alias("value")) for k, v in pairs.items()])).alias("x")
@@ -440,5 +466,5 @@ DECILE_SQL = ", ".join(f"round(quantile_cont(assets, {i / 10}), 4) AS d{i}" for
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT ptype, count(*) AS n, {DECILE_SQL} FROM sized GROUP BY 1")
 def asset_deciles(spark, sf):
-    out = quantiles(_plans(spark, sf), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"], rows_per_bucket=50)
+    out = quantiles(_plans(spark, sf), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"])
     return out.withColumns({f"d{i}": F.round(f"d{i}", 4) for i in range(11)})

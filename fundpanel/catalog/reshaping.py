@@ -36,13 +36,14 @@ def long_to_wide_null(spark, sf):
 SELECT l_suppkey,
        CAST(coalesce(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS qty_A,
        CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS qty_R,
+       CAST(coalesce(sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS qty_N,
        CAST(coalesce(sum(CASE WHEN l_returnflag = 'X' THEN CAST(l_quantity AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS qty_X
 FROM lineitem GROUP BY 1
 """)
 def long_to_wide_sum0(spark, sf):
     lines = table(spark, sf, "lineitem").withColumn("q", money("l_quantity"))
-    wide = long_to_wide_sum(lines, ["l_suppkey"], "l_returnflag", ["A", "R", "X"], "q", prefix="qty_")
-    return wide.select("l_suppkey", *[F.col(c).cast("double").alias(c) for c in ("qty_A", "qty_R", "qty_X")])
+    wide = long_to_wide_sum(lines, ["l_suppkey"], "l_returnflag", ["A", "R", "N", "X"], "q", prefix="qty_")
+    return wide.select("l_suppkey", *[F.col(c).cast("double").alias(c) for c in ("qty_A", "qty_R", "qty_N", "qty_X")])
 
 
 @query("""

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import exact_sum
+from ..operators.reshape import values_of
 from ..plans.survey import LAYOUTS, PLAIN, layout_table
 from ..session import settled
 from .base import nation_levels, orders_by_nation, table
@@ -183,7 +184,7 @@ def survey_sheets(spark: SparkSession, sf: str, levels: DataFrame) -> DataFrame:
     body = body.select("year", F.lit(2).cast("long").alias("row_no"), F.concat(F.array("t"), F.col("cells")).alias("cells"))
     name = F.when((F.col("j") == 0) & ((F.col("year") != 2014) | (F.col("nationkey") > 0)), F.col("nation"))
     heads = slots.groupBy("year").agg(in_order(name).alias("names"))
-    shifted = F.concat(F.slice("names", 1, 6), F.array(F.lit("NATION_0")), F.slice("names", 7, 10_000))
+    shifted = F.concat(F.slice("names", 1, 6), F.array(F.lit("NATION_0")), F.slice("names", F.lit(7), F.greatest(F.size("names") - 6, F.lit(0))))
     heads = heads.select("year", F.lit(1).cast("long").alias("row_no"), F.concat(
         F.array(F.lit("text")), F.when(F.col("year") == 2013, shifted).otherwise(F.col("names"))).alias("cells"))
     # The 2014 repair names the first group; here that is the first nation.
@@ -256,14 +257,32 @@ def name_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     public = F.when(F.col("s_acctbal") > 0, F.concat(F.lit("Public "), F.col("s_name"))).otherwise("")
     record = F.concat(system_id(), F.lit(" "), F.rpad("s_name", 85, " "), public)
     later = homes.select(F.rtrim(record).alias("value"))
-    yearly = homes.select(F.rtrim(record).alias("value"), F.explode(F.lit([1995, 1996, 1997, 1998])).alias("year"))
+    first = [y for y in ship_years(spark, sf) if y <= LAST_YEARLY]
+    yearly = homes.select(F.rtrim(record).alias("value"), F.explode(F.lit(first).cast("array<int>")).alias("year"))
     return yearly, later
 
 
+LAST_YEARLY = 1998
+
+
+def ship_years(spark: SparkSession, sf: str) -> list[int]:
+    """The years of the data, as many as there are files."""
+    return values_of(table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year")), "year")
+
+
+def later_years(spark: SparkSession, sf: str) -> list[int]:
+    return [y for y in ship_years(spark, sf) if y > LAST_YEARLY]
+
+
+def plan_id(key: Column) -> Column:
+    """Nine characters for a key: its digits in base 36, which is enough for 1e14 keys."""
+    return F.lpad(F.conv(key.cast("string"), 10, 36), 9, "0")
+
+
 def plan_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """39-character unit records and id records: orders as plans, line numbers 1 to 5
     as member items, the order total as assets in thousands."""
-    pid = F.lpad(F.col("pid").cast("string"), 9, "0")
+    pid = plan_id(F.col("pid"))
 
     def record(item: Column, value: Column) -> Column:
         return F.concat(pid, F.rpad(item, 8, " "), F.lpad(value.cast("string"), 15, " "), F.lit("17"), F.lit("16"), F.lit("12"), F.lit("R")).alias("value")
@@ -285,7 +304,7 @@ PLAN_UNITS_SQL = """
 members AS (SELECT l_orderkey AS k, CAST(sum(l_quantity) FILTER (WHERE l_linenumber = 1) + sum(l_quantity) FILTER (WHERE l_linenumber = 2) AS DOUBLE) AS members,
   CAST(sum(l_quantity) FILTER (WHERE l_linenumber = 3) + sum(l_quantity) FILTER (WHERE l_linenumber = 4) + sum(l_quantity) FILTER (WHERE l_linenumber = 5) AS DOUBLE) AS beneficiaries
   FROM lineitem GROUP BY 1),
-sized AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS pid, CASE o_orderstatus WHEN 'F' THEN 'State' WHEN 'O' THEN 'County' ELSE 'Schools' END AS ptype,
+sized AS (SELECT to_base(o_orderkey, 36, 9) AS pid, CASE o_orderstatus WHEN 'F' THEN 'State' WHEN 'O' THEN 'County' ELSE 'Schools' END AS ptype,
   'Plan ' || o_orderkey AS uname, 'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS stabbr, n_name AS stname, floor(o_totalprice) / 1e6 AS assets,
   members, beneficiaries, members + beneficiaries AS participants
   FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN members ON k = o_orderkey

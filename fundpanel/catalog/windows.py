@@ -8,9 +8,6 @@ from ..plans.studies import at_ranks, beside_totals, concentration
 from .base import LEVELS_SQL, PLANS_SQL, customer_sizes, nation_levels, query, table
 
 
-BUCKET = 250  # small, so that few rows take the way of many; the number of buckets has its own limit
-
-
 def _curve_sql(direction: str) -> str:
     order = "assets ASC, plan ASC" if direction == "up" else "assets DESC, plan ASC"
     pct = f"CAST({{}}_{direction} AS DOUBLE) / CAST({{}} AS DOUBLE) * 100 AS {{}}_{direction}pct"
@@ -29,12 +26,19 @@ FROM run
 
 
 def _curve(spark, sf, directions):
-    plans = customer_sizes(spark, sf).where((F.col("assets") > 0) & (F.col("members") > 0)).select("plan", "assets", "members")
-    curve = concentration(plans.withColumn("a", F.col("assets")).withColumn("m", F.col("members")), "assets", "plan",
-                          {"assets": "a", "members": "m"}, directions, rows_per_bucket=BUCKET)
+    curve = concentration(_sized(spark, sf), "assets", "plan", {"assets": "a", "members": "m"}, directions)
+    return _shown(curve, directions)
+
+
+def _shown(curve, directions):
     return curve.drop("a", "m", "n_sum", "assets_sum", "members_sum").withColumns({f"n_{d}": F.col(f"n_{d}").cast("long") for d in directions})
 
 
+def _sized(spark, sf):
+    plans = customer_sizes(spark, sf).where((F.col("assets") > 0) & (F.col("members") > 0)).select("plan", "assets", "members")
+    return plans.withColumn("a", F.col("assets")).withColumn("m", F.col("members"))
+
+
 @query(_curve_sql("up"))
 def concentration_up(spark, sf):
     return _curve(spark, sf, ["up"])
@@ -49,7 +53,41 @@ def concentration_down(spark, sf):
 SELECT * FROM ({_curve_sql('down')}) WHERE n_down IN (100, 200, 250, 300)
 """)
 def rank_cut(spark, sf):
-    return at_ranks(_curve(spark, sf, ["down"]))
+    return _shown(at_ranks(_sized(spark, sf), "assets", "plan", {"assets": "a", "members": "m"}), ["down"])
+
+
+def _null_curve_sql() -> str:
+    """The upward curve of all plans: members are null from the first plan without on."""
+    return f"""
+WITH {PLANS_SQL},
+run AS (SELECT plan, assets, members, row_number() OVER w AS n_up, sum(CAST(assets AS DECIMAL(18,2))) OVER w AS a,
+    CASE WHEN count(*) OVER w = count(members) OVER w THEN sum(members) OVER w END AS m,
+    sum(CAST(assets AS DECIMAL(18,2))) OVER () AS ta, CASE WHEN count(*) OVER () = count(members) OVER () THEN sum(members) OVER () END AS tm,
+    count(*) OVER () AS n
+  FROM plans WINDOW w AS (ORDER BY assets ASC NULLS LAST, plan ASC ROWS UNBOUNDED PRECEDING))
+SELECT plan, assets, members, n_up, CAST(a AS DOUBLE) AS assets_up, CAST(m AS DOUBLE) AS members_up, CAST(n_up AS DOUBLE) / CAST(n AS DOUBLE) * 100 AS n_uppct,
+  CAST(a AS DOUBLE) / nullif(CAST(ta AS DOUBLE), 0) * 100 AS assets_uppct, CAST(m AS DOUBLE) / nullif(CAST(tm AS DOUBLE), 0) * 100 AS members_uppct
+FROM run
+"""
+
+
+@query(_null_curve_sql())
+def concentration_with_nulls(spark, sf):
+    plans = customer_sizes(spark, sf).select("plan", "assets", "members")
+    curve = concentration(plans.withColumn("a", F.col("assets")).withColumn("m", F.col("members")), "assets", "plan",
+                          {"assets": "a", "members": "m"}, ["up"])
+    return _shown(curve, ["up"])
+
+
+@query(f"""
+WITH {PLANS_SQL}
+SELECT count(*) AS n_all, count(*) FILTER (WHERE assets >= 1000) AS n_sum,
+  CASE WHEN count(*) = count(members) THEN CAST(sum(members) AS DOUBLE) END AS members_all,
+  CASE WHEN count(*) FILTER (WHERE assets >= 1000) = count(members) FILTER (WHERE assets >= 1000) THEN CAST(sum(members) FILTER (WHERE assets >= 1000) AS DOUBLE) END AS members_sum
+FROM plans
+""")
+def totals_with_nulls(spark, sf):
+    return beside_totals(customer_sizes(spark, sf), F.col("assets") >= 1000, {"members": "members"})
 
 
 @query(f"""

@@ -33,8 +33,9 @@ def sentinel_null(c: Column, token: str = MISSING_TOKEN) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Capitalise every letter run, so that a hyphen also starts a word."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"([a-z0-9]+|[^a-z0-9]+)"), F.lit(1))
+    """Capitalise every word of letters and digits of any script. A hyphen starts a new
+    word, an apostrophe inside a word does not."""
+    words = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{M}\p{N}]+(?:['’][\p{L}\p{M}\p{N}]+)*|[^\p{L}\p{M}\p{N}]+)"), F.lit(1))
     return F.array_join(
         F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 2**31 - 1))),
         "",
@@ -68,8 +69,15 @@ def display_name(name: Column, fallback: Column) -> Column:
 
 
 def norm_code(c: Column) -> Column:
-    """Code text such as ``' 2.0 '`` to an int; ``x`` and other text to null."""
-    return F.round(to_number(c)).cast("int")
+    """Code text such as ``' 2.0 '`` to an int; ``x``, other text and numbers beyond an
+    int to null."""
+    return F.round(to_number(c)).try_cast("int")
+
+
+def whole_number(c: Column, type: str = "int") -> Column:
+    """Text to a whole number; null for a fraction and beyond the type."""
+    number = to_number(c)
+    return F.when(number == F.rint(number), number.try_cast(type))
 
 
 def concat_code(*cols: Column, sep: str = "") -> Column:
@@ -85,7 +93,7 @@ def fold_key(c: Column) -> Column:
 
 def _digits(c: Column, n: int) -> Column:
     """The number in a text of exactly n digits, else null."""
-    return F.when((F.length(c) == n) & (F.translate(c, DIGITS, "") == ""), c.cast("int"))
+    return F.when((F.length(c) == n) & (F.translate(c, DIGITS, "") == ""), c.try_cast("int"))
 
 
 def year_from_name(file_name: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.numeric import pct
 from .reshape import long_to_wide_sum, wide_to_long
 
-EXACT = "decimal(24,6)"  # six decimals: amounts in billions still show thousands
+EXACT = "decimal(38,18)"  # all digits that a double prints, for amounts below 1e20
 
 # Edges and labels of the plan-size bins, closed on the right.
 SIZE_EDGES = [0, 1, 2, 3, 4, 5, 10, 20, 50, 100, 1_000, 10_000, 100_000]
@@ -19,9 +19,12 @@ SIZE_LABELS = ["(0,1]", "(1,2]", "(2,3]", "(3,4]", "(4,5]", "(5,10]", "(10,20]",
                "(100,1e+03]", "(1e+03,1e+04]", "(1e+04,1e+05]", "(1e+05,Inf]"]
 
 
-def exact_sum(c: Column, type: str = EXACT) -> Column:
-    """Sum that does not depend on row order: as decimal inside, double outside."""
-    return F.sum(c.cast(type)).cast("double")
+def exact_sum(c: Column) -> Column:
+    """Sum as double that does not depend on row order: exact inside, to 18 decimals.
+    Values or sums from 1e20 on are added as doubles."""
+    exact = c.try_cast(EXACT)
+    return F.when(F.count(c) == F.count(exact), F.coalesce(F.try_sum(exact).cast("double"), F.sum(c.cast("double")))).otherwise(
+        F.sum(c.cast("double")))
 
 
 def sum_known(c: Column) -> Column:
@@ -29,9 +32,11 @@ def sum_known(c: Column) -> Column:
     return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
-def sum_strict(c: Column) -> Column:
-    """Sum that is null when any value is."""
-    return F.when(F.count(F.lit(1)) == F.count(c), exact_sum(c))
+def sum_strict(c: Column, where: Column | None = None) -> Column:
+    """Sum that is null when any value is; of the rows that meet a condition, if given."""
+    if where is None:
+        return F.when(F.count(F.lit(1)) == F.count(c), exact_sum(c))
+    return F.when(F.count_if(where) == F.count_if(where & c.isNotNull()), exact_sum(F.when(where, c)))
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
@@ -84,18 +89,25 @@ def bin_label(b: Column, labels: Sequence[str] = SIZE_LABELS) -> Column:
 def size_distribution(df: DataFrame, size: str, measures: Mapping[str, str]) -> DataFrame:
     """Plans by size bin with cumulative sums, percent and cumulative percent.
 
-    The windows see one row per bin, at most one more than the edges."""
+    A bin with a null has a null sum, a cumulative sum is null from there on, and where
+    the whole has a null there are no percentages. The windows see one row per bin, at
+    most one more than the edges."""
+    exact = {o: F.col(c).cast(EXACT) for o, c in measures.items()}
     bins = df.groupBy(size_bin(F.col(size)).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(c).cast(EXACT)).alias(o) for o, c in measures.items()],
+        *[F.when(F.count(F.lit(1)) == F.count(c), F.sum(c)).alias(o) for o, c in exact.items()],
     )
     upto = Window.orderBy(F.asc_nulls_last("bin")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()
+
+    def strict(m: str, over) -> Column:
+        return F.when(F.count_if(F.col(m).isNull()).over(over) == 0, F.sum(m).over(over))
+
     out = {}
     for m in ["n", *measures]:
-        out[f"{m}_cum"] = F.sum(m).over(upto)
-        out[f"{m}_pct"] = pct(F.col(m).cast("double"), F.sum(m).over(whole).cast("double"))
-        out[f"{m}_cumpct"] = pct(F.sum(m).over(upto).cast("double"), F.sum(m).over(whole).cast("double"))
+        out[f"{m}_cum"] = strict(m, upto)
+        out[f"{m}_pct"] = pct(F.col(m).cast("double"), strict(m, whole).cast("double"))
+        out[f"{m}_cumpct"] = pct(strict(m, upto).cast("double"), strict(m, whole).cast("double"))
     return bins.withColumns(out).withColumn("size", bin_label(F.col("bin")))
 
 
@@ -106,7 +118,8 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
 
 
 def shares(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str) -> DataFrame:
-    """Sums across the values of one column, each with its percentage of the row."""
+    """Sums across the values of one column, each with its percentage of the row. A value
+    that is not listed is an error, as it would be missing from the row's total."""
     wide = long_to_wide_sum(df.withColumn(value, F.col(value).cast(EXACT)), keys, name, values, value)
     wide = wide.select(*keys, *[F.col(f"`{v}`").cast("double").alias(str(v)) for v in values])
     total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`"))

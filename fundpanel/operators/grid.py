@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_within, settled
+from ..session import settled
 
 
 def trim_all(df: DataFrame) -> DataFrame:
@@ -57,17 +57,21 @@ def tidy_names(header: DataFrame, rename: Mapping[str, str] | None = None, lower
     return header.withColumn("names", F.transform("names", one))
 
 
-def promote_header(grid: DataFrame, header: DataFrame, files: int | None = None) -> DataFrame:
-    """Rows below the header, each with the names of its file. The join is on the
-    file, one header row each: with a known small file count a broadcast, else the
-    headers are kept first, so that Catalyst knows their size."""
-    header = settled(header) if files is None else broadcast_within(header, files)
+def promote_header(grid: DataFrame, header: DataFrame, columns: Sequence[str] = (), names: bool = False) -> DataFrame:
+    """Rows below the header. Names are looked up on the header row, once per file: each
+    data row gets the places of the named columns (``at``), and the array of all names
+    only where asked for. The join is on the file, one header row each; the headers are
+    kept first, so that Catalyst knows their size and broadcasts or splits by it."""
+    if columns:
+        place = [(F.array_position("names", F.lit(n)) - 1).cast("int").alias(n) for n in columns]
+        header = header.withColumn("at", F.struct(*place))
+    header = settled(header if names else header.drop("names"))
     return grid.join(header, "file").where(F.col("row_no") > F.col("header_row")).drop("header_row")
 
 
 def named_cell(name: str) -> Column:
     """Cell of the first column with that name, null when the file has none."""
-    return F.get("cells", (F.array_position("names", F.lit(name)) - 1).cast("int"))
+    return F.get("cells", F.col("at").getField(name))
 
 
 def cells_to_long(rows: DataFrame, ids: Sequence[str], not_measures: Sequence[str] = ()) -> DataFrame:
@@ -102,10 +106,9 @@ def context_fill(df: DataFrame, label: str, back: Mapping[str, int], entity: str
 
 
 def slice_from_marker(df: DataFrame, label: str, marker: str, file: str = "file",
-                      row_no: str = "row_no", files: int | None = None) -> DataFrame:
+                      row_no: str = "row_no") -> DataFrame:
     """Rows of each file from its first marker row on."""
-    start = df.where(F.col(label) == marker).groupBy(file).agg(F.min(row_no).alias("_from"))
-    start = settled(start) if files is None else broadcast_within(start, files)
+    start = settled(df.where(F.col(label) == marker).groupBy(file).agg(F.min(row_no).alias("_from")))
     return df.join(start, file).where(F.col(row_no) >= F.col("_from")).drop("_from")
 
 

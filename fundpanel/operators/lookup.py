@@ -20,18 +20,29 @@ def first_per_key(table: DataFrame, keys: Sequence[str], take: Sequence[str], po
     return table.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_first.{t}").alias(t) for t in take])
 
 
+def one_per_key(table: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """One row per key; rows of a key that differ are an error."""
+    row = F.struct(*take)
+    clash = F.raise_error(F.concat(F.lit(f"several rows for the key {list(keys)} "), F.to_json(F.struct(*keys))))
+    only = F.when(F.min(row) != F.max(row), clash).otherwise(F.min(row)).alias("_only")
+    return table.groupBy(*keys).agg(only).select(*keys, *[F.col(f"_only.{t}").alias(t) for t in take])
+
+
 def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str], take: Mapping[str, str] | Sequence[str],
            position: str | None = None, null_matches: bool = False) -> DataFrame:
     """Left lookup that never adds rows; a miss gives null.
 
     ``on`` maps fact columns to table columns and ``take`` table columns to output
     names. With ``position`` repeated keys count once, by the first row, and the
-    reduced table is kept first, so that Catalyst knows its size; without, the
-    table's keys must be unique."""
+    reduced table is kept first, so that Catalyst knows its size; without, rows of a
+    repeated key must agree, else the lookup fails."""
     take = dict(take) if isinstance(take, Mapping) else {t: t for t in take}
     keys = list(dict.fromkeys(on.values()))
+    rest = [t for t in take if t not in keys]
     if position is not None:
-        table = settled(first_per_key(table, keys, [t for t in take if t not in keys], position))
+        table = settled(first_per_key(table, keys, rest, position))
+    else:
+        table = one_per_key(table, keys, rest) if rest else table.select(*keys).distinct()
     right = table.select(
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(on.values())],
         *[F.col(t).alias(f"_take_{o}") for t, o in take.items()],
@@ -95,10 +106,12 @@ def recipe_rows(facts: DataFrame, recipe: DataFrame, code: str = "ic", keep_unus
     """Facts once for every variable whose recipe names their item code.
 
     The recipe is an inline table, so the inner part is a broadcast of it; recipe
-    lines no fact uses are added as rows without keys."""
-    matched = facts.join(recipe, code)
+    lines no fact uses are added as rows without keys. For these the facts, summed
+    before, are kept and read twice, so that their sources are read once."""
     if not keep_unused:
-        return matched
+        return facts.join(recipe, code)
+    facts = settled(facts)
+    matched = facts.join(recipe, code)
     unused = recipe.join(facts.select(code).distinct(), code, "left_anti")
     return matched.unionByName(unused, allowMissingColumns=True)
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct, ratio
-from .aggregate import EXACT, add_totals, sum_known, sum_strict
-from .lookup import drop_known, lookup, scalar
+from .aggregate import sum_known, sum_strict
+from .lookup import lookup
 from .reshape import long_to_wide
 
 # Member items of the plan files and their names.
@@ -31,22 +31,22 @@ def per_capita(df: DataFrame, population: DataFrame, entity: str = "stabbr", val
 
 
 def real_value(df: DataFrame, deflator: DataFrame, base: int, value: str = "value") -> DataFrame:
-    """Value at the prices of the base year, and per head where ``pop`` is known."""
-    at_base = scalar(deflator.where(F.col("year") == base), F.col("value"))
-    prices = deflator.withColumnRenamed("value", "_index")
-    out = lookup(df, prices, {"year": "year"}, {"_index": "_index"})
-    out = out.withColumn("rvalue", ratio(F.col(value) * at_base, F.col("_index"))).drop("_index")
+    """Value at the prices of the base year, and per head where ``pop`` is known. The
+    deflator has one row per year, to which its base is added in place."""
+    at_base = F.max(F.when(F.col("year") == base, F.col("value"))).over(Window.partitionBy())
+    prices = deflator.select("year", F.col("value").alias("_index"), at_base.alias("_base"))
+    out = lookup(df, prices, {"year": "year"}, {"_index": "_index", "_base": "_base"})
+    out = out.withColumn("rvalue", ratio(F.col(value) * F.col("_base"), F.col("_index"))).drop("_index", "_base")
     return out.withColumn("rvalpc", ratio(F.col("rvalue"), F.col("pop"))) if "pop" in out.columns else out
 
 
 def rebased_index(df: DataFrame, entity: Sequence[str], base: int, value: str = "value", year: str = "year") -> DataFrame:
     """Value as a percentage of the entity's own value in the base year.
 
-    The base rows are one per entity; they are joined back, so that no entity's
-    whole history is sorted in one task."""
-    at_base = df.where(F.col(year) == base).groupBy(*entity).agg(F.max(value).alias("_base"))
-    out = df.join(at_base, list(entity), "left")
-    return out.withColumn("ivalue", pct(F.col(value), F.col("_base"))).drop("_base")
+    Rows are one per entity and year, so an entity is a few rows; a null entity has a
+    base too."""
+    at_base = F.max(F.when(F.col(year) == base, F.col(value))).over(Window.partitionBy(*entity))
+    return df.withColumn("ivalue", pct(F.col(value), at_base))
 
 
 def share_of(a: str, b: str) -> Column:
@@ -54,11 +54,13 @@ def share_of(a: str, b: str) -> Column:
     return pct(F.col(a), F.col(a) + F.col(b))
 
 
-def member_counts(units: DataFrame, plan: str = "pid", code: str = "ic", value: str = "value") -> DataFrame:
+def member_counts(units: DataFrame, plan: str = "pid", code: str = "ic", value: str = "value",
+                  more: Mapping[str, str] | None = None) -> DataFrame:
     """Member items across, with beneficiaries, members and participants; a plan
-    that lacks an item has null sums."""
-    items = units.where(F.col(code).isin(list(MEMBER_ITEMS)))
-    wide = long_to_wide(items, [plan], code, list(MEMBER_ITEMS), value).withColumnsRenamed(MEMBER_ITEMS)
+    that lacks an item has null sums. Further items may come along in the same pass."""
+    wanted = {**MEMBER_ITEMS, **(more or {})}
+    items = units.where(F.col(code).isin(list(wanted)))
+    wide = long_to_wide(items, [plan], code, list(wanted), value).withColumnsRenamed(wanted)
     return (
         wide.withColumn("beneficiaries", F.col("retnorm") + F.col("retdisb") + F.col("survivors"))
         .withColumn("members", F.col("actives") + F.col("inactives"))
@@ -68,14 +70,13 @@ def member_counts(units: DataFrame, plan: str = "pid", code: str = "ic", value:
 
 def small_and_big(plans: DataFrame, plan: str, size: str, limit: float) -> DataFrame:
     """Plans, assets and participants for all, small and big plans, and their share
-    of all. Big is what small leaves, whatever the reason, null sizes too."""
+    of all. Big is what small leaves, whatever the reason, null sizes too. A sum with a
+    null is null. One pass, by grouping sets."""
     small = F.coalesce(F.col(size) <= limit, F.lit(False))
-    by = plans.groupBy(F.when(small, "small").otherwise("big").alias("which")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        *[F.sum(F.col(c).cast(EXACT)).alias(o) for c, o in (("assets", "assets"), (size, "parts"))],
-    )
-    out = add_totals(by, ["which"], {"which": "all"}, ["n", "assets", "parts"])
-    out = out.select("which", *[F.col(m).cast("double").alias(m) for m in ("n", "assets", "parts")])
+    rows = plans.select(F.when(small, "small").otherwise("big").alias("which"), "assets", F.col(size).alias("parts"))
+    out = rows.groupingSets([[F.col("which")], []], "which").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), sum_strict(F.col("assets")).alias("assets"), sum_strict(F.col("parts")).alias("parts"))
+    out = out.withColumn("which", F.coalesce("which", F.lit("all")))
     whole = Window.partitionBy()  # at most three rows
     return out.withColumns({
         f"{m}_share": ratio(F.col(m), F.max(F.when(F.col("which") == "all", F.col(m))).over(whole))
@@ -84,8 +85,10 @@ def small_and_big(plans: DataFrame, plan: str, size: str, limit: float) -> DataF
 
 
 def big_by_anti_join(plans: DataFrame, plan: str, size: str, limit: float) -> DataFrame:
-    """The plans that are not among the small ones."""
-    return drop_known(plans, plans.where(F.col(size) <= limit), [plan])
+    """The plans that are not among the small ones. The list is of the same table, one
+    row per plan, so the anti join is its null-safe complement; against a list from
+    elsewhere use ``drop_known``."""
+    return plans.where(~F.coalesce(F.col(size) <= limit, F.lit(False)))
 
 
 def rank_states(df: DataFrame, metric: str, top: int | None = None) -> DataFrame:

@@ -23,19 +23,19 @@ def missing_by(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def reconcile(units: DataFrame, published: DataFrame, keys: Sequence[str], value: str = "value",
-              tolerance: float = 0.0005) -> DataFrame:
+              tolerance: float = 0.0005, doubtful: float = 0.003) -> DataFrame:
     """Totals of the units beside the published ones, with a verdict.
 
     The units are summed per key before the join. ``yes`` is a difference within
-    the tolerance, ``undecided`` one where a total is missing or the units exceed
-    the published total, ``no`` the rest."""
+    the tolerance, ``undecided`` one where a total is missing, the units exceed the
+    published total or lack no more than the doubtful share of it, ``no`` the rest."""
     ours = units.groupBy(*keys).agg(sum_known(F.col(value)).alias("unit_total"))
     theirs = published.groupBy(*keys).agg(sum_known(F.col(value)).alias("published_total"))
     both = ours.join(theirs, list(keys), "full")
     gap = ratio(F.col("unit_total") - F.col("published_total"), F.col("published_total"))
     return both.withColumn("gap", gap).withColumn(
         "use_units",
-        F.when(F.abs("gap") <= tolerance, "yes").when(F.col("gap").isNull() | (F.col("gap") > 0), "undecided")
+        F.when(F.abs("gap") <= tolerance, "yes").when(F.col("gap").isNull() | (F.col("gap") > 0) | (F.abs("gap") <= doubtful), "undecided")
         .otherwise("no"),
     )
 

@@ -17,9 +17,21 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], measures: Sequence[str] | No
     return cast.unpivot([f"`{i}`" for i in ids], [f"`{m}`" for m in measures], variable, value)
 
 
+def _unlisted(name: str, values: Sequence) -> Column:
+    """Count of rows whose value has no column; null is a value too."""
+    return F.count_if(~F.coalesce(F.col(name).isin(list(values)), F.lit(False)))
+
+
+def _all_listed(name: str, values: Sequence, cells: list[tuple[str, Column]]) -> list[Column]:
+    """The cells; an unlisted value, whose rows would be lost, is an error."""
+    error = F.raise_error(F.concat(F.lit(f"values of {name} beside {list(values)}: "), F.to_json(F.collect_set(F.struct(name)))))
+    return [(F.when(_unlisted(name, values) > 0, error).otherwise(c) if i == 0 else c).alias(n) for i, (n, c) in enumerate(cells)]
+
+
 def long_to_wide(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str = "value",
                  prefix: str = "") -> DataFrame:
-    """Pivot; a missing cell is null and a second value for one cell is an error.
+    """Pivot; a missing cell is null, and a second value for one cell is an error, as is
+    a value without a column: filter first where some are not wanted.
 
     The cells are conditional aggregates of one group-by: a single shuffle after
     a partial aggregation, and no job to look for the values."""
@@ -30,23 +42,26 @@ def long_to_wide(df: DataFrame, keys: Sequence[str], name: str, values: Sequence
         many = F.count(F.when(here, F.lit(1))) > 1
         return F.when(many, F.raise_error(F.lit(f"several rows for the cell {name}={v}"))).otherwise(found)
 
-    return df.groupBy(*keys).agg(*[cell(v).alias(f"{prefix}{v}") for v in values])
+    return df.groupBy(*keys).agg(*_all_listed(name, values, [(f"{prefix}{v}", cell(v)) for v in values]))
 
 
 def long_to_wide_sum(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str = "value",
                      prefix: str = "") -> DataFrame:
-    """Pivot with sums; a missing cell is zero."""
-    return df.groupBy(*keys).agg(
-        *[F.coalesce(F.sum(F.when(F.col(name) == F.lit(v), F.col(value))), F.lit(0)).alias(f"{prefix}{v}")
-          for v in values]
-    )
+    """Pivot with sums; a missing cell is zero, and a value without a column an error."""
+    return df.groupBy(*keys).agg(*_all_listed(name, values, [
+        (f"{prefix}{v}", F.coalesce(F.sum(F.when(F.col(name) == F.lit(v), F.col(value))), F.lit(0))) for v in values]))
 
 
 def count_matrix(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, prefix: str = "n_") -> DataFrame:
-    """Rows counted by keys (down) and the values of one column (across)."""
-    return df.groupBy(*keys).agg(
-        *[F.count(F.when(F.col(name) == F.lit(v), F.lit(1))).alias(f"{prefix}{v}") for v in values]
-    )
+    """Rows counted by keys (down) and the values of one column (across); a value without
+    a column is an error."""
+    return df.groupBy(*keys).agg(*_all_listed(name, values, [
+        (f"{prefix}{v}", F.count(F.when(F.col(name) == F.lit(v), F.lit(1)))) for v in values]))
+
+
+def values_of(df: DataFrame, name: str) -> list:
+    """The values that a pivot needs columns for, in order; a few, as they become columns."""
+    return [r[0] for r in df.select(name).where(F.col(name).isNotNull()).distinct().orderBy(name).collect()]
 
 
 def split_column(df: DataFrame, column: str, into: Sequence[str], sep: str, keep: bool = False) -> DataFrame:

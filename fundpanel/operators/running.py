@@ -1,192 +1,115 @@
 """Running sums and exact quantiles over data of any size.
 
-An ordered window without a partition puts all rows in one task. Here rows go to
-ordered buckets cut at sampled values; each bucket is ordered by itself and
-starts from the sum of the buckets before it. The cuts are literals, so any
-number of evaluations, or a lost executor, gives every row the same bucket, and
-no answer depends on where the cuts lie.
-
-A value so frequent that it spans several cuts gets buckets of its own, split by
-the tie-break key."""
+An ordered window without a partition puts all rows in one task. Here rows are
+range-partitioned by the whole order, tie-break key included, so that a value held by a
+third of the rows spans as many ranges as it needs. They are kept in the shared folder
+with the number of their range, after which every evaluation sees the same ranges. Each
+range is ordered by itself and starts from the sums of the ranges before it. There is
+one path for all sizes, and no answer depends on where the ranges begin."""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
-from ..session import broadcast_within, fits, settled
-from .aggregate import exact_sum
+from ..session import settled
+from .aggregate import EXACT
 from .reshape import wide_to_long
 
-ROWS_PER_BUCKET = 1_000_000
-MOST_BUCKETS = 4_000
-SAMPLE_PER_BUCKET = 40
-SKETCH_SIZE = 4_000
-MERGE_WAYS = 256
-
-
-class Cuts(NamedTuple):
-    values: list[float]
-    hot: list[float]
-    hot_null: bool
-    ties: list
-
-    def null_bucket(self) -> int:
-        return 2 * len(self.values) + 1
-
-    def most_buckets(self) -> int:
-        return self.null_bucket() + 1 + (len(self.hot) + 1) * (len(self.ties) + 1)
-
-
-def find_cuts(df: DataFrame, key: str, tie: str | None = None, rows_per_bucket: int | None = None) -> Cuts:
-    """Cut points from one pass that keeps a mergeable quantile sketch of the key.
-
-    Sketches merge in two steps, so that no task reads those of all others. The
-    driver gets one row of at most MOST_BUCKETS numbers. Rows that fit one bucket
-    need no cuts and no such pass."""
-    if fits(df, rows_per_bucket or ROWS_PER_BUCKET):
-        return Cuts([], [], False, [])
-    k = F.col(key).cast("double")
-    partial = df.select(k.alias("k"), F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way")).groupBy("way").agg(
-        F.kll_sketch_agg_double("k", F.lit(SKETCH_SIZE)).alias("sketch"), F.count(F.lit(1)).alias("rows"),
-        F.count("k").alias("known"))
-    merged = partial.agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"), F.sum("rows").alias("rows"),
-                         F.sum("known").alias("known"))
-    ranks = _numbers([i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)])
-    found = merged.select("rows", "known", F.when(F.col("known") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("at")).first()
-    rows, known = found["rows"] or 0, found["known"] or 0
-    if rows_per_bucket is None:
-        rows_per_bucket = min(ROWS_PER_BUCKET, rows // df.sparkSession.sparkContext.defaultParallelism + 1)
-    buckets = min(MOST_BUCKETS, rows // rows_per_bucket + 1)
-    if buckets <= 1:
-        return Cuts([], [], False, [])
-    at = found["at"][MOST_BUCKETS // buckets - 1::MOST_BUCKETS // buckets] if known else []
-    values = sorted(set(at))
-    if not tie:
-        return Cuts(values, [], False, [])
-    hot = {v: n for v, n in Counter(at).items() if n > 1}
-    hot_null = rows - known > rows // buckets
-    if not hot and not hot_null:
-        return Cuts(values, [], False, [])
-    crowd = (known // buckets) * sum(hot.values()) + (rows - known if hot_null else 0)
-    return Cuts(values, sorted(hot), hot_null, _tie_cuts(df, k, tie, sorted(hot), hot_null, crowd, rows // buckets))
-
-
-def _numbers(values: Sequence[float]) -> Column:
-    """Literal array of doubles, as one literal however long."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
-
-
-def _tie_cuts(df: DataFrame, k: Column, tie: str, hot: list[float], hot_null: bool, crowd: int, size: int) -> list:
-    """Cuts of the tie-break key among the rows of frequent values, from a sample of
-    so many rows per bucket."""
-    among = k.isin(hot) if hot else F.lit(False)
-    among = F.coalesce(among, F.lit(False)) | (k.isNull() & F.lit(hot_null))
-    fraction = min(1.0, SAMPLE_PER_BUCKET / max(1, size))
-    sample = sorted(r[0] for r in df.where(among).select(tie).sample(fraction=fraction, seed=11).collect())
-    step = max(1, len(sample) * size // max(1, crowd))
-    return sorted(set(sample[step::step]))
-
-
-def _cuts_upto(df: DataFrame, out: str, key: Column, cuts: Sequence) -> DataFrame:
-    """Number of cuts <= key, by binary search: one column step per halving."""
-    df = df.withColumn(out, F.lit(0))
-    if not cuts:
-        return df
-    table = _numbers(cuts) if isinstance(cuts[0], float) else F.lit(list(cuts))
-    step = 1 << (len(cuts).bit_length() - 1)
-    while step:
-        more = F.get(table, F.col(out) + (step - 1)) <= key
-        df = df.withColumn(out, F.col(out) + F.when(more, step).otherwise(0))
-        step >>= 1
-    return df
-
-
-def in_buckets(df: DataFrame, key: str, tie: str | None, cuts: Cuts) -> DataFrame:
-    """Add the bucket (``_b``, ``_t``) of each row.
-
-    ``_b`` is odd for rows equal to a cut or null, so such a bucket holds a single
-    value, and only there may ``_t`` split rows by the tie-break key."""
-    df = _cuts_upto(df.withColumn("_k", F.col(key).cast("double")), "_b", F.col("_k"), cuts.values)
-    if cuts.values:
-        equal = F.get(_numbers(cuts.values), F.col("_b") - 1) == F.col("_k")
-        df = df.withColumn("_b", F.col("_b") * 2 - F.when(equal, 1).otherwise(0))
-    df = df.withColumn("_b", F.when(F.col("_k").isNull(), cuts.null_bucket()).otherwise(F.col("_b")))
-    if not cuts.ties:
-        return df.withColumn("_t", F.lit(0))
-    split = F.col("_k").isin(cuts.hot) if cuts.hot else F.lit(False)
-    split = F.coalesce(split, F.lit(cuts.hot_null))
-    df = _cuts_upto(df, "_t", F.when(split, F.col(tie)), cuts.ties)
-    return df
+
+def in_ranges(df: DataFrame, order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """Rows in ranges of an order, kept, with the number ``_b`` of their range. There are
+    as many ranges as shuffle partitions, which a cluster sizes to its data."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settled(df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, key: str, tie: str, measures: Mapping[str, str], groups: Sequence[str] = (),
-                   directions: Sequence[str] = ("up",), rows_per_bucket: int | None = None) -> DataFrame:
+                   directions: Sequence[str] = ("up",), ranges: int | None = None) -> DataFrame:
     """Row number ``n_<direction>`` and running sum ``<name>_<direction>`` of each
     measure, in ascending (up) or descending (down) order of the key, beside the
     total (``n_sum``, ``<name>_sum``).
 
-    Ties go by ascending tie-break key and null keys come last, both ways. Rows
-    shuffle once, by bucket."""
-    df = settled(df)
-    cuts = find_cuts(df, key, tie, rows_per_bucket)
-    rows = in_buckets(df, key, tie, cuts)
-    at = [*groups, "_b", "_t"]
-    sums = rows.groupBy(*at).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{o}") for o, c in measures.items()]
-    )
-    parts = {"n": "_n", **{o: f"_s_{o}" for o in measures}}
-    nulls_last = F.col("_b") == cuts.null_bucket()
-    orders = {"up": [F.asc("_b"), F.asc("_t")], "down": [nulls_last, F.desc("_b"), F.asc("_t")]}
-    starts = sums.select(
-        *at,
-        *[F.coalesce(
-            F.sum(p).over(Window.partitionBy(*groups).orderBy(*orders[d])
-                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_{o}_{d}")
-          for d in directions for o, p in parts.items()],
-        *[F.sum(p).over(Window.partitionBy(*groups)).alias(f"{o}_sum") for o, p in parts.items()],
-    )
-    inside = {"up": [F.asc_nulls_last(key), F.asc(tie)], "down": [F.desc_nulls_last(key), F.asc(tie)]}
-    local = {}
-    for d in directions:
-        w = Window.partitionBy(*at).orderBy(*inside[d])
-        local[f"n_{d}"] = F.row_number().over(w)
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
-        local.update({f"{o}_{d}": F.sum(c).over(upto) for o, c in measures.items()})
-    rows = rows.withColumns(local)
-    if not groups:
-        joined = rows.join(broadcast_within(starts, cuts.most_buckets()), at)
-    else:
-        keyed = starts.withColumnsRenamed({c: f"_at_{c}" for c in at})
-        joined = rows.join(keyed, [rows[c].eqNullSafe(keyed[f"_at_{c}"]) for c in at])
-    done = joined.withColumns({f"{o}_{d}": F.col(f"_{o}_{d}") + F.col(f"{o}_{d}") for d in directions for o in parts})
-    extra = [f"_{o}_{d}" for d in directions for o in parts] + [f"_at_{c}" for c in at]
-    return done.drop("_k", "_b", "_t", *extra)
-
-
-def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Sequence[str] = (),
-              rows_per_bucket: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation between order statistics, one
-    column per named probability, and the count ``n``; nulls are left out.
-
-    Equal values are counted first, so a frequent one is a single row. Bucket
-    counts then show which buckets hold the wanted ranks; only those are ordered.
-    Rows that fit one bucket go to Spark's own exact percentile, which keeps the
-    distinct values of a group in memory."""
-    df = settled(df.select(*groups, F.col(value).cast("double").alias("_v")))
-    known = df.where(F.col("_v").isNotNull())
-    if fits(df, rows_per_bucket or ROWS_PER_BUCKET):
-        found = known.groupBy(*groups).agg(
-            F.count("_v").alias("n"), F.percentile("_v", [float(p) for p in probs.values()]).alias("_q"))
-        return found.select(*groups, "n", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(probs)])
-    cuts = find_cuts(known, "_v", None, rows_per_bucket)
-    freq = known.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    freq = in_buckets(freq, "_v", None, cuts).drop("_k", "_t")
+    Ties go by ascending tie-break key and null keys come last, both ways. A running
+    sum is null from its first null on, and a total with a null is null. Rows shuffle
+    once for each direction."""
+    out = df
+    for i, d in enumerate(directions):
+        out = _one_way(out, key, tie, measures, groups, d, ranges, whole=i == 0)
+    return out
+
+
+def _one_way(df: DataFrame, key: str, tie: str, measures: Mapping[str, str], groups: Sequence[str], d: str,
+             ranges: int | None, whole: bool) -> DataFrame:
+    order = _order(key, tie, d)
+    rows = in_ranges(df, [*[F.asc(g) for g in groups], *order], ranges)
+    return _inside(rows, _starts(rows, measures, groups, whole), order, measures, groups, d)
+
+
+def _order(key: str, tie: str, d: str) -> list[Column]:
+    return [F.asc_nulls_last(key) if d == "up" else F.desc_nulls_last(key), F.asc(tie)]
+
+
+def _starts(rows: DataFrame, measures: Mapping[str, str], groups: Sequence[str], whole: bool) -> DataFrame:
+    """Rows, sums and nulls before each range, one row per range and group that meet: at
+    most ranges + groups of them. With the totals, if asked for."""
+    at = [*groups, "_b"]
+    parts = {"n": F.count(F.lit(1)), **{f"s_{o}": F.sum(c) for o, c in measures.items()},
+             **{f"z_{o}": F.count_if(F.col(c).isNull()) for o, c in measures.items()}}
+    sums = rows.groupBy(*at).agg(*[v.alias(f"_{k}") for k, v in parts.items()])
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*groups)
+    totals = [F.sum("_n").over(every).alias("n_sum"), *[
+        F.when(F.sum(f"_z_{o}").over(every) == 0, F.sum(f"_s_{o}").over(every)).alias(f"{o}_sum") for o in measures]]
+    return sums.select(
+        *[F.col(c).alias(f"_at_{c}") for c in at],
+        *[F.coalesce(F.sum(f"_{k}").over(before), F.lit(0)).alias(f"_from_{k}") for k in parts], *(totals if whole else []))
+
+
+def _inside(rows: DataFrame, starts: DataFrame, order: Sequence[Column], measures: Mapping[str, str],
+            groups: Sequence[str], d: str) -> DataFrame:
+    at = [*groups, "_b"]
+    joined = rows.join(starts, [rows[c].eqNullSafe(starts[f"_at_{c}"]) for c in at])
+    inside = Window.partitionBy(*at).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    done = joined.withColumns({
+        f"n_{d}": F.col("_from_n") + F.row_number().over(inside),
+        **{f"{o}_{d}": F.when(F.col(f"_from_z_{o}") + F.count_if(F.col(c).isNull()).over(upto) == 0,
+                              F.col(f"_from_s_{o}") + F.coalesce(F.sum(c).over(upto), F.lit(0))) for o, c in measures.items()}})
+    return done.drop(*[f"_at_{c}" for c in at], *[c for c in done.columns if c.startswith("_from_")], "_b")
+
+
+def ranked_rows(df: DataFrame, key: str, tie: str, measures: Mapping[str, str], ranks: Sequence[int],
+                direction: str = "down", ranges: int | None = None) -> DataFrame:
+    """The rows of ``running_totals`` at some ranks. The ranges' counts tell which ranges
+    hold a wanted rank; only those are ordered."""
+    order = _order(key, tie, direction)
+    rows = in_ranges(df, order, ranges)
+    before, held = 0, []
+    for r in rows.groupBy("_b").count().orderBy("_b").collect():  # one row per range
+        if any(before < k <= before + r["count"] for k in ranks):
+            held.append(r["_b"])
+        before += r["count"]
+    few = rows.where(F.col("_b").isin(held) if held else F.lit(False))
+    done = _inside(few, _starts(rows, measures, (), True), order, measures, (), direction)
+    return done.where(F.col(f"n_{direction}").isin(list(ranks)))
+
+
+def _frequencies(df: DataFrame, value: str, groups: Sequence[str], ranges: int | None) -> DataFrame:
+    """Each value (``_v``) of a group once, with its count ``_n``, in ranges. Null values
+    are counted too. A frequent value is a single row; ``_s`` is the sum of its copies."""
+    v = F.col(value).cast("double")
+    freq = df.groupBy(*groups, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"), F.try_sum(v.try_cast(EXACT)).alias("_s"))
+    return in_ranges(freq, [*[F.asc(g) for g in groups], F.asc_nulls_last("_v")], ranges)
+
+
+def _at_probabilities(freq: DataFrame, probs: Mapping[str, float], groups: Sequence[str]) -> DataFrame:
+    """Quantiles from frequencies. Range counts show which ranges hold the wanted ranks;
+    only those are ordered."""
+    freq = freq.where(F.col("_v").isNotNull())
     whole = Window.partitionBy(*groups)
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = freq.groupBy(*groups, "_b").agg(F.sum("_n").alias("_m")).select(
@@ -194,7 +117,6 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
         F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
         F.sum("_m").over(whole).alias("n"),
     )
-
     wanted = F.lit([float(p) for p in probs.values()])
 
     def rank(p: Column) -> Column:
@@ -207,11 +129,8 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
         F.transform(wanted, lambda p: F.array(whole_rank(F.floor, p), whole_rank(F.ceil, p)))))
     here = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_m")))
     chosen = counts.withColumn("_ranks", here).where(F.size("_ranks") > 0).drop("_m")
-    if groups:
-        chosen = chosen.withColumnsRenamed({c: f"_at_{c}" for c in [*groups, "_b"]})
-        rows = freq.join(chosen, [freq[c].eqNullSafe(chosen[f"_at_{c}"]) for c in [*groups, "_b"]])
-    else:
-        rows = freq.join(broadcast_within(chosen, cuts.most_buckets()), "_b")
+    chosen = chosen.withColumnsRenamed({c: f"_at_{c}" for c in [*groups, "_b"]})
+    rows = freq.join(chosen, [freq[c].eqNullSafe(chosen[f"_at_{c}"]) for c in [*groups, "_b"]])
     inside = Window.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     last = F.col("_before") + F.sum("_n").over(inside)
     rows = rows.withColumn("_last", last).withColumn(
@@ -228,19 +147,30 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Seq
     return found.select(*groups, "n", *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(probs)])
 
 
+def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], groups: Sequence[str] = (),
+              ranges: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation between order statistics, one
+    column per named probability, and the count ``n``; nulls are left out. The data
+    are read once, to count equal values."""
+    return _at_probabilities(_frequencies(df.where(F.col(value).isNotNull()), value, groups, ranges), probs, groups)
+
+
 def quantile_profile(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Mapping[str, float],
-                     rows_per_bucket: int | None = None) -> DataFrame:
+                     ranges: int | None = None) -> DataFrame:
     """Quantiles of several columns by (variable, keys), from one unpivoted pass."""
     long = wide_to_long(df, list(keys), columns)
-    return quantiles(long, "value", probs, ["variable", *keys], rows_per_bucket)
-
-
-def column_summary(df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
-    """Minimum, quartiles, mean, maximum and null count of each column."""
-    long = wide_to_long(df, [], columns)
-    basic = long.groupBy("variable").agg(
-        F.min("value").alias("min"), ratio(exact_sum(F.col("value")), F.count("value").cast("double")).alias("mean"),
-        F.max("value").alias("max"), F.count_if(F.col("value").isNull()).alias("nulls"),
+    return quantiles(long, "value", probs, ["variable", *keys], ranges)
+
+
+def column_summary(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Minimum, quartiles, mean, maximum and null count of each column, all from the
+    counts of equal values: the data are read once."""
+    freq = _frequencies(wide_to_long(df, [], columns), "value", ["variable"], ranges)
+    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    basic = freq.groupBy("variable").agg(
+        F.min("_v").alias("min"),
+        ratio(F.try_sum("_s").cast("double"), F.sum(known).cast("double")).alias("mean"),
+        F.max("_v").alias("max"), F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
     )
-    parts = quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["variable"], rows_per_bucket)
+    parts = _at_probabilities(freq, {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["variable"])
     return basic.join(parts.drop("n"), "variable", "left")

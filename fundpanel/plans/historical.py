@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import label, norm_code, override_code, relabel_regex, sentinel_null, to_number
+from ..functions import label, norm_code, override_code, relabel_regex, sentinel_null, to_number, whole_number
 from ..operators.combine import stack_tagged
 from ..operators.grid import cells_to_long, drop_empty, header_at, named_cell, promote_header, tidy_names
 from ..operators.lookup import lookup
@@ -23,12 +23,11 @@ ADMIN_LABELS = ["National total", "State-local total", "State", "Local", "Fed go
 NATIONAL = {"52": "NATL"}
 
 
-def historical_long(grid: DataFrame, states: DataFrame, header_row: int = HEADER_ROW,
-                    files: int | None = None) -> DataFrame:
+def historical_long(grid: DataFrame, states: DataFrame, header_row: int = HEADER_ROW) -> DataFrame:
     """(year, stabbr, admin, adminf, variable, value) of one sheet, levels 1 to 3."""
     header = tidy_names(header_at(grid, header_row), {STADMIN_TOKEN: "stadmin"}, lower=True)
-    rows = promote_header(grid, header, files).select(
-        to_number(named_cell("year")).cast("int").alias("year"),
+    rows = promote_header(grid, header, ["year", "type", "id", "stadmin"], names=True).select(
+        whole_number(named_cell("year")).alias("year"),
         norm_code(named_cell("type")).alias("admin"),
         F.substring(F.trim(named_cell("id")), 1, 2).alias("stcen"),
         F.trim(named_cell("stadmin")).alias("stadmin"),
@@ -43,11 +42,11 @@ def historical_long(grid: DataFrame, states: DataFrame, header_row: int = HEADER
 
 
 def historical_panel(finance: DataFrame, membership: DataFrame, states: DataFrame,
-                     header_row: int = HEADER_ROW, files: int | None = 1) -> DataFrame:
-    """Both sheets, tagged by source; each is ``files`` files at most."""
+                     header_row: int = HEADER_ROW) -> DataFrame:
+    """Both sheets, tagged by source."""
     return stack_tagged({
-        "finance": historical_long(finance, states, header_row, files).drop("stadmin"),
-        "membership": historical_long(membership, states, header_row, files).drop("stadmin"),
+        "finance": historical_long(finance, states, header_row).drop("stadmin"),
+        "membership": historical_long(membership, states, header_row).drop("stadmin"),
     })
 
 
@@ -56,14 +55,17 @@ STADMIN_RULES = [("Total", "Total"), ("State-Admin", "State"), ("Local-Admin", "
 
 
 def historical_wide(finance: DataFrame, membership: DataFrame, states: DataFrame, finance_vars: Sequence[str],
-                    membership_vars: Sequence[str], header_row: int = HEADER_ROW, files: int | None = 1) -> DataFrame:
+                    membership_vars: Sequence[str], header_row: int = HEADER_ROW) -> DataFrame:
     """Measures of both sheets across, for state, year and level met in both; zeros
     count as missing and missing cells become zero."""
     keys = ["stabbr", "year", "admin"]
 
     def wide(grid: DataFrame, variables: Sequence[str]) -> DataFrame:
-        long = drop_empty(historical_long(grid, states, header_row, files), zero=True, sentinel=-11111.0)
+        long = drop_empty(historical_long(grid, states, header_row), zero=True, sentinel=-11111.0)
         long = long.withColumn("admin", relabel_regex(F.col("stadmin"), STADMIN_RULES))
+        # a place and year that has other measures only has zeros in these
+        wanted = F.col("variable").isin(list(variables))
+        long = long.withColumns({"value": F.when(wanted, F.col("value")), "variable": F.when(wanted, F.col("variable")).otherwise(variables[0])})
         return long_to_wide_sum(long, keys, "variable", variables)
 
     return wide(finance, finance_vars).join(wide(membership, membership_vars), keys)

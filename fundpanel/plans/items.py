@@ -25,11 +25,11 @@ ITEM_NAMES = {
 }
 
 
-def items_panel(grid: DataFrame, states: DataFrame, files: int | None = None) -> DataFrame:
+def items_panel(grid: DataFrame, states: DataFrame) -> DataFrame:
     """(year, stabbr, ItemID, ItemName, type, typef, value); the header is the row of
     each file whose third cell names the level."""
     header = tidy_names(find_header(grid, 3, "Level"), {"Amount": "value"}, clean=True)
-    rows = promote_header(grid, header, files).select(
+    rows = promote_header(grid, header, ["StateID", "ItemID", "ItemName", "Level", "value"]).select(
         "year",
         pad_code(norm_code(named_cell("StateID")).cast("string"), 2).alias("StateID"),
         norm_code(named_cell("ItemID")).alias("ItemID"),

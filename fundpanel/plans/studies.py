@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
-from ..operators.aggregate import EXACT, size_distribution
+from ..operators.aggregate import EXACT, size_distribution, sum_strict
+from ..operators.combine import stack
 from ..operators.metrics import small_and_big
-from ..operators.running import quantiles, running_totals
+from ..operators.running import quantiles, ranked_rows, running_totals
 from ..session import settled
 
 # Probabilities of the size study, the ranks shown, and the size up
@@ -31,6 +32,18 @@ def size_study(plans: DataFrame, plan: str = "pid", size: str = "participants",
     }
 
 
+def size_study_table(plans: DataFrame, plan: str = "pid", size: str = "participants", limit: float = SMALL_UP_TO) -> DataFrame:
+    """The whole study as one table (part, item, measure, value)."""
+    study = size_study(plans, plan, size, limit)
+    names = {"quantiles": F.lit("all"), "sizes": F.coalesce("size", F.lit("none")), "shares": F.col("which")}
+    parts = []
+    for part, df in study.items():
+        measures = [c for c in df.columns if c not in ("size", "bin", "which")]
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in measures]))
+        parts.append(df.select(F.lit(part).alias("part"), names[part].alias("item"), cells.alias("c")).select("part", "item", "c.measure", "c.value"))
+    return stack(*parts)
+
+
 def groups_and_median(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of groups and the median count of a group."""
     counts = plans.groupBy(*keys).agg(F.count(F.lit(1)).alias("plans"))
@@ -38,12 +51,15 @@ def groups_and_median(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def concentration(plans: DataFrame, value: str, tie: str, measures: Mapping[str, str],
-                  directions: Sequence[str] = ("up", "down"), rows_per_bucket: int | None = None) -> DataFrame:
+                  directions: Sequence[str] = ("up", "down"), ranges: int | None = None) -> DataFrame:
     """Rank, running sum, total and running percent of each measure, from the
     smallest plan up and from the largest down."""
     exact = plans.withColumns({f"_m_{o}": F.col(c).cast(EXACT) for o, c in measures.items()})
-    curve = running_totals(exact, value, tie, {o: f"_m_{o}" for o in measures}, directions=directions,
-                           rows_per_bucket=rows_per_bucket)
+    curve = running_totals(exact, value, tie, {o: f"_m_{o}" for o in measures}, directions=directions, ranges=ranges)
+    return _percentages(curve, measures, directions)
+
+
+def _percentages(curve: DataFrame, measures: Mapping[str, str], directions: Sequence[str]) -> DataFrame:
     sides = [*directions, "sum"]
     curve = curve.withColumns({f"{o}_{d}": F.col(f"{o}_{d}").cast("double") for d in sides for o in measures})
     curve = curve.withColumns({
@@ -54,14 +70,18 @@ def concentration(plans: DataFrame, value: str, tie: str, measures: Mapping[str,
 
 def beside_totals(plans: DataFrame, keep, measures: Mapping[str, str]) -> DataFrame:
     """Totals of all plans beside those of the plans that meet a condition, in one
-    pass and one row."""
-    aggs = {"n_all": F.count(F.lit(1)), "n_sum": F.count_if(keep)}
+    pass and one row. A total with a null is null."""
+    kept = F.coalesce(keep, F.lit(False))
+    aggs = {"n_all": F.count(F.lit(1)), "n_sum": F.count_if(kept)}
     for o, c in measures.items():
-        aggs[f"{o}_all"] = F.sum(F.col(c).cast(EXACT)).cast("double")
-        aggs[f"{o}_sum"] = F.sum(F.when(keep, F.col(c).cast(EXACT))).cast("double")
+        aggs[f"{o}_all"] = sum_strict(F.col(c))
+        aggs[f"{o}_sum"] = sum_strict(F.col(c), kept)
     return plans.agg(*[v.alias(k) for k, v in aggs.items()])
 
 
-def at_ranks(curve: DataFrame, ranks: Sequence[int] = SHOWN_RANKS, rank: str = "n_down") -> DataFrame:
-    """Rows of the curve at some ranks."""
-    return curve.where(F.col(rank).isin(list(ranks)))
+def at_ranks(plans: DataFrame, value: str, tie: str, measures: Mapping[str, str], ranks: Sequence[int] = SHOWN_RANKS,
+             direction: str = "down", ranges: int | None = None) -> DataFrame:
+    """Rows of the concentration curve at some ranks, without the rest of the curve."""
+    exact = plans.withColumns({f"_m_{o}": F.col(c).cast(EXACT) for o, c in measures.items()})
+    few = ranked_rows(exact, value, tie, {o: f"_m_{o}" for o in measures}, ranks, direction, ranges)
+    return _percentages(few, measures, [direction])

@@ -10,7 +10,6 @@ from ..functions import label, part, to_number
 from ..operators.grid import expand_grouped_header, header_at, named_cell, promote_header, zero_as_missing
 from ..operators.lookup import lookup
 from ..operators.reshape import wide_to_long
-from ..session import settled
 
 # Columns per state and what they hold, by vintage (19, 29 and 39
 # are the sampling errors of levels 1 to 3), the two header repairs (counted
@@ -50,20 +49,22 @@ def variable_crosswalk(wide: DataFrame) -> DataFrame:
 
 
 def survey_panel(grid: DataFrame, crosswalk: DataFrame, layouts: DataFrame, states: DataFrame,
-                 header_row: int = 1, files: int | None = None) -> DataFrame:
+                 header_row: int = 1) -> DataFrame:
     """(stabbr, year, admin, vname, value). One plan for all layouts: the layout of
-    a vintage is a row of ``layouts`` beside its header."""
-    header = header_at(grid, header_row)
-    rows = promote_header(grid, header, files).join(layouts, "year")
+    a vintage is a row of ``layouts`` beside its header, on which the entity and level
+    of every column are worked out once per file."""
+    years = grid.where(F.col("row_no") == header_row).groupBy("file").agg(F.min("year").alias("year"))
+    header = header_at(grid, header_row).join(years, "file").join(layouts, "year").drop("year")
     width = F.size("levels")
     names = F.slice("names", 2, F.size("names") - 1)
     entities = expand_grouped_header(names, width, F.col("drop_at"), F.col("set_at"), F.col("set_to"))
-    rows = rows.select(
-        "year", F.trim(F.get("cells", F.lit(0))).alias("vartext"), "levels",
-        F.posexplode(F.arrays_zip(entities.alias("entity"), F.slice("cells", 2, F.size("cells") - 1).alias("cell")))
-        .alias("at", "v"),
+    columns = F.transform(entities, lambda e, i: F.struct(e.alias("entity"), F.get("levels", (i % width).cast("int")).alias("level")))
+    header = header.select("file", "header_row", columns.alias("columns"))
+    rows = promote_header(grid, header).select(
+        "year", F.trim(F.get("cells", F.lit(0))).alias("vartext"),
+        F.explode(F.arrays_zip("columns", F.slice("cells", 2, F.size("cells") - 1).alias("cell"))).alias("v"),
     ).select(
-        "year", "vartext", F.col("v.entity").alias("stname"), F.get("levels", F.col("at") % width).alias("admin"),
+        "year", "vartext", F.col("v.columns.entity").alias("stname"), F.col("v.columns.level").alias("admin"),
         to_number(F.col("v.cell")).alias("value"),
     )
     rows = rows.where(F.col("admin").isin(1, 2, 3) & F.col("value").isNotNull())
@@ -79,11 +80,12 @@ AFF_CV = ["lvl0b", "lvl2a"]
 AFF_IDS = ["GEO.id", "GEO.id2", "GEO.display-label"]
 
 
-def aff_panel(grid: DataFrame, states: DataFrame, files: int | None = None) -> DataFrame:
+def aff_panel(grid: DataFrame, states: DataFrame) -> DataFrame:
     """(stabbr, admin, col, description, year, value); row 1 names level and
     measure, row 2 describes them."""
-    texts = settled(header_at(grid, 2).select("file", F.col("names").alias("texts")))
-    rows = promote_header(grid, header_at(grid, 1), files).where(F.col("row_no") > 2).join(texts, "file")
+    texts = header_at(grid, 2).select("file", F.col("names").alias("texts"))
+    header = header_at(grid, 1).join(texts, "file")
+    rows = promote_header(grid, header, [AFF_IDS[2]], names=True).where(F.col("row_no") > 2)
     rows = rows.withColumn("stname", named_cell(AFF_IDS[2])).select(
         "year", "stname", F.explode(F.arrays_zip("names", "texts", "cells")).alias("v"))
     rows = rows.where(~F.col("v.names").isin(AFF_IDS)).select(

@@ -72,24 +72,30 @@ def ids_2017(lines: DataFrame) -> DataFrame:
 def plan_assets(units: DataFrame, ids: DataFrame, states: DataFrame) -> DataFrame:
     """Total assets of each plan in billions, with its name, type and state."""
     rows = units.where(F.col("ic") == TOTAL_ASSETS).select("pid", rescale(F.col("value"), 1e6).alias("assets"))
+    return _places(rows, ids, states).select("pid", "ptype", "uname", "stabbr", "stname", "assets")
+
+
+def _places(rows: DataFrame, ids: DataFrame, states: DataFrame) -> DataFrame:
     rows = lookup(rows, ids, {"pid": "pid"}, ["stcode", "uname", "ptype"])
-    rows = lookup(rows, states, {"stcode": "stcen"}, {"stabbr": "stabbr", "stname": "stname"})
-    return rows.select("pid", "ptype", "uname", "stabbr", "stname", "assets")
+    return lookup(rows, states, {"stcode": "stcen"}, {"stabbr": "stabbr", "stname": "stname"})
 
 
 def plans_with_members(units: DataFrame, ids: DataFrame, states: DataFrame, least: float = 1) -> DataFrame:
-    """Assets beside member counts, for plans with at least so many participants."""
-    plans = lookup(plan_assets(units, ids, states), member_counts(units), {"pid": "pid"},
-                   ["members", "beneficiaries", "participants"])
-    return plans.where(F.col("participants") >= least)
+    """Assets beside member counts, for plans with at least so many participants. All
+    items of a plan come from one pivot of the units."""
+    wide = member_counts(units, more={TOTAL_ASSETS: "value"}).where((F.col("participants") >= least) & F.col("value").isNotNull())
+    plans = wide.select("pid", rescale(F.col("value"), 1e6).alias("assets"), "members", "beneficiaries", "participants")
+    plans = _places(plans, ids, states)
+    return plans.select("pid", "ptype", "uname", "stabbr", "stname", "assets", "members", "beneficiaries", "participants")
 
 
 def item_codes(sheet: DataFrame, supplement: DataFrame) -> DataFrame:
     """Item codes with their description: marks and blanks removed, header and empty
-    rows dropped, and the codes the sheet lacks added."""
+    rows dropped, and the codes the sheet lacks added. A code of both keeps the sheet's."""
     own = sheet.where(F.col("ic").isNotNull() & F.col("icdesc").isNotNull() & (F.col("ic") != "Item code"))
     own = own.select(F.trim("ic").alias("ic"), F.trim(drop_chars(F.col("icdesc"), "*'")).alias("icdesc"))
-    return own.unionByName(supplement.select("ic", "icdesc"))
+    more = supplement.select("ic", "icdesc").join(own, "ic", "left_anti")
+    return own.unionByName(more)
 
 
 # Item codes that occur in the unit files but not in the code sheet.

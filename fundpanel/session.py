@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
+_kept: set[str] = set()
 
 
 def local_session(cpus: int | str = 8, app: str = "fundpanel") -> SparkSession:
@@ -26,47 +26,53 @@ def local_session(cpus: int | str = 8, app: str = "fundpanel") -> SparkSession:
     )
 
 
-def broadcast_within(df: DataFrame, max_rows: int, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint when a proven bound on the row count allows it; else leave
-    the choice of join to Catalyst and AQE."""
-    return F.broadcast(df) if max_rows <= limit else df
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Size of the result as Catalyst estimates it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits(df: DataFrame, rows: int, row_bytes: int = 10_000) -> bool:
-    """Whether there are at most so many rows. They are counted, but only where the
-    estimated size makes that likely: large inputs are not read for it."""
-    return plan_bytes(df) <= rows * row_bytes and df.count() <= rows
-
-
 def shared_root(spark: SparkSession) -> str | None:
     """The checkpoint folder the cluster names in its settings, or the one set on the
     context where it names none."""
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """Folder below the shared checkpoint folder."""
+    """Folder below the shared checkpoint folder. Where none is set, as in tests, a
+    session on one machine gets a temporary one; a cluster must name its own."""
     root = shared_root(spark)
     if not root:
-        raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
-    return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
+        if not on_one_machine(spark):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder every executor can reach")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fundpanel-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}"
 
 
-def settled(df: DataFrame, always: bool = False) -> DataFrame:
-    """Input that several jobs or branches read: where it needs a shuffle (or always)
-    and the session names a checkpoint folder, write it there once and read that;
-    else as it is. The copy outlives an executor, and readers prune its columns."""
+def settled(df: DataFrame) -> DataFrame:
+    """Input that several jobs or branches read: written once to the shared folder, and
+    read from there. The copy outlives an executor, readers prune its columns, and
+    Catalyst knows its size. Copies go with the application, or by ``clear_settled``."""
     spark = df.sparkSession
-    if not shared_root(spark):
-        return df
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    if not always and not any(s in plan for s in ("Join", "Aggregate", "Window")):
-        return df
-    path = shared_dir(spark, f"settled-{uuid.uuid4().hex}")
+    folder = _folder(spark)
+    if folder not in _kept:
+        _kept.add(folder)
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_settled(spark: SparkSession) -> None:
+    """Remove all copies of this application; tables that read them are then gone."""
+    _remove(spark, _folder(spark))
+
+
+def _folder(spark: SparkSession) -> str:
+    return shared_dir(spark, f"settled-{spark.sparkContext.applicationId}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

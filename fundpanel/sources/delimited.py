@@ -9,14 +9,16 @@ from pyspark.sql import types as T
 from .lines import numbered_lines
 
 
-def read_csv(spark: SparkSession, paths, schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """CSV with a declared schema; a cell that does not fit its type is null."""
-    return spark.read.schema(schema).csv(paths, header=header, multiLine=False, quote='"', escape='"')
+def read_csv(spark: SparkSession, paths, schema: T.StructType | str, header: bool = True, line_breaks: bool = True) -> DataFrame:
+    """CSV with a declared schema; a cell that does not fit its type is null. Quoted cells
+    may hold line breaks, so a file is one task; without ``line_breaks`` large files are
+    split."""
+    return spark.read.schema(schema).csv(paths, header=header, multiLine=line_breaks, quote='"', escape='"')
 
 
-def read_text_table(spark: SparkSession, paths) -> DataFrame:
+def read_text_table(spark: SparkSession, paths, line_breaks: bool = True) -> DataFrame:
     """CSV with a header and every column kept as text."""
-    return spark.read.csv(paths, header=True, inferSchema=False, quote='"', escape='"')
+    return spark.read.csv(paths, header=True, inferSchema=False, multiLine=line_breaks, quote='"', escape='"')
 
 
 def infer_then_convert(spark: SparkSession, paths) -> DataFrame:

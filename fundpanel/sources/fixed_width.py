@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import to_number
+from ..functions.text import to_number, whole_number
 from .vintages import tag_vintage
 
 
@@ -48,7 +48,9 @@ def _cell(line: Column, f: Field) -> Column:
     text = F.trim(F.substring(line, f.start, f.length))
     if f.type == "string":
         return F.nullif(text, F.lit(""))
-    return to_number(text).cast(f.type)
+    if f.type in ("int", "bigint", "long"):
+        return whole_number(text, f.type)
+    return to_number(text).try_cast(f.type)
 
 
 def read_fixed(spark: SparkSession, paths, spec: Sequence[Field], year: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_within, plan_bytes, settled
+from ..session import settled
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -18,13 +18,12 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     in the block. Only one row per block is summed in order. Blocks and lines must
     come from one and the same split of the files, which may change with the number
     of executors, so the lines are kept in the shared folder first."""
-    source = spark.read.text(paths)
-    raw = settled(source.select(
+    raw = settled(spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
-    ), always=True)
+    ))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         raw.groupBy("file", "block")
@@ -32,18 +31,6 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
         .withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
         .drop("lines")
     )
-    blocks = broadcast_within(blocks, _block_bound(spark, source))
     return raw.join(blocks, ["file", "block"]).select(
         "file", (F.col("before") + F.col("at") - F.col("first_at") + 1).alias("row_no"), "line"
     )
-
-
-def _block_bound(spark: SparkSession, source: DataFrame) -> int:
-    """Upper bound on the blocks: a split may be as small as the open cost."""
-    smallest = min(_bytes(spark, "spark.sql.files.openCostInBytes"),
-                   _bytes(spark, "spark.sql.files.maxPartitionBytes"))
-    return plan_bytes(source) // max(smallest, 1) + len(source.inputFiles())
-
-
-def _bytes(spark: SparkSession, key: str) -> int:
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))

@@ -108,7 +108,7 @@ def test_older_download_from_files(spark, tmp_path, states):
     paths = [str(tmp_path / "COG_2012_x.csv"), str(tmp_path / "PP_2013_x.csv")]
     g = read_grid(spark, paths, width=8)
     g = g.withColumn("year", F.regexp_extract("file", r"_(\d{4})_", 1).cast("int"))
-    got = rows_of(survey.aff_panel(g, states, files=2))
+    got = rows_of(survey.aff_panel(g, states))
     assert got == sorted([("AL", "Total", "C015", "Total cash", 2012, 1000.0), ("AL", "Local", "C015", "Total cash, more", 2012, 400.0),
                           ("AL", "Total", "C015", "Total cash", 2013, 10.0), ("AL", "State", "C015", "Total cash", 2013, 6.0),
                           ("AL", "Local", "C015", "Total cash", 2013, 4.0)], key=repr)

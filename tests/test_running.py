@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fundpanel.operators.running import column_summary, find_cuts, quantiles, running_totals
+from fundpanel.operators.running import column_summary, in_ranges, quantiles, ranked_rows, running_totals
 from fundpanel.plans.studies import at_ranks, concentration
 
 
@@ -23,10 +23,10 @@ def brute(pdf, ascending):
     return out.assign(n_want=np.arange(1, len(out) + 1), m_want=out["m"].cumsum())
 
 
-@pytest.mark.parametrize("rows_per_bucket", [None, 10, 200, 100_000])
-def test_running_totals_equal_brute_force(spark, hot, rows_per_bucket):
+@pytest.mark.parametrize("ranges", [None, 1, 7, 300])
+def test_running_totals_equal_brute_force(spark, hot, ranges):
     df = spark.createDataFrame(hot).repartition(7)
-    got = running_totals(df, "v", "id", {"m": "m"}, directions=("up", "down"), rows_per_bucket=rows_per_bucket).toPandas()
+    got = running_totals(df, "v", "id", {"m": "m"}, directions=("up", "down"), ranges=ranges).toPandas()
     assert len(got) == len(hot) and (got["m_sum"] == hot["m"].sum()).all() and (got["n_sum"] == len(hot)).all()
     for side, ascending in (("up", True), ("down", False)):
         both = brute(hot, ascending).merge(got, on="id")
@@ -35,39 +35,66 @@ def test_running_totals_equal_brute_force(spark, hot, rows_per_bucket):
 
 
 def test_a_hot_value_is_split(spark, hot):
-    cuts = find_cuts(spark.createDataFrame(hot), "v", "id", 50)
-    assert 500.0 in cuts.hot and len(cuts.ties) > 10
+    rows = in_ranges(spark.createDataFrame(hot), [F.asc("v"), F.asc("id")], 60)
+    assert rows.where("v = 500").select("_b").distinct().count() > 15
+    assert rows.groupBy("_b").count().agg(F.max("count")).first()[0] < 500
+
+
+def test_a_thousand_hot_values(spark):
+    df = spark.range(60_000).select(F.pmod("id", F.lit(1000)).cast("double").alias("v"), "id", F.lit(1).alias("m"))
+    got = running_totals(df, "v", "id", {"m": "m"}, ranges=80)
+    place = (F.col("v") * 60 + F.floor(F.col("id") / 1000) + 1).cast("long")
+    assert got.where((F.col("n_up") != place) | (F.col("m_up") != place)).count() == 0
+    found = quantiles(df, "v", {"p": 0.5, "q": 1.0}, ranges=80).first()
+    assert (found["n"], found["p"], found["q"]) == (60_000, 499.5, 999.0)
 
 
 def test_grouped_running_totals(spark, hot):
     df = spark.createDataFrame(hot).withColumn("g", F.when(F.col("g") != "c", F.col("g")))
-    got = running_totals(df, "v", "id", {"m": "m"}, groups=["g"], rows_per_bucket=100).toPandas()
+    got = running_totals(df, "v", "id", {"m": "m"}, groups=["g"], ranges=50).toPandas()
     for name, part in hot.assign(g=hot["g"].where(hot["g"] != "c", None)).groupby("g", dropna=False):
         mine = got[got["g"].isna()] if pd.isna(name) else got[got["g"] == name]
         both = brute(part, True).merge(mine, on="id")
         assert len(both) == len(part) and (both["n_want"] == both["n_up"]).all() and (both["m_want"] == both["m_up"]).all()
 
 
-@pytest.mark.parametrize("rows_per_bucket", [60, 100_000])
-def test_null_keys_come_last_and_are_split(spark, hot, rows_per_bucket):
+@pytest.mark.parametrize("ranges", [1, 90])
+def test_null_keys_come_last_and_are_split(spark, hot, ranges):
     pdf = hot.assign(v=hot["v"].where(hot["v"] != 500.0, np.nan))
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
-    assert find_cuts(df, "v", "id", 60).hot_null
-    got = running_totals(df, "v", "id", {"m": "m"}, directions=("up", "down"), rows_per_bucket=rows_per_bucket).toPandas()
+    got = running_totals(df, "v", "id", {"m": "m"}, directions=("up", "down"), ranges=ranges).toPandas()
     for side, ascending in (("up", True), ("down", False)):
         both = brute(pdf, ascending).merge(got, on="id")
         assert (both["n_want"] == both[f"n_{side}"]).all() and (both["m_want"] == both[f"m_{side}"]).all()
 
 
-@pytest.mark.parametrize("rows_per_bucket", [None, 25, 100_000])
-def test_quantiles_equal_numpy(spark, hot, rows_per_bucket):
+@pytest.mark.parametrize("ranges", [1, 40])
+def test_sums_are_null_from_the_first_null_on(spark, ranges):
+    df = spark.range(200).select("id", F.col("id").cast("double").alias("v"), F.when(F.col("id") != 120, 1.0).alias("m"), F.lit(2.0).alias("k"))
+    got = {r["id"]: r for r in running_totals(df, "v", "id", {"m": "m", "k": "k"}, directions=("up", "down"), ranges=ranges).collect()}
+    assert [got[i]["m_up"] for i in (0, 119, 120, 199)] == [1.0, 120.0, None, None]
+    assert [got[i]["m_down"] for i in (199, 121, 120, 0)] == [1.0, 79.0, None, None]
+    assert got[5]["m_sum"] is None and got[5]["k_sum"] == 400.0 and got[199]["k_up"] == 400.0
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 50])
+def test_rows_at_ranks_are_those_of_the_curve(spark, hot, ranges):
+    df = spark.createDataFrame(hot)
+    whole = running_totals(df, "v", "id", {"m": "m"}, directions=("down",), ranges=ranges).where(F.col("n_down").isin(1, 100, 2500, 6000, 7000))
+    few = ranked_rows(df, "v", "id", {"m": "m"}, [1, 100, 2500, 6000, 7000], ranges=ranges)
+    columns = ["id", "n_down", "m_down", "n_sum", "m_sum"]
+    assert sorted(whole.select(columns).collect()) == sorted(few.select(columns).collect()) and few.count() == 4
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 60])
+def test_quantiles_equal_numpy(spark, hot, ranges):
     probs = {"p0": 0.0, "p05": 0.05, "third": 1 / 3, "p5": 0.5, "p95": 0.95, "p1": 1.0}
     df = spark.createDataFrame(hot)
-    got = quantiles(df, "v", probs, ["g"], rows_per_bucket).toPandas().set_index("g")
+    got = quantiles(df, "v", probs, ["g"], ranges).toPandas().set_index("g")
     for name, part in hot.groupby("g"):
         assert got.loc[name, "n"] == len(part)
         assert np.allclose(got.loc[name, list(probs)].astype(float), np.quantile(part["v"], list(probs.values())))
-    whole = quantiles(df, "v", probs, rows_per_bucket=rows_per_bucket).toPandas()
+    whole = quantiles(df, "v", probs, ranges=ranges).toPandas()
     assert np.allclose(whole[list(probs)].iloc[0].astype(float), np.quantile(hot["v"], list(probs.values())))
 
 
@@ -86,10 +113,10 @@ def test_column_summary(spark):
 
 def test_curve_ends_at_hundred_and_ignores_row_order(spark, hot):
     df = spark.createDataFrame(hot)
-    curve = concentration(df.withColumn("x", F.col("m")), "v", "id", {"m": "x"}, rows_per_bucket=150)
+    curve = concentration(df.withColumn("x", F.col("m")), "v", "id", {"m": "x"}, ranges=40)
     last = curve.where(F.col("n_up") == len(hot)).first()
     assert last["n_uppct"] == 100 and last["m_uppct"] == 100
-    again = concentration(df.orderBy(F.rand(3)).withColumn("x", F.col("m")), "v", "id", {"m": "x"}, rows_per_bucket=400)
+    again = concentration(df.orderBy(F.rand(3)).withColumn("x", F.col("m")), "v", "id", {"m": "x"}, ranges=15)
     a, b = (c.select("id", "n_up", "n_down", "m_down").toPandas().sort_values("id", ignore_index=True) for c in (curve, again))
     assert a.equals(b)
-    assert at_ranks(curve, [1, 100]).count() == 2
+    assert at_ranks(df.withColumn("x", F.col("m")), "v", "id", {"m": "x"}, [1, 100], ranges=9).count() == 2

@@ -1,12 +1,16 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+import fundpanel.session as session
 from fundpanel.session import shared_root
 from fundpanel.plans.units import UNIT35, UNIT35_NO_SURVEY_YEAR
 from fundpanel.sources import (
     by_positions, by_widths, code_table, infer_then_convert, layout_for, numbered_lines, read_csv, read_fixed,
     read_grid, read_lines_sliced, read_text_table, read_vintages, states as state_table,
 )
+from fundpanel.sources.fixed_width import parse_fixed
 from fundpanel.sources.sinks import note_of, publish, publish_vintages, stage, with_note
 from fundpanel.sources.vintages import SURVEY_FILES, TABLE_FILES, UNIT_FILES
 
@@ -119,14 +123,31 @@ def test_stage_uses_the_shared_folder(spark):
     assert note_of(with_note(df, "n")) == "n"
 
 
-def test_numbers_and_settling_without_a_shared_folder(spark, tmp_path, monkeypatch):
-    import fundpanel.session as session
-
+def test_a_cluster_must_name_its_folder(spark, monkeypatch):
     monkeypatch.setattr(session, "shared_root", lambda _: None)
-    f = tmp_path / "a.txt"
-    f.write_text("one\ntwo\n")
-    assert rows_of(numbered_lines(spark, str(f)), "row_no", "line") == [(1, "one"), (2, "two")]
-    df = spark.range(3).groupBy("id").count()
-    assert session.settled(df) is df
+    monkeypatch.setattr(session, "on_one_machine", lambda _: False)
+    with pytest.raises(ValueError):
+        session.settled(spark.range(3))
     with pytest.raises(ValueError):
-        stage(df, "x")
+        stage(spark.range(3), "x")
+
+
+def test_copies_are_removed(spark):
+    kept = session.settled(spark.range(7))
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+    assert kept.count() == 7 and os.path.isdir(folder)
+    session.clear_settled(spark)
+    assert not os.path.exists(folder)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    f = tmp_path / "b.csv"
+    f.write_text('a,b\n"one\ntwo",1\nthree,2\n')
+    assert rows_of(read_csv(spark, str(f), "a string, b int")) == [("one\ntwo", 1), ("three", 2)]
+    assert read_text_table(spark, str(f)).count() == 2
+    assert read_text_table(spark, str(f), line_breaks=False).count() == 3
+
+
+def test_whole_cells_only(spark):
+    lines = spark.createDataFrame([("1.9",), ("2.0",), ("99999999999",), ("x",)], "value string")
+    assert rows_of(parse_fixed(lines, by_widths([12], ["n"], ["int"]))) == [(2,), (None,), (None,), (None,)]
