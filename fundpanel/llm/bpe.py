@@ -43,25 +43,22 @@ _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 
 
 def chunks(raw: bytes, mean: int = MEAN, longest: int = LONGEST) -> list[bytes]:
-    """Cuts after each byte where the hash of the last 32 bytes has log2(mean) zero bits,
+    """Cuts after each byte where the hash of the last 16 bytes has log2(mean) zero bits,
     moved to the next start of a character."""
     n = len(raw)
     if n <= 32:
         return [raw] if n else []
-    data = np.frombuffer(raw, np.uint8)
-    h = _GEAR[data]
-    for k in (1, 2, 4, 8, 16):  # sums of 2, 4, .. 32 shifted gear values
-        h[k:] = h[k:] + (h[:-k] << np.uint32(k))
-    shift = np.uint32(32 - (mean.bit_length() - 1))
-    ends = np.flatnonzero(h[32:] >> shift == 0) + 33
-    starts_char = (data & 0xC0) != 0x80
+    h = _GEAR[np.frombuffer(raw, np.uint8)]
+    for k in (1, 2, 4, 8):  # sums of 2, 4, 8, 16 shifted gear values
+        h[k:] += h[:-k] << np.uint32(k)
+    ends = np.flatnonzero(h[16:] < np.uint32(1 << (32 - (mean.bit_length() - 1)))) + 17
     out, last = [], 0
     for e in [*ends.tolist(), n]:
-        while e < n and not starts_char[e]:
+        while e < n and raw[e] & 0xC0 == 0x80:
             e += 1
         while e - last > longest:
             mid = last + longest
-            while not starts_char[mid]:
+            while raw[mid] & 0xC0 == 0x80:
                 mid -= 1
             out.append(raw[last:mid])
             last = mid
@@ -89,6 +86,19 @@ def open_ends(text: str) -> tuple[str, str, str, bool]:
     return head, rest[:len(rest) - len(tail)], tail, False
 
 
+def _narrow(coder: UnitEncoder) -> bool:
+    return coder.tokenizer.get_vocab_size() <= 1 << 16
+
+
+def packed(ids: bytes, coder: UnitEncoder) -> bytes:
+    """Ids in two bytes each on the way, where the vocabulary allows it."""
+    return np.frombuffer(ids, "<u4").astype("<u2").tobytes() if _narrow(coder) else ids
+
+
+def unpacked(ids: bytes, coder: UnitEncoder) -> bytes:
+    return np.frombuffer(ids, "<u2").astype("<u4").tobytes() if _narrow(coder) else ids
+
+
 def join_runs(runs: Iterable[tuple[str, bytes, str, bool]], coder: UnitEncoder) -> bytes:
     """Ids of a text from its runs (head, core ids, tail, solid) in order."""
     out, ends = [], ""
@@ -104,7 +114,7 @@ def _results(keys: pa.Array, found: list[bytes], coder: UnitEncoder) -> Iterator
     """(key, ids, decoded) in small batches."""
     for at in range(0, len(found), OUT_ROWS):
         ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in found[at:at + OUT_ROWS]]
-        texts = [coder.tokenizer.decode(x.tolist(), skip_special_tokens=False) for x in ids]
+        texts = [coder.decode(x.tolist()) for x in ids]
         yield pa.RecordBatch.from_arrays([keys.slice(at, len(ids)), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], ["key", "ids", "decoded"])
 
 
@@ -145,7 +155,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
         for batch in batches:
             ends = [open_ends(c.as_py()) for c in batch.column("chunk")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array([x[0] for x in ends]), pa.array([coder.encode(x[1]) for x in ends], pa.binary()),
+                [batch.column("digest"), pa.array([x[0] for x in ends]), pa.array([packed(coder.encode(x[1]), coder) for x in ends], pa.binary()),
                  pa.array([x[2] for x in ends]), pa.array([x[3] for x in ends], pa.bool_())], ["digest", "r_head", "r_core", "r_tail", "r_solid"])
 
     known = staged(rows.select("text").mapInArrow(shared, "digest binary, chunk string").groupBy("digest").agg(F.first("chunk").alias("chunk"))
@@ -173,7 +183,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
                     if own_run:
                         head, core, tail, solid = open_ends(own_run.decode())
                         at.append(i)
-                        out.append((number, n, None, head, coder.encode(core), tail, solid))
+                        out.append((number, n, None, head, packed(coder.encode(core), coder), tail, solid))
                         own_run, n = b"", n + 1
                     if not end:
                         at.append(i)
@@ -217,8 +227,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
                         keys.clear()
                         found.clear()
                 last = (row["part"], row["row"], row["key"])
-                p = "r_" if row["digest"] is not None else ""
-                runs.append((row[f"{p}head"], row[f"{p}core"], row[f"{p}tail"], row[f"{p}solid"]))
+                runs.append((row["head"], unpacked(row["core"], coder), row["tail"], row["solid"]))
         if last is not None:
             close()
             yield from _results(pa.array(keys, kind), found, coder)
@@ -226,5 +235,9 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
     runs = staged(rows.mapInArrow(has_shared, f"row long, n int, key {key_type}, digest binary, head string, core binary, tail string, solid boolean")
                   .withColumn("part", F.spark_partition_id()), "runs")
     result = f"key {key_type}, ids array<int>, decoded string"
-    joined = runs.join(known, "digest", "left").repartition("part", "row").sortWithinPartitions("part", "row", "n")
+    # only references meet the encodings; encoded runs move once, to their text
+    refs = runs.filter("digest is not null").select("part", "row", "n", "key", "digest").join(known, "digest")
+    both = runs.filter("digest is null").select("part", "row", "n", "key", "head", "core", "tail", "solid").union(
+        refs.select("part", "row", "n", "key", "r_head", "r_core", "r_tail", "r_solid"))
+    joined = both.repartition("part", "row").sortWithinPartitions("part", "row", "n")
     return rows.mapInArrow(alone, result).union(joined.mapInArrow(put_together, result))
