@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -51,7 +51,7 @@ LOOK, SHORT, DROP, ODD = 1.0, 1.0, 0.5, 6.0
 SYMBOLS = 64
 LONG = 48
 
-_EDGE = re.compile(r"^[^\w@$!|+€£(]+|[^\w@$*#]+$")
+_EDGE = re.compile(r"^[^\w@$!|+€£]+|[^\w@$*#]+$")
 
 
 def symbol(c: str) -> int:
@@ -167,11 +167,38 @@ def spread_words(words: list[str]) -> list[str]:
     return out
 
 
+def _skeletons() -> dict[int, str | None]:
+    """Characters to what no reading of a lattice changes: characters that may stand for
+    each other have one symbol, separators none."""
+    root = {c: c for c in [*LOOKS, *"".join(LOOKS.values())]}
+
+    def find(c: str) -> str:
+        while root[c] != c:
+            c = root[c]
+        return c
+
+    for c, letters in LOOKS.items():
+        for x in letters:
+            root[find(x)] = find(c)
+    return {ord(c): find(c) for c in root} | {ord(c): None for c in SEPARATORS}
+
+
+_SKELETON, _RUN = _skeletons(), re.compile(r"(.)\1+", re.S)
+
+
+def skeleton(word: str) -> str:
+    """The same for all readings of a word; that of a beginning begins the word's."""
+    return _RUN.sub(r"\1", word.translate(_SKELETON))
+
+
 class Restorer:
-    """Restored words with a bounded cache."""
+    """Restored words with a bounded cache. Where only some features matter, words that
+    no reading can give such a feature are left as they are: their skeleton tells."""
 
-    def __init__(self, cost: np.ndarray, keep: int = 300_000) -> None:
+    def __init__(self, cost: np.ndarray, wanted: Iterable[str] | None = None, keep: int = 300_000) -> None:
         self.cost, self.keep, self.cache = cost, keep, {}
+        self.starts = None if wanted is None else {skeleton(f.rstrip("…")) for f in wanted}
+        self.lengths = sorted({len(s) for s in self.starts or ()})
 
     def word(self, w: str) -> str:
         got = self.cache.get(w)
@@ -179,6 +206,11 @@ class Restorer:
             if len(self.cache) > self.keep:
                 self.cache.clear()
             core = _EDGE.sub("", w)
+            if self.starts is not None:
+                own = skeleton(core)
+                if not any(own[:k] in self.starts for k in self.lengths):
+                    self.cache[w] = core
+                    return core
             got = self.cache[w] = restore(core, self.cost) if 0 < len(core) <= LONG else core
         return got
 
@@ -253,7 +285,7 @@ def score_text(model: Model, restorer: Restorer, text: str | None) -> float:
 def scored(model: Model, text: Column) -> Column:
     """Score of a text column, 0 to 1."""
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        restorer = Restorer(model.cost)
+        restorer = Restorer(model.cost, model.shares)
         for texts in batches:
             yield pd.Series([score_text(model, restorer, t) for t in texts], dtype="float64")
 
