@@ -13,13 +13,17 @@ Large groups cost no more than their size:
 * documents with equal sets are one node, whatever their number;
 * in a prefix token's list every node is first held against the list's smallest node
   only. Nodes that link form components. Then only nodes of different components are
-  paired, and lists that lie within one component are left out altogether. A pair that is
-  not formed lies in one component, so components are those of all links.
+  paired, and lists that lie within one component are left out altogether;
+* of the pairs between two components the one with most shared tokens is verified first,
+  as one link joins them. Where it does not link, more are, and in the end all.
+
+A pair that is not verified lies in one component, so components are those of all links.
 
 The order is a matter of cost only: any order gives the same links. Counts come from all
-documents: tokens that stand in at least OFTEN documents of a batch are summed over
+documents: tokens that stand in at least OFTEN different sets of a batch are summed over
 batches, and the HEAVY most frequent are kept, which bounds what every task gets.
-Candidates are verified on their whole sets. Nodes are told apart by 64-bit hashes.
+Candidates are verified on their whole sets. Nodes are told apart by 64-bit hashes,
+tokens in verification by 48 bits.
 
 Defined results: documents without words (null, empty or white space) have empty sets,
 link with nothing and are their own component. Repeated rows have equal sets. A null id
@@ -40,7 +44,9 @@ from pyspark.sql import functions as F
 from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged
 
 WORDS, PERCENT = 5, 75
-OFTEN, HEAVY, MOST_MATCHES = 3, 1 << 18, 4
+OFTEN, HEAVY, MOST_MATCHES = 2, 1 << 19, 4
+#: How many pairs of two components are verified in a round; None: all that are left.
+ROUNDS = (1, 16, None)
 #: What one candidate costs against one row of the index.
 VERIFY = 20.0
 
@@ -106,7 +112,8 @@ def signed(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
             keys = batch.column("key")
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64())], ["kind", "key", "n", "sig"])
             if sets:
-                tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+                distinct = {signature(s): s for s in sets}
+                tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
                 tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), pa.nulls(len(tokens), keys.type), pa.array(counts), pa.array(tokens)], ["kind", "key", "n", "sig"])
 
@@ -140,8 +147,8 @@ def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray,
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame, words: int) -> DataFrame:
-    """(sig, tokens) of the wanted sigs. A bounded sketch of them says which texts to
-    send; what it lets through too often is dropped by the join."""
+    """(sig, tokens) of the wanted sigs and perhaps a few others: a bounded sketch of the
+    wanted ones says which texts to send. tokens: whole sets, the low 48 bits of each."""
     sketch = key_sketch(wanted, "sig")
 
     def run(batches: Batches) -> Batches:
@@ -155,41 +162,72 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame, words: int) -> DataFr
                     keep.append(k)
             for a in range(0, len(keep), 500):
                 own = keep[a:a + 500]
-                yield pa.RecordBatch.from_arrays([pa.array(sigs[own]), pa.array([sets[k] for k in own], pa.list_(pa.int64()))], ["sig", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(sigs[own]), pa.array([_pack(sets[k]) for k in own], pa.binary())], ["sig", "tokens"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "sig long, tokens binary").groupBy("sig").agg(F.first("tokens").alias("tokens"))
+
+
+def _pack(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<i8").reshape(-1)
 
-    return (docs.select(F.col(text).alias("text")).mapInArrow(run, "sig long, tokens array<long>")
-            .join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("tokens").alias("tokens")))
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
 
-def verified(docs: DataFrame, text: str, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    pairs = staged(pairs.select("a", "b"), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    own = staged(sets_of(docs, text, wanted, words), "sets")
+
+def verified(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link. own: (sig, tokens). Sets move to their
+    name, and from there each b's once to its a."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             keep = []
             x, y = batch.column("x"), batch.column("y")
             for k in range(batch.num_rows):
-                p, q = x[k].values.to_numpy(), y[k].values.to_numpy()
+                p, q = _unpack(x[k].as_py()), _unpack(y[k].as_py())
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = (pairs.join(own.select(F.col("sig").alias("a"), F.col("tokens").alias("x")), "a")
-              .join(own.select(F.col("sig").alias("b"), F.col("tokens").alias("y")), "b"))
+    members = pairs.join(own.withColumnsRenamed({"sig": "b", "tokens": "y"}), "b")
+    leaders = own.join(pairs.select(F.col("a").alias("sig")).distinct(), "sig", "left_semi").withColumnsRenamed({"sig": "a", "tokens": "x"})
+    joined = members.join(leaders, "a")
     return staged(joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def _across(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs of different components, with these in order."""
+    for end in ("a", "b"):
+        of = nodes.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(of, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.filter("of_a <> of_b").select("a", "b", "part", F.least("of_a", "of_b").alias("c1"), F.greatest("of_a", "of_b").alias("c2"))
+
+
 def _near(percent: int) -> Callable[[str, str], F.Column]:
     return lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _enough(percent: int) -> F.Column:
+    """Whether prefixes share enough tokens. Of the two prefixes one ends first in the
+    order; all its tokens that the other set has are in the other prefix. So the overlap is
+    at most the shared prefix tokens and what is left of that set, and has to reach the
+    least overlap of sets of these sizes. Either prefix may be the one, so the larger rest
+    counts. This asks for min(l, m) tokens at least."""
+    least = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent) - F.lit(1e-9))
+    rest = [F.ceil(F.col(n) * percent / 100 - F.lit(1e-9)) - F.col(m) for n, m in (("n1", "l1"), ("n2", "l2"))]
+    return (F.col("shared") >= F.least("l1", "l2")) & (F.col("shared") + F.greatest(*rest) >= least)
+
+
 def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n, component, node, group): set size, the smallest key reachable by links, the
     set's hash and the smallest hash reachable (null for empty sets). One row per document."""
-    near = _near(percent)
+    near, enough = _near(percent), _enough(percent)
     all_rows = staged(signed(docs, text, key, words), "sets-signed")
     top = (all_rows.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "sig").limit(HEAVY).toPandas().sort_values("sig"))
@@ -202,9 +240,10 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
         .filter("last <> lead.sig and (before is null or before <> sig)").drop("before", "last"), "lists")
 
     first = (lists.filter(F.col("sig") != F.col("lead.sig")).filter(near(F.col("n"), F.col("lead.n")))
-             .groupBy(F.col("lead.sig").alias("a"), F.col("sig").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "lead.l")).alias("least"))
-             .filter("shared >= least"))
-    links = verified(docs, text, first, words, percent)
+             .groupBy(F.col("lead.sig").alias("a"), F.col("sig").alias("b"), F.col("lead.n").alias("n1"), F.col("n").alias("n2"), F.col("lead.l").alias("l1"), F.col("l").alias("l2"))
+             .agg(F.count("*").alias("shared")).filter(enough))
+    first = staged(first.select("a", "b"), "candidates")
+    links = verified(first, sets_of(docs, text, nodes_of(first), words), percent)
 
     known = components(links)
     placed = lists.drop("lead").join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
@@ -214,10 +253,21 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     a = left.select("token", F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("l").alias("l1"), F.col("component").alias("c1"))
     b = left.select("token", F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("component").alias("c2"))
     second = (a.join(b, "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2")).filter(near(F.col("n1"), F.col("n2")))
-              .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l1", "l2")).alias("least")).filter("shared >= least"))
-    links = links.union(verified(docs, text, second, words, percent))
-
-    nodes = components(links).withColumnRenamed("node", "sig")
+              .groupBy("a", "b", "n1", "n2", "l1", "l2").agg(F.count("*").alias("shared")).filter(enough))
+    second = staged(second.select("a", "b", (F.col("shared") / F.least("n1", "n2")).alias("part")), "candidates")
+    own = staged(sets_of(docs, text, nodes_of(second), words), "sets")
+    nodes = components(links)
+    for most in ROUNDS:
+        second = _across(second, nodes)
+        place = F.row_number().over(Window.partitionBy("c1", "c2").orderBy(F.desc("part"), "a", "b"))
+        tried = second if most is None else second.withColumn("place", place).filter(F.col("place") <= most)
+        tried = staged(tried.select("a", "b"), "tried")
+        if tried.isEmpty():
+            break
+        second = second.join(tried, ["a", "b"], "left_anti").select("a", "b", "part")
+        links = links.union(verified(tried, own, percent))
+        nodes = components(links)
+    nodes = nodes.withColumnRenamed("node", "sig")
     own = all_rows.filter("kind = 0").select("key", "n", "sig")
     least = (own.filter("n > 0").groupBy("sig").agg(F.min("key").alias("low"))
              .join(nodes, "sig", "left").withColumn("group", F.coalesce("component", "sig")))
