@@ -59,11 +59,9 @@ def half_keys(words: list[bytes]) -> list[int]:
     """Hashes of the halves of which a line within one edit has at least one. With the
     shorter of two lines n words long, they agree in the first n // 2 words or in the last
     (n - 1) // 2; a line of n words may be the shorter or the longer one."""
-    n, out = len(words), set()
-    for m in (n, n - 1):
-        out.add(xxhash.xxh3_64_intdigest(b"<" + b" ".join(words[:m // 2])) - (1 << 63))
-        out.add(xxhash.xxh3_64_intdigest(b">" + b" ".join(words[n - (m - 1) // 2:])) - (1 << 63))
-    return list(out)
+    n = len(words)
+    out = [xxhash.xxh3_64_intdigest(b"<" + b" ".join(words[:k])) - (1 << 63) for k in {n // 2, (n - 1) // 2}]
+    return out + [xxhash.xxh3_64_intdigest(b">" + b" ".join(words[n - k:])) - (1 << 63) for k in {(n - 1) // 2, (n - 2) // 2}]
 
 
 def variants(words: list[bytes]) -> np.ndarray:
@@ -116,7 +114,7 @@ def neighbourhoods(docs: DataFrame, text: str, sketch: bytes) -> DataFrame:
     """(h, variant, place, words): neighbourhoods of the lines that share a half; words only
     in the row of the line itself. A line that a task has written is not written again."""
     def run(batches: Batches) -> Batches:
-        bits, seen = np.frombuffer(sketch, np.uint32), set()
+        mask, seen = 8 * len(sketch) - 1, set()
         for batch in batches:
             h, v, p, w = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], []
             lengths = []
@@ -125,7 +123,8 @@ def neighbourhoods(docs: DataFrame, text: str, sketch: bytes) -> DataFrame:
                     if len(words) < NEAR_WORDS:
                         continue
                     own = line_hash(words)
-                    if own in seen or not in_sketch(bits, np.array(half_keys(words), np.int64)).any():
+                    # the sketch's bits are in little-endian words, so also in its bytes
+                    if own in seen or not any(sketch[(k & mask) >> 3] >> (k & 7) & 1 for k in half_keys(words)):
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(own)
@@ -142,17 +141,27 @@ def neighbourhoods(docs: DataFrame, text: str, sketch: bytes) -> DataFrame:
 def near_links(docs: DataFrame, text: str, occurring: DataFrame) -> DataFrame:
     """(a, b): hashes of lines within one edit of each other, enough of them to connect
     every two lines that are within the bound."""
-    halves = (occurring.filter(F.size("halves") > 0).select("h", F.explode("halves").alias("half")).distinct()
-              .groupBy("half").count().filter("count > 1"))
+    several = F.min("h") != F.max("h")
+    halves = occurring.select("h", F.explode("halves").alias("half")).groupBy("half").agg(several.alias("several")).filter("several")
     found = staged(neighbourhoods(docs, text, key_sketch(halves, "half")), "neighbourhoods")
-    keys = found.select("h", "variant", "place").distinct()
+    # most variants are met by one line only; their rows are not moved again
+    met = key_sketch(found.groupBy("variant").agg(several.alias("several")).filter("several"), "variant")
+
+    def some(batches: Batches) -> Batches:
+        bits = np.frombuffer(met, np.uint32)
+        for batch in batches:
+            yield batch.filter(pa.array(in_sketch(bits, batch.column("variant").to_numpy())))
+
+    keys = staged(found.select("h", "variant", "place").mapInArrow(some, "h long, variant long, place int").distinct(), "variants")
     deleted = keys.filter("place >= 0")
     whole = keys.filter("place = -1").select(F.col("h").alias("b"), "variant")
     shorter = deleted.join(whole, "variant").select(F.col("h").alias("a"), "b")
     leads = deleted.groupBy("variant", "place").agg(F.min("h").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
     replaced = deleted.join(leads, ["variant", "place"]).select(F.col("h").alias("a"), "b")
     pairs = shorter.union(replaced).filter("a <> b").distinct()
-    words = found.filter("place = -1").groupBy("h").agg(F.first("words").alias("words"))
+    pairs = staged(pairs, "pairs")
+    words = (found.filter("place = -1").select("h", "words")
+             .join(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "h", "left_semi").groupBy("h").agg(F.first("words").alias("words")))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -183,6 +192,8 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     stand earlier. A text whose lines all go is empty."""
     gone = repeated_lines(docs, text, key).groupBy("key", "doc").agg(F.collect_set("line").alias("gone"))
     row, lost = fresh(docs, "row_hash"), fresh(docs, "lost_lines")
+    gone = staged(gone.select(F.xxhash64("key", "doc").alias(row), F.col("gone").alias(lost)), "gone")
+    sketch = key_sketch(gone, row)
 
     def hashes(texts: pd.Series) -> pd.Series:
         return pd.Series([xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "surrogatepass")) - (1 << 63) for t in texts], dtype="int64")
@@ -196,7 +207,12 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    gone = gone.select(F.xxhash64("key", "doc").alias(row), F.col("gone").alias(lost))
+    def touched(rows: pd.Series) -> pd.Series:
+        return pd.Series(in_sketch(np.frombuffer(sketch, np.uint32), rows.to_numpy(np.int64)))
+
+    # only texts that lose a line are moved to their list of lines
     own = docs.withColumn(row, F.xxhash64(F.col(key), F.pandas_udf(hashes, "long")(F.col(text))))
-    joined = own.join(gone, row, "left")
-    return joined.withColumn(text, F.pandas_udf(cut, "string")(F.col(text), F.col(lost))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    hit = F.pandas_udf(touched, "boolean")(F.col(row))
+    joined = own.filter(hit).join(gone, row, "left").withColumn(text, F.pandas_udf(cut, "string")(F.col(text), F.col(lost)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return own.filter(~hit).select(*columns).union(joined.select(*columns))
