@@ -101,7 +101,7 @@ class UnitEncoder:
 
     loaded: dict[str, UnitEncoder] = {}
 
-    def __init__(self, path: str, keep: int = 400_000) -> None:
+    def __init__(self, path: str, keep: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -109,6 +109,7 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.keep, self.cache, self.ranked = keep, {}, ranked_encoding(path)
+        self.tokens = {i: t for t, i in self.tokenizer.get_vocab().items()}
 
     @classmethod
     def of(cls, path: str) -> UnitEncoder:
@@ -140,6 +141,14 @@ class UnitEncoder:
             return b"".join([self.cache[u] if f is None else f for u, f in zip(units, found, strict=True)])
 
 
+    def decode(self, ids: list[int]) -> str:
+        """tokenizers' decoding, special tokens included. Without a decoder in the file
+        that is the tokens with blanks between them."""
+        if self.tokenizer.decoder is not None:
+            return self.tokenizer.decode(ids, skip_special_tokens=False)
+        return " ".join([self.tokens[i] for i in ids])
+
+
 def ranked_encoding(path: str):
     """tiktoken's encoding with a file's vocabulary, or None where the file is anything
     but byte-level BPE with its usual pattern, no normalizer and ids in merge order."""
@@ -194,7 +203,7 @@ def numbered(df: DataFrame, group: str, order: Column, out: str, buckets: int =
     b, r, o = f"{out}_bucket", f"{out}_row", f"{out}_order"
     at = F.pmod(F.xxhash64(o), F.lit(buckets))
     if spread is not None:
-        salt = F.when(spread, at).otherwise(F.lit(0))
+        salt = F.when(spread, 1 + F.pmod(at, F.lit(buckets - 1))).otherwise(F.lit(0))
         at = F.pmod(F.xxhash64("hub"), F.lit(buckets)) * buckets + salt
     if first is not None:
         at = at + F.when(first, F.lit(buckets * buckets)).otherwise(F.lit(0))

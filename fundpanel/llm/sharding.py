@@ -4,8 +4,7 @@ Documents that stand in a common group (here: equal texts) are linked through th
 group, so a group of n documents has n links and not n * n. Every document starts in the
 shard that a hash of its row names. In each round a group's members want to go where
 most of them are, full shards and those in them aside; how many may go into a shard is
-limited by its quota, the rows of an even share less the linked ones that it holds, with
-a part of what wants to leave it. Where more want to come, a hash picks whole groups, or
+limited by its quota, the rows of an even share less those that want to stay. Where more want to come, a hash picks whole groups, or
 single rows of a group that is large against a shard. So a group larger than a shard
 fills one after the other. Rounds end when nobody wants to move, or after ROUNDS.
 
@@ -47,26 +46,29 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
     share = total / shards
     sizes = rows.groupBy("hub").agg(F.count("*").alias("hub_rows"))
     state = staged(rows.join(sizes, "hub").withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")), "labels")
+    full: list[int] = []
     for k in range(rounds):
-        held = {r["shard"]: r["n"] for r in state.filter("hub_rows > 1").groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        full = [s for s, n in held.items() if n >= FULL * share]
         votes = state.filter((F.col("hub_rows") > 1) & ~F.col("shard").isin(*full, -1)).groupBy("hub", "shard").agg(F.count("*").alias("votes"))
         most = (votes.groupBy("hub").agg(F.max(F.struct("votes", F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("m"))
                 .select("hub", F.col("m.shard").alias("goal")))
         wished = staged(votes.join(most, "hub"), "wishes")
-        flows = wished.filter("shard <> goal").groupBy("shard", "goal").agg(F.sum("votes").alias("n")).collect()
-        if not flows:
+        flows = wished.groupBy("shard", "goal").agg(F.sum("votes").alias("n")).collect()
+        if not any(f["shard"] != f["goal"] for f in flows):
             break
-        parts = {}
+        parts, filled = {}, []
         for t in range(shards):
-            come, go = sum(f["n"] for f in flows if f["goal"] == t), sum(f["n"] for f in flows if f["shard"] == t)
-            room = max(0.0, share - held.get(t, 0) + 0.5 * go)
+            come = sum(f["n"] for f in flows if f["goal"] == t != f["shard"])
+            stay = sum(f["n"] for f in flows if f["goal"] == t == f["shard"])
+            room = max(0.0, share - stay)
             parts[t] = 1.0 if come <= room else room / come
+            if stay + come * parts[t] >= FULL * share:
+                filled.append(t)
         quota = F.element_at(F.create_map(*[F.lit(x) for t, p in parts.items() for x in (t, p)]), F.col("goal"))
         pick = F.when(F.col("hub_rows") > LARGE * share, _unit(F.col("row"), F.lit(k))).otherwise(_unit(F.col("hub"), F.lit(k)))
         moves = F.col("goal").isNotNull() & ~F.col("shard").isin(*full, -1) & (pick < quota)
         moved = state.join(wished.select("hub", "goal").distinct(), "hub", "left").withColumn("shard", F.when(moves, F.col("goal")).otherwise(F.col("shard")))
         state = staged(moved.select(state.columns), "labels")
+        full += filled
     return state
 
 
