@@ -11,9 +11,13 @@ document whose prefix holds frequent tokens takes a larger l, by estimated cost.
 Large groups cost no more than their size:
 
 * documents with equal sets are one node, whatever their number;
-* in a prefix token's list every node is first held against the list's smallest node
-  only. Nodes that link form components. Then only nodes of different components are
-  paired, and lists that lie within one component are left out altogether;
+* in a prefix token's list every node is first held against one lead only: the node with
+  the smallest part of tokens that no other set has, as the original of many edited copies
+  is nearer to each than they are to each other. Nodes that link form components. Then
+  only nodes of different components are paired, and lists that lie within one component
+  are left out altogether;
+* lists of tokens counted HOT times or more are dealt over SALTS parts, and the leads of
+  the parts give the list's lead;
 * of the pairs between two components the one with most shared tokens is verified first,
   as one link joins them. Where it does not link, more are, and in the end all.
 
@@ -45,6 +49,7 @@ from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, stage
 
 WORDS, PERCENT = 5, 75
 OFTEN, HEAVY, MOST_MATCHES = 2, 1 << 19, 4
+HOT, SALTS = 10_000, 64
 #: How many pairs of two components are verified in a round; None: all that are left.
 ROUNDS = (1, 16, None)
 #: What one candidate costs against one row of the index.
@@ -76,21 +81,32 @@ def signature(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def counted(tokens: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each token was counted, 1 if it is not among the sorted heavy ones."""
+    if not len(heavy):
+        return np.ones(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
+    return np.where(heavy[at] == tokens, counts[at], 1)
+
+
 def prefix(tokens: np.ndarray, heavy: np.ndarray, counts: np.ndarray, percent: int = PERCENT, most: int = MOST_MATCHES) -> tuple[np.ndarray, int]:
     """(tokens of the chosen l-prefix, l). heavy: sorted tokens, counts: theirs."""
+    at, choice = prefix_places(tokens, counted(tokens, heavy, counts), percent, most)
+    return tokens[at], choice
+
+
+def prefix_places(tokens: np.ndarray, often: np.ndarray, percent: int, most: int = MOST_MATCHES) -> tuple[np.ndarray, int]:
     n = len(tokens)
     least = -(-percent * n // 100)
-    at = np.searchsorted(heavy, tokens) if len(heavy) else np.zeros(n, np.int64)
-    often = np.where((at < len(heavy)) & (heavy[np.minimum(at, len(heavy) - 1)] == tokens), counts[np.minimum(at, len(heavy) - 1)], 1) if len(heavy) else np.ones(n, np.int64)
     order = np.lexsort((tokens, often))
-    ordered, cost = tokens[order], np.cumsum(often[order] - 1)
+    cost = np.cumsum(often[order] - 1)
     best, choice = None, 1
     for m in range(1, min(most, least) + 1):
         size = n - least + m
         price = size + VERIFY * cost[size - 1] / m**2
         if best is None or price < best:
             best, choice = price, m
-    return ordered[:n - least + choice], choice
+    return order[:n - least + choice], choice
 
 
 Batches = Iterator[pa.RecordBatch]
@@ -121,29 +137,37 @@ def signed(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(token, sig, n, l) for the prefix tokens of every set; one that a task has seen is
-    not written again."""
+    """(token, salt, sig, n, l, rare) for the prefix tokens of every set; one that a task
+    has seen is not written again. salt: part of a hot token's list, 0 for all others;
+    rare: tokens of the set that were not counted often, in thousandths."""
+    hot, salts_of = HOT, SALTS
+
     def run(batches: Batches) -> Batches:
         seen: set[int] = set()
         for _, sets in _sets(batches, words):
-            tokens, sigs, sizes, matches = [np.zeros(0, np.int64)], [], [], []
-            lengths = []
+            tokens, salts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            sigs, sizes, matches, rare, lengths = [], [], [], [], []
             for s in sets:
                 sig = signature(s)
                 if not len(s) or sig in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(sig)
-                own, m = prefix(s, heavy, counts, percent)
-                tokens.append(own)
-                lengths.append(len(own))
+                often = counted(s, heavy, counts)
+                at, m = prefix_places(s, often, percent)
+                tokens.append(s[at])
+                salts.append(np.where(often[at] >= hot, 1 + sig % salts_of, 0).astype(np.int32))
+                lengths.append(len(at))
                 sigs.append(sig)
                 sizes.append(len(s))
                 matches.append(m)
+                rare.append(1000 * int((often < OFTEN).sum()) // len(s))
             spread = lambda x, t: pa.array(np.repeat(np.array(x, t), lengths))  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), spread(sigs, np.int64), spread(sizes, np.int32), spread(matches, np.int32)], ["token", "sig", "n", "l"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(salts)), spread(sigs, np.int64), spread(sizes, np.int32), spread(matches, np.int16), spread(rare, np.int16)],
+                ["token", "salt", "sig", "n", "l", "rare"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "token long, sig long, n int, l int")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "token long, salt int, sig long, n int, l short, rare short")
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame, words: int) -> DataFrame:
@@ -233,20 +257,24 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
            .orderBy(F.desc("n"), "sig").limit(HEAVY).toPandas().sort_values("sig"))
     heavy, counts = top["sig"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
-    token = Window.partitionBy("token")
+    part = Window.partitionBy("token", "salt")
     lists = staged(
         postings(docs, text, heavy, counts, words, percent)
-        .select("*", F.lag("sig").over(token.orderBy("sig")).alias("before"), F.max("sig").over(token).alias("last"), F.min(F.struct("sig", "n", "l")).over(token).alias("lead"))
-        .filter("last <> lead.sig and (before is null or before <> sig)").drop("before", "last"), "lists")
-
-    first = (lists.filter(F.col("sig") != F.col("lead.sig")).filter(near(F.col("n"), F.col("lead.n")))
+        .select("*", F.lag("sig").over(part.orderBy("sig")).alias("before"), F.min("sig").over(part).alias("low"), F.max("sig").over(part).alias("high"),
+                F.min(F.struct("rare", "sig", "n", "l")).over(part).alias("lead"))
+        .filter("(salt > 0 or low <> high) and (before is null or before <> sig)").drop("before", "low", "high", "rare"), "lists")
+    hot = lists.filter("salt > 0")
+    hot = hot.drop("lead").join(hot.groupBy("token").agg(F.min("lead").alias("lead")), "token")
+    led = lists.filter("salt = 0").unionByName(hot)
+
+    first = (led.filter(F.col("sig") != F.col("lead.sig")).filter(near(F.col("n"), F.col("lead.n")))
              .groupBy(F.col("lead.sig").alias("a"), F.col("sig").alias("b"), F.col("lead.n").alias("n1"), F.col("n").alias("n2"), F.col("lead.l").alias("l1"), F.col("l").alias("l2"))
              .agg(F.count("*").alias("shared")).filter(enough))
     first = staged(first.select("a", "b"), "candidates")
     links = verified(first, sets_of(docs, text, nodes_of(first), words), percent)
 
     known = components(links)
-    placed = lists.drop("lead").join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    placed = lists.drop("lead", "salt").join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     placed = staged(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     left = placed.join(mixed, "token")

@@ -459,6 +459,16 @@ def test_links_are_those_of_all_pairs(spark, docs, monkeypatch, often):
         assert got == _plain_components(own)
 
 
+@pytest.mark.parametrize("hot, salts", [(2, 3), (10, 64)])
+def test_links_do_not_depend_on_how_hot_lists_are_dealt(spark, monkeypatch, hot, salts):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "SALTS", salts)
+    texts = _near_copies(12, groups=4, size=60)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["key"]: (r["n"], r["component"]) for r in ngram_join.similar(frame).collect()}
+    assert got == _plain_components(texts)
+
+
 def test_prefixes_share_as_many_tokens_as_asked():
     rng = np.random.default_rng(9)
     heavy = np.unique(rng.integers(0, 400, 60))
