@@ -16,6 +16,9 @@ Large groups cost no more than their size:
   is nearer to each than they are to each other. Nodes that link form components. Then
   only nodes of different components are paired, and lists that lie within one component
   are left out altogether;
+* these pairs are first held against the parities of their sets' tokens in 64 * PARITIES
+  classes: as many tokens at least stand in one set only as parities differ, so pairs
+  with more differences than linked sets can have are left out before they are counted;
 * lists of tokens counted HOT times or more are dealt over SALTS parts, and the leads of
   the parts give the list's lead;
 * of the pairs between two components the one with most shared tokens is verified first,
@@ -50,6 +53,8 @@ from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, stage
 WORDS, PERCENT = 5, 75
 OFTEN, HEAVY, MOST_MATCHES = 2, 1 << 19, 4
 HOT, SALTS = 10_000, 64
+PARITIES = 4
+BITS = [f"bits{k}" for k in range(PARITIES)]
 #: How many pairs of two components are verified in a round; None: all that are left.
 ROUNDS = (1, 16, None)
 #: What one candidate costs against one row of the index.
@@ -81,6 +86,12 @@ def signature(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Whether each of 64 * PARITIES classes has an odd number of tokens, as 64-bit words."""
+    odd = np.bincount(tokens & (64 * PARITIES - 1), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def counted(tokens: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """How often each token was counted, 1 if it is not among the sorted heavy ones."""
     if not len(heavy):
@@ -118,20 +129,24 @@ def _sets(batches: Batches, words: int) -> Iterator[tuple[pa.RecordBatch, list[n
 
 
 def signed(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
-    """(kind 0, key, n, sig) of every document; (kind 1, token as sig, count as n) of the
+    """(kind 0, key, n, sig, BITS) of every document; (kind 1, token as sig, count as n) of the
     tokens that are frequent in a batch."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = f"kind int, key {rows.schema['key'].dataType.simpleString()}, n long, sig long"
+    schema = f"kind int, key {rows.schema['key'].dataType.simpleString()}, n long, sig long, " + ", ".join(f"{b} long" for b in BITS)
+    names = ["kind", "key", "n", "sig", *BITS]
 
     def run(batches: Batches) -> Batches:
         for batch, sets in _sets(batches, words):
             keys = batch.column("key")
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int32)), keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64())], ["kind", "key", "n", "sig"])
+            odd = np.array([parities(s) for s in sets], np.int64).reshape(-1, PARITIES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(sets), np.int32)), keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64()), *[pa.array(x) for x in odd.T]], names)
             if sets:
                 distinct = {signature(s): s for s in sets}
                 tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
                 tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), pa.nulls(len(tokens), keys.type), pa.array(counts), pa.array(tokens)], ["kind", "key", "n", "sig"])
+                none = pa.nulls(len(tokens), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), pa.nulls(len(tokens), keys.type), pa.array(counts), pa.array(tokens), *[none] * PARITIES], names)
 
     return rows.mapInArrow(run, schema)
 
@@ -237,15 +252,25 @@ def _near(percent: int) -> Callable[[str, str], F.Column]:
     return lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _least(percent: int) -> F.Column:
+    """The least overlap of sets of n1 and n2 tokens that link."""
+    return F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent) - F.lit(1e-9))
+
+
+def _alike(percent: int) -> F.Column:
+    """Whether no more parities differ than sets that link have tokens apart."""
+    apart = sum((F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS), F.lit(0))
+    return apart <= F.col("n1") + F.col("n2") - 2 * _least(percent)
+
+
 def _enough(percent: int) -> F.Column:
     """Whether prefixes share enough tokens. Of the two prefixes one ends first in the
     order; all its tokens that the other set has are in the other prefix. So the overlap is
     at most the shared prefix tokens and what is left of that set, and has to reach the
     least overlap of sets of these sizes. Either prefix may be the one, so the larger rest
     counts. This asks for min(l, m) tokens at least."""
-    least = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent) - F.lit(1e-9))
     rest = [F.ceil(F.col(n) * percent / 100 - F.lit(1e-9)) - F.col(m) for n, m in (("n1", "l1"), ("n2", "l2"))]
-    return (F.col("shared") >= F.least("l1", "l2")) & (F.col("shared") + F.greatest(*rest) >= least)
+    return (F.col("shared") >= F.least("l1", "l2")) & (F.col("shared") + F.greatest(*rest) >= _least(percent))
 
 
 def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -277,10 +302,11 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     placed = lists.drop("lead", "salt").join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     placed = staged(placed, "placed")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
-    left = placed.join(mixed, "token")
-    a = left.select("token", F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("l").alias("l1"), F.col("component").alias("c1"))
-    b = left.select("token", F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("component").alias("c2"))
-    second = (a.join(b, "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2")).filter(near(F.col("n1"), F.col("n2")))
+    odd = all_rows.filter("kind = 0").groupBy("sig").agg(*[F.first(b).alias(b) for b in BITS])
+    left = placed.join(mixed, "token").join(odd, "sig")
+    a = left.select("token", F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("l").alias("l1"), F.col("component").alias("c1"), *[F.col(x).alias(f"{x}_a") for x in BITS])
+    b = left.select("token", F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("component").alias("c2"), *[F.col(x).alias(f"{x}_b") for x in BITS])
+    second = (a.join(b, "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2")).filter(near(F.col("n1"), F.col("n2"))).filter(_alike(percent))
               .groupBy("a", "b", "n1", "n2", "l1", "l2").agg(F.count("*").alias("shared")).filter(enough))
     second = staged(second.select("a", "b", (F.col("shared") / F.least("n1", "n2")).alias("part")), "candidates")
     own = staged(sets_of(docs, text, nodes_of(second), words), "sets")

@@ -485,6 +485,15 @@ def test_prefixes_share_as_many_tokens_as_asked():
     assert tried > 50
 
 
+def test_parities_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(-(2**62), 2**62, rng.integers(0, 400))) for _ in range(2))
+        b = np.unique(np.concatenate([b[:40], a[rng.random(len(a)) < 0.8]]))
+        differ = sum(int(x).bit_count() for x in (ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_joins_of_odd_rows(spark, odd):
     got = ngram_join.similar(odd).collect()
     assert len(got) == odd.count()
