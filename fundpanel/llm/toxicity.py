@@ -167,9 +167,9 @@ def spread_words(words: list[str]) -> list[str]:
     return out
 
 
-def _skeletons() -> dict[int, str | None]:
+def _skeletons() -> dict[str, str]:
     """Characters to what no reading of a lattice changes: characters that may stand for
-    each other have one symbol, separators none."""
+    each other have one symbol."""
     root = {c: c for c in [*LOOKS, *"".join(LOOKS.values())]}
 
     def find(c: str) -> str:
@@ -180,25 +180,48 @@ def _skeletons() -> dict[int, str | None]:
     for c, letters in LOOKS.items():
         for x in letters:
             root[find(x)] = find(c)
-    return {ord(c): find(c) for c in root} | {ord(c): None for c in SEPARATORS}
+    return {c: find(c) for c in root}
 
 
-_SKELETON, _RUN = _skeletons(), re.compile(r"(.)\1+", re.S)
+_SYMBOLS, _RUN = _skeletons(), re.compile(r"(.)\1+", re.S)
+#: Separators have none, but for those that are look-alikes as well.
+_SKELETON = {ord(c): s for c, s in _SYMBOLS.items()} | {ord(c): None for c in SEPARATORS - set(LOOKS)}
 
 
 def skeleton(word: str) -> str:
-    """The same for all readings of a word; that of a beginning begins the word's."""
+    """The same for all readings of a word that drop no look-alike; that of a beginning
+    begins the word's."""
     return _RUN.sub(r"\1", word.translate(_SKELETON))
 
 
 class Restorer:
     """Restored words with a bounded cache. Where only some features matter, words that
-    no reading can give such a feature are left as they are: their skeleton tells."""
+    no reading can give such a feature are left as they are: their skeletons tell."""
 
     def __init__(self, cost: np.ndarray, wanted: Iterable[str] | None = None, keep: int = 300_000) -> None:
         self.cost, self.keep, self.cache = cost, keep, {}
         self.starts = None if wanted is None else {skeleton(f.rstrip("…")) for f in wanted}
         self.lengths = sorted({len(s) for s in self.starts or ()})
+        self.ways_in = {s[:k] for s in self.starts or () for k in range(len(s) + 1)}
+
+    def matters(self, word: str) -> bool:
+        """Whether a reading may begin with a wanted feature. A character that is
+        look-alike and separator goes both ways; skeletons that lead nowhere are dropped."""
+        if word.isalpha():
+            own = skeleton(word)
+            return any(own[:k] in self.starts for k in self.lengths)
+        reached = {""}
+        for c in word:
+            if c in SEPARATORS and c not in LOOKS:
+                continue
+            x = _SYMBOLS.get(c, c)
+            ahead = {s if s.endswith(x) else s + x for s in reached} & self.ways_in
+            reached = ahead | reached if c in SEPARATORS else ahead
+            if not reached:
+                return False
+            if not reached.isdisjoint(self.starts):
+                return True
+        return False
 
     def word(self, w: str) -> str:
         got = self.cache.get(w)
@@ -206,11 +229,9 @@ class Restorer:
             if len(self.cache) > self.keep:
                 self.cache.clear()
             core = _EDGE.sub("", w)
-            if self.starts is not None:
-                own = skeleton(core)
-                if not any(own[:k] in self.starts for k in self.lengths):
-                    self.cache[w] = core
-                    return core
+            if self.starts is not None and not self.matters(core):
+                self.cache[w] = core
+                return core
             got = self.cache[w] = restore(core, self.cost) if 0 < len(core) <= LONG else core
         return got
 

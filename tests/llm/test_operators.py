@@ -246,6 +246,19 @@ def test_toxic_texts_are_caught_and_clean_ones_left(spark):
     assert min(scores[:2]) >= 0.7 and max(scores[2:]) == 0
 
 
+def test_skipped_words_have_no_reading_that_counts(cost):
+    """Every look-alike and separator at every place of a word, in place of a letter or
+    between two: scores with and without the filter are equal."""
+    model = toxicity.Model(cost, {"idiot": 0.9, "stupid": 0.8, "stup…": 0.95, "moron": 0.85, "worth…": 0.75, "st*ker": 0.7})
+    words = ["idiot", "stupid", "moron", "worthless", "st*ker", "hello"]
+    written = [w[:i] + c + w[i + k:] for w in words for c in {*toxicity.LOOKS, *toxicity.SEPARATORS} for i in range(len(w) + 1) for k in (0, 1)]
+    written += ["s*t*u*p*i*d", "st**pid", "*d*ot", "m*r*n", "***", "*"]
+    every, some = toxicity.Restorer(cost), toxicity.Restorer(cost, model.shares)
+    for w in written:
+        assert toxicity.score_text(model, some, w) == toxicity.score_text(model, every, w), w
+    assert all(toxicity.score_text(model, some, w) > 0.7 for w in ("st*pid", "the st*pid one", "m*ron", "stup*d"))
+
+
 def test_toxicity_of_odd_rows(spark, odd, labels):
     own = spark.createDataFrame([(0, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     kept = toxicity.clean_documents(odd, own)
