@@ -3,7 +3,9 @@
 Words may be written with look-alike characters (1d10t), spread out (s t u p i d,
 s-t-u-p-i-d) or with repeated letters (stuuupid). Each word becomes a lattice of what
 its writer may have meant: every character stands for itself or, at a price, for the
-letters it looks like, runs of a letter may be shorter, and separators may be nothing.
+letters it looks like, runs of a letter may be shorter, and separators, and the blanks
+between single characters, may be nothing or the end of a word: one written word may hold
+several.
 Viterbi search finds the likeliest reading under a character trigram model counted over
 all texts of the corpus. The restored words are then scored.
 
@@ -17,7 +19,9 @@ ln(features / DOUBT). The FEATURES strongest (by texts, then name) are kept. Cop
 one toxic text would make all its words look toxic, so of labelled texts of a kind that
 agree in the smallest hash of their 3-word shingles, or in the largest, one is counted.
 A text's score is the highest
-share among its features, 0 where it has none.
+share among its features, 0 where it has none. As trigrams alone may join words wrongly
+(a s t u p i d), a feature also counts where it begins at any place where a written word
+may have a limit: after a separator, or at a character that stands alone.
 
 Defined results: null and empty texts have no feature. Labels that are null, or of no
 document, are unused; without labels all scores are 0. Equal texts get equal scores.
@@ -25,11 +29,14 @@ document, are unused; without labels all scores are 0. Equal texts get equal sco
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property, partial
+from typing import TypeVar
 
 import numpy as np
 import pandas as pd
@@ -50,7 +57,12 @@ LOOK, SHORT, DROP, ODD = 1.0, 1.0, 0.5, 6.0
 #: Characters of the model: white space, anything else, then letters by code point.
 SYMBOLS = 64
 LONG = 48
+#: Stands for a place where a word may begin or end.
+OPEN = "\0"
+T = TypeVar("T")
 
+#: Where a word may end within a written one.
+_BREAK = re.compile(r"[\W_]")
 _EDGE = re.compile(r"^[^\w@$!|+€£]+|[^\w@$*#]+$")
 
 
@@ -84,6 +96,11 @@ class Model:
     cost: np.ndarray
     shares: dict[str, float] = field(default_factory=dict)
 
+    @cached_property
+    def lengths(self) -> list[int]:
+        """Lengths of the features that are whole words."""
+        return sorted({len(f) for f in self.shares if not f.endswith("…")})
+
 
 def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Cost in nats of a symbol after two others, from the trigrams of all texts."""
@@ -109,42 +126,59 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return -np.log(three).astype(np.float64)
 
 
-def lattice(word: str) -> list[list[tuple[str, int, float]]]:
-    """For each position: (letters written out, positions passed, price)."""
+def lattice(word: str, limits: bool = False) -> list[list[tuple[str, int, float]]]:
+    """For each position: (letters written out, positions passed, price). What is dropped
+    may end a word (a blank is written out); with limits, words go on over it and OPEN is
+    written out."""
     out, n = [], len(word)
+    gap, odd = [0] * (n + 1), [False] * (n + 1)  # separators and blanks from here on; whether not only blanks
+    for i in range(n - 1, -1, -1):
+        if word[i] == " " or word[i] in SEPARATORS:
+            gap[i], odd[i] = gap[i + 1] + 1, word[i] != " " or odd[i + 1]
+    spaced, last = " " in word, ""
     for i, c in enumerate(word):
-        ways: list[tuple[str, int, float]] = [(c, 1, 0.0 if c.isalpha() else ODD)]
+        ways: list[tuple[str, int, float]] = [] if c == " " else [(c, 1, 0.0 if c.isalpha() else ODD)]
         for letter in LOOKS.get(c, ""):
             ways.append((letter, 1, LOOK))
-        if c in SEPARATORS:
-            ways.append(("", 1, DROP))
-        run = 1
-        while i + run < n and word[i + run] == c:
-            run += 1
-        if run > 1 and (i == 0 or word[i - 1] != c):
-            for letter in [c, *LOOKS.get(c, "")] if c.isalpha() or c in LOOKS else []:
+        if gap[i] or _BREAK.match(c):
+            price = 0.0 if gap[i] and not odd[i] else DROP
+            for k in {1, gap[i] or 1}:
+                ways += [(OPEN, k, price)] if limits else [("", k, price), (" ", k, price)] if gap[i] else [(" ", k, price)]
+        if c != last and (c.isalpha() or c in LOOKS):
+            run, same, at = 1, 1, i + 1
+            while at < n:
+                at += gap[at] if spaced and word[at] != c else 0
+                if at == n or word[at] != c:
+                    break
+                at, same = at + 1, same + 1
+                run = at - i
+            for letter in [c, *LOOKS.get(c, "")] if same > 1 else []:
                 look = 0.0 if c.isalpha() else LOOK
                 ways.append((letter, run, look + SHORT))
-                if run > 2:
+                if same > 2:
                     ways.append((letter * 2, run, look + SHORT))
+        if not (spaced and gap[i]) or c in LOOKS:
+            last = c
         out.append(ways)
     return out
 
 
-def restore(word: str, cost: np.ndarray) -> str:
-    """The likeliest reading of a lower-case word: Viterbi over positions of the lattice,
-    with the last two symbols as state."""
-    if word.isalpha() and not any(a == b for a, b in zip(word, word[1:], strict=False)):
+def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
+    """The likeliest reading of a lower-case word, or of single characters with blanks
+    between them: Viterbi over positions of the lattice, with the last two symbols as
+    state. The words of a reading have blanks between them; with limits it is one word,
+    with OPEN where words may begin and end."""
+    if word.isalpha() and not any(a == b for a, b in zip(word, word[1:], strict=False)) and not any(c in LOOKS for c in word):
         return word
-    ways = lattice(word)
+    ways = lattice(word, limits)
     best: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(len(word) + 1)]
     best[0][(0, 0)] = (0.0, "")
     for i, here in enumerate(ways):
         for (a, b), (paid, said) in best[i].items():
             for letters, step, price in here:
                 x, y, total = a, b, paid + price
-                for c in letters:
-                    z = symbol(c)
+                for c in letters if letters != OPEN else "":
+                    z = 0 if c == " " else symbol(c)
                     total += cost[x, y, z]
                     x, y = y, z
                 state = best[i + step].get((x, y))
@@ -153,18 +187,15 @@ def restore(word: str, cost: np.ndarray) -> str:
     return min((paid + cost[a, b, 0], said) for (a, b), (paid, said) in best[-1].items())[1]
 
 
-def spread_words(words: list[str]) -> list[str]:
-    """Words that single characters in a row spell, four or more of them."""
-    out, run = [], []
-    for w in [*words, ""]:
-        c = w.strip(".,;:-_") or w
-        if len(c) == 1:
-            run.append(c)
-        else:
-            if len(run) >= 4:
-                out.append("".join(run))
-            run = []
-    return out
+_LOOK = "".join(c for c in LOOKS if _BREAK.match(c))
+_ALONE = rf"(?:[^\W_]|(?<!\S)[{re.escape(_LOOK)}](?!\S))"
+_SPREAD = re.compile(rf"(?<![^\W_])(?:{_ALONE}[\W_]+)+{_ALONE}(?![^\W_])")
+
+
+def spread_words(text: str) -> set[str]:
+    """Characters that stand alone, two or more in a row, with a blank between them. Where
+    words begin and end in it is for the lattice to say."""
+    return {" ".join(c for c in run if c.isalnum() or c in LOOKS) for run in _SPREAD.findall(text)}
 
 
 def _skeletons() -> dict[str, str]:
@@ -195,54 +226,71 @@ def skeleton(word: str) -> str:
 
 
 class Restorer:
-    """Restored words with a bounded cache. Where only some features matter, words that
-    no reading can give such a feature are left as they are: their skeletons tell."""
+    """Restored words with a bounded cache. Where only some features matter, what no
+    reading can give a word with such a feature is left as it is: its skeletons tell."""
 
     def __init__(self, cost: np.ndarray, wanted: Iterable[str] | None = None, keep: int = 300_000) -> None:
         self.cost, self.keep, self.cache = cost, keep, {}
+        self.scores, self.model = {}, None  # scores of words under one model
         self.starts = None if wanted is None else {skeleton(f.rstrip("…")) for f in wanted}
         self.lengths = sorted({len(s) for s in self.starts or ()})
         self.ways_in = {s[:k] for s in self.starts or () for k in range(len(s) + 1)}
 
     def matters(self, word: str) -> bool:
-        """Whether a reading may begin with a wanted feature. A character that is
-        look-alike and separator goes both ways; skeletons that lead nowhere are dropped."""
+        """Whether a word of a reading may begin with a wanted feature. What is no letter
+        may be dropped, end a word or be read; skeletons that lead nowhere are left out."""
+        if self.starts is None:
+            return True
         if word.isalpha():
+            if _SYMBOLS.get(word[0], word[0]) not in self.ways_in:
+                return False
             own = skeleton(word)
             return any(own[:k] in self.starts for k in self.lengths)
-        reached = {""}
-        for c in word:
-            if c in SEPARATORS and c not in LOOKS:
+        reached, at = {""}, 0
+        while at < len(word):
+            c = word[at]
+            at += 1
+            if c == " " or c in SEPARATORS and c not in LOOKS:
+                reached.add("")
                 continue
             x = _SYMBOLS.get(c, c)
             ahead = {s if s.endswith(x) else s + x for s in reached} & self.ways_in
-            reached = ahead | reached if c in SEPARATORS else ahead
-            if not reached:
-                return False
-            if not reached.isdisjoint(self.starts):
+            if not ahead.isdisjoint(self.starts):
                 return True
+            if _BREAK.match(c):
+                ahead |= reached
+                ahead.add("")
+            reached = ahead
+            if not reached:
+                end = _BREAK.search(word, at)
+                if end is None:
+                    return False
+                at = end.start()
         return False
 
-    def word(self, w: str) -> str:
-        got = self.cache.get(w)
+    def read(self, w: str) -> tuple[str, str]:
+        """A reading, and where the word has limits within, the one with OPEN at them."""
+        core = w if w.isalpha() else _EDGE.sub("", w)
+        if not 0 < len(core) <= (LONG if " " not in core else 2 * LONG) or not self.matters(core):
+            return core, ""
+        return restore(core, self.cost), restore(core, self.cost, True) if _BREAK.search(core) else ""
+
+    def cached(self, cache: dict[str, T], w: str, make: Callable[[str], T]) -> T:
+        got = cache.get(w)
         if got is None:
-            if len(self.cache) > self.keep:
-                self.cache.clear()
-            core = _EDGE.sub("", w)
-            if self.starts is not None and not self.matters(core):
-                self.cache[w] = core
-                return core
-            got = self.cache[w] = restore(core, self.cost) if 0 < len(core) <= LONG else core
+            if len(cache) > self.keep:
+                cache.clear()
+            got = cache[w] = make(w)
         return got
 
+    @staticmethod
+    def written(text: str | None) -> set[str]:
+        text = (text or "").lower()
+        return set(text.split()) | spread_words(text)
+
     def words(self, text: str | None) -> set[str]:
         """Distinct restored words of a whole text."""
-        words = (text or "").lower().split()
-        out = {self.word(w) for w in set(words)}
-        if sum(map(len, words)) < 8 * len(words) and any(len(w) == 1 for w in words):
-            out |= {self.word(w) for w in spread_words(words)}
-        out.discard("")
-        return out
+        return {x for w in self.written(text) for x in self.cached(self.cache, w, self.read)[0].split()}
 
 
 def features(words: set[str]) -> set[str]:
@@ -292,17 +340,35 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     return Model(cost, {r["feature"]: (r["toxic"] + 0.5) / (r["n"] + 1) for r in strong})
 
 
-def score_text(model: Model, restorer: Restorer, text: str | None) -> float:
+def score_word(model: Model, restorer: Restorer, written: str) -> float:
     shares = model.shares
+    reading, opened = restorer.read(written)
     best = 0.0
-    for w in restorer.words(text):
+    for w in reading.split():
         for f in (w, f"{w[:4]}…", f"{w[:5]}…", f"{w[:6]}…"):
-            p = shares.get(f)
-            if p is not None and p > best and (f == w or len(w) >= len(f)):
-                best = p
+            if len(w) >= len(f):
+                best = max(best, shares.get(f, 0.0))
+    if opened:
+        parts = opened.split(OPEN)
+        limits = {0, *itertools.accumulate(map(len, parts))}
+        w = "".join(parts)
+        for i in limits:
+            for k in model.lengths:
+                if i + k in limits:
+                    best = max(best, shares.get(w[i:i + k], 0.0))
+            for k in (4, 5, 6):
+                if i + k < len(w):
+                    best = max(best, shares.get(f"{w[i:i + k]}…", 0.0))
     return best
 
 
+def score_text(model: Model, restorer: Restorer, text: str | None) -> float:
+    if restorer.model is not model:
+        restorer.scores, restorer.model = {}, model
+    score = partial(score_word, model, restorer)
+    return max((restorer.cached(restorer.scores, w, score) for w in restorer.written(text)), default=0.0)
+
+
 def scored(model: Model, text: Column) -> Column:
     """Score of a text column, 0 to 1."""
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

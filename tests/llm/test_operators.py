@@ -259,6 +259,30 @@ def test_skipped_words_have_no_reading_that_counts(cost):
     assert all(toxicity.score_text(model, some, w) > 0.7 for w in ("st*pid", "the st*pid one", "m*ron", "stup*d"))
 
 
+INSULTS = {"idiot": 0.9, "stupid": 0.8, "stup…": 0.95, "idio…": 0.9, "loser": 0.9, "trash": 0.9, "scum": 0.9, "oaf": 0.9}
+
+
+@pytest.mark.parametrize("written", [
+    "what a s t u p i d thing", "s t u p i d i d i o t", "hello,stupid", "you/idiot", "hello!stupid", "hello,id.iot", "you l o s e r", "a t r a s h",
+    "(s t u p i d!)", "it's a t r a s h", "a.s.t.u.p.i.d", "s t u u u p i d", "$ t u p ! d", "s - t - u - p - i - d", "an o a f", "word " * 60 + "aGk/" * 150 + " s c u m"])
+def test_words_are_found_between_limits(cost, written):
+    model = toxicity.Model(cost, INSULTS)
+    assert toxicity.score_text(model, toxicity.Restorer(cost, INSULTS), written) >= 0.9
+    assert toxicity.score_text(model, toxicity.Restorer(cost), written) >= 0.9
+
+
+def test_likeliest_words_of_a_run(cost):
+    words = toxicity.Restorer(cost).words
+    assert words("s.t.u.p.i.d.i.d.i.o.t") == {"stupid", "idiot"}
+    assert words("so s t u p i d i d i o t was") == {"so", "was", "stupid", "idiot", *"stupdio"}
+
+
+def test_limits_alone_make_no_insult(cost):
+    model = toxicity.Model(cost, INSULTS)
+    for written in ("w e l l", "a b c", "http://a.b/x-y_z", "well-known don't e.g. 1,000.5", "a - b", "\u200b", "$ ! (", ""):
+        assert toxicity.score_text(model, toxicity.Restorer(cost, INSULTS), written) == 0
+
+
 def test_toxicity_of_odd_rows(spark, odd, labels):
     own = spark.createDataFrame([(0, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     kept = toxicity.clean_documents(odd, own)
