@@ -3,7 +3,7 @@
 Words may be written with look-alike characters (1d10t), spread out (s t u p i d,
 s-t-u-p-i-d) or with repeated letters (stuuupid). Each word becomes a lattice of what
 its writer may have meant: every character stands for itself or, at a price, for the
-letters it looks like, runs of a letter may be shorter, and separators, and the blanks
+letters it looks like, runs of a letter may be shorter, marks at its edges may go, and separators, and the blanks
 between single characters, may be nothing or the end of a word: one written word may hold
 several.
 Viterbi search finds the likeliest reading under a character trigram model counted over
@@ -56,14 +56,15 @@ KEEP, KEEP_START, DOUBT, FEATURES, REJECT = 0.5, 0.95, 0.01, 50_000, 0.7
 LOOK, SHORT, DROP, ODD = 1.0, 1.0, 0.5, 6.0
 #: Characters of the model: white space, anything else, then letters by code point.
 SYMBOLS = 64
-LONG = 48
+#: Longer words are read like all, but not cached.
+LONG = 100
 #: Stands for a place where a word may begin or end.
 OPEN = "\0"
 T = TypeVar("T")
 
 #: Where a word may end within a written one.
 _BREAK = re.compile(r"[\W_]")
-_EDGE = re.compile(r"^[^\w@$!|+€£]+|[^\w@$*#]+$")
+_LOOK = "".join(c for c in LOOKS if _BREAK.match(c))
 
 
 def symbol(c: str) -> int:
@@ -126,21 +127,35 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return -np.log(three).astype(np.float64)
 
 
+def edges(word: str, keep: str | dict = "") -> tuple[int, int]:
+    """Where a word begins and ends without the marks at its edges; those to keep stop it."""
+    a, b = 0, len(word)
+    while a < b and word[a] not in keep and _BREAK.match(word[a]):
+        a += 1
+    while a < b and word[b - 1] not in keep and _BREAK.match(word[b - 1]):
+        b -= 1
+    return a, b
+
+
 def lattice(word: str, limits: bool = False) -> list[list[tuple[str, int, float]]]:
     """For each position: (letters written out, positions passed, price). What is dropped
     may end a word (a blank is written out); with limits, words go on over it and OPEN is
-    written out."""
+    written out, and look-alikes at the edges are read with OPEN beside them, in place of
+    dropped."""
     out, n = [], len(word)
     gap, odd = [0] * (n + 1), [False] * (n + 1)  # separators and blanks from here on; whether not only blanks
     for i in range(n - 1, -1, -1):
         if word[i] == " " or word[i] in SEPARATORS:
             gap[i], odd[i] = gap[i + 1] + 1, word[i] != " " or odd[i + 1]
     spaced, last = " " in word, ""
+    lead, tail = edges(word)
     for i, c in enumerate(word):
         ways: list[tuple[str, int, float]] = [] if c == " " else [(c, 1, 0.0 if c.isalpha() else ODD)]
         for letter in LOOKS.get(c, ""):
             ways.append((letter, 1, LOOK))
-        if gap[i] or _BREAK.match(c):
+        if not lead <= i < tail and not (limits and c in LOOKS):
+            ways += [("", k, 0.0) for k in {1, (lead if i < lead else n) - i}]
+        elif lead <= i < tail and (gap[i] or _BREAK.match(c)):
             price = 0.0 if gap[i] and not odd[i] else DROP
             for k in {1, gap[i] or 1}:
                 ways += [(OPEN, k, price)] if limits else [("", k, price), (" ", k, price)] if gap[i] else [(" ", k, price)]
@@ -159,6 +174,8 @@ def lattice(word: str, limits: bool = False) -> list[list[tuple[str, int, float]
                     ways.append((letter * 2, run, look + SHORT))
         if not (spaced and gap[i]) or c in LOOKS:
             last = c
+        if limits and c in LOOKS and not lead <= i < tail:
+            ways = [(x + OPEN if i < lead else OPEN + x, k, price) for x, k, price in ways]
         out.append(ways)
     return out
 
@@ -171,23 +188,42 @@ def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
     if word.isalpha() and not any(a == b for a, b in zip(word, word[1:], strict=False)) and not any(c in LOOKS for c in word):
         return word
     ways = lattice(word, limits)
-    best: list[dict[tuple[int, int], tuple[float, str]]] = [{} for _ in range(len(word) + 1)]
-    best[0][(0, 0)] = (0.0, "")
+    done: list[str] = []  # what is settled, as only one state is left
+    best: list[dict[tuple[int, int], tuple[float, tuple | None]] | None] = [{} for _ in range(len(word) + 1)]
+    best[0][(0, 0)] = (0.0, None)
+    reached = 0
     for i, here in enumerate(ways):
+        if len(best[i]) == 1 and reached == i:
+            (state, (paid, said)), = best[i].items()
+            done.append(_said(said))
+            best[i] = {state: (paid, None)}
         for (a, b), (paid, said) in best[i].items():
             for letters, step, price in here:
                 x, y, total = a, b, paid + price
-                for c in letters if letters != OPEN else "":
+                for c in letters:
+                    if c == OPEN:
+                        continue
                     z = 0 if c == " " else symbol(c)
                     total += cost[x, y, z]
                     x, y = y, z
                 state = best[i + step].get((x, y))
                 if state is None or total < state[0]:
-                    best[i + step][(x, y)] = (total, said + letters)
-    return min((paid + cost[a, b, 0], said) for (a, b), (paid, said) in best[-1].items())[1]
+                    best[i + step][(x, y)] = (total, (said, letters) if letters else said)
+                reached = max(reached, i + step)
+        best[i] = None
+    found = [(paid + cost[a, b, 0], _said(said)) for (a, b), (paid, said) in best[-1].items()]
+    return "".join(done) + min(found)[1]
+
+
+def _said(letters: tuple | None) -> str:
+    """What a chain of (before, letters) spells."""
+    out = []
+    while letters:
+        letters, last = letters
+        out.append(last)
+    return "".join(reversed(out))
 
 
-_LOOK = "".join(c for c in LOOKS if _BREAK.match(c))
 _ALONE = rf"(?:[^\W_]|(?<!\S)[{re.escape(_LOOK)}](?!\S))"
 _SPREAD = re.compile(rf"(?<![^\W_])(?:{_ALONE}[\W_]+)+{_ALONE}(?![^\W_])")
 
@@ -253,13 +289,15 @@ class Restorer:
             if c == " " or c in SEPARATORS and c not in LOOKS:
                 reached.add("")
                 continue
+            limit = _BREAK.match(c)
+            if limit:
+                reached.add("")
             x = _SYMBOLS.get(c, c)
             ahead = {s if s.endswith(x) else s + x for s in reached} & self.ways_in
             if not ahead.isdisjoint(self.starts):
                 return True
-            if _BREAK.match(c):
+            if limit:
                 ahead |= reached
-                ahead.add("")
             reached = ahead
             if not reached:
                 end = _BREAK.search(word, at)
@@ -270,8 +308,8 @@ class Restorer:
 
     def read(self, w: str) -> tuple[str, str]:
         """A reading, and where the word has limits within, the one with OPEN at them."""
-        core = w if w.isalpha() else _EDGE.sub("", w)
-        if not 0 < len(core) <= (LONG if " " not in core else 2 * LONG) or not self.matters(core):
+        core = w if w.isalpha() else w[slice(*edges(w, LOOKS))]
+        if not core or not self.matters(core):
             return core, ""
         return restore(core, self.cost), restore(core, self.cost, True) if _BREAK.search(core) else ""
 
@@ -280,7 +318,9 @@ class Restorer:
         if got is None:
             if len(cache) > self.keep:
                 cache.clear()
-            got = cache[w] = make(w)
+            got = make(w)
+            if len(w) <= LONG:
+                cache[w] = got
         return got
 
     @staticmethod

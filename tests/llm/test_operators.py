@@ -249,10 +249,10 @@ def test_toxic_texts_are_caught_and_clean_ones_left(spark):
 def test_skipped_words_have_no_reading_that_counts(cost):
     """Every look-alike and separator at every place of a word, in place of a letter or
     between two: scores with and without the filter are equal."""
-    model = toxicity.Model(cost, {"idiot": 0.9, "stupid": 0.8, "stup…": 0.95, "moron": 0.85, "worth…": 0.75, "st*ker": 0.7})
+    model = toxicity.Model(cost, {"idiot": 0.9, "stupid": 0.8, "stup…": 0.95, "moron": 0.85, "worth…": 0.75, "st*ker": 0.7, "as": 0.6})
     words = ["idiot", "stupid", "moron", "worthless", "st*ker", "hello"]
     written = [w[:i] + c + w[i + k:] for w in words for c in {*toxicity.LOOKS, *toxicity.SEPARATORS} for i in range(len(w) + 1) for k in (0, 1)]
-    written += ["s*t*u*p*i*d", "st**pid", "*d*ot", "m*r*n", "***", "*"]
+    written += ["s*t*u*p*i*d", "st**pid", "*d*ot", "m*r*n", "***", "*", "r@$", "hello,st*ker!", "id!ot)stup*d"]
     every, some = toxicity.Restorer(cost), toxicity.Restorer(cost, model.shares)
     for w in written:
         assert toxicity.score_text(model, some, w) == toxicity.score_text(model, every, w), w
@@ -277,6 +277,19 @@ def test_likeliest_words_of_a_run(cost):
     assert words("so s t u p i d i d i o t was") == {"so", "was", "stupid", "idiot", *"stupdio"}
 
 
+@pytest.mark.parametrize("written", [
+    "st" + "u" * 50 + "pid", "s" + "." * 90 + "t.u" + "." * 9 + "p.i.d", "+hello,(stupid+", "idio+", "(lown", "\"(lown!!!", "(idio+)", "$cum#", "cl0wn!!!", "hello," * 60 + "st" + "u" * 70_000 + "pid"])
+def test_length_and_edges_hide_nothing(cost, written):
+    shares = INSULTS | {"clown": 0.9}
+    for wanted in (shares, None):
+        assert toxicity.score_text(toxicity.Model(cost, shares), toxicity.Restorer(cost, wanted), written) >= 0.9
+
+
+def test_long_words_are_read_in_linear_time(cost):
+    for w in ("-" * 200_000 + "a", "ab1" * 30_000, "a-" * 30_000, "\u4e2d\u4e2d\u6587" * 30_000):
+        toxicity.score_text(toxicity.Model(cost, INSULTS), toxicity.Restorer(cost), w)
+
+
 def test_limits_alone_make_no_insult(cost):
     model = toxicity.Model(cost, INSULTS)
     for written in ("w e l l", "a b c", "http://a.b/x-y_z", "well-known don't e.g. 1,000.5", "a - b", "\u200b", "$ ! (", ""):
