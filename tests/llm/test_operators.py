@@ -399,6 +399,28 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_copies_and_partition_edges_lose_no_text(spark, monkeypatch, parts):
+    """Copies, at one URL or beside each other, have the text that one of them has; the
+    neighbour is the same however pages are dealt."""
+    monkeypatch.setattr(html, "HEAVY", 3)
+    plain = "<div>Menu</div><div>%s</div><p>terms</p>"
+    rows = [(i, f"http://a.x/p/{i // 2:03d}.html", plain % f"story {i // 4}") for i in range(60)]
+    rows += [(100 + i, "http://b.x/", "<p>alone</p>") for i in range(9)]
+    rows += [(200 + i, None, plain % "none") for i in range(3)] + [(300 + i, "no url", plain % "none") for i in range(2)]
+    settings = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    former = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r["key"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)).collect()}
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v)
+    want = {i: f"story {i // 4}" for i in range(60)} | {100 + i: "alone" for i in range(9)}
+    assert got == want | {i: "Menu none terms" for i in (200, 201, 202, 300, 301)}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(7)
 
