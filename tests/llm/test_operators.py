@@ -421,6 +421,21 @@ def test_copies_and_partition_edges_lose_no_text(spark, monkeypatch, parts):
     assert got == want | {i: "Menu none terms" for i in (200, 201, 202, 300, 301)}
 
 
+@pytest.mark.parametrize("before,after", [
+    ("<div class='layout has-sidebar'><article>", "</article></div>"), ("<div id='page-with-nav'><main>", "</main></div>"), ("<form action='/'><article>", "</article></form>"),
+    ("<div class='widget-area content'><div class='with-footer'><article>", "</article></div></div>"), ("<div class='has-sidebar'><div role=main>", "</div><div class='related'><article>teaser</article></div></div>")])
+def test_wrappers_hide_no_article(before, after):
+    page = f"<nav>n</nav><header>h</header>{before}<h1>Head</h1><p class='share-price'>up</p><p class='search-result'>two</p><p class=ad>buy</p><div class='share-bar'>x</div><div hidden>y</div>{after}<footer>f</footer>"
+    assert html.main_text(html.read_page(page), None) == "Head up two"
+
+
+def test_teasers_do_not_displace_an_unmarked_text():
+    page = "<p>a long text without any article element</p><div class='related'><article>teaser</article></div><form><input>go</form>"
+    assert html.main_text(html.read_page(page), None) == "a long text without any article element"
+    both = "<article>own</article><div class='related'><article>a longer teaser than the text</article></div>"
+    assert html.main_text(html.read_page(both), None) == "own"
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(7)
 
