@@ -306,12 +306,19 @@ class Restorer:
                 at = end.start()
         return False
 
-    def read(self, w: str) -> tuple[str, str]:
-        """A reading, and where the word has limits within, the one with OPEN at them."""
+    def core(self, w: str) -> tuple[str, bool]:
+        """A word without what can be no letter at its edges, and whether it is to be decoded."""
         core = w if w.isalpha() else w[slice(*edges(w, LOOKS))]
-        if not core or not self.matters(core):
-            return core, ""
-        return restore(core, self.cost), restore(core, self.cost, True) if _BREAK.search(core) else ""
+        return core, core != "" and self.matters(core)
+
+    def read(self, w: str) -> str:
+        core, decode = self.core(w)
+        return restore(core, self.cost) if decode else core
+
+    def read_open(self, w: str) -> str:
+        """Where a word has limits within, the reading with OPEN at them."""
+        core, decode = self.core(w)
+        return restore(core, self.cost, True) if decode and _BREAK.search(core) else ""
 
     def cached(self, cache: dict[str, T], w: str, make: Callable[[str], T]) -> T:
         got = cache.get(w)
@@ -330,7 +337,7 @@ class Restorer:
 
     def words(self, text: str | None) -> set[str]:
         """Distinct restored words of a whole text."""
-        return {x for w in self.written(text) for x in self.cached(self.cache, w, self.read)[0].split()}
+        return {x for w in self.written(text) for x in self.cached(self.cache, w, self.read).split()}
 
 
 def features(words: set[str]) -> set[str]:
@@ -382,13 +389,12 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 def score_word(model: Model, restorer: Restorer, written: str) -> float:
     shares = model.shares
-    reading, opened = restorer.read(written)
     best = 0.0
-    for w in reading.split():
+    for w in restorer.read(written).split():
         for f in (w, f"{w[:4]}…", f"{w[:5]}…", f"{w[:6]}…"):
             if len(w) >= len(f):
                 best = max(best, shares.get(f, 0.0))
-    if opened:
+    if opened := restorer.read_open(written):
         parts = opened.split(OPEN)
         limits = {0, *itertools.accumulate(map(len, parts))}
         w = "".join(parts)
