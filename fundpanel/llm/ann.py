@@ -3,8 +3,9 @@
 A vector's two halves are quantised separately, each by its own codebook of CENTROIDS
 centroids fitted to a bounded sample of rows; a cell is a pair of centroids. For a query
 the cells are visited by a heap in the order of the summed score of the two centroids
-(inner product), until the visited cells hold the wanted share of all entries. Entries
-of visited cells, and only they, are reranked on their original vectors.
+(inner product), until the visited cells hold the wanted share of all entries and, as
+far as there are, k + 1 different ids. Entries of visited cells, and only they, are
+reranked on their original vectors.
 
 The share is calibrated: CALIBRATE sampled queries are searched exactly against all
 rows, in blocks, and the share is the smallest that would have found TARGET of their
@@ -146,6 +147,12 @@ def search(vectors: DataFrame, queries: DataFrame, vector: str = "embedding", ke
     blocks = -(-total // BLOCK)
     index = staged(base.mapInArrow(cells, "entry long, vector array<double>, ids array<long>, cell int")
                    .withColumn("block", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int")), "index")
+    # the k + 1 smallest ids of each cell: which are enough to tell whether there are k + 1
+    few = (index.select("cell", F.explode("ids").alias("id")).distinct()
+           .withColumn("n", F.row_number().over(Window.partitionBy("cell").orderBy("id"))).filter(F.col("n") <= k + 1))
+    ids_of: dict[int, list[int]] = {}
+    for c, i in few.select("cell", "id").collect():  # k + 1 for each cell at most
+        ids_of.setdefault(c, []).append(i)
     counts = np.zeros(books.cells, np.int64)
     for c, n in index.groupBy("cell").count().collect():  # cells of the index at most
         counts[c] = n
@@ -159,11 +166,13 @@ def search(vectors: DataFrame, queries: DataFrame, vector: str = "embedding", ke
             for batch in batches:
                 out = []
                 for q in batch.column("query"):
-                    marks, held = np.zeros(books.cells, bool), 0
+                    marks, held, ids = np.zeros(books.cells, bool), 0, set()
                     for c in books.visit(q.values.to_numpy()):
                         marks[c] = True
                         held += counts[c]
-                        if held >= share * total:
+                        if len(ids) <= k:
+                            ids.update(ids_of.get(c, ()))
+                        if held >= share * total and len(ids) > k:
                             break
                     out.append(np.packbits(marks).tobytes())
                 yield batch.append_column("cells", pa.array(out, pa.binary()))

@@ -113,6 +113,15 @@ def test_neighbours_few_and_none(spark):
     assert _search(spark, [(0, [1.0, 2.0], 0, 0)]).count() == 0
 
 
+def test_a_small_share_still_gives_k_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "calibrated", lambda *a: 0.0)
+    got = collections.Counter(r["query_id"] for r in ann.search(df, df.filter("vec_id < 20"), k=20).collect())
+    assert got == dict.fromkeys(range(20), 20)
+
+
 def test_recall_against_all_pairs(spark):
     v = table(spark, SF, "embeddings")
     rows = v.orderBy("vec_id").collect()
