@@ -1,6 +1,6 @@
 """The registered queries of the corpus operators, with production parameters over whole
-tables, and the SQL beside them. None of the ten can be written in SQL in whole: they are
-tested against brute force, round trips or held-out labels in tests/llm."""
+tables, and the SQL beside them. Operators without SQL cannot be written in it in whole:
+they are tested against brute force, round trips or held-out labels in tests/llm."""
 
 from __future__ import annotations
 
@@ -10,10 +10,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundpanel.llm import ann, bpe, html, language, lines, ngram_join, packing, quality, sharding, toxicity
+from fundpanel.llm import ann, bpe, codes, collocations, html, language, lines, near_dups, ngram_join, packing, quality, sharding, toxicity
 from fundpanel.llm.common import staged, table
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_collocation_tiles": collocations.ORACLE,
+    "op12_minhash_tensor": near_dups.ORACLE,
+    "op13_gnat_codes": codes.ORACLE,
+}
 
 
 def _fold(modulus: int) -> Column:
@@ -82,8 +86,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", F.crc32("text").alias("text_crc32"))
 
 
+def op11_collocation_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_dups.similar(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                       F.col("key").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_multi_index_search, op2_bpe_chunk_reuse, op3_language_id, op4_toxicity, op5_best_fit_packing,
-        op6_page_text, op7_balanced_shards, op8_ngram_join, op9_quality_rules, op10_line_dedup)
+        op6_page_text, op7_balanced_shards, op8_ngram_join, op9_quality_rules, op10_line_dedup, op11_collocation_tiles, op12_minhash_tensor, op13_gnat_codes)
 }
