@@ -22,18 +22,20 @@ def _written(df, name: str, **options) -> str:
     return path
 
 
-def _yearly_files(df, pattern: str) -> list[str]:
-    """One text file per year (column ``year``) named like the yearly files. The driver
-    only renames files, one per year and task."""
+def _yearly_files(df, pattern) -> list[str]:
+    """Text files per year (column ``year``) named like the yearly files, by a pattern or a
+    function of the year that gives one. A large year is several files; the driver only
+    renames them."""
     spark, folder = df.sparkSession, _folder(df.sparkSession, "years")
-    df.repartition("year").write.partitionBy("year").text(folder)
+    pattern = pattern if callable(pattern) else lambda year, fixed=pattern: fixed
+    df.hint("rebalance", "year").write.partitionBy("year").text(folder)
     jvm = spark._jvm
     home = jvm.org.apache.hadoop.fs.Path(folder)
     fs = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = []
     for i, f in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/year=*/part-*"))):
         year = int(f.getPath().getParent().getName().removeprefix("year="))
-        out.append(f"{folder}/{pattern.format(year=year, yy=f'{year % 100:02d}', i=i)}")
+        out.append(f"{folder}/{pattern(year).format(year=year, yy=f'{year % 100:02d}', i=i)}")
         fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(out[-1]))
     return out
 
@@ -90,17 +92,26 @@ def fixed_width_read_back(spark, sf):
 
 
 @query("""
-SELECT CAST(row_number() OVER (ORDER BY s_suppkey) + 2 AS BIGINT) AS row_no, CAST(s_suppkey AS VARCHAR) AS key, s_name || ', x' AS name, CASE WHEN s_acctbal > 0 THEN 'up' END AS side FROM supplier
+SELECT CAST(s_suppkey // 500 AS BIGINT) AS sheet, CAST(row_number() OVER (PARTITION BY s_suppkey // 500 ORDER BY s_suppkey) + 2 AS BIGINT) AS row_no,
+  CAST(s_suppkey AS VARCHAR) AS key, s_name || ', x' AS name, CASE WHEN s_acctbal > 0 THEN 'up' || chr(10) || 'and on' END AS side, CASE WHEN s_suppkey % 7 = 0 THEN 'more' END AS extra
+FROM supplier
 """)
 def grid_read_back(spark, sf):
-    """Sheets as CSV lines with their row numbers, after two lines of notes."""
-    rows = table(spark, sf, "supplier").orderBy("s_suppkey").coalesce(1).select(F.concat(
-        F.col("s_suppkey").cast("string"), F.lit(',"'), "s_name", F.lit(', x", '), F.when(F.col("s_acctbal") > 0, " up ").otherwise(" ")).alias("value"))
-    notes = spark.sql("SELECT 'note' AS value UNION ALL SELECT 'key,name,side'").coalesce(1)
+    """Sheets of 500 rows as CSV with row numbers, after two lines of notes. Cells hold
+    commas and line breaks, and some rows have a cell more than the sheet is wide."""
+    side = F.when(F.col("s_acctbal") > 0, '" up\nand on "').otherwise(" ")
+    more = F.when(F.col("s_suppkey") % 7 == 0, ",more").otherwise("")
+    sheet = F.floor(F.col("s_suppkey") / 500).alias("sheet")
+    rows = table(spark, sf, "supplier").select(sheet, F.col("s_suppkey").alias("at"), F.concat(
+        F.col("s_suppkey").cast("string"), F.lit(',"'), "s_name", F.lit(', x", '), side, more).alias("value"))
+    notes = rows.select("sheet").distinct().select("sheet", F.explode(F.array(*[
+        F.struct(F.lit(k).cast("long").alias("at"), F.lit(v).alias("value")) for k, v in ((-2, "note"), (-1, "key,name,side"))])).alias("n")).select("sheet", "n.*")
     path = _folder(spark, "grid")
-    notes.unionByName(rows).coalesce(1).write.text(path)
+    every = notes.unionByName(rows).repartition("sheet").sortWithinPartitions("sheet", "at")
+    every.select("sheet", "value").write.partitionBy("sheet").text(path)
     return read_grid(spark, path, width=3, skip=2).select(
-        "row_no", *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("key", "name", "side"))])
+        F.regexp_extract("file", "sheet=([0-9]+)", 1).cast("long").alias("sheet"), "row_no",
+        *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("key", "name", "side", "extra"))])
 
 
 @query("SELECT c_custkey, c_name AS idname, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE '' END AS pubname FROM customer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,36 @@ def exact_sum(c: Column) -> Column:
         F.sum(c.cast("double")))
 
 
+class Parts:
+    """What a sum of amounts of any size is made of, so that sums of sums (over ranges,
+    bins or windows) follow the rule of ``exact_sum``: decimals while all amounts and
+    their sum fit, else doubles. Columns are named with a prefix; ``z`` counts nulls."""
+
+    def __init__(self, prefix: str) -> None:
+        self.exact, self.rough, self.odd, self.nulls = (f"{prefix}{k}" for k in "sxuz")
+        self.names = [self.exact, self.rough, self.odd, self.nulls]
+
+    def of_row(self, c: Column) -> dict[str, Column]:
+        exact = c.try_cast(EXACT)
+        return dict(zip(self.names, [F.coalesce(exact, F.lit(0).cast(EXACT)), F.coalesce(c.cast("double"), F.lit(0.0)),
+                                     (c.isNotNull() & exact.isNull()).cast("long"), c.isNull().cast("long")], strict=True))
+
+    def summed(self, over: WindowSpec | None = None) -> dict[str, Column]:
+        """Sums of the parts, of a group or over a window; nothing is 0."""
+        def add(c: Column) -> Column:
+            return c if over is None else c.over(over)
+
+        exact = add(F.try_sum(self.exact))
+        lost = (exact.isNull() & (add(F.count(F.lit(1))) > 0)).cast("long")
+        return dict(zip(self.names, [F.coalesce(exact, F.lit(0).cast(EXACT)), F.coalesce(add(F.sum(self.rough)), F.lit(0.0)),
+                                     F.coalesce(add(F.sum(self.odd)), F.lit(0)) + lost, F.coalesce(add(F.sum(self.nulls)), F.lit(0))], strict=True))
+
+    def value(self, strict: bool = True) -> Column:
+        """The sum as double; with ``strict`` a null among the amounts makes it null."""
+        total = F.when(F.col(self.odd) == 0, F.col(self.exact).cast("double")).otherwise(F.col(self.rough))
+        return F.when(F.col(self.nulls) == 0, total) if strict else total
+
+
 def sum_known(c: Column) -> Column:
     """Sum that skips nulls; zero when all are null."""
     return F.coalesce(exact_sum(c), F.lit(0.0))
@@ -62,8 +92,14 @@ def totals(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> D
 def add_totals(df: DataFrame, keys: Sequence[str], over: Mapping[str, object], measures: Sequence[str],
                null_total: bool = False) -> DataFrame:
     """Measures summed by the keys, plus rows over all ``over`` columns, which hold
-    fixed labels there. Grouping sets: one read and one shuffle of partial sums."""
-    add = F.sum if null_total else (lambda m: F.coalesce(F.sum(m), F.lit(0)))
+    fixed labels there. Grouping sets: one read and one shuffle of partial sums. Doubles
+    are summed by ``exact_sum``."""
+    rough = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def add(m: str) -> Column:
+        total = exact_sum(F.col(m)) if m in rough else F.sum(m)
+        return total if null_total else F.coalesce(total, F.lit(0))
+
     rest = [k for k in keys if k not in over]
     sums = df.groupingSets([[F.col(k) for k in keys], [F.col(k) for k in rest]], *keys).agg(
         *[add(m).alias(f"_s_{m}") for m in measures], F.grouping(next(iter(over))).alias("_top"))
@@ -92,23 +128,21 @@ def size_distribution(df: DataFrame, size: str, measures: Mapping[str, str]) ->
     A bin with a null has a null sum, a cumulative sum is null from there on, and where
     the whole has a null there are no percentages. The windows see one row per bin, at
     most one more than the edges."""
-    exact = {o: F.col(c).cast(EXACT) for o, c in measures.items()}
-    bins = df.groupBy(size_bin(F.col(size)).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.when(F.count(F.lit(1)) == F.count(c), F.sum(c)).alias(o) for o, c in exact.items()],
-    )
+    parts = {o: Parts(f"_{o}_") for o in measures}
+    rows = df.select(size_bin(F.col(size)).alias("bin"), *[v.alias(n) for o, c in measures.items() for n, v in parts[o].of_row(F.col(c)).items()])
+    bins = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), *[v.alias(n) for o in measures for n, v in parts[o].summed().items()])
     upto = Window.orderBy(F.asc_nulls_last("bin")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()
-
-    def strict(m: str, over) -> Column:
-        return F.when(F.count_if(F.col(m).isNull()).over(over) == 0, F.sum(m).over(over))
-
-    out = {}
+    sides = {"cum": upto, "all": whole}
+    beside = {f"_{side}{n}": v for side, over in sides.items() for o in measures for n, v in parts[o].summed(over).items()}
+    bins = bins.withColumns({"n_cum": F.sum("n").over(upto), "n_all": F.sum("n").over(whole), **beside})
+    for o in measures:
+        bins = bins.withColumns({o: parts[o].value(), **{f"{o}_{side}": Parts(f"_{side}_{o}_").value() for side in sides}})
     for m in ["n", *measures]:
-        out[f"{m}_cum"] = strict(m, upto)
-        out[f"{m}_pct"] = pct(F.col(m).cast("double"), strict(m, whole).cast("double"))
-        out[f"{m}_cumpct"] = pct(strict(m, upto).cast("double"), strict(m, whole).cast("double"))
-    return bins.withColumns(out).withColumn("size", bin_label(F.col("bin")))
+        total = F.col(f"{m}_all").cast("double")
+        bins = bins.withColumns({f"{m}_pct": pct(F.col(m).cast("double"), total), f"{m}_cumpct": pct(F.col(f"{m}_cum").cast("double"), total)})
+    out = [f"{m}{k}" for m in ["n", *measures] for k in ("", "_cum", "_pct", "_cumpct")]
+    return bins.select("bin", *out, bin_label(F.col("bin")).alias("size"))
 
 
 def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
@@ -120,7 +154,7 @@ def histogram(df: DataFrame, value: str, width: float) -> DataFrame:
 def shares(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str) -> DataFrame:
     """Sums across the values of one column, each with its percentage of the row. A value
     that is not listed is an error, as it would be missing from the row's total."""
-    wide = long_to_wide_sum(df.withColumn(value, F.col(value).cast(EXACT)), keys, name, values, value)
+    wide = long_to_wide_sum(df, keys, name, values, value, add=exact_sum)
     wide = wide.select(*keys, *[F.col(f"`{v}`").cast("double").alias(str(v)) for v in values])
     total = sum((F.col(f"`{v}`") for v in values[1:]), F.col(f"`{values[0]}`"))
     return wide.withColumns({f"{v}_pct": pct(F.col(f"`{v}`"), total) for v in values})

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,54 @@ def _narrowest(r) -> str:
     return next((t for t in ("boolean", "double", "date") if r[t] == r["known"]), "string")
 
 
+#: Types a column may have, narrowest first, each with its bit; any cell is a string.
+LATTICE = {"boolean": 1, "double": 2, "date": 4, "string": 8}
+
+
+def type_masks(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, variable, known, types): the types that every known cell of a column fits, as
+    bits, for each vintage or file. Masks are merged by ``bit_and``: in the scan stage, over
+    vintages (``merged_masks``), and with masks kept from earlier runs."""
+    columns = [c for c in df.columns if c not in by]
+    cells = wide_to_long(df, list(by), columns, type="string")
+    fits = _candidates(F.col("value"))
+    mask = sum((F.when(fits[t].isNotNull(), F.lit(b)).otherwise(F.lit(0)) for t, b in LATTICE.items() if t != "string"), F.lit(LATTICE["string"]))
+    known = fits["known"].isNotNull()
+    everything = F.lit(sum(LATTICE.values()))
+    return cells.groupBy(*by, "variable").agg(
+        F.count_if(known).alias("known"), F.coalesce(F.bit_and(F.when(known, mask)), everything).alias("types"))
+
+
+def merged_masks(masks: DataFrame) -> DataFrame:
+    """(variable, known, types) over all vintages."""
+    return masks.groupBy("variable").agg(F.sum("known").alias("known"), F.bit_and("types").alias("types"))
+
+
+def narrowest(mask: Column) -> Column:
+    """Name of the narrowest type in a mask; a column without cells is logical."""
+    out = F.when(mask.bitwiseAND(1) != 0, "boolean")
+    for t, b in list(LATTICE.items())[1:]:
+        out = out.when(mask.bitwiseAND(b) != 0, t)
+    return out
+
+
+def types_by_vintage(masks: DataFrame, vintage: str) -> DataFrame:
+    """(vintage, variable, own, upto, overall, breaks): a column's type in each vintage, in
+    all up to it, and in all; ``breaks`` where the vintage itself rules out the type that
+    all earlier ones had. A window sees one row per vintage of a column."""
+    order = Window.partitionBy("variable").orderBy(vintage)
+    earlier = F.bit_and("types").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    upto = F.bit_and("types").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    overall = F.bit_and("types").over(Window.partitionBy("variable"))
+    breaks = F.coalesce(narrowest(earlier) != narrowest(upto), F.lit(False))
+    return masks.select(vintage, "variable", narrowest(F.col("types")).alias("own"), narrowest(upto).alias("upto"), narrowest(overall).alias("overall"), breaks.alias("breaks"))
+
+
+def types_of(masks: DataFrame) -> dict[str, str]:
+    """One type per column over all vintages, for ``convert``."""
+    return {r["variable"]: r["t"] for r in merged_masks(masks).select("variable", narrowest(F.col("types")).alias("t")).collect()}  # one row per column
+
+
 def convert(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast an all-text table to the inferred types in one projection."""
 

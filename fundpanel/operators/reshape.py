@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +46,11 @@ def long_to_wide(df: DataFrame, keys: Sequence[str], name: str, values: Sequence
 
 
 def long_to_wide_sum(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, value: str = "value",
-                     prefix: str = "") -> DataFrame:
-    """Pivot with sums; a missing cell is zero, and a value without a column an error."""
+                     prefix: str = "", add: Callable[[Column], Column] = F.sum) -> DataFrame:
+    """Pivot with sums, by ``add``; a missing cell is zero, and a value without a column an
+    error."""
     return df.groupBy(*keys).agg(*_all_listed(name, values, [
-        (f"{prefix}{v}", F.coalesce(F.sum(F.when(F.col(name) == F.lit(v), F.col(value))), F.lit(0))) for v in values]))
+        (f"{prefix}{v}", F.coalesce(add(F.when(F.col(name) == F.lit(v), F.col(value))), F.lit(0))) for v in values]))
 
 
 def count_matrix(df: DataFrame, keys: Sequence[str], name: str, values: Sequence, prefix: str = "n_") -> DataFrame:

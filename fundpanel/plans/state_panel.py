@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fold_key, label
-from ..operators.aggregate import EXACT, add_totals, sum_known
+from ..operators.aggregate import add_totals, exact_sum, sum_known
 from ..operators.combine import served_by, stack
 from ..operators.lookup import lookup, recipe_rows
 from ..operators.metrics import cash_flow, per_capita, real_value, share_of
@@ -27,8 +27,7 @@ def recipe_rollup(units: DataFrame, recipe: DataFrame) -> DataFrame:
     system, and of the nation. Facts shrink to system and item before the recipe
     repeats them."""
     keys = ["year", "id", "stabbr", "type", "pubname"]
-    facts = units.withColumn("value", F.col("value").cast(EXACT))
-    facts = add_totals(facts, [*keys, "ic"], NATION, ["value"])
+    facts = add_totals(units.withColumn("value", F.col("value").cast("double")), [*keys, "ic"], NATION, ["value"])
     out = recipe_rows(facts, recipe, "ic").groupBy(*keys, "variable").agg(sum_known(F.col("value")).alias("value"))
     return out
 
@@ -38,9 +37,8 @@ def levels_from_systems(systems: DataFrame) -> DataFrame:
     3 all others, level 1 their sum. Rows without a state drop."""
     type_ = F.when(F.col("type").isNull(), None).when(F.col("type") == 0, 2).otherwise(3)
     rows = systems.where(F.col("stabbr").isNotNull()).select(
-        "stabbr", "year", type_.alias("type"), F.col("variable").alias("vname"), F.col("value").cast(EXACT).alias("value"))
-    out = add_totals(rows, ["stabbr", "year", "type", "vname"], {"type": 1}, ["value"])
-    return out.withColumn("value", F.col("value").cast("double"))
+        "stabbr", "year", type_.alias("type"), F.col("variable").alias("vname"), F.col("value").cast("double").alias("value"))
+    return add_totals(rows, ["stabbr", "year", "type", "vname"], {"type": 1}, ["value"])
 
 
 def rename_by(df: DataFrame, names: DataFrame, native: str, name_column: str, drop_null_value: bool = False) -> DataFrame:
@@ -97,6 +95,6 @@ def employee_share(states: DataFrame, year: int) -> DataFrame:
 def reported_share(a: DataFrame, b: DataFrame, code: str = "ic") -> DataFrame:
     """Item totals of a file without imputations and one with them, and the percentage."""
     both = stack(a.withColumn("src", F.lit("noimp")), b.withColumn("src", F.lit("imp")))
-    wide = long_to_wide_sum(both.withColumn("value", F.col("value").cast(EXACT)), [code], "src", ["noimp", "imp"])
+    wide = long_to_wide_sum(both, [code], "src", ["noimp", "imp"], add=exact_sum)
     wide = wide.select(code, F.col("noimp").cast("double").alias("noimp"), F.col("imp").cast("double").alias("imp"))
     return wide.withColumn("pct", F.try_divide("noimp", "imp") * 100)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pct
-from ..operators.aggregate import EXACT, size_distribution, sum_strict
+from ..operators.aggregate import size_distribution, sum_strict
 from ..operators.combine import stack
 from ..operators.metrics import small_and_big
 from ..operators.running import quantiles, ranked_rows, running_totals
@@ -54,18 +54,14 @@ def concentration(plans: DataFrame, value: str, tie: str, measures: Mapping[str,
                   directions: Sequence[str] = ("up", "down"), ranges: int | None = None) -> DataFrame:
     """Rank, running sum, total and running percent of each measure, from the
     smallest plan up and from the largest down."""
-    exact = plans.withColumns({f"_m_{o}": F.col(c).cast(EXACT) for o, c in measures.items()})
-    curve = running_totals(exact, value, tie, {o: f"_m_{o}" for o in measures}, directions=directions, ranges=ranges)
+    curve = running_totals(plans, value, tie, measures, directions=directions, ranges=ranges)
     return _percentages(curve, measures, directions)
 
 
 def _percentages(curve: DataFrame, measures: Mapping[str, str], directions: Sequence[str]) -> DataFrame:
-    sides = [*directions, "sum"]
-    curve = curve.withColumns({f"{o}_{d}": F.col(f"{o}_{d}").cast("double") for d in sides for o in measures})
-    curve = curve.withColumns({
+    return curve.withColumns({
         f"{o}_{d}pct": pct(F.col(f"{o}_{d}").cast("double"), F.col(f"{o}_sum").cast("double"))
         for d in directions for o in ["n", *measures]})
-    return curve.drop(*[f"_m_{o}" for o in measures])
 
 
 def beside_totals(plans: DataFrame, keep, measures: Mapping[str, str]) -> DataFrame:
@@ -82,6 +78,5 @@ def beside_totals(plans: DataFrame, keep, measures: Mapping[str, str]) -> DataFr
 def at_ranks(plans: DataFrame, value: str, tie: str, measures: Mapping[str, str], ranks: Sequence[int] = SHOWN_RANKS,
              direction: str = "down", ranges: int | None = None) -> DataFrame:
     """Rows of the concentration curve at some ranks, without the rest of the curve."""
-    exact = plans.withColumns({f"_m_{o}": F.col(c).cast(EXACT) for o, c in measures.items()})
-    few = ranked_rows(exact, value, tie, {o: f"_m_{o}" for o in measures}, ranks, direction, ranges)
+    few = ranked_rows(plans, value, tie, measures, ranks, direction, ranges)
     return _percentages(few, measures, [direction])

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .provenance import noted_schema
+
 _kept: set[str] = set()
 
 
@@ -59,7 +61,7 @@ def settled(df: DataFrame) -> DataFrame:
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(noted_schema(df)).parquet(path)
 
 
 def clear_settled(spark: SparkSession) -> None:

@@ -4,27 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..provenance import carry_notes, note_of, with_note
 from ..session import shared_dir
 
-
-def with_note(df: DataFrame, note: str) -> DataFrame:
-    """Carry a provenance note in the metadata of every column."""
-    by_name = {f.name: f.metadata for f in df.schema.fields}
-    for name, old in by_name.items():
-        df = df.withMetadata(name, {**old, "comment": note})
-    return df
-
-
-def note_of(df: DataFrame) -> str | None:
-    """The provenance note of a table, if it has one."""
-    notes = {f.metadata.get("comment") for f in df.schema.fields} - {None}
-    return "; ".join(sorted(notes)) or None
+__all__ = ["note_of", "publish", "publish_vintages", "stage", "with_note"]
 
 
 def publish(df: DataFrame, path: str, partition: str | None = "year", note: str | None = None) -> None:
     """Overwrite a published table. The rebalance splits a year that holds much of
-    the data over several tasks and files, and merges small ones."""
-    df = with_note(df, note) if note else df
+    the data over several tasks and files, and merges small ones. Columns carry the notes
+    of the inputs they come from, or the one that is given."""
+    df = with_note(df, note) if note else carry_notes(df)
     if partition is None:
         df.write.mode("overwrite").parquet(path)
         return
@@ -33,7 +23,7 @@ def publish(df: DataFrame, path: str, partition: str | None = "year", note: str
 
 def publish_vintages(df: DataFrame, path: str, partition: str = "year") -> None:
     """Overwrite only the years that are in the data; the others stay."""
-    (df.hint("rebalance", partition).write.mode("overwrite")
+    (carry_notes(df).hint("rebalance", partition).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
