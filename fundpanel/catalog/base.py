@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import add_totals
 from ..operators.lookup import lookup
+from ..provenance import tracking, with_note
 
 MONEY = "decimal(18,2)"  # the given tables hold cents
 
@@ -28,8 +30,23 @@ def query(sql: str | None = None):
     return add
 
 
+_noted = [False]
+
+
+@contextmanager
+def noted_inputs():
+    """Within it, columns of the given tables carry the table's name as their source."""
+    _noted.append(True)
+    try:
+        with tracking():
+            yield
+    finally:
+        _noted.pop()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return with_note(rows, name) if _noted[-1] else rows
 
 
 def order_year() -> F.Column:

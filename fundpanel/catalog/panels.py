@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import pad_code
-from ..operators.aggregate import histogram, size_distribution, sum_strict
+from ..operators.aggregate import histogram, size_distribution, sum_strict, totals
 from ..operators.metrics import small_and_big
 from ..operators.reshape import values_of
 from ..operators.running import quantiles
@@ -24,9 +24,10 @@ from ..plans.tables import tables_panel as tables
 from ..plans.units import (
     INVESTMENTS, SUPPLEMENT, ids_2017, item_codes, plans_with_members, system_names, unit_rows, units_2017,
 )
+from ..provenance import sources_of
 from ..sources.code_tables import code_table
 from . import sheets
-from .base import LEVELS_SQL, nation_levels, nation_states, order_year, query, table
+from .base import LEVELS_SQL, nation_levels, nation_states, noted_inputs, order_year, query, table
 from .reports import SUPPLIER_FLOWS_SQL, flows_by_state
 
 F0_CROSSWALK = "price, A, totprice\nprice, B, B01\norders, A, norders\norders, B, B02"
@@ -260,20 +261,33 @@ def size_bins_of_plans(spark, sf):
     return sizes.withColumns({c: F.col(c).cast("double") for c in ("parts", "parts_cum", "assets", "assets_cum")})
 
 
+MEASURES = ("n", "parts", "assets")
+
+
+def _cells_sql(part: str, item: str, columns: list[str], source: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{part}' AS part, {item} AS item, '{c}' AS measure, CAST({c} AS DOUBLE) AS value FROM {source}" for c in columns)
+
+
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL}, q AS (SELECT count(*) AS n, {QUANTILES} FROM sized),
-h AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, count(*) AS n, sum(participants) AS parts FROM sized GROUP BY 1 UNION ALL SELECT 'all', count(*), sum(participants) FROM sized),
-b AS (SELECT CAST(CASE {' '.join(f'WHEN participants <= {e} THEN {i}' for i, e in enumerate(EDGES) if i)} ELSE 13 END AS INTEGER) AS bin, count(*) AS n, sum(participants) AS parts FROM sized GROUP BY 1)
-SELECT 'quantiles' AS part, 'all' AS item, measure, value FROM (SELECT CAST(n AS DOUBLE) AS n, {', '.join(PROBS)} FROM q) UNPIVOT (value FOR measure IN (n, {', '.join(PROBS)}))
-UNION ALL SELECT 'shares', which, 'n', CAST(n AS DOUBLE) FROM h UNION ALL SELECT 'shares', which, 'parts', CAST(parts AS DOUBLE) FROM h
-UNION ALL SELECT 'sizes', ({LABELS})[bin], 'n', CAST(n AS DOUBLE) FROM b UNION ALL SELECT 'sizes', ({LABELS})[bin], 'parts', CAST(parts AS DOUBLE) FROM b
-UNION ALL SELECT 'sizes', ({LABELS})[bin], 'parts_cum', CAST(sum(parts) OVER (ORDER BY bin) AS DOUBLE) FROM b
+rows AS (SELECT CASE WHEN participants <= 120 THEN 'small' ELSE 'big' END AS which, CAST(CASE {' '.join(f'WHEN participants <= {e} THEN {i}' for i, e in enumerate(EDGES) if i)} ELSE 13 END AS INTEGER) AS bin,
+  participants AS p, CAST(assets AS DECIMAL(24,6)) AS a FROM sized),
+h0 AS (SELECT which, count(*) AS n, sum(p) AS parts, CASE WHEN count(*) = count(a) THEN sum(a) END AS assets FROM rows GROUP BY 1
+  UNION ALL SELECT 'all', count(*), sum(p), CASE WHEN count(*) = count(a) THEN sum(a) END FROM rows),
+h AS (SELECT h0.which, CAST(h0.n AS DOUBLE) AS n, CAST(h0.parts AS DOUBLE) AS parts, CAST(h0.assets AS DOUBLE) AS assets,
+  {', '.join(f"CAST(h0.{m} AS DOUBLE) / CAST(t.{m} AS DOUBLE) AS {m}_share" for m in ("n", "parts", "assets"))} FROM h0, (SELECT * FROM h0 WHERE which = 'all') AS t),
+g AS (SELECT bin, count(*) AS n, sum(p) AS parts, CASE WHEN count(*) = count(a) THEN sum(a) END AS assets FROM rows GROUP BY 1),
+t AS (SELECT sum(n) AS n, sum(parts) AS parts, CASE WHEN count(*) = count(assets) THEN sum(assets) END AS assets FROM g),
+c AS (SELECT *, sum(n) OVER w AS n_cum, sum(parts) OVER w AS parts_cum, CASE WHEN count(*) OVER w = count(assets) OVER w THEN sum(assets) OVER w END AS assets_cum FROM g WINDOW w AS (ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT ({LABELS})[bin] AS item, {', '.join(f"CAST(c.{m} AS DOUBLE) AS {m}, CAST({m}_cum AS DOUBLE) AS {m}_cum, CAST(c.{m} AS DOUBLE) / CAST(t.{m} AS DOUBLE) * 100 AS {m}_pct, CAST({m}_cum AS DOUBLE) / CAST(t.{m} AS DOUBLE) * 100 AS {m}_cumpct" for m in ("n", "parts", "assets"))} FROM c, t)
+{_cells_sql("quantiles", "'all'", ["n", *PROBS], "q")}
+UNION ALL {_cells_sql("shares", "which", [f"{m}{k}" for m in MEASURES for k in ("", "_share")], "h")}
+UNION ALL {_cells_sql("sizes", "item", [f"{m}{k}" for m in MEASURES for k in ("", "_cum", "_pct", "_cumpct")], "b")}
 """)
 def size_study(spark, sf):
-    """Quantiles, bins and shares of plans as one table."""
+    """Quantiles, bins and shares of plans, of members and of assets, as one table."""
     study = size_study_table(_plans(spark, sf), limit=120)
-    kept = (F.col("part") == "quantiles") | F.col("measure").isin("n", "parts") | (F.col("measure") == "parts_cum")
-    return study.where(kept).withColumn("value", F.when(F.col("part") == "quantiles", F.round("value", 4)).otherwise(F.col("value")))
+    return study.withColumn("value", F.when(F.col("part") == "quantiles", F.round("value", 4)).otherwise(F.col("value")))
 
 
 @query(f"""
@@ -324,6 +338,22 @@ def investment_items(spark, sf):
     return rows.where(F.col("ic").isin(INVESTMENTS)).groupBy("ic").agg(sum_strict(F.col("value")).alias("value"))
 
 
+@query("""
+SELECT ic, flag, count(*) AS n, CASE WHEN count(*) = count(v) THEN CAST(sum(v) AS DOUBLE) END AS value FROM (
+  SELECT CASE l_linenumber WHEN 1 THEN 'X21' WHEN 2 THEN 'X30' WHEN 3 THEN 'X46' WHEN 4 THEN 'X47' ELSE 'Z01' END AS ic, CASE WHEN l_linestatus = 'F' THEN 'R' ELSE 'I' END AS flag,
+    CASE WHEN l_returnflag = 'R' AND l_linenumber = 4 THEN NULL ELSE CAST(l_quantity AS DECIMAL(18,2)) END AS v FROM lineitem)
+WHERE ic IN ('X21', 'X30', 'X46', 'X47') GROUP BY 1, 2
+""")
+def investment_items_by_flag(spark, sf):
+    """Investment totals by item and by whether the amount was reported or imputed."""
+    k = F.col("l_linenumber")
+    ic = F.when(k == 1, "X21").when(k == 2, "X30").when(k == 3, "X46").when(k == 4, "X47").otherwise("Z01")
+    flag = F.when(F.col("l_linestatus") == "F", "R").otherwise("I")
+    value = F.when(~((F.col("l_returnflag") == "R") & (k == 4)), F.col("l_quantity"))
+    rows = table(spark, sf, "lineitem").select(ic.alias("ic"), flag.alias("flag"), value.alias("value")).where(F.col("ic").isin(INVESTMENTS))
+    return totals(rows, ["ic", "flag"], {"value": "value"})
+
+
 @query(f"""
 WITH {sheets.PLAN_UNITS_SQL}
 SELECT CAST(ceil(assets / 0.05 - 0.5) * 0.05 + 0.0 AS DOUBLE) AS centre, count(*) AS n FROM sized WHERE assets >= 0.01 AND assets < 0.4 GROUP BY 1
@@ -416,6 +446,21 @@ def state_panel(spark, sf):
     return _state_panel(spark, sf)
 
 
+@query(f"""
+WITH {STATE_PANEL_SQL}
+SELECT v.variable, v.sources, (SELECT count(*) FROM panel) AS rows FROM (VALUES ('year', 'lineitem, orders'), ('stabbr', 'nation'),
+  ('type', 'nation, orders'), ('typef', 'nation, orders'), ('vname', ''), ('value', 'lineitem, orders'), ('source', '')) AS v(variable, sources)
+""")
+def state_panel_sources(spark, sf):
+    """What each column of the panel of three sources comes from, by its plan: notes stand
+    on the given tables alone."""
+    with noted_inputs():
+        panel = _state_panel(spark, sf)
+    found = sources_of(panel)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(", ".join(found[c])).alias("sources")) for c in panel.columns]))
+    return panel.agg(F.count(F.lit(1)).alias("rows")).select(cells.alias("c"), "rows").select("c.variable", "c.sources", "rows")
+
+
 CASH_SQL = f"""
 {STATE_PANEL_SQL},
 wide AS (SELECT year, stabbr, type, typef, source, {', '.join(f"max(value) FILTER (WHERE vname = '{v}') AS {v}0" for v in PANEL_VARIABLES)} FROM panel GROUP BY 1, 2, 3, 4, 5),

@@ -13,7 +13,7 @@ from ..operators.sketches import distinct_sketches, merged_distinct
 from ..operators.watch import change_watch, survivors, year_bitmaps
 from ..plans.state_panel import reported_share
 from ..plans.studies import at_ranks, concentration
-from ..provenance import sources_of, with_note
+from ..provenance import sources_of, tracking, with_note
 from ..session import settled
 from ..sources import read_text_table
 from ..sources.fixed_width import by_positions, by_widths, parse_fixed
@@ -239,8 +239,9 @@ def columns_and_sources(spark, sf):
     the two inputs alone."""
     orders = with_note(table(spark, sf, "orders"), "orders")
     customers = with_note(table(spark, sf, "customer"), "customers")
-    rows = settled(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        order_year(), F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"), "o_totalprice", "c_acctbal"))
+    with tracking():
+        rows = settled(orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+            order_year(), F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"), "o_totalprice", "c_acctbal"))
     halves = rows.where("year <= 1996").unionByName(rows.where("year > 1996"))
     sums = halves.groupBy("year", "nationkey", "segment").agg(F.sum("o_totalprice").alias("price"), F.max("c_acctbal").alias("balance"), F.count(F.lit(1)).alias("rows"))
     panel = sums.withColumn("ratio", F.col("price") / F.col("balance")).withColumn("fixed", F.lit(1))

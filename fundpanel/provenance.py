@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -17,12 +18,22 @@ SEPARATOR = "; "
 Notes = frozenset[str]
 #: Output of a plan node: attribute ids in order, each with its notes.
 Output = list[tuple[int, Notes]]
-_state = {"noted": False}
+_tracking = [False]
+
+
+@contextmanager
+def tracking():
+    """Within it, tables that are settled or published keep the sources of their columns.
+    Following a plan takes some time, so it is not done otherwise."""
+    _tracking.append(True)
+    try:
+        yield
+    finally:
+        _tracking.pop()
 
 
 def with_note(df: DataFrame, note: str) -> DataFrame:
     """Carry a provenance note in the metadata of every column."""
-    _state["noted"] = True
     for f in df.schema.fields:
         df = df.withMetadata(f.name, {**f.metadata, "comment": note})
     return df
@@ -42,16 +53,18 @@ def sources_of(df: DataFrame) -> dict[str, list[str]]:
 
 
 def noted_schema(df: DataFrame) -> T.StructType:
-    """The schema with every column's sources as its note. Plans are only followed once a
-    note was set in this session."""
-    if not _state["noted"]:
-        return df.schema
+    """The schema with every column's sources as its note."""
     own = sources_of(df)
     return T.StructType([
         T.StructField(f.name, f.dataType, f.nullable, {**f.metadata, "comment": SEPARATOR.join(own[f.name])} if own[f.name] else f.metadata)
         for f in df.schema.fields])
 
 
+def kept_schema(df: DataFrame) -> T.StructType:
+    """The schema for a copy: with sources while they are tracked."""
+    return noted_schema(df) if _tracking[-1] else df.schema
+
+
 def carry_notes(df: DataFrame) -> DataFrame:
     """The table with its columns' sources in their metadata."""
     for f in noted_schema(df).fields:

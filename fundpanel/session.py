@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .provenance import noted_schema
+from .provenance import kept_schema
 
 _kept: set[str] = set()
 
@@ -61,7 +61,7 @@ def settled(df: DataFrame) -> DataFrame:
         atexit.register(_remove, spark, folder)
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(noted_schema(df)).parquet(path)
+    return spark.read.schema(kept_schema(df)).parquet(path)
 
 
 def clear_settled(spark: SparkSession) -> None:

@@ -19,13 +19,19 @@ NAMED = 10
 
 
 def listed_files(spark: SparkSession, paths) -> DataFrame:
-    """(file, name, size, changed) of all files below some paths; no content is read."""
+    """(file, name, size, changed) of all files below some paths; no content is read, and
+    files without content are not listed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     return files.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_path").alias("file"), _decoded(F.col("_metadata.file_name")).alias("name"),
         F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("changed"))
 
 
+def _decoded(c: Column) -> Column:
+    """A name as it is in the folder: Spark's metadata writes it as part of an address."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def _expression(pattern: Column) -> Column:
     """A name pattern as a regular expression with the year's digits as its group."""
     plain = F.regexp_replace(pattern, r"([.\\+?()\[\]^$|])", r"\\$1")
@@ -75,7 +81,7 @@ def read_manifest(spark: SparkSession, paths, rules: DataFrame, layouts: Mapping
         wrong = manifest_problems(found).orderBy("name").limit(NAMED).collect()
         if wrong:
             raise ValueError("; ".join(f"{r['name']}: {r['problem']} {r['layouts']}" for r in wrong))
-        files = found.select("file", "year", "layout").orderBy("layout", "file").collect()  # one row per yearly file
+        files = found.select("file", _decoded(F.col("file")).alias("path"), "year", "layout").orderBy("layout", "file").collect()  # one row per yearly file
     finally:
         found.unpersist()
     unread = {f["layout"] for f in files} - set(layouts)
@@ -87,7 +93,7 @@ def read_manifest(spark: SparkSession, paths, rules: DataFrame, layouts: Mapping
         if not own:
             continue
         years = spark.createDataFrame([(f["file"], f["year"]) for f in own], "file string, year int")
-        names = [f["file"] for f in own]
+        names = [f["path"] for f in own]
         lines = numbered_records(spark, names) if records else numbered_lines(spark, names)
         part = read(lines.join(years, "file"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
