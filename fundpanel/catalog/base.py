@@ -83,6 +83,31 @@ def nation_levels(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(nations, "nationkey")
 
 
+def customer_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of ``nation_levels`` and ``at`` for every customer by itself, so that
+    sheets made of them grow with the tables."""
+    status = F.col("o_orderstatus").alias("status")
+    rows = table(spark, sf, "orders").where(status.isin("F", "O")).groupBy("o_custkey", order_year(), status).agg(
+        F.sum(money("o_totalprice")).alias("price"), F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("admin", F.when(F.col("status") == "F", 2).otherwise(3)).withColumnRenamed("o_custkey", "at")
+    rows = add_totals(rows, ["year", "at", "admin"], {"admin": 1}, ["price", "n"])
+    homes = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("at"), F.col("c_nationkey").alias("nationkey"), F.col("n_name").alias("nation"))
+    return rows.join(homes, "at").select("year", "nationkey", "nation", "admin", "price", "n", "at")
+
+
+CUSTOMER_LEVELS_SQL = """
+by_status AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_custkey, CASE o_orderstatus WHEN 'F' THEN 2 ELSE 3 END AS admin,
+         sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price, count(*) AS n
+  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1, 2, 3),
+levels AS (
+  SELECT x.year, c_nationkey AS nationkey, n_name AS nation, x.admin, x.price, x.n
+  FROM (SELECT * FROM by_status UNION ALL SELECT year, o_custkey, 1, sum(price), sum(n) FROM by_status GROUP BY 1, 2) AS x
+  JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
+"""
+
+
 LEVELS_SQL = """
 by_status AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS year, c_nationkey AS nationkey, o_orderstatus AS status,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import pad_code
+from ..functions import ordinal, pad_code
 from ..operators.aggregate import histogram, size_distribution, sum_strict, totals
 from ..operators.metrics import small_and_big
 from ..operators.reshape import values_of
@@ -10,7 +10,7 @@ from ..operators.running import quantiles
 from ..plans.historical import historical_panel as historical, historical_wide as wide_history
 from ..plans.items import items_panel as items
 from ..plans.panels import (
-    Source, balance_panel as balances, census_panel as census, crosswalk, unified_from_tagged, unified_panel as unify,
+    TABLE_LEVELS, Source, balance_panel as balances, census_panel as census, crosswalk, unified_from_tagged, unified_panel as unify,
     yearly_sheets_panel as yearly_sheets,
 )
 from ..plans.plan_table import plans_labelled, plans_raw
@@ -27,7 +27,9 @@ from ..plans.units import (
 from ..provenance import sources_of
 from ..sources.code_tables import code_table
 from . import sheets
-from .base import LEVELS_SQL, nation_levels, nation_states, noted_inputs, order_year, query, table
+from .base import (
+    CUSTOMER_LEVELS_SQL, LEVELS_SQL, money, nation_levels, nation_states, noted_inputs, order_year, query, table,
+)
 from .reports import SUPPLIER_FLOWS_SQL, flows_by_state
 
 F0_CROSSWALK = "price, A, totprice\nprice, B, B01\norders, A, norders\norders, B, B02"
@@ -143,6 +145,48 @@ def four_era_panel(spark, sf):
         crosswalk(spark))
 
 
+ERAS_SQL = """
+  SELECT year, stabbr, admin, CASE variable WHEN 'totercashsec' THEN 'assets' WHEN 'totempcontrb' THEN 'eec' WHEN 'systems' THEN 'nsystems' WHEN 'totmemb' THEN 'members' END AS variable, value FROM hist
+  UNION ALL SELECT year, stabbr, CASE admin WHEN 'Total' THEN 1 WHEN 'State' THEN 2 ELSE 3 END,
+    CASE variable WHEN 'totpay' THEN 'totexpend' WHEN 'totmem' THEN 'members' ELSE variable END, value
+    FROM tables WHERE admin <> 'Township' AND variable NOT IN ('withdraw', 'otherpay')
+  UNION ALL SELECT year, stabbr, type, CASE ItemID WHEN 11 THEN 'assets' ELSE 'nsystems' END, value FROM items
+"""
+
+
+@query(f"WITH {CUSTOMER_LEVELS_SQL}, {sheets.HIST_SQL} SELECT year, stabbr, admin, {ADMINF}, variable, value, source FROM hist")
+def historical_at_size(spark, sf):
+    """Finance and membership sheets with a row for every customer, year and level."""
+    return historical(*sheets.historical_sheets(spark, sf, sheets.levels_at_size(spark, sf)), nation_states(spark, sf))
+
+
+@query(f"WITH {CUSTOMER_LEVELS_SQL}, {sheets.TABLES_SQL} SELECT stabbr, admin, year, variable, CAST(value AS DOUBLE) AS value FROM tables")
+def tables_at_size(spark, sf):
+    return tables(sheets.table_sheets(sheets.levels_at_size(spark, sf)), nation_states(spark, sf))
+
+
+@query(f"WITH {CUSTOMER_LEVELS_SQL}, {sheets.ITEMS_SQL} SELECT * FROM items")
+def items_at_size(spark, sf):
+    return items(sheets.item_sheets(sheets.levels_at_size(spark, sf)), nation_states(spark, sf))
+
+
+@query(f"""
+WITH {CUSTOMER_LEVELS_SQL}, {sheets.HIST_SQL}, {sheets.TABLES_SQL}, {sheets.ITEMS_SQL}, panel AS ({ERAS_SQL})
+SELECT year, stabbr, admin, CASE admin WHEN 1 THEN 'State-local' WHEN 2 THEN 'State' ELSE 'Local' END AS adminf, variable, count(*) AS rows, count(value) AS known,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM panel GROUP BY 1, 2, 3, 5
+""")
+def eras_at_size(spark, sf):
+    """Three eras from sheets with a row for every customer to one vocabulary, summed."""
+    places, levels = nation_states(spark, sf), sheets.levels_at_size(spark, sf)
+    old, middle = historical(*sheets.historical_sheets(spark, sf, levels), places), tables(sheets.table_sheets(levels), places)
+    late = items(sheets.item_sheets(levels), places).withColumnRenamed("type", "admin")
+    panel = unify([Source("df1", old, last=1992), Source("df2", middle.withColumn("admin", ordinal(F.col("admin"), TABLE_LEVELS))),
+                   Source("df3", late, native="ItemID")], crosswalk(spark))
+    return panel.groupBy("year", "stabbr", "admin", "adminf", "variable").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("known"), F.sum(money("value")).cast("double").alias("value"))
+
+
 BALANCE_HEADERS = {"assets": "Pension assets (billions)", "liabilities": "Pension liabilities (billions)", "ufl": "Funding status (billions)",
                    "fr": "Assets as a percent of liabilities", "ufl.gdp": "Funding status as a percent of state GDP",
                    "ufl.staterev": "Funding status as a percent of state revenue"}

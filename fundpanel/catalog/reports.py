@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import exact_sum
 from ..operators.metrics import (
-    big_by_anti_join, cash_flow, compare_sources, member_counts, rank_states as rank_by, small_and_big,
+    not_small, cash_flow, compare_sources, member_counts, rank_states as rank_by, small_and_big,
 )
 from ..operators.quality import code_as_year, duplicate_keys, findings, missing_by, reconcile, source_years, systems
 from ..operators.reshape import count_matrix, values_of
@@ -120,7 +120,7 @@ def small_big_share(spark, sf):
 
 @query(f"WITH {PLANS_SQL} SELECT plan, assets, members FROM plans WHERE NOT coalesce(members <= 10, false)")
 def big_plans(spark, sf):
-    return big_by_anti_join(customer_sizes(spark, sf), "plan", "members", 10).select("plan", "assets", "members")
+    return not_small(customer_sizes(spark, sf), "plan", "members", 10).select("plan", "assets", "members")
 
 
 @query("""

@@ -10,7 +10,7 @@ from ..operators.aggregate import exact_sum
 from ..operators.reshape import values_of
 from ..plans.survey import LAYOUTS, PLAIN, layout_table
 from ..session import settled
-from .base import nation_levels, orders_by_nation, table
+from .base import customer_levels, nation_levels, orders_by_nation, table
 
 HIST_SHIFT, ITEM_SHIFT, SURVEY_SHIFT = -10, 9, 17
 SURVEY_LAYOUTS = [*LAYOUTS, (2018, PLAIN, None, None, None)]
@@ -29,7 +29,12 @@ def literal_row(spark: SparkSession, file: str, row_no: int, cells: list, **extr
 
 def levels_of(spark: SparkSession, sf: str) -> DataFrame:
     """Sums by year, nation and level, kept once: a sheet reads them several times."""
-    return settled(nation_levels(spark, sf))
+    return settled(nation_levels(spark, sf).withColumn("at", F.col("nationkey")))
+
+
+def levels_at_size(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a row for every customer, for sheets with as many rows."""
+    return settled(customer_levels(spark, sf))
 
 
 def historical_sheets(spark: SparkSession, sf: str, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +83,7 @@ def table_sheets(levels: DataFrame) -> dict[int, DataFrame]:
     """Tables 3, 4 and 5, one file per year and table, levels as indented rows."""
     admin, n = F.col("admin"), F.col("n")
     label = F.when(admin == 1, F.col("nation")).when(admin == 2, "   State").otherwise("   Local")
-    place = (100 + F.col("nationkey") * 3 + admin).cast("long")
+    place = (100 + F.col("at") * 3 + admin).cast("long")
 
     def level_sheet(*cells: Column) -> DataFrame:
         return levels.select(F.col("year").cast("string").alias("file"), place.alias("row_no"), F.array(label, *cells).alias("cells"), "year")

@@ -84,7 +84,7 @@ def small_and_big(plans: DataFrame, plan: str, size: str, limit: float) -> DataF
     })
 
 
-def big_by_anti_join(plans: DataFrame, plan: str, size: str, limit: float) -> DataFrame:
+def not_small(plans: DataFrame, plan: str, size: str, limit: float) -> DataFrame:
     """The plans that are not among the small ones. The list is of the same table, one
     row per plan, so the anti join is its null-safe complement; against a list from
     elsewhere use ``drop_known``."""
