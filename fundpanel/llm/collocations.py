@@ -47,9 +47,10 @@ from fundpanel.llm.common import in_sketch, key_sketch, staged
 LEAST, LONGEST, TOP, SCALE = 100, 5, 2000, 1000
 #: Percent of a phrase's count from which a longer phrase stands for it.
 ABSORBED = 100
-RANKED, TILE, MOST_TILES, SKETCH = 1 << 20, 512, 64, 23
-#: Words or cells that a task holds before it sends them, and words of a stream block.
-HELD, BLOCK = 1 << 20, 1 << 18
+RANKED, TILE, MOST_TILES, SKETCH = 1 << 20, 512, 16, 23
+#: Different words or phrases, and cells, that a task holds before it sends them, and words
+#: of a stream block.
+HELD, CELLS, BLOCK = 1 << 17, 1 << 20, 1 << 18
 GAP, UNNUMBERED = -1, -2
 #: Marks the end of a piece; not a byte of UTF-8.
 END = b"\xff"
@@ -262,7 +263,7 @@ def phrase_counts(rows: DataFrame, words: list[tuple[str, str]], levels: list[Le
                 tiles.add(a[own], b[own])
                 for p in np.flatnonzero(~own & (a != GAP) & (b != GAP)):
                     plain[lang, phrase(p, length)] += 1
-                if tiles.held > HELD:
+                if tiles.held > CELLS:
                     yield from _cells(*tiles.loose_counts())
                 if len(plain) > HELD:
                     yield from _plain(plain)
