@@ -28,6 +28,23 @@ def one_per_key(table: DataFrame, keys: Sequence[str], take: Sequence[str]) -> D
     return table.groupBy(*keys).agg(only).select(*keys, *[F.col(f"_only.{t}").alias(t) for t in take])
 
 
+def keyed(table: DataFrame, *keys: str | Sequence[str]) -> DataFrame:
+    """A lookup table kept once, with sets of columns that are found to tell its rows
+    apart. Lookups by one of them need not reduce it again, and Catalyst knows its size.
+    Rows without a key do not count: nothing is found by them."""
+    kept = settled(table)
+    sets = [[k] if isinstance(k, str) else list(k) for k in keys]
+    checks = []
+    for k in sets:
+        whole = _all(F.col(c).isNotNull() for c in k)
+        checks.append(F.count_if(whole) == F.count_distinct(F.when(whole, F.struct(*k))))
+    for k, unique in zip(sets, kept.agg(*[c.alias(f"_{i}") for i, c in enumerate(checks)]).first(), strict=True):
+        if not unique:
+            raise ValueError(f"several rows for a key {k}")
+    kept._told_apart_by = [frozenset(k) for k in sets]
+    return kept
+
+
 def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str], take: Mapping[str, str] | Sequence[str],
            position: str | None = None, null_matches: bool = False) -> DataFrame:
     """Left lookup that never adds rows; a miss gives null.
@@ -35,13 +52,13 @@ def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str], take: Mapping
     ``on`` maps fact columns to table columns and ``take`` table columns to output
     names. With ``position`` repeated keys count once, by the first row, and the
     reduced table is kept first, so that Catalyst knows its size; without, rows of a
-    repeated key must agree, else the lookup fails."""
+    repeated key must agree, else the lookup fails. A ``keyed`` table is joined as it is."""
     take = dict(take) if isinstance(take, Mapping) else {t: t for t in take}
     keys = list(dict.fromkeys(on.values()))
     rest = [t for t in take if t not in keys]
     if position is not None:
         table = settled(first_per_key(table, keys, rest, position))
-    else:
+    elif null_matches or frozenset(keys) not in getattr(table, "_told_apart_by", ()):
         table = one_per_key(table, keys, rest) if rest else table.select(*keys).distinct()
     right = table.select(
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(on.values())],

@@ -222,3 +222,16 @@ def test_null_sums_in_bins_and_halves(spark):
 def test_base_of_a_null_entity(spark):
     df = spark.createDataFrame([(None, 2004, 2.0), (None, 2005, 4.0)], "e string, year int, value double")
     assert rows_of(metrics.rebased_index(df, ["e"], 2005), "year", "ivalue") == [(2004, 50.0), (2005, 100.0)]
+
+
+def test_keyed_tables_are_joined_as_they_are(spark):
+    from fundpanel.operators.lookup import keyed, lookup
+
+    table = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (None, "c", 7)], "k int, s string, v int")
+    known = keyed(table, "k", ["k", "s"])
+    facts = spark.createDataFrame([(1,), (2,), (3,), (None,)], "f int")
+    got = lookup(facts, known, {"f": "k"}, {"v": "v"})
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([(1, 5), (2, 6), (3, None), (None, None)], key=repr)
+    assert "Aggregate" not in got._jdf.queryExecution().analyzed().toString()
+    with pytest.raises(ValueError, match="several rows for a key"):
+        keyed(table.unionByName(table), "k")

@@ -120,3 +120,68 @@ def test_curve_ends_at_hundred_and_ignores_row_order(spark, hot):
     a, b = (c.select("id", "n_up", "n_down", "m_down").toPandas().sort_values("id", ignore_index=True) for c in (curve, again))
     assert a.equals(b)
     assert at_ranks(df.withColumn("x", F.col("m")), "v", "id", {"m": "x"}, [1, 100], ranges=9).count() == 2
+
+
+SHAPES = {
+    "even": lambda rng, n: rng.random(n),
+    "skewed": lambda rng, n: np.exp(rng.normal(0, 8, n)),
+    "few": lambda rng, n: rng.integers(0, 5, n).astype(float),
+    "ties": lambda rng, n: np.where(rng.random(n) < 0.4, 7.0, rng.normal(7, 1, n)),
+    "sorted": lambda rng, n: np.arange(n, dtype=float),
+    "ends": lambda rng, n: np.where(rng.random(n) < 0.01, np.inf, np.where(rng.random(n) < 0.01, -np.inf, rng.random(n))),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_selection_between_bounds_equals_brute_force(spark, shape):
+    """Groups large enough for the sketch, and one that is not, from parts in any order."""
+    rng = np.random.default_rng(len(shape))
+    v = SHAPES[shape](rng, 40_000)
+    pdf = pd.DataFrame({"id": np.arange(len(v)), "v": v, "g": np.where(np.arange(len(v)) % 100 == 0, "small", "large"), "m": rng.integers(0, 9, len(v))})
+    df = spark.createDataFrame(pdf).repartition(6)
+    probs = {"p0": 0.0, "a": 0.001, "b": 0.25, "c": 0.5, "d": 0.9, "e": 0.999, "p1": 1.0}
+    got = quantiles(df, "v", probs, ["g"]).toPandas().set_index("g")
+    for g, own in pdf.groupby("g"):
+        ordered = np.sort(own["v"].to_numpy())
+        for name, p in probs.items():
+            at = (len(ordered) - 1) * p
+            lo, hi = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+            assert got.loc[g, name] == (lo if lo == hi else pytest.approx(lo + (hi - lo) * (at - np.floor(at)), rel=1e-12))
+    order = pdf.sort_values(["v", "id"], ascending=[False, True]).reset_index(drop=True)
+    order["total"] = order["m"].cumsum()
+    ranks = [1, 2, 777, 20_000, 39_999, 40_000, 50_000]
+    few = {r["n_down"]: (r["id"], r["m_down"]) for r in ranked_rows(df, "v", "id", {"m": "m"}, ranks).collect()}
+    assert few == {k: (order["id"][k - 1], order["total"][k - 1]) for k in ranks if k <= len(order)}
+
+
+def test_few_rows_are_moved(spark):
+    """What is kept for quantiles is a small part of the values, whatever their number."""
+    from fundpanel.operators import running
+
+    df = spark.range(400_000).select((F.col("id") * 7919 % 400_009).cast("double").alias("v"))
+    bounds = running._sketched(df, "v", [0.1, 0.5, 0.9], [])
+    kept = running._frequencies(df, "v", [0.1, 0.5, 0.9], [], bounds, 4)
+    assert kept.count() < 8_000 and kept.agg(F.sum("_n")).first()[0] == 400_000
+
+
+def test_ranks_among_nulls_and_values_that_are_no_numbers(spark):
+    rows = [(i, None if i % 5 == 0 else float(i), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, v double, m int")
+    order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    got = {r["n_down"]: r["id"] for r in ranked_rows(df, "v", "id", {"m": "m"}, [1, 2400, 2401, 3000]).collect()}
+    assert got == {k: order[k - 1][0] for k in (1, 2400, 2401, 3000)}
+    odd = df.withColumn("v", F.when(F.col("id") == 7, float("nan")).otherwise(F.col("v")))
+    assert ranked_rows(odd, "v", "id", {"m": "m"}, [1]).first()["id"] == 7
+    summary = column_summary(odd.select("v"), ["v"]).first()
+    assert np.isnan(summary["mean"]) and np.isnan(summary["max"]) and summary["nulls"] == 600
+
+
+def test_amounts_beyond_the_decimals(spark):
+    df = spark.createDataFrame([(1, 1e21), (2, 1.0), (3, 3.0), (4, None)], "id int, v double")
+    got = column_summary(df, ["v"]).first()
+    assert got["mean"] == pytest.approx(1e21 / 3) and got["max"] == 1e21 and got["median"] == 3.0
+    curve = {r["id"]: (r["v_down"], r["v_sum"]) for r in running_totals(df.where("id < 4"), "v", "id", {"v": "v"}, directions=("down",)).collect()}
+    assert curve[1] == (1e21, 1e21 + 4) and curve[2][0] == 1e21 + 4
+    many = spark.createDataFrame([(i, 9e19) for i in range(40)], "id int, v double")
+    last = ranked_rows(many, "v", "id", {"v": "v"}, [40], ranges=5).first()
+    assert last["v_down"] == pytest.approx(40 * 9e19)
