@@ -13,11 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lines import numbered_lines, numbered_records
+from .vintages import ITEM_FILES, SURVEY_FILES, TABLE_FILES, UNIT_FILES
 
 #: Files named in an error; all of them are rows of ``manifest_problems``.
 NAMED = 10
 
 
+def known_rules(spark: SparkSession) -> DataFrame:
+    """The rules of the yearly files; names may go on behind what a rule says, such as by a
+    table's number or an ending."""
+    layouts = {"unit": UNIT_FILES, "table": TABLE_FILES, "item": ITEM_FILES, "survey": SURVEY_FILES}
+    rows = [(first, last, f"{pattern}*", layout) for layout, rules in layouts.items() for first, last, pattern in rules]
+    return spark.createDataFrame(rows, "first int, last int, pattern string, layout string")
+
+
 def listed_files(spark: SparkSession, paths) -> DataFrame:
     """(file, name, size, changed) of all files below some paths; no content is read, and
     files without content are not listed."""

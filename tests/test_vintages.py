@@ -15,7 +15,7 @@ from fundpanel.operators.sketches import distinct_sketches, merged_distinct
 from fundpanel.operators.watch import change_watch, survivors, year_bitmaps
 from fundpanel.provenance import carry_notes, note_of, sources_of, tracking, with_note
 from fundpanel.session import settled
-from fundpanel.sources.manifest import listed_files, manifest_problems, matched, read_manifest
+from fundpanel.sources.manifest import known_rules, listed_files, manifest_problems, matched, read_manifest
 from fundpanel.sources.rerun import current, file_fingerprints, read_published, rerun, row_fingerprints
 
 # manifest
@@ -42,6 +42,15 @@ def test_files_meet_their_rules(spark, rules, tmp_path):
         read_manifest(spark, str(tmp_path), rules, {})
 
 
+def test_the_yearly_files_are_known(spark):
+    names = {"93ret35.txt": ("unit", 1993), "2004ret35noimputes.txt": ("unit", 2004), "2013indiv_unit_reported_data.txt": ("unit", 2013),
+             "ret98t3.csv": ("table", 1998), "2003Ret05.csv": ("table", 2003), "2011retest_data.csv": ("item", 2011),
+             "2012ASPPSummary.csv": ("survey", 2012), "2017asppsummary.csv": ("survey", 2017), "2017ASPPSummary.csv": (None, None), "ret03t2.csv": (None, None)}
+    files = spark.createDataFrame([(f"file:///{n}", n) for n in names], "file string, name string")
+    got = {r["name"]: (r["layout"], r["year"]) for r in matched(files, known_rules(spark)).collect()}
+    assert got == names
+
+
 def test_a_file_that_two_rules_know(spark, rules, tmp_path):
     (tmp_path / "2003ret35noimputes.txt").write_text("1")
     two = rules.unionByName(spark.createDataFrame([(2000, 2009, "{year}*.txt", "other")], rules.schema))
