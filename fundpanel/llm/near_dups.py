@@ -17,10 +17,11 @@ Work is kept in proportion to the corpus:
 * in a table's bucket every node is held against one lead, the node with the smallest
   name, which is the same in most buckets of a group, so that a group of copies gives
   links in proportion to its size. Linked nodes form components;
-* only buckets that then hold several components are looked at again, with the nodes of
-  different components in pairs. The parities of their sets' tokens in 64 * PARITIES
-  classes are held against each other inside the join: at least as many tokens stand in
-  one set only as parities differ, so what cannot link is left out exactly;
+* buckets that then hold several components get other leads, STARS times, and only those
+  that still do are looked at with the nodes of different components in pairs. A pair is
+  made in the first table that both have, and no other. The parities of their sets' tokens
+  in 64 * PARITIES classes are held against each other inside the join: at least as many
+  tokens stand in one set only as parities differ, so what cannot link is left out exactly;
 * of the pairs between two components one is verified first, as one link joins them, and
   the rest only where they are still apart.
 
@@ -57,6 +58,8 @@ PARITIES = 8
 BLOCK = 8192
 #: Bits of the largest set of wanted names that tasks get, as a power of two.
 MOST_BITS = 26
+#: Further leads that a bucket with several components gets before its pairs are made.
+STARS = 2
 #: How many pairs of two components are verified in a round; None: all that are left.
 ROUNDS = (1, None)
 Batches = Iterator[pa.RecordBatch]
@@ -123,14 +126,16 @@ def described(docs: DataFrame, text: str, key: str, words: int, collections: int
 
 
 def buckets_of(nodes: DataFrame, collections: int = COLLECTIONS) -> DataFrame:
-    """(bucket, node) of the table keys that two nodes or more have. nodes: (node, small)."""
+    """(bucket, left, right, node) of the table keys of collections that two nodes or more
+    have; left and right are the places of the two collections. nodes: (node, small)."""
     single = nodes.select("node", F.posexplode("small").alias("place", "value"))
     shared = single.groupBy("place", "value").count().filter("count > 1").drop("count")
     left = F.filter("own", lambda x: x["place"] < collections)
     right = F.filter("own", lambda x: x["place"] >= collections)
-    keys = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: F.xxhash64(x["place"], x["value"], y["place"], y["value"]))))
+    keys = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: F.struct(
+        F.xxhash64(x["place"], x["value"], y["place"], y["value"]).alias("bucket"), x["place"].cast("short").alias("left"), y["place"].cast("short").alias("right")))))
     met = single.join(shared, ["place", "value"]).groupBy("node").agg(F.collect_list(F.struct("place", "value")).alias("own"))  # 2 * collections at most
-    return staged(met.select("node", F.explode(keys).alias("bucket")), "keys")
+    return staged(met.select("node", F.explode(keys).alias("k")).select("k.bucket", "k.left", "k.right", "node"), "keys")
 
 
 def _sizes(percent: int) -> Column:
@@ -145,16 +150,21 @@ def _alike(percent: int) -> Column:
     return apart <= F.col("n1") + F.col("n2") - 2 * least
 
 
+def _first_met(a: str, b: str, places: range) -> Column:
+    """The first of some collections in which two nodes agree."""
+    return F.coalesce(*[F.when(F.col(a)[k] == F.col(b)[k], k) for k in places])
+
+
 def _ends(nodes: DataFrame, end: str, k: int) -> DataFrame:
     return nodes.select(F.col("node").alias(end), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
 
 
-def whole_sets(docs: DataFrame, text: str, pairs: DataFrame, words: int) -> DataFrame:
-    """(node, tokens) of the nodes of some pairs, worked out again where the texts are read.
+def whole_sets(docs: DataFrame, text: str, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, tokens) of some nodes, worked out again where the texts are read, and kept.
     A bit set over the wanted names, sized by their count and bounded by MOST_BITS, says
     which sets to send; as it fills up, sets that nobody wants are sent too, and lost in
     the joins. Equal sets of a task are sent once."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(F.xxhash64("node").alias("h")), "wanted")
+    wanted = staged(nodes.select(F.xxhash64("node").alias("h")), "wanted")
     sketch = key_sketch(wanted, "h", bits=min(MOST_BITS, max(16, (16 * wanted.count()).bit_length())))
 
     def run(batches: Batches) -> Batches:
@@ -172,7 +182,8 @@ def whole_sets(docs: DataFrame, text: str, pairs: DataFrame, words: int) -> Data
                     out = []
             yield _batch_of_sets(out)
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node binary, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    sent = docs.select(F.col(text).alias("text")).mapInArrow(run, "node binary, tokens binary")
+    return staged(sent.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
 
 
 def _batch_of_sets(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -204,6 +215,18 @@ def _placed(rows: DataFrame, comps: DataFrame, column: str, out: str) -> DataFra
     return rows.join(of, column, "left").withColumn(out, F.coalesce(out, column))
 
 
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links: only the components that they join are walked."""
+    ends = _placed(_placed(links, comps, "a", "x"), comps, "b", "y")
+    ends = staged(ends.select("a", "b", "x", "y"), "ends")
+    if ends.isEmpty():
+        return comps
+    joined = components(ends.filter("x <> y").select("x", "y"), "x", "y")
+    own = [F.struct(F.col(n).alias("node"), F.col(c).alias("component")) for n, c in (("a", "x"), ("b", "y"))]
+    every = comps.union(ends.select(F.explode(F.array(*own)).alias("n")).select("n.*")).distinct()
+    return staged(_placed(every.select("node", F.col("component").alias("was")), joined, "was", "component").select("node", "component"), "components")
+
+
 def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT,
             collections: int = COLLECTIONS, hashes: int = HASHES) -> DataFrame:
     """(key, n, component): set size and the smallest key reachable by links, one row per
@@ -213,24 +236,31 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     keys = buckets_of(nodes, collections)
     leads = keys.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("size")).filter("size > 1").drop("size")
     members = staged(keys.join(leads, "bucket"), "members")
+    sets = whole_sets(docs, text, members.select("node").distinct(), words)
 
     near, alike = _sizes(percent), _alike(percent)
-    first = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    first = first.join(_ends(nodes, "b", 2), "b").join(_ends(nodes, "a", 1), "a").filter(near & alike).select("a", "b")
-    first = staged(first, "first")
-    links = linked(first, whole_sets(docs, text, first, words), percent)
-    comps = components(links)
-
-    placed = staged(_placed(members.drop("lead"), comps, "node", "component"), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-    open_ = staged(placed.join(mixed, "bucket").join(nodes.select("node", "n", "bits"), "node"), "open")
-    a = open_.select("bucket", F.col("node").alias("a"), F.col("component").alias("c1"), F.col("n").alias("n1"), F.col("bits").alias("bits1"))
-    b = open_.select("bucket", F.col("node").alias("b"), F.col("component").alias("c2"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
-    pairs = a.join(b, "bucket").filter((F.col("a") < F.col("b")) & (F.col("c1") != F.col("c2")) & near & alike).select("a", "b").distinct()
-    left = staged(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
-    rounds = () if left.isEmpty() else ROUNDS
-    sets = staged(whole_sets(docs, text, left, words), "sets") if rounds else None
-    for most in rounds:
+
+    def from_leads(rows: DataFrame) -> DataFrame:
+        pairs = rows.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+        return pairs.join(_ends(nodes, "b", 2), "b").join(_ends(nodes, "a", 1), "a").filter(near & alike).select("a", "b")
+
+    comps = components(linked(from_leads(members), sets, percent))
+    open_ = members.drop("lead")
+    for star in range(STARS + 1):
+        placed = staged(_placed(open_, comps, "node", "component"), "placed")
+        mixed = placed.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(star))).alias("lead")).filter("low <> high")
+        open_ = staged(placed.join(mixed.select("bucket", F.col("lead.node").alias("lead"), F.col("lead.component").alias("of")), "bucket"), "open")
+        if star < STARS:
+            comps = _merged(comps, linked(from_leads(open_.filter("component <> of")), sets, percent))
+            open_ = open_.drop("component", "lead", "of")
+
+    about = open_.drop("lead", "of").join(nodes, "node")
+    a, b = (about.withColumnsRenamed({"node": end, "component": f"c{k}", "n": f"n{k}", "bits": f"bits{k}", "small": f"small{k}"}) for k, end in ((1, "a"), (2, "b")))
+    once = (F.col("left") == _first_met("small1", "small2", range(collections))) & (F.col("right") == _first_met("small1", "small2", range(collections, 2 * collections)))
+    pairs = a.join(b.drop("left", "right"), "bucket").filter((F.col("a") < F.col("b")) & (F.col("c1") != F.col("c2")) & near & alike & once)
+    left = staged(pairs.select("a", "b"), "pairs")
+    for most in ROUNDS:
         apart = _placed(_placed(left, comps, "a", "c1"), comps, "b", "c2").filter("c1 <> c2")
         ends = Window.partitionBy(F.least("c1", "c2"), F.greatest("c1", "c2")).orderBy("a", "b")
         tried = apart if most is None else apart.withColumn("place", F.row_number().over(ends)).filter(F.col("place") <= most)
@@ -238,8 +268,7 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
         if tried.isEmpty():
             break
         left = left.join(tried, ["a", "b"], "left_anti")
-        links = links.union(linked(tried, sets, percent))
-        comps = components(links)
+        comps = _merged(comps, linked(tried, sets, percent))
 
     own = rows.select("key", "n", "node")
     least = _placed(own.filter("n > 0").groupBy("node").agg(F.min("key").alias("low")), comps, "node", "group")
@@ -248,14 +277,15 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     return own.join(named, "node", "left").select("key", "n", F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("id")).alias("component"))
 
 
-#: The same links in DuckDB's SQL, found by pairs of rows that share a shingle.
-ORACLE = rf"""
+def oracle(words: int, percent: int) -> str:
+    """The same links in DuckDB's SQL, found by pairs of rows that share a shingle."""
+    return rf"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [list_aggregate(w, 'string_agg', ' ')]
-    ELSE list_sort(list_distinct(list_transform(range(len(w) - {WORDS} + 1), lambda i: list_aggregate(w[i + 1:i + {WORDS}], 'string_agg', ' ')))) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(len(w) - {words} + 1), lambda i: list_aggregate(w[i + 1:i + {words}], 'string_agg', ' ')))) END AS s
   FROM texts),
 named AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN md5(list_aggregate(s, 'string_agg', chr(10))) END AS node, s FROM sets),
 nodes AS (SELECT node, any_value(n) AS n, any_value(s) AS s FROM named WHERE node IS NOT NULL GROUP BY node),
@@ -264,7 +294,7 @@ repeated AS (SELECT t FROM tokens GROUP BY t HAVING count(*) > 1),
 links AS (
   SELECT a.node AS x, b.node AS y
   FROM (SELECT * FROM tokens JOIN repeated USING (t)) AS a JOIN (SELECT * FROM tokens JOIN repeated USING (t)) AS b ON a.t = b.t AND a.node < b.node
-  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 ends AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach AS (SELECT node AS x, node AS y FROM nodes UNION SELECT r.x, e.y FROM reach AS r JOIN ends AS e ON r.y = e.x),
 low AS (SELECT node, min(doc_id) AS low FROM named WHERE node IS NOT NULL GROUP BY node),
@@ -272,3 +302,6 @@ ids AS (SELECT r.x AS node, min(low) AS component_id FROM reach AS r JOIN low ON
 SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
 FROM named LEFT JOIN ids USING (node)
 """
+
+
+ORACLE = oracle(WORDS, PERCENT)
