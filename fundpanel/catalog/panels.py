@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ordinal, pad_code
 from ..operators.aggregate import histogram, size_distribution, sum_strict, totals
+from ..operators.lookup import keyed
 from ..operators.metrics import small_and_big
 from ..operators.reshape import values_of
 from ..operators.running import quantiles
@@ -25,6 +26,7 @@ from ..plans.units import (
     INVESTMENTS, SUPPLEMENT, ids_2017, item_codes, plans_with_members, system_names, unit_rows, units_2017,
 )
 from ..provenance import sources_of
+from ..session import settled
 from ..sources.code_tables import code_table
 from . import sheets
 from .base import (
@@ -32,6 +34,11 @@ from .base import (
 )
 from .reports import SUPPLIER_FLOWS_SQL, flows_by_state
 
+def _places(spark, sf):
+    """The states, kept once for plans that look them up several times."""
+    return keyed(nation_states(spark, sf), "stabbr", "stname", "stcen")
+
+
 F0_CROSSWALK = "price, A, totprice\nprice, B, B01\norders, A, norders\norders, B, B02"
 
 
@@ -137,7 +144,7 @@ FROM panel ORDER BY stabbr, admin, adminf, variable, year
 """)
 def four_era_panel(spark, sf):
     """All four eras, from their sheets to one sorted panel."""
-    places, levels = nation_states(spark, sf), sheets.levels_of(spark, sf)
+    places, levels = _places(spark, sf), sheets.levels_of(spark, sf)
     return census(
         historical(*sheets.historical_sheets(spark, sf, levels), places), tables(sheets.table_sheets(levels), places),
         items(sheets.item_sheets(levels), places),
@@ -178,7 +185,7 @@ FROM panel GROUP BY 1, 2, 3, 5
 """)
 def eras_at_size(spark, sf):
     """Three eras from sheets with a row for every customer to one vocabulary, summed."""
-    places, levels = nation_states(spark, sf), sheets.levels_at_size(spark, sf)
+    places, levels = _places(spark, sf), sheets.levels_at_size(spark, sf)
     old, middle = historical(*sheets.historical_sheets(spark, sf, levels), places), tables(sheets.table_sheets(levels), places)
     late = items(sheets.item_sheets(levels), places).withColumnRenamed("type", "admin")
     panel = unify([Source("df1", old, last=1992), Source("df2", middle.withColumn("admin", ordinal(F.col("admin"), TABLE_LEVELS))),
@@ -285,7 +292,7 @@ QUANTILES = ", ".join(f"round(quantile_cont(participants, {p}), 4) AS {n}" for n
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT count(*) AS n, {QUANTILES} FROM sized")
 def size_quantiles(spark, sf):
-    out = quantiles(_plans(spark, sf), "participants", PROBS)
+    out = quantiles(settled(_plans(spark, sf).select("participants")), "participants", PROBS)
     return out.withColumns({n: F.round(n, 4) for n in PROBS})
 
 
@@ -361,7 +368,7 @@ FROM r WHERE n_down IN (10, 20, 25, 100, 200, 250, 300)
 """)
 def concentration_at_ranks(spark, sf):
     """Shares held by the largest plans, at some ranks."""
-    plans = _plans(spark, sf).where(F.col("assets") >= 0.1)
+    plans = settled(_plans(spark, sf).where(F.col("assets") >= 0.1))  # made by joins, and read three times
     few = at_ranks(plans.withColumn("m", F.col("members")).withColumn("b", F.col("beneficiaries")), "assets", "pid",
                    {"members": "m", "ben": "b"}, [10, 20, 25, 100, 200, 250, 300])
     return few.select(
@@ -555,5 +562,5 @@ DECILE_SQL = ", ".join(f"round(quantile_cont(assets, {i / 10}), 4) AS d{i}" for
 
 @query(f"WITH {sheets.PLAN_UNITS_SQL} SELECT ptype, count(*) AS n, {DECILE_SQL} FROM sized GROUP BY 1")
 def asset_deciles(spark, sf):
-    out = quantiles(_plans(spark, sf), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"])
+    out = quantiles(settled(_plans(spark, sf).select("ptype", "assets")), "assets", {f"d{i}": i / 10 for i in range(11)}, ["ptype"])
     return out.withColumns({f"d{i}": F.round(f"d{i}", 4) for i in range(11)})

@@ -6,11 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggregate import exact_sum
 from ..operators.reshape import values_of
 from ..plans.survey import LAYOUTS, PLAIN, layout_table
 from ..session import settled
-from .base import customer_levels, nation_levels, orders_by_nation, table
+from .base import customer_levels, money, nation_levels, orders_by_nation, table
 
 HIST_SHIFT, ITEM_SHIFT, SURVEY_SHIFT = -10, 9, 17
 SURVEY_LAYOUTS = [*LAYOUTS, (2018, PLAIN, None, None, None)]
@@ -245,7 +244,7 @@ def unit_lines(spark: SparkSession, sf: str) -> DataFrame:
     item = F.when(F.col("l_linenumber") == 6, "Z13").when(F.col("l_linenumber") == 7, "Q07").otherwise(
         F.concat(F.lit("Z0"), F.col("l_linenumber").cast("string")))
     sums = table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("year"), item.alias("ic")).agg(
-        exact_sum(F.col("l_quantity")).cast("long").alias("v"))
+        F.sum(money("l_quantity")).cast("long").alias("v"))
     two = F.substring(F.col("year").cast("string"), 3, 2)
     record = F.concat("id", "ic", F.lpad(F.col("v").cast("string"), 12, " "), two, two, F.lit("12"))
     return sums.join(ids, "l_suppkey").select("year", record.alias("value"))
@@ -293,7 +292,7 @@ def plan_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         return F.concat(pid, F.rpad(item, 8, " "), F.lpad(value.cast("string"), 15, " "), F.lit("17"), F.lit("16"), F.lit("12"), F.lit("R")).alias("value")
 
     items = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("pid"), F.col("l_linenumber").alias("k")).agg(
-        exact_sum(F.col("l_quantity")).cast("long").alias("v"))
+        F.sum(money("l_quantity")).cast("long").alias("v"))
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderkey", "pid")
     units = items.select(record(F.concat(F.lit("Z0"), F.col("k").cast("string")), F.col("v"))).unionByName(
         orders.select(record(F.lit("Z81"), F.floor("o_totalprice"))))

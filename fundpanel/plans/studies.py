@@ -46,7 +46,7 @@ def size_study_table(plans: DataFrame, plan: str = "pid", size: str = "participa
 
 def groups_and_median(plans: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of groups and the median count of a group."""
-    counts = plans.groupBy(*keys).agg(F.count(F.lit(1)).alias("plans"))
+    counts = settled(plans.groupBy(*keys).agg(F.count(F.lit(1)).alias("plans")))
     return quantiles(counts, "plans", {"n_mdn": 0.5}).withColumnRenamed("n", "n_sum")
 
 

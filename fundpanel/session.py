@@ -23,6 +23,7 @@ def local_session(cpus: int | str = 8, app: str = "fundpanel") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # else each column expression asks the JVM for its place
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
