@@ -26,6 +26,8 @@ def change_watch(bitmaps: DataFrame, keys: Sequence[str], first: int, last: int)
     last: systems with a row; those new in it; those back after years without; those
     that were there the year before; those that were there the year before and are not
     now. Only bit operations, and counts by key and year that add up before they move."""
+    if not 0 <= last - first < MOST_YEARS:
+        raise ValueError(f"{first} to {last} does not fit {MOST_YEARS} years")
     bit = F.explode(F.sequence(F.lit(0), F.lit(last - first))).alias("k")
     rows = bitmaps.select(*keys, "years", bit)
     now = F.expr("(shiftright(years, k) & 1L) = 1")
