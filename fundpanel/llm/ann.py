@@ -20,7 +20,8 @@ work, in which a query's best k are kept, and the best of its blocks are merged.
 Defined results: vectors that are null, empty, zero, of another length than most, or
 hold null or non-finite components take no part, neither do null ids. A row never finds
 its own id. Ids that stand on several rows are shown once, with their best score. Fewer
-candidates than k give fewer rows. Ties go to the smaller id.
+candidates than k give fewer rows. Ties go to the smaller id. An empty table, or one without
+a usable vector, gives no rows. Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

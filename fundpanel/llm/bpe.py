@@ -19,7 +19,8 @@ the encoding of the whole text.
 If the sketch is full, more chunks take the long way and results are the same.
 
 Defined results: a null text counts as empty, with no ids and empty decoded text.
-Repeated rows give repeated results; an empty table gives none. Null ids are kept.
+Repeated rows give repeated results; an empty table gives none. Null ids are kept. Texts of
+any length are taken whole. Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ A stratum without enough good labels to pass a single test gets no cutoff.
 
 Defined results: a null text counts as empty; it has no words and fails the base rule.
 A null stratum is the stratum `und`. Labels without a document, or null, are unused.
-Repeated rows are judged alike (and count as often as they stand in the labels).
+Repeated rows are judged alike (and count as often as they stand in the labels). Texts of
+any length are measured whole. An empty table gives none. Columns of any name stay as they
+are: added ones take a name that is free.
 """
 
 from __future__ import annotations

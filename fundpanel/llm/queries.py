@@ -14,6 +14,7 @@ from fundpanel.llm import ann, bpe, codes, collocations, html, language, lines,
 from fundpanel.llm.common import staged, table
 
 SQL: dict[str, str] = {
+    "op8_ngram_join": f"SELECT doc_id, n_shingles, component_id FROM ({near_dups.oracle(ngram_join.WORDS, ngram_join.PERCENT)})",
     "op11_collocation_tiles": collocations.ORACLE,
     "op12_minhash_tensor": near_dups.ORACLE,
     "op13_gnat_codes": codes.ORACLE,

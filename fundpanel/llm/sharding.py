@@ -18,6 +18,8 @@ shard or a group.
 
 Defined results: a null text has no bytes, so its size is 1; it is in one group with
 empty texts. Repeated rows are rows of their own, in one group. An empty table gives none.
+Of a text only its length and hash are kept, whatever its length. Only the named columns
+are read, so others may have any name.
 """
 
 from __future__ import annotations
