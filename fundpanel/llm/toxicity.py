@@ -24,7 +24,9 @@ share among its features, 0 where it has none. As trigrams alone may join words
 may have a limit: after a separator, or at a character that stands alone.
 
 Defined results: null and empty texts have no feature. Labels that are null, or of no
-document, are unused; without labels all scores are 0. Equal texts get equal scores.
+document, are unused; without labels all scores are 0. Equal texts, and so repeated rows,
+get equal scores. Texts and words of any length are read whole. An empty table gives none.
+Columns of any name stay as they are: added ones take a name that is free.
 """
 
 from __future__ import annotations
@@ -62,6 +64,7 @@ LONG = 100
 OPEN = "\0"
 T = TypeVar("T")
 
+_TWICE, _LETTERS_ALIKE = re.compile(r"(.)\1", re.S), {c for c in LOOKS if c.isalpha()}
 #: Where a word may end within a written one.
 _BREAK = re.compile(r"[\W_]")
 _LOOK = "".join(c for c in LOOKS if _BREAK.match(c))
@@ -185,18 +188,27 @@ def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
     between them: Viterbi over positions of the lattice, with the last two symbols as
     state. The words of a reading have blanks between them; with limits it is one word,
     with OPEN where words may begin and end."""
-    if word.isalpha() and not any(a == b for a, b in zip(word, word[1:], strict=False)) and not any(c in LOOKS for c in word):
+    if word.isalpha() and not _TWICE.search(word) and _LETTERS_ALIKE.isdisjoint(word):
         return word
     ways = lattice(word, limits)
     done: list[str] = []  # what is settled, as only one state is left
     best: list[dict[tuple[int, int], tuple[float, tuple | None]] | None] = [{} for _ in range(len(word) + 1)]
     best[0][(0, 0)] = (0.0, None)
-    reached = 0
-    for i, here in enumerate(ways):
+    reached = i = 0
+    while i < len(word):
+        here = ways[i]
         if len(best[i]) == 1 and reached == i:
             (state, (paid, said)), = best[i].items()
             done.append(_said(said))
             best[i] = {state: (paid, None)}
+            to = i
+            while to < len(word) and len(ways[to]) == 1 and ways[to][0][0].isalpha():
+                to += 1  # what all readings go through costs all of them the same
+            if to > i:
+                done.append(word[i:to])
+                x, y = [*state, *map(symbol, word[max(i, to - 2):to])][-2:]
+                best[i], best[to], reached, i = None, {(x, y): (paid, None)}, to, to
+                continue
         for (a, b), (paid, said) in best[i].items():
             for letters, step, price in here:
                 x, y, total = a, b, paid + price
@@ -211,6 +223,7 @@ def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
                     best[i + step][(x, y)] = (total, (said, letters) if letters else said)
                 reached = max(reached, i + step)
         best[i] = None
+        i += 1
     found = [(paid + cost[a, b, 0], _said(said)) for (a, b), (paid, said) in best[-1].items()]
     return "".join(done) + min(found)[1]
 
@@ -278,7 +291,11 @@ class Restorer:
         if self.starts is None:
             return True
         if word.isalpha():
-            if _SYMBOLS.get(word[0], word[0]) not in self.ways_in:
+            x = _SYMBOLS.get(word[0], word[0])
+            if x not in self.ways_in:
+                return False
+            y = _SYMBOLS.get(word[1], word[1]) if len(word) > 1 else x
+            if y != x and x + y not in self.ways_in and x not in self.starts:
                 return False
             own = skeleton(word)
             return any(own[:k] in self.starts for k in self.lengths)
@@ -388,14 +405,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 
 def score_word(model: Model, restorer: Restorer, written: str) -> float:
+    core, decode = restorer.core(written)
+    if not decode:  # no reading has a feature, nor has the word as it is written
+        return 0.0
     shares = model.shares
     best = 0.0
-    for w in restorer.read(written).split():
+    for w in restore(core, restorer.cost).split():
         for f in (w, f"{w[:4]}…", f"{w[:5]}…", f"{w[:6]}…"):
             if len(w) >= len(f):
                 best = max(best, shares.get(f, 0.0))
-    if opened := restorer.read_open(written):
-        parts = opened.split(OPEN)
+    if _BREAK.search(core):
+        parts = restore(core, restorer.cost, True).split(OPEN)
         limits = {0, *itertools.accumulate(map(len, parts))}
         w = "".join(parts)
         for i in limits:
