@@ -5,11 +5,13 @@ padded with zeros). Bytes are embedded, filters of several widths run over them,
 filter's largest response in the window is kept (max pooling after a rectifier), and a
 softmax gives a window's language. A text's prediction is the mean over its windows,
 weighted by their letters. The network is trained in numpy on a bounded sample of
-labelled texts: about SAMPLE texts of each of the LANGUAGES most frequent languages,
-chosen by a hash of the text, and up to SLICES windows of each.
+labelled texts: about SAMPLE different texts of each language, chosen by a hash of the
+text, and up to SLICES windows of each.
 
 Defined results: a null text, and one without any letter, is `und` with score 0. Without
-any labelled text every prediction is `und`. Equal texts get equal predictions.
+any labelled text every prediction is `und`. Equal texts, and so repeated rows, get equal
+predictions. Windows cover texts of any length. Of languages with equal scores the first in
+order is predicted. An empty table gives none. Columns of any other name are left alone.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
-SAMPLE, SLICES, LANGUAGES, PASSES = 1200, 3, 64, 6
+SAMPLE, SLICES, PASSES = 1200, 3, 6
 #: Windows that go through the network at once.
 BATCH = 256
 
@@ -112,20 +114,21 @@ def windows_of(raw: bytes) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", sample: int = SAMPLE) -> ByteNet:
-    """Trains on a sample of the labelled rows: at most about `sample` per language, of
-    which slices of SLICES * WINDOW characters come to the driver."""
+    """Trains on a sample of the labelled texts: at most about `sample` different ones per
+    language, of which slices of SLICES * WINDOW characters come to the driver. Every
+    label is a class. Copies count once; a text with several labels has the first."""
     rows = docs.select(F.col(text).alias("t"), F.col(label).cast("string").alias("y")).filter("t is not null and y is not null and length(t) > 0")
-    counts = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(LANGUAGES).collect()
+    hashed = rows.select("y", F.xxhash64("t").alias("h")).distinct()
+    counts = hashed.groupBy("y").count().collect()  # one row per language
     net = ByteNet(sorted(r["y"] for r in counts))
     if not counts:
         return net
     u = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
-    wanted = F.lit(False)
-    for r in counts:
-        wanted = wanted | ((F.col("y") == r["y"]) & (u < sample / r["count"]))
+    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["y"], sample / r["count"])])
+    wanted = u < rates[F.col("y")]
     size = SLICES * WINDOW
     start = 1 + F.pmod(F.xxhash64("t", F.lit(1)), F.greatest(F.lit(1), F.length("t") - size)).cast("int")
-    got = rows.filter(wanted).dropDuplicates(["t"]).select("y", F.substring(F.col("t"), start, F.lit(size)).alias("t")).collect()
+    got = rows.filter(wanted).groupBy("t").agg(F.min("y").alias("y")).select("y", F.substring(F.col("t"), start, F.lit(size)).alias("t")).collect()
     windows, labels = [], []
     for y, t in sorted(map(tuple, got)):
         own = windows_of(t.encode())
