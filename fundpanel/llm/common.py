@@ -112,10 +112,11 @@ class UnitEncoder:
         self.tokens = {i: t for t, i in self.tokenizer.get_vocab().items()}
 
     @classmethod
-    def of(cls, path: str) -> UnitEncoder:
-        """One for each worker process."""
+    def of(cls, path: str, keep: int = 500_000) -> UnitEncoder:
+        """One for each worker process, with the size of cache it is asked for last."""
         if path not in cls.loaded:
-            cls.loaded[path] = cls(path)
+            cls.loaded[path] = cls(path, keep)
+        cls.loaded[path].keep = keep
         return cls.loaded[path]
 
     def _learn(self, new: list[str]) -> None:
