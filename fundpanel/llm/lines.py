@@ -23,7 +23,9 @@ written. This leaves out no pair.
 
 Defined results: blank lines stay as they are and are never compared. Null texts stay
 null. Rows equal in id and text are one document to the order of occurrences: they lose
-the same lines. A null id comes last. An empty table gives none.
+the same lines. A null id comes last. An empty table gives none. Texts and lines of any
+length are taken whole. Columns of any name stay as they are: added ones take a name that
+is free.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ from pyspark.sql import functions as F
 from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged
 
 NEAR_WORDS = 6
+#: Rows of a batch that a task sends on.
+SENT = 20_000
 
 Batches = Iterator[pa.RecordBatch]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -51,17 +55,33 @@ def lines_of(text: str | None) -> list[tuple[int, list[bytes]]]:
     return [(k, w) for k, w in own if w]
 
 
-def line_hash(words: list[bytes]) -> int:
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+def text_hash(text: str | None) -> int:
+    """Spark's xxhash64 of a text; null counts as empty."""
+    own = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"), seed=42)
+    return own - (1 << 64) if own >> 63 else own
 
 
-def half_keys(words: list[bytes]) -> list[int]:
+def line_hash(line: bytes) -> int:
+    """line: words with one blank between them."""
+    return xxhash.xxh3_64_intdigest(line) - (1 << 63)
+
+
+def half_keys(words: list[bytes], line: bytes) -> list[int]:
     """Hashes of the halves of which a line within one edit has at least one. With the
     shorter of two lines n words long, they agree in the first n // 2 words or in the last
     (n - 1) // 2; a line of n words may be the shorter or the longer one."""
     n = len(words)
-    out = [xxhash.xxh3_64_intdigest(b"<" + b" ".join(words[:k])) - (1 << 63) for k in {n // 2, (n - 1) // 2}]
-    return out + [xxhash.xxh3_64_intdigest(b">" + b" ".join(words[n - k:])) - (1 << 63) for k in {(n - 1) // 2, (n - 2) // 2}]
+    first = (n - 1) // 2
+    to = len(b" ".join(words[:first]))
+    out = [xxhash.xxh3_64_intdigest(line[:to], seed=1) - (1 << 63)]
+    if n % 2 == 0:
+        out.append(xxhash.xxh3_64_intdigest(line[:to + 1 + len(words[first])], seed=1) - (1 << 63))
+    least = (n - 2) // 2
+    start = len(line) - len(b" ".join(words[n - least:]))
+    out.append(xxhash.xxh3_64_intdigest(line[start:], seed=2) - (1 << 63))
+    if n % 2:
+        out.append(xxhash.xxh3_64_intdigest(line[start - 1 - len(words[n - least - 1]):], seed=2) - (1 << 63))
+    return out
 
 
 def variants(words: list[bytes]) -> np.ndarray:
@@ -94,18 +114,30 @@ def occurrences(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            at, out = [], []
+            at, docs_of, places, hashes, counts, halves = [], [], [], [], [], []
             for i, t in enumerate(batch.column("text")):
                 t = t.as_py()
-                doc = xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+                doc = text_hash(t)
                 for k, words in lines_of(t):
+                    line = b" ".join(words)
+                    own = half_keys(words, line) if len(words) >= NEAR_WORDS else ()
                     at.append(i)
-                    out.append((doc, k, line_hash(words), half_keys(words) if len(words) >= NEAR_WORDS else []))
-            for a in range(0, len(out), 20_000):
-                doc, line, h, halves = zip(*out[a:a + 20_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").take(pa.array(at[a:a + 20_000], pa.int64())), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(h, pa.int64()), pa.array(halves, pa.list_(pa.int64()))],
-                    ["key", "doc", "line", "h", "halves"])
+                    docs_of.append(doc)
+                    places.append(k)
+                    hashes.append(line_hash(line))
+                    counts.append(len(own))
+                    halves.extend(own)
+                    if len(at) == SENT:
+                        yield sent(batch, at, docs_of, places, hashes, counts, halves)
+                        at, docs_of, places, hashes, counts, halves = [], [], [], [], [], []
+            yield sent(batch, at, docs_of, places, hashes, counts, halves)
+
+    def sent(batch: pa.RecordBatch, at, docs_of, places, hashes, counts, halves) -> pa.RecordBatch:
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.array(halves, np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("key").take(pa.array(at, pa.int64())), pa.array(np.array(docs_of, np.int64)), pa.array(np.array(places, np.int32)), pa.array(np.array(hashes, np.int64)), lists],
+            ["key", "doc", "line", "h", "halves"])
 
     return rows.mapInArrow(run, schema)
 
@@ -116,24 +148,38 @@ def neighbourhoods(docs: DataFrame, text: str, sketch: bytes) -> DataFrame:
     def run(batches: Batches) -> Batches:
         mask, seen = 8 * len(sketch) - 1, set()
         for batch in batches:
-            h, v, p, w = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], []
-            lengths = []
+            h, v, w = [], [], []
+            rows = 0
             for t in batch.column("text"):
                 for _, words in lines_of(t.as_py()):
                     if len(words) < NEAR_WORDS:
                         continue
-                    own = line_hash(words)
+                    line = b" ".join(words)
+                    own = line_hash(line)
                     # the sketch's bits are in little-endian words, so also in its bytes
-                    if own in seen or not any(sketch[(k & mask) >> 3] >> (k & 7) & 1 for k in half_keys(words)):
+                    if own in seen or not any(sketch[(k & mask) >> 3] >> (k & 7) & 1 for k in half_keys(words, line)):
                         continue
                     if len(seen) < 1_000_000:
                         seen.add(own)
                     h.append(own)
                     v.append(variants(words))
-                    p.append(np.arange(-1, len(words), dtype=np.int32))
-                    lengths.append(len(words) + 1)
-                    w += [b" ".join(words), *[None] * len(words)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(h, np.int64), lengths)), pa.array(np.concatenate(v)), pa.array(np.concatenate(p)), pa.array(w, pa.binary())], ["h", "variant", "place", "words"])
+                    w.append(line)
+                    rows += len(words) + 1
+                    if rows >= SENT:
+                        yield sent(h, v, w)
+                        h, v, w, rows = [], [], [], 0
+            yield sent(h, v, w)
+
+    def sent(h: list[int], v: list[np.ndarray], w: list[bytes]) -> pa.RecordBatch:
+        lengths = [len(x) for x in v]
+        place = np.concatenate([np.zeros(0, np.int32), *[np.arange(-1, n - 1, dtype=np.int32) for n in lengths]])
+        first = np.cumsum([0, *lengths])[:-1].astype(np.int64)
+        of, away = np.zeros(len(place), np.int64), np.ones(len(place), bool)
+        of[first], away[first] = np.arange(len(w)), False
+        words = pa.array(w, pa.binary()).take(pa.array(of, mask=away))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array(h, np.int64), lengths)), pa.array(np.concatenate([np.zeros(0, np.int64), *v])), pa.array(place), words],
+            ["h", "variant", "place", "words"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "h long, variant long, place int, words binary")
 
@@ -195,24 +241,15 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     gone = staged(gone.select(F.xxhash64("key", "doc").alias(row), F.col("gone").alias(lost)), "gone")
     sketch = key_sketch(gone, row)
 
-    def hashes(texts: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh3_64_intdigest((t or "").encode("utf-8", "surrogatepass")) - (1 << 63) for t in texts], dtype="int64")
-
-    def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        out = []
-        for t, g in zip(texts, gone, strict=True):
-            if t is not None and g is not None and len(g):
-                away = set(g)
-                t = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in away)
-            out.append(t)
-        return pd.Series(out, dtype=object)
-
     def touched(rows: pd.Series) -> pd.Series:
         return pd.Series(in_sketch(np.frombuffer(sketch, np.uint32), rows.to_numpy(np.int64)))
 
     # only texts that lose a line are moved to their list of lines
-    own = docs.withColumn(row, F.xxhash64(F.col(key), F.pandas_udf(hashes, "long")(F.col(text))))
+    own = docs.withColumn(row, F.xxhash64(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     hit = F.pandas_udf(touched, "boolean")(F.col(row))
-    joined = own.filter(hit).join(gone, row, "left").withColumn(text, F.pandas_udf(cut, "string")(F.col(text), F.col(lost)))
+    lines = F.split(F.col(text), "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
+    rest = F.when(F.size(kept) > 0, F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")).otherwise(F.lit(""))
+    joined = own.filter(hit).join(gone, row, "left").withColumn(text, F.when(F.col(lost).isNull() | F.col(text).isNull(), F.col(text)).otherwise(rest))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return own.filter(~hit).select(*columns).union(joined.select(*columns))

@@ -749,7 +749,7 @@ def test_neighbourhoods_meet_within_one_edit():
                 b.insert(k, b"9")
         assert lines.within_one_edit(a, b) and lines.within_one_edit(b, a)
         assert set(lines.variants(a).tolist()) & set(lines.variants(b).tolist())
-        assert set(lines.half_keys(a)) & set(lines.half_keys(b))
+        assert set(lines.half_keys(a, b" ".join(a))) & set(lines.half_keys(b, b" ".join(b)))
     assert not lines.within_one_edit([b"a", b"b", b"c"], [b"b", b"a", b"c"])
 
 
