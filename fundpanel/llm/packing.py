@@ -6,7 +6,9 @@ pieces into as few sequences as it can. A full piece is a sequence by itself; th
 are dealt evenly over blocks of about BLOCK pieces. Several islands work on each block:
 each keeps a population of packings, the first by best-fit decreasing. Crossover injects
 the best-filled bins of one parent into another, removes the bins that share a piece
-with them, and puts the displaced pieces back by best fit. After each epoch the elite of
+with them, exchanges displaced pieces for smaller ones in bins with room, and puts the
+rest back by best fit; an island that has reached the bound of its block, total length by
+sequence, is done, as no packing has fewer. After each epoch the elite of
 an island moves to the next one of its block by a join. At the end the bins of a block's
 best packing that are too empty are opened, and their pieces go through the same again
 in fewer blocks, until one block is left or nothing can be saved.
@@ -23,6 +25,7 @@ name.
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import zlib
 from collections.abc import Iterator
@@ -36,11 +39,13 @@ from pyspark.sql import functions as F
 from fundpanel.llm.common import UnitEncoder, staged
 
 SEQUENCE, END_ID = 2048, 0
-BLOCK, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4000, 2, 3, 2, 4
+BLOCK, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4000, 2, 6, 2, 40
 #: Pieces of a batch that a task sends on: some MB with their ids.
 SENT = 500
-#: Encoded units that a worker keeps: some 40 MB.
+#: Encoded units that a worker keeps, of those that may hold a special token.
 KEPT_UNITS = 200_000
+#: Displaced pieces that are tried in pairs, and pieces of a bin that are tried against them.
+PAIRED, TRIED = 32, 8
 #: A bin that is at least so full stays closed.
 FULL = 0.995
 
@@ -107,11 +112,40 @@ def fitness(free: list[int], room: int) -> tuple[int, float]:
     return -len(free), sum(((room - f) / room) ** 2 for f in free)
 
 
+def exchange(bins: list[list[int]], free: list[int], displaced: list[int], sizes: list[int]) -> list[int]:
+    """Fuller bins by exchanges: one or two items of a bin for one or two displaced ones that
+    are larger together and fit. Fills the bins in place; what is displaced then."""
+    singles = sorted((sizes[i], i) for i in displaced)
+    few = singles[::-(-len(singles) // PAIRED)] if singles else []
+    pairs = sorted((p + q, i, j) for (p, i), (q, j) in itertools.combinations(few, 2))
+    for k, room in enumerate(free):
+        if not room or not singles:
+            continue
+        own, best = bins[k], None
+        for out in [(), *((i,) for i in own[:TRIED]), *itertools.combinations(own[:TRIED], 2)]:
+            size = sum(sizes[i] for i in out)
+            for others in (singles, pairs):
+                at = bisect.bisect_right(others, (size + room, len(sizes))) - 1
+                if at >= 0 and others[at][0] > size + (best[0] if best else 0):
+                    best = others[at][0] - size, out, others[at][1:]
+        if best:
+            gain, out, into = best
+            bins[k] = [i for i in own if i not in out] + [*into]
+            free[k] = room - gain
+            for i in into:
+                singles.pop(bisect.bisect_left(singles, (sizes[i], i)))
+            for i in out:
+                bisect.insort(singles, (sizes[i], i))
+            pairs = [p for p in pairs if p[1] not in into and p[2] not in into]  # the others are those of the start
+    return [i for _, i in singles]
+
+
 def crossover(a: tuple[list[list[int]], list[int]], b: tuple[list[list[int]], list[int]], sizes: np.ndarray, room: int, rng: random.Random) -> tuple[list[list[int]], list[int]]:
     """Well-filled bins of a go whole into b; b's bins that share an item with them are
-    opened, with a few of its emptiest, and the displaced items are put back by best fit."""
-    full = sorted(range(len(a[0])), key=lambda k: a[1][k])
-    taken = [k for k in full[:max(1, len(full) // 2)] if rng.random() < 0.5] or full[:1]
+    opened, with a few of its emptiest, and the displaced items are put back by exchanges
+    and then by best fit."""
+    full, share = sorted(range(len(a[0])), key=lambda k: a[1][k]), rng.uniform(0.01, 0.2)
+    taken = [k for k in full[:max(1, len(full) // 2)] if rng.random() < share] or full[:1]
     inside = {i for k in taken for i in a[0][k]}
     emptiest = set(sorted(range(len(b[0])), key=lambda k: -b[1][k])[:max(2, len(b[0]) // 50)])
     bins, free, displaced = [a[0][k] for k in taken], [a[1][k] for k in taken], []
@@ -121,7 +155,7 @@ def crossover(a: tuple[list[list[int]], list[int]], b: tuple[list[list[int]], li
         else:
             bins.append(own)
             free.append(b[1][k])
-    return best_fit(displaced, sizes, room, bins, free)
+    return best_fit(exchange(bins, free, displaced, sizes.tolist()), sizes, room, bins, free)
 
 
 def evolve(sizes: np.ndarray, room: int, seed: int, migrant: list[int] | None, start: list[int] | None) -> list[int]:
@@ -139,7 +173,7 @@ def evolve(sizes: np.ndarray, room: int, seed: int, migrant: list[int] | None, s
     if not people:
         people = [best_fit(everything, sizes, room)]
     least = -(-int(sizes.sum()) // room)
-    while len(people) < POPULATION:
+    while min(len(p[0]) for p in people) > least and len(people) < POPULATION:
         noisy = sizes * (1 + np.array([rng.uniform(-0.1, 0.1) for _ in everything]))
         order = np.argsort(-noisy)
         bins, free = best_fit([int(i) for i in order[:len(order) // 2]], sizes, room)

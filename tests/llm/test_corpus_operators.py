@@ -380,6 +380,34 @@ def test_blocks_are_merged(spark):
     assert len(bins) <= 1.01 * packing_best(sizes)
 
 
+def test_evolution_saves_bins_where_best_fit_is_above_the_bound():
+    sizes = np.random.default_rng(3).integers(500, 900, 1200)
+    plain = len(packing.best_fit(list(range(len(sizes))), sizes, 2048)[0])
+    own = packing.evolve(sizes, 2048, 7, None, None)
+    assert np.bincount(own, weights=sizes).max() <= 2048
+    assert len(set(own)) <= 0.97 * plain
+
+
+def test_exchanges_keep_every_item():
+    rng = random.Random(4)
+    for _ in range(50):
+        sizes = [rng.randint(1, 900) for _ in range(60)]
+        bins, free = packing.best_fit(list(range(30)), np.array(sizes), 1000)
+        before = sum(free)
+        left = packing.exchange(bins, free, list(range(30, 60)), sizes)
+        assert sorted([*left, *itertools.chain(*bins)]) == list(range(60))
+        assert [1000 - sum(sizes[i] for i in b) for b in bins] == free and min(free) >= 0 and sum(free) <= before
+
+
+def test_encoder_is_that_of_whole_texts_and_keeps_little():
+    texts = [*(t or "" for t in ODD_TEXTS), " ".join(f"w{i}x <b>{i}</b> don't  é{i}" for i in range(700)), " a< |b <|endoftext|>c\n\n"]
+    for path in (WORD, BYTE):
+        coder, plain = UnitEncoder(path, 500), Tokenizer.from_file(path)
+        for t in [*texts, *texts]:
+            assert np.frombuffer(coder.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    assert all("<" in u for u in coder.cache)
+
+
 def packing_best(sizes):
     return len(packing.best_fit(list(range(len(sizes))), np.array(sizes), 2048)[0])
 
