@@ -14,9 +14,9 @@ Work is kept in proportion to the corpus:
   worked out where its text is read;
 * a collection's value that only one node has can be in no shared key, so the small
   collections are counted first, and only what is left of them is combined into keys;
-* in a table's bucket every node is held against one lead, the node with the smallest
-  name, which is the same in most buckets of a group, so that a group of copies gives
-  links in proportion to its size. Linked nodes form components;
+* a table's bucket has a lead, the node with the smallest name, and every node is first
+  held against one only, the smallest of its buckets' leads, so that a group gives no more
+  pairs than it has nodes, whatever its number of tables. Linked nodes form components;
 * buckets that then hold several components get other leads, STARS times, and only those
   that still do are looked at with the nodes of different components in pairs. A pair is
   made in the first table that both have, and no other. The parities of their sets' tokens
@@ -244,7 +244,8 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
         pairs = rows.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
         return pairs.join(_ends(nodes, "b", 2), "b").join(_ends(nodes, "a", 1), "a").filter(near & alike).select("a", "b")
 
-    comps = components(linked(from_leads(members), sets, percent))
+    one = members.filter("node <> lead").groupBy("node").agg(F.min("lead").alias("lead"))
+    comps = components(linked(from_leads(one), sets, percent))
     open_ = members.drop("lead")
     for star in range(STARS + 1):
         placed = staged(_placed(open_, comps, "node", "component"), "placed")

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fundpanel.llm import near_dups
 from fundpanel.llm.ngram_join import shingles
@@ -73,6 +74,22 @@ def test_other_thresholds(spark, rows):
     assert found(df, percent=95, words=3) == plain(rows, 95, 3)
 
 
+def test_a_group_gives_no_more_first_pairs_than_nodes(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join([*words[:k], f"x{k}", *words[k + 1:]]) for k in range(0, 400, 4)]
+    asked = []
+
+    def counted(pairs, sets, percent, linked=near_dups.linked):
+        asked.append(pairs.count())
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dups, "_alike", lambda percent: F.lit(True))
+    monkeypatch.setattr(near_dups, "linked", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["component"] for r in near_dups.similar(docs).collect()} == {0}
+    assert asked[0] < len(texts)
+
+
 def test_empty_table(spark):
     assert found(spark.createDataFrame([], "doc_id long, text string")) == []
     assert found(spark.createDataFrame([(1, None)], "doc_id long, text string")) == [(1, 0, 1)]
