@@ -279,8 +279,8 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     near, enough = _near(percent), _enough(percent)
     all_rows = staged(signed(docs, text, key, words), "sets-signed")
     top = (all_rows.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "sig").limit(HEAVY).toPandas().sort_values("sig"))
-    heavy, counts = top["sig"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+           .orderBy(F.desc("n"), "sig").limit(HEAVY).toArrow().sort_by("sig"))  # two columns of numbers, no row objects
+    heavy, counts = top["sig"].to_numpy(), top["n"].to_numpy()
 
     part = Window.partitionBy("token", "salt")
     lists = staged(

@@ -803,3 +803,11 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
     assert 0 < out.select("doc_id").distinct().count() < docs.count()
+
+
+def test_ngram_join_brings_frequent_tokens_as_columns(docs, monkeypatch):
+    def refused(*_):
+        raise AssertionError("row objects on the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", refused)
+    assert ngram_join.similar(docs).count() == docs.count()
