@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+import re
+
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from fundpanel.llm.common import UNIT, UnitEncoder
+from fundpanel.llm import html, lines, ngram_join, packing, toxicity
+from fundpanel.llm.common import UNIT, UnitEncoder, staged
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,3 +32,20 @@ def test_new_units_do_not_walk_the_cache():
     text = "other words <b that come"
     assert coder.encode(text) == b"".join(i.to_bytes(4, "little") for i in plain.encode(text, add_special_tokens=False).ids)
     assert set(coder.cache) == set(UNIT.findall(text))
+
+
+def optimized(df) -> list[str]:
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_lines_of_marked_pages_do_not_move(spark, monkeypatch):
+    """Texts where an article is marked are taken as they are read; others keep their lines."""
+    kept = {}
+    monkeypatch.setattr(html, "staged", lambda df, name: kept.setdefault(name, staged(df, name)))
+    page = "<div>menu</div>%s<p>terms</p>"
+    rows = [(1, "http://a.x/1", page % "<article>one</article>"), (2, "http://a.x/2", page % "<p>two</p>"), (3, "http://a.x/3", page % "<article class=ad>three</article><p>four</p>"),
+            (4, "http://b.x/1", page % "<main>five</main>"), (5, None, "six")]
+    got = {r["key"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "one", 2: "two", 3: "four", 4: "five", 5: "six"}
+    assert {r["key"]: r["lines"] for r in kept["pages"].collect()} == {1: None, 2: ["menu", "two", "terms"], 3: ["menu", "three", "four", "terms"], 4: None, 5: None}
+    assert "lines" not in kept["shared"].columns
