@@ -247,9 +247,11 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     # only texts that lose a line are moved to their list of lines
     own = docs.withColumn(row, F.xxhash64(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
     hit = F.pandas_udf(touched, "boolean")(F.col(row))
-    lines = F.split(F.col(text), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
-    rest = F.when(F.size(kept) > 0, F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")).otherwise(F.lit(""))
-    joined = own.filter(hit).join(gone, row, "left").withColumn(text, F.when(F.col(lost).isNull() | F.col(text).isNull(), F.col(text)).otherwise(rest))
+    # the list of lines is a column of its own: inside the transform the text would be split for every line
+    parts, left = fresh(docs, "text_lines"), F.col(lost).isNull() | F.col(text).isNull()
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(lost))
+    rest = F.array_join(F.transform(kept, lambda k: F.get(F.col(parts), k)), "\n")
+    joined = (own.filter(hit).join(gone, row, "left").withColumn(parts, F.split(F.col(text), "\n"))
+              .withColumn(text, F.when(left, F.col(text)).otherwise(rest)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return own.filter(~hit).select(*columns).union(joined.select(*columns))

@@ -38,6 +38,13 @@ def optimized(df) -> list[str]:
     return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
 
 
+def test_lines_are_cut_once_a_text(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "b\nd\na\ne"), (3, "a\nc"), (4, None), (5, "\na")], "doc_id long, text string")
+    cut = lines.without_repeats(docs)
+    assert "lambdafunction(split(" not in "".join(optimized(cut))
+    assert dict(cut.collect()) == {1: "a\nb\nc", 2: "d\ne", 3: "", 4: None, 5: ""}
+
+
 def test_lines_of_marked_pages_do_not_move(spark, monkeypatch):
     """Texts where an article is marked are taken as they are read; others keep their lines."""
     kept = {}
