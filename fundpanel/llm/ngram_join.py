@@ -129,24 +129,24 @@ def _sets(batches: Batches, words: int) -> Iterator[tuple[pa.RecordBatch, list[n
 
 
 def signed(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
-    """(kind 0, key, n, sig, BITS) of every document; (kind 1, token as sig, count as n) of the
-    tokens that are frequent in a batch."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = f"kind int, key {rows.schema['key'].dataType.simpleString()}, n long, sig long, " + ", ".join(f"{b} long" for b in BITS)
-    names = ["kind", "key", "n", "sig", *BITS]
+    """(kind 0, key, n, sig, whole, BITS) of every document, whole: a hash of its text; (kind
+    1, token as sig, count as n) of the tokens that are frequent in a batch."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("whole"))
+    schema = f"kind int, key {rows.schema['key'].dataType.simpleString()}, n long, sig long, whole long, " + ", ".join(f"{b} long" for b in BITS)
+    names = ["kind", "key", "n", "sig", "whole", *BITS]
 
     def run(batches: Batches) -> Batches:
         for batch, sets in _sets(batches, words):
             keys = batch.column("key")
             odd = np.array([parities(s) for s in sets], np.int64).reshape(-1, PARITIES)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sets), np.int32)), keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64()), *[pa.array(x) for x in odd.T]], names)
+                [pa.array(np.zeros(len(sets), np.int32)), keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) for s in sets], pa.int64()), batch.column("whole"), *[pa.array(x) for x in odd.T]], names)
             if sets:
                 distinct = {signature(s): s for s in sets}
                 tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
                 tokens, counts = tokens[counts >= OFTEN], counts[counts >= OFTEN]
                 none = pa.nulls(len(tokens), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), pa.nulls(len(tokens), keys.type), pa.array(counts), pa.array(tokens), *[none] * PARITIES], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), pa.nulls(len(tokens), keys.type), pa.array(counts), pa.array(tokens), none, *[none] * PARITIES], names)
 
     return rows.mapInArrow(run, schema)
 
@@ -185,25 +185,35 @@ def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray,
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "token long, salt int, sig long, n int, l short, rare short")
 
 
-def sets_of(docs: DataFrame, text: str, wanted: DataFrame, words: int) -> DataFrame:
-    """(sig, tokens) of the wanted sigs and perhaps a few others: a bounded sketch of the
-    wanted ones says which texts to send. tokens: whole sets, the low 48 bits of each."""
-    sketch = key_sketch(wanted, "sig")
+def sets_of(docs: DataFrame, text: str, wanted: DataFrame, signs: DataFrame, words: int) -> DataFrame:
+    """(sig, tokens) of the wanted sigs and perhaps a few others. signs: (sig, whole) of all
+    documents. Bounded sketches of the wanted sigs, and of the hashes of texts that have
+    them, say which texts to send; only those are cut into words again. tokens: whole
+    sets, the low 48 bits of each."""
+    sigs = key_sketch(wanted, "sig")
+
+    def chosen(batches: Batches) -> Batches:
+        bits = np.frombuffer(sigs, np.uint32)
+        for batch in batches:
+            yield batch.filter(pa.array(in_sketch(bits, batch.column("sig").to_numpy())))
+
+    texts = key_sketch(signs.select("sig", "whole").mapInArrow(chosen, "sig long, whole long"), "whole")
 
     def run(batches: Batches) -> Batches:
-        bits, seen = np.frombuffer(sketch, np.uint32), set()
-        for _, sets in _sets(batches, words):
-            sigs = np.array([signature(s) for s in sets], np.int64)
-            keep = []
-            for k in np.flatnonzero(in_sketch(bits, sigs)) if len(sigs) else []:
-                if sigs[k] not in seen:
-                    seen.add(sigs[k])
-                    keep.append(k)
-            for a in range(0, len(keep), 500):
-                own = keep[a:a + 500]
-                yield pa.RecordBatch.from_arrays([pa.array(sigs[own]), pa.array([_pack(sets[k]) for k in own], pa.binary())], ["sig", "tokens"])
+        bits, of_texts, seen = np.frombuffer(sigs, np.uint32), np.frombuffer(texts, np.uint32), set()
+        for batch in batches:
+            found = batch.filter(pa.array(in_sketch(of_texts, batch.column("whole").to_numpy())))
+            own = {}
+            for _, sets in _sets([found], words):
+                own.update((signature(s), s) for s in sets if len(s))
+            fresh_ones = [k for k, hit in zip(own, in_sketch(bits, np.array(list(own), np.int64)), strict=True) if hit and k not in seen]
+            seen.update(fresh_ones)
+            for a in range(0, len(fresh_ones), 500):
+                part = fresh_ones[a:a + 500]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([_pack(own[k]) for k in part], pa.binary())], ["sig", "tokens"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "sig long, tokens binary").groupBy("sig").agg(F.first("tokens").alias("tokens"))
+    rows = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("whole"))
+    return rows.mapInArrow(run, "sig long, tokens binary").groupBy("sig").agg(F.first("tokens").alias("tokens"))
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -281,6 +291,7 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     top = (all_rows.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "sig").limit(HEAVY).toArrow().sort_by("sig"))  # two columns of numbers, no row objects
     heavy, counts = top["sig"].to_numpy(), top["n"].to_numpy()
+    signs = all_rows.filter("kind = 0").select("sig", "whole")
 
     part = Window.partitionBy("token", "salt")
     lists = staged(
@@ -296,7 +307,7 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
              .groupBy(F.col("lead.sig").alias("a"), F.col("sig").alias("b"), F.col("lead.n").alias("n1"), F.col("n").alias("n2"), F.col("lead.l").alias("l1"), F.col("l").alias("l2"))
              .agg(F.count("*").alias("shared")).filter(enough))
     first = staged(first.select("a", "b"), "candidates")
-    links = verified(first, sets_of(docs, text, nodes_of(first), words), percent)
+    links = verified(first, sets_of(docs, text, nodes_of(first), signs, words), percent)
 
     known = components(links)
     placed = lists.drop("lead", "salt").join(known.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
@@ -309,7 +320,7 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     second = (a.join(b, "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2")).filter(near(F.col("n1"), F.col("n2"))).filter(_alike(percent))
               .groupBy("a", "b", "n1", "n2", "l1", "l2").agg(F.count("*").alias("shared")).filter(enough))
     second = staged(second.select("a", "b", (F.col("shared") / F.least("n1", "n2")).alias("part")), "candidates")
-    own = staged(sets_of(docs, text, nodes_of(second), words), "sets")
+    own = staged(sets_of(docs, text, nodes_of(second), signs, words), "sets")
     nodes = components(links)
     for most in ROUNDS:
         second = _across(second, nodes)

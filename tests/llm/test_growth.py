@@ -45,6 +45,15 @@ def test_lines_are_cut_once_a_text(spark):
     assert dict(cut.collect()) == {1: "a\nb\nc", 2: "d\ne", 3: "", 4: None, 5: ""}
 
 
+def test_only_texts_with_wanted_sets_are_cut_into_words(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l"), (3, "A b c d e f"), (4, None), (5, " ")], "doc_id long, text string")
+    signs = ngram_join.signed(docs, "text", "doc_id", 5).filter("kind = 0")
+    own = {r["key"]: r["sig"] for r in signs.collect()}
+    found = ngram_join.sets_of(docs, "text", signs.filter("n > 0").select("sig"), signs.filter("key <> 2").select("sig", "whole"), 5)
+    assert {r["sig"]: len(r["tokens"]) // 6 for r in found.collect()} == {own[1]: 2}
+    assert own[1] == own[3]
+
+
 def test_lines_of_marked_pages_do_not_move(spark, monkeypatch):
     """Texts where an article is marked are taken as they are read; others keep their lines."""
     kept = {}
