@@ -235,9 +235,12 @@ def pack_sizes(items: DataFrame, room: int = SEQUENCE, block: int = BLOCK) -> Da
 def pack(parts: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """parts: rows with `length`, written before. Adds sequence_id and offset."""
     rows = staged(parts.withColumn("n", F.monotonically_increasing_id()), "pieces")
-    bins = pack_sizes(rows.filter(F.col("length") < sequence).select("n", F.col("length").alias("size")), sequence)
-    bins = bins.withColumn("sequence_id", F.xxhash64("bin"))
+    sizes = rows.select("n", F.col("length").alias("size"))
+    bins = pack_sizes(sizes.filter(F.col("size") < sequence), sequence).withColumn("sequence_id", F.xxhash64("bin"))
     one = rows.filter(F.col("length") >= sequence).select("*", F.xxhash64(F.format_string("own/%d", "n")).alias("sequence_id"))
+    # places are worked out on lengths; a piece moves with its tokens once, a full one never
     where = Window.partitionBy("sequence_id").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    many = rows.join(bins.drop("bin"), "n").withColumn("offset", F.coalesce(F.sum("length").over(where), F.lit(0)).cast("long"))
+    places = (bins.join(sizes, "n").withColumn("offset", F.coalesce(F.sum("size").over(where), F.lit(0)).cast("long"))
+              .select("n", "sequence_id", "offset"))
+    many = rows.filter(F.col("length") < sequence).join(places, "n")
     return many.drop("n").unionByName(one.withColumn("offset", F.lit(0).cast("long")).drop("n"))

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import fresh, staged
+from fundpanel.llm.common import fresh, in_sketch, key_sketch, staged
 from fundpanel.llm.ngram_join import shingles
 
 #: Look-alikes and the letters they may stand for; fixed values.
@@ -390,7 +390,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     marks = (docs.select(F.col(key).alias("_key"), F.pandas_udf(ends, "lo long, hi long")(F.col(text)).alias("e")).join(held, "_key")
              .groupBy("_toxic", "e.lo").agg(F.min(F.struct("e.hi", "_key")).alias("m"))
              .groupBy("_toxic", "m.hi").agg(F.min("m._key").alias("_key")).select("_key", "_toxic"))
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(staged(marks, "labelled"), "_key").select("_text", "_toxic")
+    marks = staged(marks, "labelled")
+    sketch = key_sketch(marks.select(F.xxhash64("_key").alias("h")), "h")
+
+    def labelled(hashes: pd.Series) -> pd.Series:
+        return pd.Series(in_sketch(np.frombuffer(sketch, np.uint32), hashes.to_numpy(np.int64)))
+
+    # only texts that may have a label are moved
+    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).filter(F.pandas_udf(labelled, "boolean")(F.xxhash64("_key")))
+    rows = own.join(marks, "_key").select("_text", "_toxic")
     counts = staged(rows.mapInArrow(count, "feature string, n long, toxic long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")), "features")
     base = counts.filter("feature = ''").collect()  # stands in every text
     if not base or not 0 < base[0]["toxic"] < base[0]["n"]:

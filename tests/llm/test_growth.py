@@ -54,6 +54,34 @@ def test_only_texts_with_wanted_sets_are_cut_into_words(spark):
     assert own[1] == own[3]
 
 
+def test_tokens_move_once(spark):
+    docs = spark.createDataFrame([(i, "word " * (i * 37 % 5000)) for i in range(60)], "doc_id long, text string")
+    parts = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack(parts)
+    plan = optimized(packed)
+    at = next(k for k, line in enumerate(plan) if "Window [" in line)
+    depth = plan[at].index("Window [")
+    below = [line for line in itertools.takewhile(lambda line: re.search(r"\w", line).start() > depth, plan[at + 1:])]
+    assert below and not any("ids#" in line for line in below if "Relation" not in line)
+    rows = packed.collect()
+    assert len(rows) == parts.count() and any(r["length"] == packing.SEQUENCE for r in rows)
+    assert all(len(r["ids"]) == r["length"] for r in rows)
+    for _, own in itertools.groupby(sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])), lambda r: r["sequence_id"]):
+        at = 0
+        for r in own:
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= packing.SEQUENCE
+
+
+def test_only_labelled_texts_move(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join([*(f"{'bcdfgklmnprst'[(i * k) % 13]}{'aeiou'[(i + k) % 5]}{'bcdfgklmnprst'[(i + 3 * k) % 13]}{'aeiou'[(i * i + k) % 5]}" for k in range(1, 9)), "vile" if i % 2 else "kind"])) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    assert "vile" in toxicity.fit(docs, labels).shares
+    monkeypatch.setattr(toxicity, "key_sketch", lambda keys, column: np.zeros(1 << 18, np.uint32).tobytes())
+    assert not toxicity.fit(docs, labels).shares
+
+
 def test_lines_of_marked_pages_do_not_move(spark, monkeypatch):
     """Texts where an article is marked are taken as they are read; others keep their lines."""
     kept = {}
