@@ -16,6 +16,9 @@ Large groups cost no more than their size:
   is nearer to each than they are to each other. Nodes that link form components. Then
   only nodes of different components are paired, and lists that lie within one component
   are left out altogether;
+* of a pair only tokens are joined that stand in the short prefixes which sets of these
+  two sizes need (a stored prefix is long enough for the smallest partner), so outliers of
+  a large group, whose first tokens are their own, do not meet its members in every list;
 * these pairs are first held against the parities of their sets' tokens in 64 * PARITIES
   classes: as many tokens at least stand in one set only as parities differ, so pairs
   with more differences than linked sets can have are left out before they are counted;
@@ -59,6 +62,8 @@ BITS = [f"bits{k}" for k in range(PARITIES)]
 ROUNDS = (1, 16, None)
 #: What one candidate costs against one row of the index.
 VERIFY = 20.0
+#: Pairs are counted on as much of what their prefixes have beyond the least they need.
+BEYOND = 0.25
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -152,15 +157,17 @@ def signed(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(token, salt, sig, n, l, rare) for the prefix tokens of every set; one that a task
+    """(token, salt, sig, n, l, rare, at) for the prefix tokens of every set; one that a task
     has seen is not written again. salt: part of a hot token's list, 0 for all others;
-    rare: tokens of the set that were not counted often, in thousandths."""
+    rare: tokens of the set that were not counted often, in thousandths; at: the token's
+    place in the set's order, from 0."""
     hot, salts_of = HOT, SALTS
 
     def run(batches: Batches) -> Batches:
         seen: set[int] = set()
         for _, sets in _sets(batches, words):
             tokens, salts = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+            places = [np.zeros(0, np.int32)]
             sigs, sizes, matches, rare, lengths = [], [], [], [], []
             for s in sets:
                 sig = signature(s)
@@ -172,6 +179,7 @@ def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray,
                 at, m = prefix_places(s, often, percent)
                 tokens.append(s[at])
                 salts.append(np.where(often[at] >= hot, 1 + sig % salts_of, 0).astype(np.int32))
+                places.append(np.arange(len(at), dtype=np.int32))
                 lengths.append(len(at))
                 sigs.append(sig)
                 sizes.append(len(s))
@@ -179,10 +187,10 @@ def postings(docs: DataFrame, text: str, heavy: np.ndarray, counts: np.ndarray,
                 rare.append(1000 * int((often < OFTEN).sum()) // len(s))
             spread = lambda x, t: pa.array(np.repeat(np.array(x, t), lengths))  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(salts)), spread(sigs, np.int64), spread(sizes, np.int32), spread(matches, np.int16), spread(rare, np.int16)],
-                ["token", "salt", "sig", "n", "l", "rare"])
+                [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(salts)), spread(sigs, np.int64), spread(sizes, np.int32), spread(matches, np.int16), spread(rare, np.int16), pa.array(np.concatenate(places))],
+                ["token", "salt", "sig", "n", "l", "rare", "at"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "token long, salt int, sig long, n int, l short, rare short")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "token long, salt int, sig long, n int, l short, rare short, at int")
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame, signs: DataFrame, words: int) -> DataFrame:
@@ -283,6 +291,23 @@ def _enough(percent: int) -> F.Column:
     return (F.col("shared") >= F.least("l1", "l2")) & (F.col("shared") + F.greatest(*rest) >= _least(percent))
 
 
+def paired(left: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n1, n2, least_shared), a row for each shared token that counts, of pairs in
+    different components.
+    left: (token, sig, n, l, at, component, BITS). With s the least overlap of sets of n1 and
+    n2 tokens, sets that link share at least m tokens of their first n1 - s + m and n2 - s + m,
+    as only s - m tokens follow in the one that ends first. m: the smaller l, and BEYOND of
+    what both stored prefixes have room for."""
+    side = lambda sig, k: left.select("token", F.col("sig").alias(sig), *[F.col(x).alias(f"{y}{k}") for x, y in (("n", "n"), ("l", "l"), ("at", "at"), ("component", "c"))],
+                                      *[F.col(x).alias(f"{x}_{sig}") for x in BITS])
+    beyond = _least(percent) - F.ceil(F.greatest("n1", "n2") * percent / 100 - F.lit(1e-9))
+    least = F.least("l1", "l2") + F.floor(beyond * BEYOND)
+    inside = [F.col(f"at{k}") < F.col(f"n{k}") - _least(percent) + least for k in (1, 2)]
+    rows = side("a", 1).join(side("b", 2), "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2"))
+    rows = rows.filter(_near(percent)(F.col("n1"), F.col("n2"))).filter(inside[0] & inside[1]).filter(_alike(percent))
+    return rows.select("a", "b", "n1", "n2", least.alias("least_shared"))
+
+
 def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n, component, node, group): set size, the smallest key reachable by links, the
     set's hash and the smallest hash reachable (null for empty sets). One row per document."""
@@ -315,10 +340,8 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
     odd = all_rows.filter("kind = 0").groupBy("sig").agg(*[F.first(b).alias(b) for b in BITS])
     left = placed.join(mixed, "token").join(odd, "sig")
-    a = left.select("token", F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("l").alias("l1"), F.col("component").alias("c1"), *[F.col(x).alias(f"{x}_a") for x in BITS])
-    b = left.select("token", F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("component").alias("c2"), *[F.col(x).alias(f"{x}_b") for x in BITS])
-    second = (a.join(b, "token").filter(F.col("a") < F.col("b")).filter(F.col("c1") != F.col("c2")).filter(near(F.col("n1"), F.col("n2"))).filter(_alike(percent))
-              .groupBy("a", "b", "n1", "n2", "l1", "l2").agg(F.count("*").alias("shared")).filter(enough))
+    second = (paired(left, percent).groupBy("a", "b", "n1", "n2", "least_shared").agg(F.count("*").alias("shared"))
+              .filter("shared >= least_shared"))
     second = staged(second.select("a", "b", (F.col("shared") / F.least("n1", "n2")).alias("part")), "candidates")
     own = staged(sets_of(docs, text, nodes_of(second), signs, words), "sets")
     nodes = components(links)

@@ -93,3 +93,28 @@ def test_lines_of_marked_pages_do_not_move(spark, monkeypatch):
     assert got == {1: "one", 2: "two", 3: "four", 4: "five", 5: "six"}
     assert {r["key"]: r["lines"] for r in kept["pages"].collect()} == {1: None, 2: ["menu", "two", "terms"], 3: ["menu", "three", "four", "terms"], 4: None, 5: None}
     assert "lines" not in kept["shared"].columns
+
+
+def test_outliers_do_not_meet_a_group_in_every_list(spark, monkeypatch):
+    """40 near copies of a set and 20 sets with 17 % of their own tokens are hardly joined,
+    against a join on all that is stored; pairs that link are joined as often as they have to be."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**60, 300)
+    own = lambda share: np.unique(np.concatenate([base[rng.random(300) >= share], rng.integers(0, 2**60, int(300 * share))]))
+    sets = {k: own(0.01 if k < 40 else 0.17 if k < 60 else 0.1) for k in range(80)}
+    heavy, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+    rows = []
+    for k, s in sets.items():
+        at, least = ngram_join.prefix_places(s, ngram_join.counted(s, heavy, counts), 75)
+        rows += [(int(s[i]), k, len(s), least, n, 0 if k < 40 else k, *ngram_join.parities(s).tolist()) for n, i in enumerate(at)]
+    left = spark.createDataFrame(rows, "token long, sig long, n int, l short, at int, component long, " + ", ".join(f"{b} long" for b in ngram_join.BITS))
+    found = [tuple(r) for r in ngram_join.paired(left, 75).collect()]
+    monkeypatch.setattr(ngram_join, "BEYOND", 1)
+    stored = [tuple(r) for r in ngram_join.paired(left, 75).collect()]
+    joined, before = (sum(a < 40 <= b < 60 for a, b, *_ in x) for x in (found, stored))
+    assert 0 < 5 * joined < before
+    times = {p: (sum(q == p for q in found), p[4]) for p in set(found)}
+    enough = {p[:2] for p, (n, least) in times.items() if n >= least}
+    both = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    linked = {(a, b) for a, b in itertools.combinations(sets, 2) if b >= 40 and 100 * both(a, b) >= 75 * (len(sets[a]) + len(sets[b]) - both(a, b))}
+    assert linked and linked <= enough
