@@ -34,6 +34,20 @@ def test_new_units_do_not_walk_the_cache():
     assert set(coder.cache) == set(UNIT.findall(text))
 
 
+def test_plain_words_are_not_kept():
+    coder, plain = UnitEncoder(WORD, 20), Tokenizer.from_file(WORD)
+    rng = np.random.default_rng(7)
+    signs = ["the", "Don't", "we'LL", "'s", "x", "42", "!?", "...", "re", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x01", "A", "Supercalifragilistic", "é", "\u3000", "ÀB", "中文", "\u0301", "Σ", "a\xa0b", "_", "-", "="]
+    for k in range(400):
+        text = "".join(rng.choice(signs[:18] if k % 2 else signs, 60))
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    for text in ("nul \0 inside é", "\0", "a < b é", "", " ", "="*5000, "é", "é\0"):
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    coder = UnitEncoder(WORD)
+    coder.encode("Plain words stay out, só does not")
+    assert set(coder.cache) == {" só"}
+
+
 def optimized(df) -> list[str]:
     return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
 
