@@ -160,7 +160,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
                  pa.array([x[2] for x in ends]), pa.array([x[3] for x in ends], pa.bool_())], ["digest", "r_head", "r_core", "r_tail", "r_solid"])
 
     known = staged(rows.select("text").mapInArrow(shared, "digest binary, chunk string").groupBy("digest").agg(F.first("chunk").alias("chunk"))
-                   .mapInArrow(encode_once, "digest binary, r_head string, r_core binary, r_tail string, r_solid boolean"), "chunks")
+                   .mapInArrow(encode_once, "digest binary, r_head string, r_core binary, r_tail string, r_solid boolean"), "chunks", "zstd")
 
     def has_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs of the texts that have shared chunks."""
@@ -234,7 +234,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str
             yield from _results(pa.array(keys, kind), found, coder)
 
     runs = staged(rows.mapInArrow(has_shared, f"row long, n int, key {key_type}, digest binary, head string, core binary, tail string, solid boolean")
-                  .withColumn("part", F.spark_partition_id()), "runs")
+                  .withColumn("part", F.spark_partition_id()), "runs", "zstd")
     result = f"key {key_type}, ids array<int>, decoded string"
     # only references meet the encodings; encoded runs move once, to their text
     refs = runs.filter("digest is not null").select("part", "row", "n", "key", "digest").join(known, "digest")

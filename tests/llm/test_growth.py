@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from fundpanel.llm import html, lines, ngram_join, packing, toxicity
+from fundpanel.llm import bpe, html, lines, ngram_join, packing, toxicity
 from fundpanel.llm.common import UNIT, UnitEncoder, staged
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -132,3 +132,12 @@ def test_outliers_do_not_meet_a_group_in_every_list(spark, monkeypatch):
     both = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
     linked = {(a, b) for a, b in itertools.combinations(sets, 2) if b >= 40 and 100 * both(a, b) >= 75 * (len(sets[a]) + len(sets[b]) - both(a, b))}
     assert linked and linked <= enough
+
+
+def test_encoded_runs_are_kept_small(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(bpe, "staged", lambda *a: kept.append(staged(*a)) or kept[-1])
+    shared = " ".join(f"word{i}" for i in range(600))
+    docs = spark.createDataFrame([(i, f"own {i} {shared} end {i}") for i in range(4)], "doc_id long, text string")
+    assert bpe.encode_decode(docs, WORD).count() == 4
+    assert len(kept) == 2 and all(f.endswith(".zstd.parquet") for k in kept for f in k.inputFiles())
