@@ -35,7 +35,7 @@ import itertools
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, partial
 from typing import TypeVar
@@ -67,7 +67,10 @@ T = TypeVar("T")
 _TWICE, _LETTERS_ALIKE = re.compile(r"(.)\1", re.S), {c for c in LOOKS if c.isalpha()}
 #: Where a word may end within a written one.
 _BREAK = re.compile(r"[\W_]")
+_GAP = re.compile(f"[ {re.escape(''.join(sorted(SEPARATORS)))}]")
 _LOOK = "".join(c for c in LOOKS if _BREAK.match(c))
+#: The commonest of what can be no letter at the edges of a word.
+MARKS = "".join(c for c in map(chr, range(0x21, 0x80)) if _BREAK.match(c) and c not in LOOKS)
 
 
 def symbol(c: str) -> int:
@@ -84,12 +87,17 @@ for _c in range(0x250):
     _CODES[_c] = symbol(chr(_c).lower()[:1])
 for _c in (0x20, *range(0x09, 0x0E), 0x85, 0xA0):
     _CODES[_c] = 0
+#: Symbols of single characters within words; all others have 1.
+_SYMBOL = {chr(c): s for c in range(0x100) if (s := symbol(chr(c))) != 1} | {" ": 0}
 
 
 def trigram_counts(text: str) -> np.ndarray:
     """Codes of all trigrams of a text, with white space before and after it."""
-    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    s = _CODES[np.where(points < len(_CODES), points, 0x21)].astype(np.int32)
+    if text.isascii():
+        s = _CODES[np.frombuffer(f" {text} ".encode(), np.uint8)].astype(np.int32)
+    else:
+        points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+        s = _CODES[np.where(points < len(_CODES), points, 0x21)].astype(np.int32)
     return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
 
 
@@ -147,12 +155,16 @@ def lattice(word: str, limits: bool = False) -> list[list[tuple[str, int, float]
     dropped."""
     out, n = [], len(word)
     gap, odd = [0] * (n + 1), [False] * (n + 1)  # separators and blanks from here on; whether not only blanks
-    for i in range(n - 1, -1, -1):
+    for i in range(n - 1, -1, -1) if _GAP.search(word) else ():
         if word[i] == " " or word[i] in SEPARATORS:
             gap[i], odd[i] = gap[i + 1] + 1, word[i] != " " or odd[i + 1]
     spaced, last = " " in word, ""
     lead, tail = edges(word)
-    for i, c in enumerate(word):
+    for i, (c, after) in enumerate(zip(word, [*word[1:], ""], strict=True)):
+        if c != after and c not in LOOKS and c.isalpha() and not (spaced and gap[i + 1]):
+            out.append([(c, 1, 0.0)])  # a letter by itself has one reading
+            last = c
+            continue
         ways: list[tuple[str, int, float]] = [] if c == " " else [(c, 1, 0.0 if c.isalpha() else ODD)]
         for letter in LOOKS.get(c, ""):
             ways.append((letter, 1, LOOK))
@@ -183,11 +195,11 @@ def lattice(word: str, limits: bool = False) -> list[list[tuple[str, int, float]
     return out
 
 
-def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
+def restore(word: str, cost: list[float], limits: bool = False) -> str:
     """The likeliest reading of a lower-case word, or of single characters with blanks
     between them: Viterbi over positions of the lattice, with the last two symbols as
     state. The words of a reading have blanks between them; with limits it is one word,
-    with OPEN where words may begin and end."""
+    with OPEN where words may begin and end. cost: by code of the trigram."""
     if word.isalpha() and not _TWICE.search(word) and _LETTERS_ALIKE.isdisjoint(word):
         return word
     ways = lattice(word, limits)
@@ -206,25 +218,26 @@ def restore(word: str, cost: np.ndarray, limits: bool = False) -> str:
                 to += 1  # what all readings go through costs all of them the same
             if to > i:
                 done.append(word[i:to])
-                x, y = [*state, *map(symbol, word[max(i, to - 2):to])][-2:]
+                x, y = [*state, *(_SYMBOL.get(c, 1) for c in word[max(i, to - 2):to])][-2:]
                 best[i], best[to], reached, i = None, {(x, y): (paid, None)}, to, to
                 continue
+        if not best[i]:  # no reading comes by
+            i += 1
+            continue
+        ahead = [(letters, [_SYMBOL.get(c, 1) for c in letters if c != OPEN], best[i + step], price) for letters, step, price in here]
+        reached = max(reached, *(i + step for _, step, _ in here))
         for (a, b), (paid, said) in best[i].items():
-            for letters, step, price in here:
+            for letters, symbols, there, price in ahead:
                 x, y, total = a, b, paid + price
-                for c in letters:
-                    if c == OPEN:
-                        continue
-                    z = 0 if c == " " else symbol(c)
-                    total += cost[x, y, z]
+                for z in symbols:
+                    total += cost[(x * SYMBOLS + y) * SYMBOLS + z]
                     x, y = y, z
-                state = best[i + step].get((x, y))
+                state = there.get((x, y))
                 if state is None or total < state[0]:
-                    best[i + step][(x, y)] = (total, (said, letters) if letters else said)
-                reached = max(reached, i + step)
+                    there[x, y] = (total, (said, letters) if letters else said)
         best[i] = None
         i += 1
-    found = [(paid + cost[a, b, 0], _said(said)) for (a, b), (paid, said) in best[-1].items()]
+    found = [(paid + cost[(a * SYMBOLS + b) * SYMBOLS], _said(said)) for (a, b), (paid, said) in best[-1].items()]
     return "".join(done) + min(found)[1]
 
 
@@ -238,13 +251,14 @@ def _said(letters: tuple | None) -> str:
 
 
 _ALONE = rf"(?:[^\W_]|(?<!\S)[{re.escape(_LOOK)}](?!\S))"
-_SPREAD = re.compile(rf"(?<![^\W_])(?:{_ALONE}[\W_]+)+{_ALONE}(?![^\W_])")
+#: With the character before it, so that the search skips from word to word.
+_SPREAD = re.compile(rf"[\W_]((?:{_ALONE}[\W_]+)+{_ALONE})(?![^\W_])")
 
 
 def spread_words(text: str) -> set[str]:
     """Characters that stand alone, two or more in a row, with a blank between them. Where
     words begin and end in it is for the lattice to say."""
-    return {" ".join(c for c in run if c.isalnum() or c in LOOKS) for run in _SPREAD.findall(text)}
+    return {" ".join(c for c in run if c.isalnum() or c in LOOKS) for run in _SPREAD.findall(f" {text}")}
 
 
 def _skeletons() -> dict[str, str]:
@@ -274,16 +288,58 @@ def skeleton(word: str) -> str:
     return _RUN.sub(r"\1", word.translate(_SKELETON))
 
 
+class Recent:
+    """What was made of words, for at most `keep` of them: those met since the last change
+    of the two tables, and those met before it."""
+
+    def __init__(self, keep: int) -> None:
+        self.keep, self.new, self.old = keep, {}, {}
+
+    def of(self, words: Collection[str], make: Callable[[str], T]) -> list[T]:
+        found = list(map(self.new.get, words))
+        if None in found:
+            found = [self._learn(w, make) if f is None else f for w, f in zip(words, found, strict=True)]
+        return found
+
+    def _learn(self, w: str, make: Callable[[str], T]) -> T:
+        got = self.old.get(w)
+        if got is None:
+            got = make(w)
+        if len(w) <= LONG:
+            if len(self.new) >= self.keep // 2:
+                self.new, self.old = {}, self.new
+            self.new[w] = got
+        return got
+
+
+class Leads(dict):
+    """Whether a word of letters that begins with these two may begin with a wanted
+    feature; filled as it is asked, for at most `keep` of them."""
+
+    def __init__(self, starts: set[str] | None, ways_in: set[str], keep: int) -> None:
+        self.starts, self.ways_in, self.keep = starts, ways_in, keep
+
+    def __missing__(self, two: str) -> bool:
+        x, y = _SYMBOLS.get(two[0], two[0]), _SYMBOLS.get(two[-1], two[-1])
+        got = self.starts is None or x in self.ways_in and (y == x or x + y in self.ways_in or x in self.starts)
+        if len(self) >= self.keep:
+            self.clear()
+        self[two] = got
+        return got
+
+
 class Restorer:
-    """Restored words with a bounded cache. Where only some features matter, what no
-    reading can give a word with such a feature is left as it is: its skeletons tell."""
+    """Restored words with a bounded cache, which drops what was not met lately. Where only
+    some features matter, what no reading can give a word with such a feature is left as it
+    is: its skeletons tell."""
 
     def __init__(self, cost: np.ndarray, wanted: Iterable[str] | None = None, keep: int = 300_000) -> None:
-        self.cost, self.keep, self.cache = cost, keep, {}
-        self.scores, self.model = {}, None  # scores of words under one model
+        self.cost, self.keep, self.cache = cost.ravel().tolist(), keep, Recent(keep)
+        self.scores, self.model = Recent(keep), None  # scores of words under one model
         self.starts = None if wanted is None else {skeleton(f.rstrip("…")) for f in wanted}
         self.lengths = sorted({len(s) for s in self.starts or ()})
         self.ways_in = {s[:k] for s in self.starts or () for k in range(len(s) + 1)}
+        self.leads = Leads(self.starts, self.ways_in, keep)
 
     def matters(self, word: str) -> bool:
         """Whether a word of a reading may begin with a wanted feature. What is no letter
@@ -291,11 +347,7 @@ class Restorer:
         if self.starts is None:
             return True
         if word.isalpha():
-            x = _SYMBOLS.get(word[0], word[0])
-            if x not in self.ways_in:
-                return False
-            y = _SYMBOLS.get(word[1], word[1]) if len(word) > 1 else x
-            if y != x and x + y not in self.ways_in and x not in self.starts:
+            if not self.leads[word[:2]]:
                 return False
             own = skeleton(word)
             return any(own[:k] in self.starts for k in self.lengths)
@@ -337,33 +389,20 @@ class Restorer:
         core, decode = self.core(w)
         return restore(core, self.cost, True) if decode and _BREAK.search(core) else ""
 
-    def cached(self, cache: dict[str, T], w: str, make: Callable[[str], T]) -> T:
-        got = cache.get(w)
-        if got is None:
-            if len(cache) > self.keep:
-                cache.clear()
-            got = make(w)
-            if len(w) <= LONG:
-                cache[w] = got
-        return got
-
     @staticmethod
     def written(text: str | None) -> set[str]:
+        """Distinct words as they are written, without marks at their edges, which no
+        reading keeps."""
         text = (text or "").lower()
-        return set(text.split()) | spread_words(text)
+        return ({w.strip(MARKS) for w in set(text.split())} | spread_words(text)) - {""}
 
     def words(self, text: str | None) -> set[str]:
         """Distinct restored words of a whole text."""
-        return {x for w in self.written(text) for x in self.cached(self.cache, w, self.read).split()}
+        return set(" ".join(self.cache.of(self.written(text), self.read)).split())
 
 
 def features(words: set[str]) -> set[str]:
-    out = set(words)
-    for w in words:
-        for k in (4, 5, 6):
-            if len(w) > k:
-                out.add(f"{w[:k]}…")
-    return out
+    return words.union(*({w[:k] + "…" for w in words if len(w) > k} for k in (4, 5, 6)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
@@ -438,9 +477,10 @@ def score_word(model: Model, restorer: Restorer, written: str) -> float:
 
 def score_text(model: Model, restorer: Restorer, text: str | None) -> float:
     if restorer.model is not model:
-        restorer.scores, restorer.model = {}, model
-    score = partial(score_word, model, restorer)
-    return max((restorer.cached(restorer.scores, w, score) for w in restorer.written(text)), default=0.0)
+        restorer.scores, restorer.model = Recent(restorer.keep), model
+    leads = restorer.leads
+    words = [w for w in restorer.written(text) if leads[w[:2]] or not w.isalpha()]  # what leads nowhere scores 0
+    return max(restorer.scores.of(words, partial(score_word, model, restorer)), default=0.0)
 
 
 def scored(model: Model, text: Column) -> Column:

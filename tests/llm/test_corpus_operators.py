@@ -305,6 +305,22 @@ def test_limits_alone_make_no_insult(cost):
         assert toxicity.score_text(model, toxicity.Restorer(cost, INSULTS), written) == 0
 
 
+def test_frequent_words_stay_in_a_full_cache(cost, monkeypatch):
+    """Words of a cache that is full are not all forgotten: what each text has is read once."""
+    read, plain = collections.Counter(), toxicity.restore
+    monkeypatch.setattr(toxicity, "restore", lambda word, *rest: read.update([word]) or plain(word, *rest))
+    restorer = toxicity.Restorer(cost, keep=100)
+    for i in range(300):
+        assert "often" in restorer.words(f"often, (often) often. once{i}x")
+    assert read["often"] == 1 and len(restorer.cache.new) + len(restorer.cache.old) <= 100
+
+
+def test_words_that_lead_nowhere_are_not_kept(cost):
+    model, restorer = toxicity.Model(cost, INSULTS), toxicity.Restorer(cost, INSULTS)
+    assert toxicity.score_text(model, restorer, "when, 'dumb' zebra. stupid") >= 0.8
+    assert set(restorer.scores.new) == {"stupid"}
+
+
 def test_toxicity_of_odd_rows(spark, odd, labels):
     own = spark.createDataFrame([(0, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     kept = toxicity.clean_documents(odd, own)
