@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged
+from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged, tidy
 
 NEAR_WORDS = 6
 #: Rows of a batch that a task sends on.
@@ -233,6 +233,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
                         | (F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line"))).select("key", "doc", "line")
 
 
+@tidy
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All documents with the columns they came with, their texts without the lines that
     stand earlier. A text whose lines all go is empty."""

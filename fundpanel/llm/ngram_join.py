@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged
+from fundpanel.llm.common import components, fresh, in_sketch, key_sketch, staged, tidy
 
 WORDS, PERCENT = 5, 75
 OFTEN, HEAVY, MOST_MATCHES = 2, 1 << 19, 4
@@ -365,6 +365,7 @@ def similar(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int
         "key", "n", F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("id")).alias("component"), F.col("sig").alias("node"), "group")
 
 
+@tidy
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The document with the smallest key (then set hash) of each group, with the columns
     it came with; a null key is the largest. Documents without words all stay. Of rows

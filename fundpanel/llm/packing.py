@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import UnitEncoder, staged
+from fundpanel.llm.common import UnitEncoder, staged, tidy
 
 SEQUENCE, END_ID = 2048, 0
 BLOCK, ISLANDS, POPULATION, EPOCHS, GENERATIONS = 4000, 2, 6, 2, 40
@@ -232,9 +232,10 @@ def pack_sizes(items: DataFrame, room: int = SEQUENCE, block: int = BLOCK) -> Da
     return done if done is not None else left.select("n", F.lit("").alias("bin"))
 
 
+@tidy
 def pack(parts: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """parts: rows with `length`, written before. Adds sequence_id and offset."""
-    rows = staged(parts.withColumn("n", F.monotonically_increasing_id()), "pieces")
+    rows = staged(parts.withColumn("n", F.monotonically_increasing_id()), "pieces", "zstd")
     sizes = rows.select("n", F.col("length").alias("size"))
     bins = pack_sizes(sizes.filter(F.col("size") < sequence), sequence).withColumn("sequence_id", F.xxhash64("bin"))
     one = rows.filter(F.col("length") >= sequence).select("*", F.xxhash64(F.format_string("own/%d", "n")).alias("sequence_id"))

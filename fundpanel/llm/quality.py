@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import fresh, staged
+from fundpanel.llm.common import fresh, staged, tidy
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_bars long"
 RULES = ("symbols", "repeats", "dup_lines", "bars")
@@ -168,6 +168,7 @@ def verdict(cutoffs: dict[tuple[str, str], int], m: str, stratum: Column) -> Col
     return ok
 
 
+@tidy
 def kept_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", key: str = "doc_id") -> DataFrame:
     """Documents that pass, with the columns they came with. Texts are measured twice, so
     that only the narrow measures are written and joined to labels."""

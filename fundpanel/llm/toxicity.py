@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundpanel.llm.common import fresh, in_sketch, key_sketch, staged
+from fundpanel.llm.common import fresh, in_sketch, key_sketch, staged, tidy
 from fundpanel.llm.ngram_join import shingles
 
 #: Look-alikes and the letters they may stand for; fixed values.
@@ -493,6 +493,7 @@ def scored(model: Model, text: Column) -> Column:
     return F.pandas_udf(of, "double").asNondeterministic()(text)
 
 
+@tidy
 def clean_documents(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", reject: float = REJECT) -> DataFrame:
     """Documents whose score is below `reject`, with the columns they came with."""
     score = fresh(docs, "toxicity")

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from fundpanel.llm import bpe, html, lines, ngram_join, packing, toxicity
@@ -141,3 +142,20 @@ def test_encoded_runs_are_kept_small(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"own {i} {shared} end {i}") for i in range(4)], "doc_id long, text string")
     assert bpe.encode_decode(docs, WORD).count() == 4
     assert len(kept) == 2 and all(f.endswith(".zstd.parquet") for k in kept for f in k.inputFiles())
+
+
+@pytest.mark.parametrize("name, own", [("toxicity", set()), ("quality rules", set()), ("line dedup", {"gone"}), ("n-gram Jaccard join", {"kept"}), ("best-fit packing", {"pieces", "packed"})])
+def test_stages_leave_only_the_copies_that_their_result_reads(spark, name, own):
+    import os
+
+    import corpus_pipeline
+    from fundpanel.llm.common import stage_folder
+
+    sf = "/root/testdata/sf0.01"
+    folder = stage_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(200)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, sf)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before} if os.path.exists(folder) else set()
+    assert left == own
+    assert 0 < out.count() and out.select(*out.columns).collect()
